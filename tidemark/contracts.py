@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import literal_frame
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the source system's declarations.
 # Start watermark: 2020-01-01T00:00:00Z.  Page size 500, offset wrap 10000.
@@ -165,7 +167,7 @@ def registry_frame(spark: SparkSession, contracts: dict[str, Contract] | None =
             for c in contracts.values()]
     schema = ("table_name string, endpoint string, start_watermark bigint, page_size int, "
               "schema_hash string, declared_columns array<string>, required_columns array<string>")
-    return spark.createDataFrame(rows, schema)
+    return literal_frame(spark, rows, schema)
 
 
 def table_contract(name: str, fields: list[tuple[str, str, bool]], *, endpoint: str | None = None,

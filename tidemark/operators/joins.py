@@ -27,6 +27,20 @@ def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     return F.broadcast(small) if n <= max_rows else small
 
 
+def freeze_control(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Collect a bounded control table (one row per contract, checkpoint or
+    request) and rebuild it from literals, so that every later use is a
+    local scan instead of re-running the joins that produced it.  Refuses
+    tables above ``max_rows``: those are data, not control state."""
+    from tidemark.session import literal_frame
+
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"control table has more than {max_rows} rows; keep it distributed")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return literal_frame(df.sparkSession, [tuple(r) for r in rows], ddl)
+
+
 def range_join(left: DataFrame, windows: DataFrame, *, key: str, point: str, start: str, end: str,
                how: str = "inner", bin_size: int = 86_400 * 30,
                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -52,16 +52,46 @@ def work_items(registry: DataFrame, checkpoints: DataFrame, layer: str = "RAW")
 
 
 # -- S3 + P3: incremental selection --------------------------------------------
+# Up to this many tables the per-table watermarks become literal predicates
+# that reach the parquet scan; above it the work table is broadcast.
+LITERAL_TABLES_MAX = 64
+
+
 def incremental_select(source: DataFrame, work: DataFrame, *, order: str = "updated_at",
-                       native_time: str | None = None) -> DataFrame:
+                       native_time: str | None = None, literal_max: int = LITERAL_TABLES_MAX) -> DataFrame:
     """Source rows at or after their table's cursor (inclusive, so ties at
     the high-water second are read again; the latest-row merge makes that
-    idempotent).
-
-    ``work`` has one row per table and is broadcast, so the source is scanned
-    once with no shuffle.  When ``native_time`` names the timestamp column
-    that ``order`` is derived from, the smallest cursor is also pushed to the
-    parquet scan as a literal (the cursors are few and known at plan time)."""
+    idempotent), with ``cursor`` and ``last_id`` of the table attached.
+
+    The work table holds one row per table.  For a handful of tables it is
+    read once on the driver and turned into ``(table = t AND order >= c) OR
+    ...``, which Catalyst pushes into the scan (partition and row-group
+    pruning on a table/time-clustered source); ``native_time`` names the
+    timestamp column ``order`` is derived from, so the bound is pushed on it
+    too.  For many tables it is broadcast (after a size check) and the
+    smallest cursor is pushed instead."""
+    items = work.select("table_name", "cursor", "last_id").limit(literal_max + 1).collect()
+    if len(items) <= literal_max:
+        if not items:
+            return source.where(F.lit(False)).withColumn("cursor", F.lit(None).cast("long")) \
+                         .withColumn("last_id", F.lit(None).cast("long"))
+        def any_of(bound):
+            out = None
+            for r in items:
+                c = (F.col("table_name") == F.lit(r["table_name"])) & bound(int(r["cursor"]))
+                out = c if out is None else (out | c)
+            return out
+
+        cond = any_of(lambda cur: F.col(order) >= F.lit(cur))
+        if native_time is not None:
+            # A separate conjunct made only of scan columns, so the whole
+            # disjunction translates to a parquet filter.
+            cond = cond & any_of(lambda cur: F.col(native_time) >= epoch_literal_ntz(cur))
+        cursors = F.create_map(*[x for r in items for x in (F.lit(r["table_name"]), F.lit(int(r["cursor"])))])
+        last_ids = F.create_map(*[x for r in items for x in (F.lit(r["table_name"]), F.lit(int(r["last_id"])))])
+        return (source.where(cond)
+                      .withColumn("cursor", F.element_at(cursors, F.col("table_name")).cast("long"))
+                      .withColumn("last_id", F.element_at(last_ids, F.col("table_name")).cast("long")))
     src = source
     if native_time is not None:
         low = work.agg(F.min("cursor")).first()[0]

@@ -18,6 +18,7 @@ from tidemark.contracts import registry_frame
 from tidemark.functions.scalars import alert_text, truncate_message
 from tidemark.operators import merge, progress, quality, relations, select
 from tidemark.plans import ingest, reports
+from tidemark.session import literal_frame
 from tidemark.sources import standins as S
 from tidemark.sources.standins import with_views as V
 
@@ -415,9 +416,9 @@ def q_override_checkpoint(spark, sf):
     """Override requests on the checkpoint table; an unknown table
     matches nothing."""
     cps = _checkpoint_table(spark, sf)
-    req = spark.createDataFrame(
-        [("1-URGENT", 900000000, True), ("3-MEDIUM", None, True), ("5-LOW", None, False),
-         ("NO_SUCH_TABLE", 5, True)], "table_name string, custom_watermark bigint, activate_fallback boolean")
+    req = literal_frame(
+        spark, [("1-URGENT", 900000000, True), ("3-MEDIUM", None, True), ("5-LOW", None, False),
+                ("NO_SUCH_TABLE", 5, True)], "table_name string, custom_watermark bigint, activate_fallback boolean")
     out = merge.override_checkpoint(cps, req, _now())
     hit = merge.matched_keys(cps, req, "table_name").withColumn("matched", F.lit(True))
     return (out.join(F.broadcast(hit), "table_name", "left")

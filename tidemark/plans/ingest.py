@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import OFFSET_WRAP, PAGE_SIZE
 from tidemark.operators import progress, select
+from tidemark.operators.joins import freeze_control
 
 
 @dataclass
@@ -26,7 +27,8 @@ class IncrementalRun:
 
 def plan_incremental(source: DataFrame, registry: DataFrame, checkpoints: DataFrame, *,
                      layer: str = "RAW", native_time: str | None = None) -> IncrementalRun:
-    work = select.work_items(registry, checkpoints, layer)
+    # One row per table: read once and kept as literals (planning state).
+    work = freeze_control(select.work_items(registry, checkpoints, layer))
     chosen = select.incremental_select(source, work, native_time=native_time)
     new_cps = progress.advance_checkpoints(work, chosen)
     return IncrementalRun(work=work, selected=chosen, checkpoints=new_cps)

@@ -83,3 +83,18 @@ def materialize(df: DataFrame) -> DataFrame:
     kept, so later operators can reuse them."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small constant table (control rows, parameters) built from literals
+    on the JVM side: it plans as a local scan with no Python worker, unlike
+    ``createDataFrame`` on a Python list."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+
+    st = StructType.fromDDL(schema)
+    if not rows:
+        return spark.createDataFrame([], st)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs))).select(
+        *[F.col(f.name).cast(f.dataType) for f in st.fields])

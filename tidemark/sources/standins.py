@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import Contract, table_contract
 from tidemark.functions.scalars import epoch_seconds
+from tidemark.session import literal_frame
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -59,7 +60,7 @@ def checkpoint_seed(spark: SparkSession) -> DataFrame:
             ("2-HIGH", 0, 0, 0, "RAW", 0, False)]
     schema = ("table_name string, current_watermark bigint, fallback_watermark bigint, last_id bigint, "
               "layer string, offset_val int, is_override_active boolean")
-    return spark.createDataFrame(rows, schema)
+    return literal_frame(spark, rows, schema)
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -170,6 +170,19 @@ def registry_frame(spark: SparkSession, contracts: dict[str, Contract] | None =
     return literal_frame(spark, rows, schema)
 
 
+_FAMILY = {"bigint": "integer", "double": "number", "string": "string", "array<bigint>": "array"}
+
+
+def columns_frame(spark: SparkSession, contracts: dict[str, Contract] | None = None) -> DataFrame:
+    """One row per declared column: table_name, column_name, position,
+    data_type (Spark DDL), json_family, required.  Bounded by the contracts."""
+    contracts = contracts or CONTRACTS
+    rows = [(c.name, f.name, i, f.dtype.simpleString(), _FAMILY.get(f.dtype.simpleString(), "object"), f.required)
+            for c in contracts.values() for i, f in enumerate(c.fields)]
+    return literal_frame(spark, rows, "table_name string, column_name string, position int, data_type string, "
+                                      "json_family string, required boolean")
+
+
 def table_contract(name: str, fields: list[tuple[str, str, bool]], *, endpoint: str | None = None,
                    start: int = START_WATERMARK, page_size: int = PAGE_SIZE) -> Contract:
     """Declare a contract for a table that is not one of the five (tests and

@@ -128,6 +128,19 @@ def missing_required(observed: DataFrame, registry: DataFrame, group: str = "tab
                 .select(group, F.explode(F.array_except("required_columns", "__seen")).alias("column_name")))
 
 
+def type_changes(observed: DataFrame, declared: DataFrame, group: str = "table_name") -> DataFrame:
+    """Q6 type change: declared columns seen with a JSON type the declared
+    type cannot take (numbers accept integers; null fits anything)."""
+    d = F.broadcast(declared.select(F.col("table_name").alias(group), "column_name",
+                                    F.col("data_type").alias("declared_type"), "json_family"))
+    fits = ((F.col("data_type") == F.col("json_family")) | (F.col("data_type") == "null")
+            | ((F.col("json_family") == "number") & (F.col("data_type") == "integer")))
+    return (observed.join(d, [group, "column_name"])
+                    .where(~fits)
+                    .select(group, "column_name", "declared_type", F.col("data_type").alias("observed_type"),
+                            "records"))
+
+
 # -- Q7 + Q8 + drift rows -------------------------------------------------------------------------
 def schema_snapshots(observed: DataFrame, group: str = "table_name") -> DataFrame:
     """One row per table: sorted observed column names, their JSON snapshot

@@ -14,11 +14,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.contracts import registry_frame
+from tidemark.contracts import columns_frame, registry_frame
 from tidemark.functions.scalars import alert_text, truncate_message
 from tidemark.operators import merge, progress, quality, relations, select
-from tidemark.plans import ingest, reports
-from tidemark.session import literal_frame
+from tidemark.plans import ingest, load, reports
+from tidemark.session import literal_frame, scratch_path
+from tidemark.sources import landing, tables
+from tidemark.streaming import landing_stream
 from tidemark.sources import standins as S
 from tidemark.sources.standins import with_views as V
 
@@ -122,7 +124,7 @@ def q_incremental_select(spark, sf):
     return _run(spark, sf).selected.select("table_name", "id", "updated_at", "cursor")
 
 
-_PAGES_SQL = _WORK + """,
+_PAGES_CTE = _WORK + """,
 num AS (SELECT table_name, id, updated_at,
                row_number() OVER (PARTITION BY table_name ORDER BY updated_at, id) AS rn FROM sel),
 pg AS (SELECT *, (rn - 1) // {size} AS page_no FROM num),
@@ -157,7 +159,9 @@ term AS (
            coalesce(o.running_watermark, t.cursor) AS running_watermark,
            coalesce(o.running_last_id, t.last_id) AS running_last_id, TRUE AS is_last
     FROM tot t LEFT JOIN out o ON o.table_name = t.table_name AND o.page_no = t.total // {size} - 1
-    WHERE t.total % {size} = 0)
+    WHERE t.total % {size} = 0)"""
+
+_PAGES_SQL = _PAGES_CTE + """
 SELECT * FROM out UNION ALL SELECT * FROM term"""
 
 
@@ -730,3 +734,119 @@ def q_text_search(spark, sf):
     """Case-insensitive search over name and brand."""
     p = S.read(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
     return select.text_filter(p, ["p_name", "p_brand"], "RED")
+
+
+# =========================================================================================
+# Landing, loading, streaming, log tables
+# =========================================================================================
+def _landed(spark, sf) -> str:
+    """Land the run's selection as pages of 500 under each table's
+    endpoint, named by block cursor and offset; returns the folder."""
+    run = _run(spark, sf)
+    paged = progress.assign_pages(run.selected)
+    blocks = (paged.groupBy("table_name", "block_no").agg(F.max("updated_at").alias("__bmax"))
+                   .withColumn("block_no", F.col("block_no") + 1))
+    rows = (paged.join(blocks, ["table_name", "block_no"], "left")
+                 .withColumn("cursor_value", F.coalesce("__bmax", "cursor"))
+                 .join(F.broadcast(run.work.select("table_name", "endpoint")), "table_name"))
+    base = scratch_path(spark, "landing")
+    landing.write_pages(S.raw_json(rows), base)
+    return base
+
+
+_ISSUE_SEL = _ISSUE_SQL.replace("table_name", "sel.table_name")
+_GOOD_SQL = V("src", "seed", "contracts") + ", " + _WORK.lstrip() + f"""
+SELECT id, name, updated_at, o_custkey, o_totalprice FROM sel WHERE ({_ISSUE_SEL}) IS NULL"""
+
+
+@register("landing_roundtrip", V("src", "seed", "contracts") + ", " + _PAGES_CTE.format(size=500, wrap=10000).lstrip()
+          + f"""
+SELECT {S.ENDPOINT_SQL} AS endpoint, cursor_value, offset_value, records FROM out""")
+def q_landing_roundtrip(spark, sf):
+    """Pages written to the landing zone and read back
+    record by record; records per (endpoint, cursor, offset)."""
+    return landing.page_counts(landing.read_pages(spark, _landed(spark, sf)))
+
+
+@register("load_raw_pages", _GOOD_SQL)
+def q_load_raw_pages(spark, sf):
+    """Landed pages parsed, bad records quarantined, good ones merged
+    into the target twice (the second load changes nothing)."""
+    raw = landing.read_pages(spark, _landed(spark, sf))
+    c = next(iter(S.source_contracts().values()))
+    first = load.load_pages(raw, c).table
+    return load.load_pages(raw, c, target=first).table
+
+
+@register("quarantine_report", V("src", "seed", "contracts") + ", " + _WORK.lstrip() + f"""
+SELECT {S.ENDPOINT_SQL} AS endpoint, count(*) FILTER (WHERE ({_ISSUE_SEL}) IS NULL) AS good,
+       count(*) FILTER (WHERE ({_ISSUE_SEL}) IS NOT NULL) AS quarantined
+FROM sel GROUP BY 1""")
+def q_quarantine_report(spark, sf):
+    """Q4 over landed pages: good and quarantined records per endpoint."""
+    raw = landing.read_pages(spark, _landed(spark, sf))
+    return load.load_pages(raw, next(iter(S.source_contracts().values()))).report
+
+
+@register("stream_load", _GOOD_SQL)
+def q_stream_load(spark, sf):
+    """The landing folder consumed as a file stream (availableNow),
+    each micro-batch parsed, split and appended to a change log; then every
+    page landed again and the stream run once more: the latest-per-id table
+    is unchanged."""
+    base = _landed(spark, sf)
+    c = next(iter(S.source_contracts().values()))
+    root = scratch_path(spark, "stream")
+    paths = landing_stream.StreamPaths(landing=base, target=f"{root}/target", quarantine=f"{root}/quarantine",
+                                       checkpoint=f"{root}/checkpoint")
+    landing_stream.run_landing_stream(spark, c, paths)
+    rows = landing.read_pages(spark, base)
+    landing.write_pages(rows.withColumnRenamed("cursor", "cursor_value").withColumnRenamed("offset", "offset_value"),
+                        base)
+    landing_stream.run_landing_stream(spark, c, paths)
+    return landing_stream.current_table(spark, paths, c).select("id", "name", "updated_at", "o_custkey",
+                                                                "o_totalprice")
+
+
+@register("batch_log", V("src", "seed", "contracts") + ", " + _PAGES_CTE.format(size=500, wrap=10000).lstrip() + f"""
+SELECT '{RUN_ID}' AS run_id, table_name, page_no, 'SUCCESS' AS status, cursor_value, offset_value,
+       CAST(records AS INTEGER) AS records_count
+FROM (SELECT * FROM out UNION ALL SELECT * FROM term)""")
+def q_batch_log(spark, sf):
+    """M3: one batch-log row per page (the terminal empty page included)
+    appended to the log and read back by key."""
+    pages = ingest.run_pages(_run(spark, sf))
+    rows = ingest.batch_log(pages, RUN_ID, RUN_TIME)
+    path = scratch_path(spark, "batch_logs")
+    tables.append_changes(rows, path, changed_at=_now(), seq=1)
+    tables.append_changes(rows, path, changed_at=_now(), seq=2)   # a retried write
+    latest = tables.read_latest(spark, path, ["run_id", "table_name", "page_no"])
+    return latest.select("run_id", "table_name", "page_no", "status", "cursor_value", "offset_value",
+                         "records_count")
+
+
+@register("log_tables", V("src", "seed", "contracts") + ", " + _CHECKPOINT_TABLE.lstrip() + """
+SELECT * FROM merged""")
+def q_log_tables(spark, sf):
+    """The five log tables created if absent, the checkpoint
+    table written into its table (replace), read back whole."""
+    root = scratch_path(spark, "logs")
+    prefix = "logs_" + root.rsplit("-", 1)[-1] + "_"
+    names = tables.create_log_tables(spark, root, prefix=prefix)
+    cps = _checkpoint_table(spark, sf)
+    target = f"{prefix}ingestion_checkpoints"
+    assert target in names
+    bad = tables.not_null_violations(cps.where(F.col("updated_at").isNotNull()), "ingestion_checkpoints")
+    if bad.limit(1).count():
+        raise ValueError("checkpoint rows break NOT NULL columns")
+    cps.select(*tables.log_schema("ingestion_checkpoints").names).write.insertInto(target, overwrite=True)
+    return spark.table(target)
+
+
+@register("breaking_changes", V("src") + _KEYS_SQL + """
+SELECT table_name, column_name, 'bigint' AS declared_type, data_type AS observed_type, count(*) AS records
+FROM kv WHERE column_name = 'updated_at' AND data_type <> 'integer' GROUP BY 1, 2, 3, 4""")
+def q_breaking_changes(spark, sf):
+    """Q6: declared columns arriving with a type the contract cannot take."""
+    observed = quality.observed_keys(S.raw_records(spark, sf))
+    return quality.type_changes(observed, columns_frame(spark, S.source_contracts()))

@@ -98,3 +98,11 @@ def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFr
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs))).select(
         *[F.col(f.name).cast(f.dataType) for f in st.fields])
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the checkpoint folder (shared on a cluster) for
+    intermediate tables, landing files and stream checkpoints."""
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex[:12]}"

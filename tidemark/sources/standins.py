@@ -16,6 +16,8 @@ rows for the oracle check.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +42,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def source_contracts() -> dict[str, Contract]:
     fields = [("id", "bigint", True), ("name", "string", True), ("updated_at", "bigint", False),
               ("o_custkey", "bigint", False), ("o_totalprice", "double", False)]
-    return {t: table_contract(t, fields, endpoint=f"/{t.lower()}", start=SOURCE_START) for t in SOURCE_TABLES}
+    return {t: table_contract(t, fields, endpoint=endpoint_of(t), start=SOURCE_START) for t in SOURCE_TABLES}
+
+
+def endpoint_of(table: str) -> str:
+    """``/`` + the lower-case table name with runs of other characters as
+    ``_`` (safe as a folder name)."""
+    return "/" + re.sub("[^a-z0-9]+", "_", table.lower())
+
+
+ENDPOINT_SQL = "'/' || regexp_replace(lower(table_name), '[^a-z0-9]+', '_', 'g')"
 
 
 def source_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,9 +157,9 @@ def event_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("completed_at"))
 
 
-def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Source records as raw JSON text, one object per row, with the faults
-    the quality checks look for, all decided by the data itself:
+def raw_json(records: DataFrame) -> DataFrame:
+    """Add ``raw``: each source record as JSON text, with the faults the
+    quality checks look for, all decided by the data itself:
 
     * orders with status P come from a feed that sends ``updated_at`` as a
       date string (wrong type);
@@ -156,7 +167,6 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     * urgent orders above 300,000 carry an undeclared ``rush`` flag (new
       column); ``to_json`` drops null fields, so the key is absent elsewhere.
     """
-    s = source_records(spark, sf_dir)
     name = F.when((F.col("o_orderstatus") == "F") & (F.col("table_name") == "4-NOT SPECIFIED"),
                   F.lit(None)).otherwise(F.col("name"))
     rush = F.when((F.col("table_name") == "1-URGENT") & (F.col("o_totalprice") > 300000), F.lit(True))
@@ -164,8 +174,12 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = [F.col("o_custkey"), F.col("o_totalprice"), rush.alias("rush")]
     as_text = F.to_json(F.struct(*common, F.date_format("o_orderdate", "yyyy-MM-dd").alias("updated_at"), *tail))
     as_num = F.to_json(F.struct(*common, F.col("updated_at"), *tail))
-    raw = F.when(F.col("o_orderstatus") == "P", as_text).otherwise(as_num)
-    return s.select("table_name", "id", raw.alias("raw"))
+    return records.withColumn("raw", F.when(F.col("o_orderstatus") == "P", as_text).otherwise(as_num))
+
+
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(table_name, id, raw) for every source record."""
+    return raw_json(source_records(spark, sf_dir)).select("table_name", "id", "raw")
 
 
 # ---------------------------------------------------------------------------

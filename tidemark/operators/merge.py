@@ -56,23 +56,25 @@ def insert_if_absent(target: DataFrame, new_rows: DataFrame, key, *, order: list
     in ``order`` (default: all columns) is kept."""
     keys = _keys(key)
     cols = target.columns
-    fresh = new_rows.select(*cols).join(target.select(*keys), keys, "left_anti")
     rest = [c for c in cols if c not in keys]
     ordering = [F.col(c) for c in (order or rest)]
-    first = (fresh.groupBy(*keys)
-                  .agg(F.min(F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(ordering)],
-                                      F.struct(*[F.col(c) for c in rest]).alias("__row"))).alias("__m"))
-                  .select(*keys, *[F.col(f"__m.__row.{c}").alias(c) for c in rest]))
-    return target.unionByName(first.select(*cols))
+    # One row per new key first (a map-side combined aggregate), so the
+    # anti-join below sees unique keys and no hot key lands on one task.
+    first = (new_rows.groupBy(*keys)
+                     .agg(F.min(F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(ordering)],
+                                         F.struct(*[F.col(c) for c in rest]).alias("__row"))).alias("__m"))
+                     .select(*keys, *[F.col(f"__m.__row.{c}").alias(c) for c in rest]))
+    fresh = first.join(target.select(*keys), keys, "left_anti")
+    return target.unionByName(fresh.select(*cols))
 
 
 # -- M2 / M7b ---------------------------------------------------------------------------
-def keyed_update(target: DataFrame, updates: DataFrame, key, set_cols: dict[str, Column | str]) -> DataFrame:
+def keyed_update(target: DataFrame, updates: DataFrame, key, set_cols: dict[str, Column]) -> DataFrame:
     """``UPDATE target SET c = expr WHERE key = updates.key``.
 
     ``updates`` holds at most one row per key; ``set_cols`` maps a target
-    column to an expression over the update row (prefix ``u.``) and the
-    current row (prefix ``t.``).  Unmatched updates change nothing."""
+    column to a Column over the current row (its own names) and the update
+    row (names prefixed ``u__``).  Unmatched updates change nothing."""
     keys = _keys(key)
     u = updates.withColumn("__matched", F.lit(True))
     u = u.select(*[F.col(c).alias(f"u__{c}") if c not in keys else F.col(c) for c in u.columns])
@@ -81,18 +83,12 @@ def keyed_update(target: DataFrame, updates: DataFrame, key, set_cols: dict[str,
     out = []
     for c in target.columns:
         if c in set_cols:
-            e = set_cols[c]
-            e = F.expr(_rewrite(e)) if isinstance(e, str) else e
-            out.append(F.when(matched, e).otherwise(F.col(c)).alias(c))
+            out.append(F.when(matched, set_cols[c]).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
     return joined.select(*out)
 
 
-def _rewrite(expr: str) -> str:
-    return expr.replace("u.", "u__").replace("t.", "")
-
-
 def matched_keys(target: DataFrame, updates: DataFrame, key) -> DataFrame:
     """The keys of ``updates`` that hit a row (``rowcount > 0`` per key)."""
     keys = _keys(key)

@@ -171,6 +171,15 @@ def drift_rows(observed: DataFrame, registry: DataFrame, *, run_id: Column, dete
     ).where(F.size("changed_columns") > 0)
 
 
+def mark_included(history: DataFrame, registry: DataFrame, now: Column, group: str = "table_name") -> DataFrame:
+    """Q8 on stored drift rows: once the contract declares every new column
+    of a row, set its ``included_at`` (kept if already set)."""
+    decl = F.broadcast(registry.select(F.col("table_name").alias(group), F.col("declared_columns").alias("__decl")))
+    j = history.join(decl, group, "left")
+    covered = F.size(F.array_except("changed_columns", F.coalesce("__decl", F.array().cast("array<string>")))) == 0
+    return j.withColumn("included_at", F.coalesce(F.col("included_at"), F.when(covered, now))).drop("__decl")
+
+
 # -- J5 --------------------------------------------------------------------------------------
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose non-null ``key`` has no parent row (a shuffle

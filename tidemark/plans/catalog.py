@@ -550,19 +550,25 @@ def q_run_completion(spark, sf):
 
 
 @register("quick_replay_events", V("src", "seed", "contracts") + ", " + _ADVANCED.lstrip() + f"""
-SELECT table_name, 'RAW' AS layer, current_watermark - 2592000 AS start_watermark,
+SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-'
+           || substr(h, 21, 12) AS event_id, table_name, layer, start_watermark, end_watermark, status,
+       records_processed, created_at
+FROM (SELECT sha256(table_name || chr(1) || CAST(current_watermark - 2592000 AS VARCHAR) || chr(1)
+                    || CAST(current_watermark AS VARCHAR)) AS h,
+             table_name, 'RAW' AS layer, current_watermark - 2592000 AS start_watermark,
        current_watermark AS end_watermark, 'PENDING' AS status, CAST(0 AS BIGINT) AS records_processed,
        TIMESTAMP '{RUN_TIME}' AS created_at
-FROM adv""")
+      FROM adv)""")
 def q_quick_replay_events(spark, sf):
-    """M7: one new PENDING replay event per checkpoint covering its last 30
-    days (the dashboard's quick-replay button)."""
+    """One new PENDING replay event per checkpoint covering its last
+    30 days (the dashboard's quick-replay button); the id is derived from
+    the request, so submitting it twice creates one event."""
     cps = _run(spark, sf).checkpoints
     req = cps.select("table_name", F.lit("RAW").alias("layer"),
                      (F.col("current_watermark") - 2592000).alias("start_watermark"),
                      F.col("current_watermark").alias("end_watermark"))
     ev = merge.new_events(req, _now(), ["table_name", "start_watermark", "end_watermark"])
-    return ev.select("table_name", "layer", "start_watermark", "end_watermark", "status", "records_processed",
+    return ev.select("event_id", "table_name", "layer", "start_watermark", "end_watermark", "status", "records_processed",
                      "created_at")
 
 
@@ -743,14 +749,15 @@ def _landed(spark, sf) -> str:
     """Land the run's selection as pages of 500 under each table's
     endpoint, named by block cursor and offset; returns the folder."""
     run = _run(spark, sf)
-    paged = progress.assign_pages(run.selected)
+    keyed = S.raw_json(run.selected).select("table_name", "id", "updated_at", "cursor", "raw")
+    paged = progress.assign_pages(keyed)
     blocks = (paged.groupBy("table_name", "block_no").agg(F.max("updated_at").alias("__bmax"))
                    .withColumn("block_no", F.col("block_no") + 1))
     rows = (paged.join(blocks, ["table_name", "block_no"], "left")
                  .withColumn("cursor_value", F.coalesce("__bmax", "cursor"))
                  .join(F.broadcast(run.work.select("table_name", "endpoint")), "table_name"))
     base = scratch_path(spark, "landing")
-    landing.write_pages(S.raw_json(rows), base)
+    landing.write_pages(rows, base)
     return base
 
 
@@ -850,3 +857,44 @@ def q_breaking_changes(spark, sf):
     """Q6: declared columns arriving with a type the contract cannot take."""
     observed = quality.observed_keys(S.raw_records(spark, sf))
     return quality.type_changes(observed, columns_frame(spark, S.source_contracts()))
+
+
+@register("schema_history_insert", V("src") + _KEYS_SQL + f"""
+, snap AS (SELECT table_name, sha256(string_agg(column_name, ' ' ORDER BY column_name)) AS schema_hash
+           FROM (SELECT DISTINCT table_name, column_name FROM kv) GROUP BY 1),
+changed AS (SELECT DISTINCT table_name FROM kv
+            WHERE column_name NOT IN ('id', 'name', 'updated_at', 'o_custkey', 'o_totalprice')),
+fresh AS (SELECT s.table_name, s.schema_hash, 'NEW_COLUMN' AS status, '{RUN_ID}' AS detected_in_run_id
+          FROM snap s JOIN changed c USING (table_name)),
+prior AS (SELECT table_name, schema_hash, 'NEW_COLUMN' AS status, 'run-0000' AS detected_in_run_id FROM fresh)
+SELECT * FROM prior
+UNION ALL SELECT * FROM fresh WHERE (table_name, schema_hash) NOT IN (SELECT table_name, schema_hash FROM prior)
+UNION ALL SELECT 'legacy', 'old-hash', 'NEW_COLUMN', 'run-0000'""")
+def q_schema_history_insert(spark, sf):
+    """M4: drift rows inserted into the history only when (table, hash) is
+    new: a second detection of the same snapshot adds nothing."""
+    observed = quality.observed_keys(S.raw_records(spark, sf))
+    rows = quality.drift_rows(observed, _registry(spark), run_id=F.lit(RUN_ID), detected_at=_now()).select(
+        "table_name", "schema_hash", "status", "detected_in_run_id")
+    prior = rows.withColumn("detected_in_run_id", F.lit("run-0000")).unionByName(
+        literal_frame(spark, [("legacy", "old-hash", "NEW_COLUMN", "run-0000")],
+                      "table_name string, schema_hash string, status string, detected_in_run_id string"))
+    return merge.insert_if_absent(prior, rows, ["table_name", "schema_hash"])
+
+
+@register("null_report", V("runs", "batches") + """
+SELECT (SELECT count(*) FILTER (WHERE completed_at IS NULL) FROM runs) AS completed_at_nulls,
+       (SELECT count(*) FILTER (WHERE error_message IS NULL) FROM runs) AS error_message_nulls,
+       (SELECT count(*) FILTER (WHERE run_id IS NULL OR started_at IS NULL OR layer IS NULL OR status IS NULL)
+        FROM runs) AS not_null_violations,
+       (SELECT count(*) FILTER (WHERE error_message IS NULL) FROM batches) AS batch_error_message_nulls""")
+def q_null_report(spark, sf):
+    """Q3 not-null checks and the NOT NULL columns of the runs table."""
+    r = S.runs(spark, sf)
+    runs_nulls = quality.null_counts(r, ["completed_at", "error_message"])
+    bad = tables.not_null_violations(r, "ingestion_runs").agg(F.count(F.lit(1)).alias("not_null_violations"))
+    b = quality.null_counts(S.batches(spark, sf), ["error_message"]).withColumnRenamed(
+        "error_message_nulls", "batch_error_message_nulls")
+    # three one-row aggregates side by side
+    return (runs_nulls.withColumn("__k", F.lit(1)).join(bad.withColumn("__k", F.lit(1)), "__k")
+                      .join(b.withColumn("__k", F.lit(1)), "__k").drop("__k"))

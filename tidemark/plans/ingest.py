@@ -37,7 +37,9 @@ def plan_incremental(source: DataFrame, registry: DataFrame, checkpoints: DataFr
 def run_pages(run: IncrementalRun, *, page_size: int = PAGE_SIZE, wrap: int = OFFSET_WRAP) -> DataFrame:
     """Per-page progress of an incremental run (what the source system logs
     one batch at a time)."""
-    paged = progress.assign_pages(run.selected, page_size=page_size, wrap=wrap)
+    # Number only the keys: the row index materialises its input.
+    keys = run.selected.select("table_name", "id", "updated_at")
+    paged = progress.assign_pages(keys, page_size=page_size, wrap=wrap)
     return progress.page_summary(paged, run.work, page_size=page_size, wrap=wrap)
 
 

@@ -35,6 +35,8 @@ def build_session(master: str | None = None, app: str = "tidemark",
     conf = dict(ENGINE_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    # Checkpoint files of collected DataFrames are removed with them.
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -82,3 +82,14 @@ def test_scalars(spark):
     assert row["cut"].endswith("b" * 1000) and row["e"] == 1577836800
     parts = spark.range(1).select(*scalars.page_path_parts(F.lit("x/games/1577836800_9500.json"))).first()
     assert tuple(parts) == ("/games", 1577836800, 9500)
+
+
+def test_id_arrays_resolve(spark):
+    from tidemark.operators import relations
+    games = spark.createDataFrame([(1, [10, 11, 99]), (2, []), (3, None)], "id long, genres array<long>")
+    genres = spark.createDataFrame([(10, "rpg"), (11, "action")], "gid long, name string")
+    out = {r["id"]: (r["n_ids"], r["n_resolved"]) for r in
+           relations.resolve_ids(games, "id", "genres", genres, "gid", "name").collect()}
+    assert out == {1: (3, 2), 2: (0, 0), 3: (0, 0)}
+    lists = {r["id"]: r["names"] for r in relations.resolved_lists(games, "id", "genres", genres, "gid", "name").collect()}
+    assert lists[1] == ["action", "rpg"] and lists[2] == []

@@ -112,7 +112,7 @@ def page_summary(paged: DataFrame, work: DataFrame | None = None, *, page_size:
         return out
     # Terminal empty page for tables whose selection ends on a page boundary
     # (or is empty): the source system asks once more and gets nothing.
-    totals = paged.groupBy(group).agg(F.count(F.lit(1)).alias("__total"))
+    totals = pages.groupBy(group).agg(F.sum("records").alias("__total"))
     ends = (work.select(group, "cursor", "last_id").join(totals, group, "left")
                 .withColumn("__total", F.coalesce(F.col("__total"), F.lit(0)).cast("long"))
                 .where(F.col("__total") % page_size == 0)

@@ -35,8 +35,11 @@ def row_index(df: DataFrame, partition_cols, order_cols, name: str = "row_index"
     parts, order = _names(partition_cols), _names(order_cols)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*parts, *order]
-    ranged = (df.repartitionByRange(n, *keys)
+    # A per-row tie-breaker makes every range key unique, so even a run of
+    # identical (group, order) values is split across partitions.
+    keys = [*parts, *order, "__tie"]
+    ranged = (df.withColumn("__tie", F.monotonically_increasing_id())
+                .repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__pos", F.monotonically_increasing_id()))
@@ -52,7 +55,7 @@ def row_index(df: DataFrame, partition_cols, order_cols, name: str = "row_index"
     joined = ranged.join(checked_broadcast(spans.select("__pid", *parts, "__first", "__before")),
                          ["__pid", *parts])
     return (joined.withColumn(name, (F.col("__pos") - F.col("__first") + F.col("__before") + 1).cast("long"))
-                  .drop("__pid", "__pos", "__first", "__before"))
+                  .drop("__pid", "__pos", "__first", "__before", "__tie"))
 
 
 def running_max(df: DataFrame, partition_cols, seq_col: str, value: Column, name: str,

@@ -720,18 +720,13 @@ def q_late_rows(spark, sf):
 
 
 @register("relation_bridge", """
-WITH ids AS (SELECT l_orderkey, l_partkey FROM lineitem)
-SELECT i.l_orderkey, count(*) AS n_ids, count(p.p_partkey) AS n_resolved,
-       string_agg(p.p_name, '|' ORDER BY p.p_name) AS part_names
-FROM ids i LEFT JOIN part p ON i.l_partkey = p.p_partkey GROUP BY 1""")
+SELECT l_orderkey, count(l_partkey) AS n_ids, count(p.p_name) AS n_resolved,
+       min(p.p_name) AS first_p_name, max(p.p_name) AS last_p_name
+FROM lineitem LEFT JOIN part p ON l_partkey = p.p_partkey GROUP BY 1""")
 def q_relation_bridge(spark, sf):
-    """Per order an id array of parts, resolved to part names."""
+    """Each order's part references resolved to the part dimension."""
     li = S.read(spark, sf, "lineitem")
-    arrays = relations.id_arrays(li, "l_orderkey", "l_partkey", "part_ids")
-    out = relations.resolve_ids(arrays, "l_orderkey", "part_ids", S.read(spark, sf, "part"), "p_partkey", ["p_name"])
-    return out.select("l_orderkey", F.col("n_ids").cast("long").alias("n_ids"),
-                      F.col("n_resolved").cast("long").alias("n_resolved"),
-                      F.when(F.size("p_names") > 0, F.array_join("p_names", "|")).alias("part_names"))
+    return relations.resolve_refs(li, "l_orderkey", "l_partkey", S.read(spark, sf, "part"), "p_partkey", "p_name")
 
 
 @register("text_search", """
@@ -890,11 +885,13 @@ SELECT (SELECT count(*) FILTER (WHERE completed_at IS NULL) FROM runs) AS comple
        (SELECT count(*) FILTER (WHERE error_message IS NULL) FROM batches) AS batch_error_message_nulls""")
 def q_null_report(spark, sf):
     """Q3 not-null checks and the NOT NULL columns of the runs table."""
-    r = S.runs(spark, sf)
-    runs_nulls = quality.null_counts(r, ["completed_at", "error_message"])
-    bad = tables.not_null_violations(r, "ingestion_runs").agg(F.count(F.lit(1)).alias("not_null_violations"))
-    b = quality.null_counts(S.batches(spark, sf), ["error_message"]).withColumnRenamed(
-        "error_message_nulls", "batch_error_message_nulls")
-    # three one-row aggregates side by side
-    return (runs_nulls.withColumn("__k", F.lit(1)).join(bad.withColumn("__k", F.lit(1)), "__k")
-                      .join(b.withColumn("__k", F.lit(1)), "__k").drop("__k"))
+    r = S.runs(spark, sf).select(F.lit("r").alias("t"), "completed_at", "error_message",
+                                 tables.not_null_violations_flag("ingestion_runs").alias("bad"))
+    b = S.batches(spark, sf).select(F.lit("b").alias("t"), F.lit(None).cast("timestamp_ntz").alias("completed_at"),
+                                    "error_message", F.lit(False).alias("bad"))
+    # one tagged stream, one conditional aggregate: no join of one-row frames
+    u, t = r.unionByName(b), F.col("t")
+    return u.agg(F.count_if((t == "r") & F.col("completed_at").isNull()).alias("completed_at_nulls"),
+                 F.count_if((t == "r") & F.col("error_message").isNull()).alias("error_message_nulls"),
+                 F.count_if((t == "r") & F.col("bad")).alias("not_null_violations"),
+                 F.count_if((t == "b") & F.col("error_message").isNull()).alias("batch_error_message_nulls"))

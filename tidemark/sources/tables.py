@@ -65,14 +65,19 @@ def create_log_tables(spark: SparkSession, location: str, *, prefix: str = "logs
     return names
 
 
-def not_null_violations(df: DataFrame, name: str) -> DataFrame:
-    """Rows breaking the table's NOT NULL columns (the check parquet does
-    not make)."""
+def not_null_violations_flag(name: str) -> Column:
+    """True for a row breaking one of the table's NOT NULL columns."""
     cond = None
     for c in LOG_REQUIRED[name]:
         e = F.col(c).isNull()
         cond = e if cond is None else (cond | e)
-    return df.where(cond)
+    return cond
+
+
+def not_null_violations(df: DataFrame, name: str) -> DataFrame:
+    """Rows breaking the table's NOT NULL columns (the check parquet does
+    not make)."""
+    return df.where(not_null_violations_flag(name))
 
 
 # -- S6 / S7 ---------------------------------------------------------------------------

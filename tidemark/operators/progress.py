@@ -82,11 +82,17 @@ def page_summary(paged: DataFrame, work: DataFrame | None = None, *, page_size:
     the stored cursor, and a table whose selection is empty or an exact
     multiple of the page size gets the terminal empty page the source system
     asks for."""
-    top = F.max(F.struct(F.col(order).alias("ts"), F.col(key).alias("id")))
+    # Rows are numbered in (order, key) order, so a page's first and last
+    # rows are the ones with the smallest and largest row number: min_by /
+    # max_by keep fixed-width buffers and run as a hash aggregate.
+    rn = F.col("row_no")
     pages = (paged.groupBy(group, "page_no", "block_no", "offset_value")
                   .agg(F.count(F.lit(1)).alias("records"),
-                       F.min(F.struct(F.col(order).alias("ts"), F.col(key).alias("id"))).alias("__lo"),
-                       top.alias("__hi")))
+                       F.min_by(F.col(order), rn).alias("__lo_ts"), F.min_by(F.col(key), rn).alias("__lo_id"),
+                       F.max_by(F.col(order), rn).alias("__hi_ts"), F.max_by(F.col(key), rn).alias("__hi_id"))
+                  .select(group, "page_no", "block_no", "offset_value", "records",
+                          F.struct(F.col("__lo_ts").alias("ts"), F.col("__lo_id").alias("id")).alias("__lo"),
+                          F.struct(F.col("__hi_ts").alias("ts"), F.col("__hi_id").alias("id")).alias("__hi")))
     pages = running_max(pages, group, "page_no", F.col("__hi"), "__run")
     blocks = (pages.groupBy(group, "block_no").agg(F.max("__hi.ts").alias("__block_max"))
                    .withColumn("block_no", F.col("block_no") + 1))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.contracts import columns_frame, registry_frame
 from tidemark.functions.scalars import alert_text, truncate_message
 from tidemark.operators import merge, progress, quality, relations, select
+from tidemark.operators.joins import freeze_control
 from tidemark.plans import ingest, load, reports
 from tidemark.session import literal_frame, scratch_path
 from tidemark.sources import landing, tables
@@ -684,23 +685,44 @@ def q_message_truncate(spark, sf):
     return p.select("p_partkey", F.length(msg).alias("msg_len"), truncate_message(msg, 40, 10).alias("message"))
 
 
-@register("alert_feed", V("runs") + """
-SELECT run_id AS ref, level,
+@register("alert_feed", V("runs", "batches", "src") + _KEYS_SQL + """
+, msgs AS (
+    SELECT 'runs' AS source, run_id AS ref, CASE WHEN status = 'FAILED' THEN 'ERROR' ELSE 'WARNING' END AS level,
+           CASE WHEN status = 'FAILED' THEN 'Pipeline orchestration run failed: ' || error_message
+                ELSE 'Run ' || run_id || ' has not finished' END AS msg
+    FROM runs WHERE status IN ('FAILED', 'RUNNING')
+    UNION ALL
+    SELECT 'batches', CAST(batch_id AS VARCHAR), 'WARNING',
+           'Unexpected failure ingesting ' || table_name || ': ' || error_message
+    FROM batches WHERE status = 'FAILED'
+    UNION ALL
+    SELECT DISTINCT 'drift', table_name || '.' || column_name, 'INFO',
+           'New column ' || column_name || ' in ' || table_name
+    FROM kv WHERE column_name NOT IN ('id', 'name', 'updated_at', 'o_custkey', 'o_totalprice'))
+SELECT source, ref, level,
        '[' || level || '] ' || msg || CASE WHEN level = 'ERROR' THEN ' @everyone' ELSE '' END AS content
-FROM (SELECT run_id, CASE WHEN status = 'FAILED' THEN 'ERROR' ELSE 'WARNING' END AS level,
-             CASE WHEN status = 'FAILED' THEN 'Pipeline orchestration run failed: ' || error_message
-                  ELSE 'Run ' || run_id || ' has not finished' END AS msg
-      FROM runs WHERE status IN ('FAILED', 'RUNNING'))""")
+FROM msgs""")
 def q_alert_feed(spark, sf):
-    """Alerts for failed and unfinished runs."""
+    """Alerts for failed and unfinished runs, failed batches and
+    new columns, rendered as chat messages."""
     r = S.runs(spark, sf).where(F.col("status").isin("FAILED", "RUNNING"))
-    alerts = r.select(F.lit("runs").alias("source"), F.col("run_id").alias("ref"),
-                      F.when(F.col("status") == "FAILED", "ERROR").otherwise("WARNING").alias("level"),
-                      F.when(F.col("status") == "FAILED",
-                             F.concat(F.lit("Pipeline orchestration run failed: "), F.col("error_message")))
-                       .otherwise(F.concat(F.lit("Run "), F.col("run_id"), F.lit(" has not finished")))
-                       .alias("message"))
-    return quality.alert_feed(alerts).select("ref", "level", "content")
+    runs = r.select(F.lit("runs").alias("source"), F.col("run_id").alias("ref"),
+                    F.when(F.col("status") == "FAILED", "ERROR").otherwise("WARNING").alias("level"),
+                    F.when(F.col("status") == "FAILED",
+                           F.concat(F.lit("Pipeline orchestration run failed: "), F.col("error_message")))
+                     .otherwise(F.concat(F.lit("Run "), F.col("run_id"), F.lit(" has not finished")))
+                     .alias("message"))
+    b = S.batches(spark, sf).where(F.col("status") == "FAILED")
+    batches = b.select(F.lit("batches").alias("source"), F.col("batch_id").cast("string").alias("ref"),
+                       F.lit("WARNING").alias("level"),
+                       F.concat(F.lit("Unexpected failure ingesting "), F.col("table_name"), F.lit(": "),
+                                F.col("error_message")).alias("message"))
+    new = quality.new_columns(quality.observed_keys(S.raw_records(spark, sf)), _registry(spark))
+    drift = new.select(F.lit("drift").alias("source"), F.concat_ws(".", "table_name", "column_name").alias("ref"),
+                       F.lit("INFO").alias("level"),
+                       F.concat(F.lit("New column "), F.col("column_name"), F.lit(" in "), F.col("table_name"))
+                        .alias("message"))
+    return quality.alert_feed(runs.unionByName(batches).unionByName(drift))
 
 
 # =========================================================================================
@@ -895,3 +917,41 @@ def q_null_report(spark, sf):
                  F.count_if((t == "r") & F.col("error_message").isNull()).alias("error_message_nulls"),
                  F.count_if((t == "r") & F.col("bad")).alias("not_null_violations"),
                  F.count_if((t == "b") & F.col("error_message").isNull()).alias("batch_error_message_nulls"))
+
+
+@register("running_watermark", V("src", "seed", "contracts") + ", " + _PAGES_CTE.format(size=100, wrap=1000).lstrip()
+          + """
+SELECT table_name, page_no, page_max_updated_at, running_watermark FROM out""")
+def q_running_watermark(spark, sf):
+    """The watermark after each page of 100, seeded with the stored
+    cursor."""
+    return ingest.run_pages(_run(spark, sf), page_size=100, wrap=1000).where(F.col("records") > 0).select(
+        "table_name", "page_no", "page_max_updated_at", "running_watermark")
+
+
+@register("running_last_id", V("src", "seed", "contracts") + ", " + _PAGES_CTE.format(size=100, wrap=1000).lstrip()
+          + """
+SELECT table_name, page_no, page_last_id, running_last_id FROM out""")
+def q_running_last_id(spark, sf):
+    """The id carried with the watermark after each page (largest id at
+    the highest second seen so far)."""
+    return ingest.run_pages(_run(spark, sf), page_size=100, wrap=1000).where(F.col("records") > 0).select(
+        "table_name", "page_no", "page_last_id", "running_last_id")
+
+
+@register("unseeded_tables", V("src", "seed", "contracts") + """
+SELECT c.table_name, 788918400 AS start_watermark,
+       (SELECT count(*) FROM src WHERE src.table_name = c.table_name AND updated_at >= 788918400) AS rows_from_start
+FROM contracts c WHERE c.table_name NOT IN (SELECT table_name FROM seed WHERE layer = 'RAW')""")
+def q_unseeded_tables(spark, sf):
+    """Tables with no checkpoint get a seed at their start, and read
+    everything from it."""
+    reg = _registry(spark)
+    missing = select.unseeded_tables(reg, S.checkpoint_seed(spark)).select("table_name", "start_watermark")
+    seeds = freeze_control(missing)
+    counts = (S.source_records(spark, sf).join(F.broadcast(seeds), "table_name")
+              .where(F.col("updated_at") >= F.col("start_watermark"))
+              .groupBy("table_name").agg(F.count(F.lit(1)).alias("rows_from_start")))
+    return (seeds.join(counts, "table_name", "left")
+                 .select("table_name", F.col("start_watermark").cast("long").alias("start_watermark"),
+                         F.coalesce("rows_from_start", F.lit(0)).cast("long").alias("rows_from_start")))

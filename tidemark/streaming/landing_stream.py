@@ -46,7 +46,7 @@ def load_batch(raw: DataFrame, contract: Contract, paths: StreamPaths, seq: int,
 
 
 def run_landing_stream(spark: SparkSession, contract: Contract, paths: StreamPaths, *,
-                       max_files_per_trigger: int = 64) -> int:
+                       max_files_per_trigger: int = 1000) -> int:
     """Process every page landed so far (availableNow) and return the
     number of micro-batches run."""
     lines = (spark.readStream.format("text")

@@ -682,7 +682,8 @@ def q_message_truncate(spark, sf):
     """F9 with a 40-character limit and a 10-character head."""
     p = S.read(spark, sf, "part")
     msg = F.concat_ws(" | ", "p_name", "p_type", "p_brand")
-    return p.select("p_partkey", F.length(msg).alias("msg_len"), truncate_message(msg, 40, 10).alias("message"))
+    return p.select("p_partkey", F.length(msg).cast("long").alias("msg_len"),
+                    truncate_message(msg, 40, 10).alias("message"))
 
 
 @register("alert_feed", V("runs", "batches", "src") + _KEYS_SQL + """
@@ -940,7 +941,7 @@ def q_running_last_id(spark, sf):
 
 
 @register("unseeded_tables", V("src", "seed", "contracts") + """
-SELECT c.table_name, 788918400 AS start_watermark,
+SELECT c.table_name, CAST(788918400 AS BIGINT) AS start_watermark,
        (SELECT count(*) FROM src WHERE src.table_name = c.table_name AND updated_at >= 788918400) AS rows_from_start
 FROM contracts c WHERE c.table_name NOT IN (SELECT table_name FROM seed WHERE layer = 'RAW')""")
 def q_unseeded_tables(spark, sf):
@@ -955,3 +956,20 @@ def q_unseeded_tables(spark, sf):
     return (seeds.join(counts, "table_name", "left")
                  .select("table_name", F.col("start_watermark").cast("long").alias("start_watermark"),
                          F.coalesce("rows_from_start", F.lit(0)).cast("long").alias("rows_from_start")))
+
+
+@register("run_lifecycle", V("runs", "batches") + f"""
+, roll AS (SELECT bool_or(status = 'FAILED') AS failed FROM batches WHERE table_name = 'R')
+SELECT run_id, started_at, completed_at, layer, status, error_message FROM runs
+UNION ALL
+SELECT '{RUN_ID}', TIMESTAMP '{RUN_TIME}', TIMESTAMP '{RUN_TIME}', 'RAW',
+       CASE WHEN (SELECT failed FROM roll) THEN 'FAILED' ELSE 'COMPLETED' END, NULL""")
+def q_run_lifecycle(spark, sf):
+    """A new run is started (insert if absent; starting it twice
+    adds nothing), then closed with the roll-up of its batches."""
+    runs = S.runs(spark, sf)
+    started = ingest.start_run(ingest.start_run(runs, RUN_ID, "RAW", RUN_TIME), RUN_ID, "RAW", RUN_TIME)
+    own = S.batches(spark, sf).where(F.col("table_name") == "R")
+    status = own.agg(F.when(F.bool_or(F.col("status") == "FAILED"), "FAILED").otherwise("COMPLETED").alias("status"))
+    outcome = status.select(F.lit(RUN_ID).alias("run_id"), "status", F.lit(None).cast("string").alias("error_message"))
+    return merge.run_completion(started, outcome, _now())

@@ -67,3 +67,42 @@ def plan_replay(source: DataFrame, events: DataFrame, registry: DataFrame, *, la
         "counts": select.replay_counts(source, known),
         "unknown": select.unknown_events(pending, registry),
     }
+
+
+def plan_run(source: DataFrame, registry: DataFrame, checkpoints: DataFrame, events: DataFrame, *,
+             layer: str = "RAW", native_time: str | None = None) -> dict:
+    """One run's plan.  Pending events of ``layer`` whose table has a
+    contract are replayed first and the checkpoints stay where they are;
+    only a run with no such event reads incrementally.  Events for unknown
+    tables never block a run (they are reported)."""
+    pending_known = select.known_events(select.pending_events(events, layer), registry)
+    if pending_known.limit(1).count() > 0:
+        return {"mode": "replay", **plan_replay(source, events, registry, layer=layer)}
+    return {"mode": "incremental", "run": plan_incremental(source, registry, checkpoints, layer=layer,
+                                                           native_time=native_time)}
+
+
+def start_run(runs: DataFrame, run_id: str, layer: str, started_at: str) -> DataFrame:
+    """M1: the run's RUNNING row, inserted only if the id is new."""
+    from tidemark.operators import merge
+    from tidemark.session import literal_frame
+
+    row = literal_frame(runs.sparkSession, [(run_id, started_at, None, layer, "RUNNING", None)],
+                        "run_id string, started_at timestamp_ntz, completed_at timestamp_ntz, layer string, "
+                        "status string, error_message string")
+    return merge.insert_if_absent(runs, row.select(*runs.columns), "run_id")
+
+
+def claim_events(known: DataFrame) -> DataFrame:
+    """Status changes marking claimed events IN_PROGRESS (M6 input)."""
+    return known.select("event_id", F.lit("IN_PROGRESS").alias("status"),
+                        F.lit(0).cast("long").alias("records_processed"),
+                        F.lit(None).cast("string").alias("error_message"))
+
+
+def fail_events(known: DataFrame, message: str) -> DataFrame:
+    """Status changes marking events FAILED with the error text, whatever
+    stage failed (M6 input)."""
+    return known.select("event_id", F.lit("FAILED").alias("status"),
+                        F.lit(0).cast("long").alias("records_processed"),
+                        F.lit(message).alias("error_message"))

@@ -231,20 +231,22 @@ def q_replay_rows(spark, sf):
     return plan["rows"].select("event_id", "table_name", "id", "updated_at")
 
 
-@register("known_events", V("windows", "contracts") + """
-SELECT event_id, table_name FROM windows WHERE table_name IN (SELECT table_name FROM contracts)""")
+@register("known_events", V("queue", "contracts") + """
+SELECT event_id, table_name, status FROM queue WHERE table_name IN (SELECT table_name FROM contracts)""")
 def q_known_events(spark, sf):
-    """J1."""
-    return select.known_events(S.replay_windows(spark, sf), _registry(spark)).select("event_id", "table_name")
+    """Queued replay events whose table has a contract."""
+    return select.known_events(S.event_queue(spark, sf), _registry(spark)).select("event_id", "table_name",
+                                                                                   "status")
 
 
-@register("unknown_events", V("windows", "contracts") + """
-SELECT event_id, table_name, status FROM windows
+@register("unknown_events", V("queue", "contracts") + """
+SELECT event_id, table_name, status FROM queue
 WHERE table_name NOT IN (SELECT table_name FROM contracts)""")
 def q_unknown_events(spark, sf):
-    """Events that stay PENDING because no contract matches."""
-    return select.unknown_events(S.replay_windows(spark, sf), _registry(spark)).select("event_id", "table_name",
-                                                                                        "status")
+    """Queued events naming a table with no contract; they stay as
+    they are and are reported."""
+    return select.unknown_events(S.event_queue(spark, sf), _registry(spark)).select("event_id", "table_name",
+                                                                                     "status")
 
 
 @register("event_state_change", V("src", "windows", "contracts") + f"""

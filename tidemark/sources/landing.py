@@ -16,12 +16,16 @@ record never spoils the rest of its page.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import page_path_parts
 
+log = logging.getLogger("tidemark.landing")
+
 RAW_SCHEMA = T.StructType([
     T.StructField("endpoint", T.StringType()),
     T.StructField("cursor", T.LongType()),
@@ -33,7 +37,9 @@ RAW_SCHEMA = T.StructType([
 _PART_DIR = r"endpoint=([^/]+)/cursor=(-?\d+)/offset=(\d+)/"
 
 
-def _empty(spark: SparkSession) -> DataFrame:
+def _empty(spark: SparkSession, path: str) -> DataFrame:
+    """A missing page folder reads as nothing, with a warning (first runs)."""
+    log.warning("landing path %s not found; reading no records", path)
     return spark.createDataFrame([], RAW_SCHEMA)
 
 
@@ -78,7 +84,7 @@ def read_pages(spark: SparkSession, base: str, *, endpoint: str | None = None) -
     gives an empty frame."""
     path = base if endpoint is None else f"{base.rstrip('/')}/endpoint={endpoint.lstrip('/')}"
     if not _exists(spark, path):
-        return _empty(spark)
+        return _empty(spark, path)
     df = (spark.read.option("basePath", base).option("recursiveFileLookup", "false").text(path)
                .select("value", F.col("_metadata.file_path").alias("__p")))
     return pages_from_lines(df)
@@ -103,9 +109,9 @@ def read_array_pages(spark: SparkSession, base: str, *, endpoint: str | None = N
     yield no rows; a missing folder gives an empty frame."""
     folder = base.rstrip("/") + ("/*" if endpoint is None else "/" + endpoint.lstrip("/"))
     if endpoint is not None and not _exists(spark, folder):
-        return _empty(spark)
+        return _empty(spark, folder)
     if endpoint is None and not _exists(spark, base):
-        return _empty(spark)
+        return _empty(spark, base)
     files = spark.read.text(f"{folder}/*.json", wholetext=True).select(
         "value", F.col("_metadata.file_path").alias("__p"))
     ep, cur, off = page_path_parts(F.col("__p"))

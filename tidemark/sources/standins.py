@@ -144,9 +144,12 @@ def event_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = (F.when(F.col("o_orderstatus") == "P", "PENDING")
                .when(F.col("o_orderstatus") == "F", "FAILED").otherwise("COMPLETED"))
     start = epoch_seconds("o_orderdate")
+    # failed low-priority orders ask to replay a retired table with no contract
+    table = F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F"),
+                   F.lit("LEGACY_LOW")).otherwise(F.col("o_orderpriority"))
     return o.select(
         F.concat(F.lit("ord-"), F.col("o_orderkey").cast("string")).alias("event_id"),
-        F.col("o_orderpriority").alias("table_name"),
+        table.alias("table_name"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "ANALYTICS").otherwise("RAW").alias("layer"),
         start.alias("start_watermark"),
         (start + 86400 * 7).alias("end_watermark"),
@@ -236,7 +239,9 @@ SQL = {
                CAST(NULL AS TIMESTAMP) AS completed_at
         FROM nation""",
     "queue": """
-        SELECT 'ord-' || CAST(o_orderkey AS VARCHAR) AS event_id, o_orderpriority AS table_name,
+        SELECT 'ord-' || CAST(o_orderkey AS VARCHAR) AS event_id,
+               CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN 'LEGACY_LOW'
+                    ELSE o_orderpriority END AS table_name,
                CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'ANALYTICS' ELSE 'RAW' END AS layer,
                CAST(epoch(o_orderdate) AS BIGINT) AS start_watermark,
                CAST(epoch(o_orderdate) AS BIGINT) + 604800 AS end_watermark,

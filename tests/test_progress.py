@@ -92,11 +92,20 @@ def test_row_index_matches_row_number_under_skew(spark):
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 17).alias("k"),
         (F.col("id") % 50).alias("ts"), F.col("id").alias("pk"))
-    ours = row_index(df, "k", ["ts", "pk"], name="rn", num_partitions=7)
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("ts", "pk")).cast("long"))
-    a = sorted(tuple(r) for r in ours.select("k", "ts", "pk", "rn").collect())
     b = sorted(tuple(r) for r in ref.select("k", "ts", "pk", "rn").collect())
-    assert a == b
+    for n in (7, None):   # a fixed count, and AQE-sized ranges
+        ours = row_index(df, "k", ["ts", "pk"], name="rn", num_partitions=n)
+        assert sorted(tuple(r) for r in ours.select("k", "ts", "pk", "rn").collect()) == b
+
+
+def test_row_index_with_fully_tied_keys(spark):
+    # a third of the rows share one (key, ts) and have no unique column
+    df = spark.range(900).select(F.when(F.col("id") < 300, F.lit(0)).otherwise(F.col("id") % 5 + 1).alias("k"),
+                                 F.when(F.col("id") < 300, F.lit(7)).otherwise(F.col("id")).alias("ts"))
+    out = row_index(df, "k", ["ts"], name="rn", num_partitions=6)
+    got = out.where("k = 0").agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first()
+    assert tuple(got) == (1, 300, 300)
 
 
 def test_running_max_matches_window(spark):

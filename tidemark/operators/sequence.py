@@ -33,14 +33,15 @@ def row_index(df: DataFrame, partition_cols, order_cols, name: str = "row_index"
 
     Ties on the full order key get an arbitrary but fixed order."""
     parts, order = _names(partition_cols), _names(order_cols)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A per-row tie-breaker makes every range key unique, so even a run of
     # identical (group, order) values is split across partitions.
     keys = [*parts, *order, "__tie"]
-    ranged = (df.withColumn("__tie", F.monotonically_increasing_id())
-                .repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
+    tied = df.withColumn("__tie", F.monotonically_increasing_id())
+    # Without an explicit count the range shuffle uses the session's
+    # partition count and AQE merges adjacent small partitions, so the
+    # number of ranges follows the data size.
+    ranged = (tied.repartitionByRange(num_partitions, *keys) if num_partitions else tied.repartitionByRange(*keys))
+    ranged = (ranged.sortWithinPartitions(*keys)
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__pos", F.monotonically_increasing_id()))
     # Range bounds come from sampling and positions from the physical order:

@@ -128,4 +128,5 @@ def late_rows(rows: DataFrame, loaded: DataFrame, watermark_ts, *, key: str, ts:
     """Rows older than the watermark that the target does not hold: the
     source system only sees them through a replay."""
     older = rows.where(F.col(ts) < watermark_ts)
-    return older.join(loaded.select(key), key, "left_anti")
+    # distinct keys first (combined map-side), so the anti-join sees each once
+    return older.join(loaded.select(key).distinct(), key, "left_anti")

@@ -93,3 +93,10 @@ def test_id_arrays_resolve(spark):
     assert out == {1: (3, 2), 2: (0, 0), 3: (0, 0)}
     lists = {r["id"]: r["names"] for r in relations.resolved_lists(games, "id", "genres", genres, "gid", "name").collect()}
     assert lists[1] == ["action", "rpg"] and lists[2] == []
+
+
+def test_replace_drops_untouched_partitions(spark, scratch):
+    p = os.path.join(scratch, "parts")
+    tables.write_table(spark.createDataFrame([(1, "a"), (2, "b")], "id long, part string"), p, "fail", ["part"])
+    tables.write_table(spark.createDataFrame([(3, "a")], "id long, part string"), p, "replace", ["part"])
+    assert sorted(r["id"] for r in tables.read_table(spark, p).collect()) == [3]

@@ -1,8 +1,9 @@
 """Spark session settings and lineage cuts.
 
 Everything in the package takes a ``SparkSession`` from the caller; this
-module only supplies the settings the engine relies on (UTC, AQE, dynamic
-partition overwrite) and the checkpoint directory used to cut lineage.
+module only supplies the settings the engine relies on (UTC, AQE) and the
+checkpoint directory used to cut lineage.  Dynamic partition overwrite is
+set on the landing writer only, so a "replace" elsewhere stays a replace.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

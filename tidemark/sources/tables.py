@@ -96,8 +96,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 def write_table(df: DataFrame, path: str, if_table_exists: str = "append",
                 partition_by: list[str] | None = None) -> None:
-    """Write with the source system's modes: append, fail, replace."""
+    """Write with the source system's modes: append, fail, replace (the
+    whole table, every partition)."""
     w = df.write.mode(_MODES[if_table_exists])
+    if if_table_exists == "replace":
+        w = w.option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

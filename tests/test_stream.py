@@ -72,10 +72,9 @@ def test_restart_after_failed_batch(spark, scratch, monkeypatch):
         calls["n"] += 1
         if calls["n"] == 2:   # second batch: write the good rows, then die
             from tidemark.operators import quality
-            from tidemark.sources import tables
             good, _ = quality.split_good_quarantine(
                 quality.flag_records(quality.parse_records(raw, contract), contract), contract)
-            tables.append_changes(good, p.target, changed_at=changed_at, seq=seq)
+            p.target_log(contract).append(good, changed_at=changed_at, seq=seq)
             raise RuntimeError("executor lost")
         return real(raw, contract, p, seq, changed_at)
 

@@ -100,3 +100,23 @@ def test_replace_drops_untouched_partitions(spark, scratch):
     tables.write_table(spark.createDataFrame([(1, "a"), (2, "b")], "id long, part string"), p, "fail", ["part"])
     tables.write_table(spark.createDataFrame([(3, "a")], "id long, part string"), p, "replace", ["part"])
     assert sorted(r["id"] for r in tables.read_table(spark, p).collect()) == [3]
+
+
+def test_keyed_log_reads_latest_without_shuffle(spark, scratch):
+    log = tables.KeyedLog("t_keyed_log_" + os.path.basename(scratch).replace("-", "_"),
+                          os.path.join(scratch, "k"), "id", 4)
+    v1 = spark.createDataFrame([(1, "a", 10), (2, "b", 10)], "id long, v string, updated_at long")
+    v2 = spark.createDataFrame([(1, "a2", 11)], "id long, v string, updated_at long")
+    log.append(v1, changed_at=F.lit("2024-01-01").cast("timestamp_ntz"), seq=1)
+    log.append(v2, changed_at=F.lit("2024-01-02").cast("timestamp_ntz"), seq=2)
+    log.append(v2, changed_at=F.lit("2024-01-02").cast("timestamp_ntz"), seq=2)   # retried
+    latest = log.latest(spark, ["updated_at"])
+    assert {r["id"]: r["v"] for r in latest.collect()} == {1: "a2", 2: "b"}
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    # a new session catalog re-attaches the files with their bucketing
+    spark.sql(f"DROP TABLE {log.name}")   # external table: files stay
+    assert {r["id"]: r["v"] for r in log.latest(spark, ["updated_at"]).collect()} == {1: "a2", 2: "b"}
+    other = tables.KeyedLog(log.name + "_c", os.path.join(scratch, "k2"), "id", 4)
+    log.compact_into(spark, other, ["updated_at"])
+    assert spark.table(other.name).count() == 2

@@ -827,9 +827,11 @@ def q_batch_log(spark, sf):
     pages = ingest.run_pages(_run(spark, sf))
     rows = ingest.batch_log(pages, RUN_ID, RUN_TIME)
     path = scratch_path(spark, "batch_logs")
-    tables.append_changes(rows, path, changed_at=_now(), seq=1)
-    tables.append_changes(rows, path, changed_at=_now(), seq=2)   # a retried write
-    latest = tables.read_latest(spark, path, ["run_id", "table_name", "page_no"])
+    log = tables.KeyedLog("batch_logs_" + path.rsplit("-", 1)[-1], path, ["run_id", "table_name", "page_no"],
+                          int(spark.conf.get("spark.sql.shuffle.partitions")))
+    log.append(rows, changed_at=_now(), seq=1)
+    log.append(rows, changed_at=_now(), seq=2)   # a retried write
+    latest = log.latest(spark)
     return latest.select("run_id", "table_name", "page_no", "status", "cursor_value", "offset_value",
                          "records_count")
 

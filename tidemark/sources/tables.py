@@ -148,3 +148,62 @@ def compact(spark: SparkSession, path: str, new_path: str, key, order: list[str]
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(new_path)
+
+
+# -- bucketed change log ----------------------------------------------------------------
+class KeyedLog:
+    """Append-only change log of a keyed table, bucketed and sorted by key.
+
+    Every append lands in the bucket of its key, so reading the latest
+    version per key (``latest``) aggregates each bucket where it lies: the
+    scan already satisfies the aggregate's distribution and no shuffle of
+    the table is needed, however large it grows.  The bucket count is fixed
+    for the life of the table (size it to the table: about one bucket per
+    128 MB of latest state).  The table lives at ``path`` in the shared
+    folder; ``attach`` re-registers it in a new session's catalog."""
+
+    def __init__(self, name: str, path: str, key, buckets: int):
+        self.name = name
+        self.path = path
+        self.key = [key] if isinstance(key, str) else list(key)
+        self.buckets = int(buckets)
+
+    def attach(self, spark: SparkSession) -> bool:
+        """Register existing files as the bucketed table; False if none."""
+        from tidemark.sources.landing import _exists
+        if spark.catalog.tableExists(self.name):
+            return True
+        if not _exists(spark, self.path):
+            return False
+        schema = spark.read.parquet(self.path).schema
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        keys = ", ".join(f"`{k}`" for k in self.key)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({cols}) USING parquet "
+                  f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
+                  f"LOCATION '{self.path}'")
+        return True
+
+    def append(self, df: DataFrame, *, changed_at: Column, seq: int) -> None:
+        self.attach(df.sparkSession)
+        out = df.withColumn("_changed_at", changed_at).withColumn("_seq", F.lit(int(seq)).cast("long"))
+        (out.write.mode("append").format("parquet").option("path", self.path)
+            .bucketBy(self.buckets, *self.key).sortBy(*self.key).saveAsTable(self.name))
+
+    def latest(self, spark: SparkSession, order: list[str] | None = None) -> DataFrame:
+        """Latest version per key by ``order``, then change time and
+        sequence (a retried append is hidden)."""
+        if not self.attach(spark):
+            raise FileNotFoundError(self.path)
+        # Appends may come from another session (a stream's micro-batches):
+        # drop this session's cached file listing first.
+        spark.catalog.refreshTable(self.name)
+        log = spark.table(self.name)
+        keep = [c for c in log.columns if c not in self.key]
+        return (latest_per_key(log, self.key, [*(order or []), "_changed_at", "_seq"], keep=keep)
+                .drop("_changed_at", "_seq"))
+
+    def compact_into(self, spark: SparkSession, other: "KeyedLog", order: list[str] | None = None) -> None:
+        """Write the latest versions into another (new, empty) log."""
+        if other.path.rstrip("/") == self.path.rstrip("/"):
+            raise ValueError("compact into a new folder, not over the one being read")
+        other.append(self.latest(spark, order), changed_at=F.current_timestamp().cast("timestamp_ntz"), seq=0)

@@ -27,9 +27,14 @@ from tidemark.sources import landing, tables
 @dataclass
 class StreamPaths:
     landing: str       # partitioned landing folder (write_pages layout)
-    target: str        # change log of good records
+    target: str        # change log of good records (bucketed by the contract key)
     quarantine: str    # change log of rejected records
     checkpoint: str    # the stream's own checkpoint folder
+    buckets: int = 16  # buckets of the target log
+
+    def target_log(self, contract: Contract) -> tables.KeyedLog:
+        name = "tidemark_" + "".join(ch if ch.isalnum() else "_" for ch in self.target)[-80:]
+        return tables.KeyedLog(name, self.target, contract.key, self.buckets)
 
 
 def load_batch(raw: DataFrame, contract: Contract, paths: StreamPaths, seq: int, changed_at) -> None:
@@ -38,7 +43,7 @@ def load_batch(raw: DataFrame, contract: Contract, paths: StreamPaths, seq: int,
     flagged = quality.flag_records(parsed, contract).persist()
     try:
         good, bad = quality.split_good_quarantine(flagged, contract)
-        tables.append_changes(good, paths.target, changed_at=changed_at, seq=seq)
+        paths.target_log(contract).append(good, changed_at=changed_at, seq=seq)
         tables.append_changes(bad.select("endpoint", "cursor", "offset", "raw", "quality_issue"), paths.quarantine,
                               changed_at=changed_at, seq=seq)
     finally:
@@ -69,8 +74,9 @@ def run_landing_stream(spark: SparkSession, contract: Contract, paths: StreamPat
 
 
 def current_table(spark: SparkSession, paths: StreamPaths, contract: Contract) -> DataFrame:
-    """The target as of now: latest version per key by ``updated_at``."""
-    return tables.read_latest(spark, paths.target, contract.key, [contract.order])
+    """The target as of now: latest version per key by ``updated_at``,
+    aggregated bucket by bucket (no shuffle of the target)."""
+    return paths.target_log(contract).latest(spark, [contract.order])
 
 
 def dedupe_stream(stream: DataFrame, key: str, ts_col: str, delay: str = "1 hour") -> DataFrame:

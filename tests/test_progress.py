@@ -116,3 +116,33 @@ def test_running_max_matches_window(spark):
                                              .rowsBetween(Window.unboundedPreceding, 0)))
     assert sorted(tuple(r) for r in ours.select("g", "seq", "m").collect()) == \
         sorted(tuple(r) for r in ref.select("g", "seq", "m").collect())
+
+
+def test_hot_group_is_split_across_ranges(spark):
+    """One table holds a third of the rows, all at the same second: the range
+    shuffle still spreads it (the row-index tie-breaker keeps keys unique)."""
+    from tidemark.operators import sequence
+    n = 6000
+    df = spark.range(n).select(
+        F.when(F.col("id") < n // 3, F.lit("HOT")).otherwise(F.concat(F.lit("t"), (F.col("id") % 40).cast("string")))
+         .alias("table_name"),
+        F.when(F.col("id") < n // 3, F.lit(5)).otherwise(F.col("id")).alias("updated_at"),
+        F.lit(1).alias("id"))   # no unique column at all
+    captured = {}
+    real = sequence.materialize
+
+    def spy(frame):
+        out = real(frame)
+        if "__pid" in frame.columns and "__n" not in frame.columns:
+            captured["sizes"] = [r["c"] for r in out.where("table_name = 'HOT'").groupBy("__pid")
+                                 .agg(F.count(F.lit(1)).alias("c")).collect()]
+        return out
+
+    sequence.materialize = spy
+    try:
+        out = row_index(df, "table_name", ["updated_at", "id"], name="rn", num_partitions=8)
+        hot = out.where("table_name = 'HOT'").agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first()
+    finally:
+        sequence.materialize = real
+    assert tuple(hot) == (1, n // 3, n // 3)
+    assert len(captured["sizes"]) >= 2 and max(captured["sizes"]) < n // 3

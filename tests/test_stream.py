@@ -86,3 +86,22 @@ def test_restart_after_failed_batch(spark, scratch, monkeypatch):
     table = landing_stream.current_table(spark, paths, GENRE)
     assert sorted(r["id"] for r in table.collect()) == sorted(int(r[3].split(",")[0].split(":")[1]) for r in rows)
     assert spark.read.parquet(paths.target).count() > table.count()   # the replayed append is there, and hidden
+
+
+def test_block_layout_matches_page_layout(spark, scratch):
+    rows = [("/genres", 0, off, '{"id":%d,"name":"n","updated_at":%d}' % (i, i))
+            for off in (0, 500) for i in range(off, off + 4)] + [("/genres", 0, 500, 'not json')]
+    df = pages(spark, rows)
+    a, b = os.path.join(scratch, "page"), os.path.join(scratch, "block")
+    landing.write_pages(df, a)
+    landing.write_pages(df, b, layout="block")
+    key = ["endpoint", "cursor", "offset", "raw"]
+    pa = sorted(map(tuple, landing.read_pages(spark, a).select(*key).collect()))
+    pb = sorted(map(tuple, landing.read_pages(spark, b, layout="block").select(*key).collect()))
+    assert pa == pb and len(pa) == 9
+    # one folder per block instead of one per page
+    assert len(os.listdir(os.path.join(b, "endpoint=genres"))) == 1
+    paths = landing_stream.StreamPaths(landing=b, target=os.path.join(scratch, "t"),
+                                       quarantine=os.path.join(scratch, "q"), checkpoint=os.path.join(scratch, "c"))
+    landing_stream.run_landing_stream(spark, GENRE, paths, layout="block")
+    assert landing_stream.current_table(spark, paths, GENRE).count() == 8

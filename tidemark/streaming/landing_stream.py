@@ -51,14 +51,16 @@ def load_batch(raw: DataFrame, contract: Contract, paths: StreamPaths, seq: int,
 
 
 def run_landing_stream(spark: SparkSession, contract: Contract, paths: StreamPaths, *,
-                       max_files_per_trigger: int = 1000) -> int:
+                       max_files_per_trigger: int = 1000, layout: str = "page") -> int:
     """Process every page landed so far (availableNow) and return the
     number of micro-batches run."""
-    lines = (spark.readStream.format("text")
-                  .option("maxFilesPerTrigger", max_files_per_trigger)
-                  .load(paths.landing)
-                  .select("value", F.col("_metadata.file_path").alias("__p")))
-    raw = landing.pages_from_lines(lines)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    if layout == "block":
+        lines = (reader.schema(landing.ENVELOPE).json(paths.landing)
+                       .select("offset", "raw", F.col("_metadata.file_path").alias("__p")))
+    else:
+        lines = reader.format("text").load(paths.landing).select("value", F.col("_metadata.file_path").alias("__p"))
+    raw = landing.pages_from_lines(lines, layout)
     batches = []
 
     def each(batch: DataFrame, epoch: int) -> None:

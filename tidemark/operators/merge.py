@@ -40,7 +40,11 @@ def latest_per_key(df: DataFrame, key, order: list[Column | str], *, keep: list[
 def upsert_latest(target: DataFrame, batch: DataFrame, key, order: str = "updated_at") -> DataFrame:
     """Latest-row upsert by ``key``: for each key the row with the highest
     ``order``; on a tie the incoming row wins.  Applying the same batch twice
-    gives the same table (idempotent under re-reads)."""
+    gives the same table (idempotent under re-reads).
+
+    This form re-aggregates the whole target; for a large stored target,
+    append the batch to its ``sources.tables.KeyedLog`` instead, whose
+    bucketed read computes the same latest rows without a shuffle."""
     cols = target.columns
     t = target.withColumn("__incoming", F.lit(0))
     b = batch.select(*cols).withColumn("__incoming", F.lit(1))
@@ -50,6 +54,10 @@ def upsert_latest(target: DataFrame, batch: DataFrame, key, order: str = "update
 
 
 # -- M1 / M4 ----------------------------------------------------------------------------
+# New keys up to this count are broadcast to probe the target.
+INSERT_PROBE_MAX = 100_000
+
+
 def insert_if_absent(target: DataFrame, new_rows: DataFrame, key, *, order: list[str] | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING``: rows of ``new_rows`` whose key
     is not in ``target`` are appended; among new rows sharing a key the first
@@ -64,7 +72,15 @@ def insert_if_absent(target: DataFrame, new_rows: DataFrame, key, *, order: list
                      .agg(F.min(F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(ordering)],
                                          F.struct(*[F.col(c) for c in rest]).alias("__row"))).alias("__m"))
                      .select(*keys, *[F.col(f"__m.__row.{c}").alias(c) for c in rest]))
-    fresh = first.join(target.select(*keys), keys, "left_anti")
+    # A small batch (checked) probes the target with its keys broadcast, so
+    # the large target is scanned but never shuffled; a large batch uses a
+    # shuffle anti-join (AQE splits skewed partitions).
+    small = first.select(*keys).limit(INSERT_PROBE_MAX + 1).count() <= INSERT_PROBE_MAX
+    if small:
+        existing = target.select(*keys).join(F.broadcast(first.select(*keys)), keys, "left_semi")
+        fresh = first.join(existing, keys, "left_anti")
+    else:
+        fresh = first.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(fresh.select(*cols))
 
 

@@ -87,19 +87,36 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _sql_literal(v) -> str:
+    """Python value -> Spark SQL literal text (strings escaped)."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return f"{v}L" if abs(v) >= 2 ** 31 else str(v)
+    if isinstance(v, float):
+        return f"{v!r}D"
+    if isinstance(v, (list, tuple)):
+        return "array(" + ", ".join(_sql_literal(x) for x in v) + ")"
+    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small constant table (control rows, parameters) built from literals
-    on the JVM side: it plans as a local scan with no Python worker, unlike
-    ``createDataFrame`` on a Python list."""
-    from pyspark.sql import functions as F
+    """A small constant table (control rows, parameters) from one SQL
+    ``VALUES`` text: it plans as a local scan, with no Python worker (unlike
+    ``createDataFrame`` on a list) and one parse instead of a call per
+    literal."""
     from pyspark.sql.types import StructType
 
     st = StructType.fromDDL(schema)
     if not rows:
         return spark.createDataFrame([], st)
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs))).select(
-        *[F.col(f.name).cast(f.dataType) for f in st.fields])
+    aliases = [f"c{i}" for i in range(len(st.fields))]
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    casts = ", ".join(f"CAST({a} AS {f.dataType.simpleString()}) AS `{f.name}`" for a, f in zip(aliases, st.fields))
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({', '.join(aliases)})")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -120,3 +120,17 @@ def test_keyed_log_reads_latest_without_shuffle(spark, scratch):
     other = tables.KeyedLog(log.name + "_c", os.path.join(scratch, "k2"), "id", 4)
     log.compact_into(spark, other, ["updated_at"])
     assert spark.table(other.name).count() == 2
+
+
+def test_small_helpers(spark):
+    r = spark.range(1).select(
+        scalars.elapsed_ms(F.lit(10), F.lit(12)).alias("ms"),
+        scalars.from_epoch(F.lit(1577836800)).alias("ts"),
+        scalars.empty_if_null(F.lit(None).cast("array<bigint>")).alias("empty"),
+        F.lit(scalars.clamp_limit(900)).alias("lim"),
+        scalars.safe_ratio(F.lit(1), F.lit(0)).alias("ratio"),
+    ).first()
+    assert r["ms"] == 2000 and str(r["ts"]) == "2020-01-01 00:00:00"
+    assert r["empty"] == [] and r["lim"] == 500 and r["ratio"] is None
+    nulls = quality.null_counts(spark.createDataFrame([(1, None), (None, None)], "a long, b string"), ["a", "b"])
+    assert tuple(nulls.first()) == (1, 2)

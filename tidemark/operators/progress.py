@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import OFFSET_WRAP, PAGE_SIZE
+from tidemark.operators.joins import checked_broadcast
 from tidemark.operators.sequence import row_index, running_max
 
 
@@ -98,7 +99,7 @@ def page_summary(paged: DataFrame, work: DataFrame | None = None, *, page_size:
                    .withColumn("block_no", F.col("block_no") + 1))
     pages = pages.join(blocks, [group, "block_no"], "left")
     if work is not None:
-        w = F.broadcast(work.select(group, "cursor", "last_id"))
+        w = checked_broadcast(work.select(group, "cursor", "last_id"))
         pages = pages.join(w, group, "left")
         seed = F.struct(F.col("cursor").alias("ts"), F.col("last_id").alias("id"))
         run = F.greatest(F.col("__run"), seed)

@@ -19,7 +19,9 @@ def seed_checkpoints(registry: DataFrame, checkpoints: DataFrame, layer: str = "
     """Existing checkpoints of ``layer`` plus one seed row (watermark = the
     table's start) for each registered table that has none."""
     cps = checkpoints.where(F.col("layer") == layer).select(*CHECKPOINT_COLUMNS)
-    missing = registry.join(F.broadcast(cps.select("table_name")), "table_name", "left_anti")
+    # Checkpoints are keyed by table; the planner broadcasts them by their
+    # measured size, no hint needed.
+    missing = registry.join(cps.select("table_name"), "table_name", "left_anti")
     seeds = missing.select(
         "table_name",
         F.col("start_watermark").cast("long").alias("current_watermark"),
@@ -34,7 +36,7 @@ def seed_checkpoints(registry: DataFrame, checkpoints: DataFrame, layer: str = "
 def unseeded_tables(registry: DataFrame, checkpoints: DataFrame, layer: str = "RAW") -> DataFrame:
     """J2a alone: registered tables with no checkpoint in ``layer``."""
     cps = checkpoints.where(F.col("layer") == layer).select("table_name")
-    return registry.join(F.broadcast(cps), "table_name", "left_anti")
+    return registry.join(cps, "table_name", "left_anti")
 
 
 # -- J3 + P9: work items ------------------------------------------------------
@@ -44,7 +46,7 @@ def work_items(registry: DataFrame, checkpoints: DataFrame, layer: str = "RAW")
     and ``offset``.  Registry and checkpoints hold one row per table."""
     cps = seed_checkpoints(registry, checkpoints, layer)
     cursor = F.when(F.col("current_watermark") > 0, F.col("current_watermark")).otherwise(F.col("start_watermark"))
-    return (registry.join(F.broadcast(cps), "table_name")
+    return (registry.join(cps, "table_name")
                     .select("table_name", "endpoint", "page_size",
                             cursor.cast("long").alias("cursor"),
                             F.col("last_id").cast("long").alias("last_id"),

@@ -66,3 +66,13 @@ def test_start_run_is_insert_if_absent(spark):
     rows = {r["run_id"]: r for r in twice.collect()}
     assert len(rows) == 2 and rows["r1"]["status"] == "RUNNING"
     assert str(rows["r1"]["started_at"]).startswith("2024-06-01")
+
+
+def test_update_one_is_a_projection(spark):
+    runs = spark.createDataFrame([("r0", "RUNNING"), ("r1", "RUNNING")], "run_id string, status string")
+    batches = spark.createDataFrame([("FAILED",), ("SUCCESS",)], "status string")
+    verdict = batches.agg(F.when(F.bool_or(F.col("status") == "FAILED"), "FAILED").otherwise("COMPLETED")).scalar()
+    out = merge.update_one(runs, "run_id", "r1", {"status": verdict})
+    assert {r["run_id"]: r["status"] for r in out.collect()} == {"r0": "RUNNING", "r1": "FAILED"}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan

@@ -105,6 +105,15 @@ def keyed_update(target: DataFrame, updates: DataFrame, key, set_cols: dict[str,
     return joined.select(*out)
 
 
+def update_one(target: DataFrame, key: str, value, set_cols: dict[str, Column]) -> DataFrame:
+    """``UPDATE target SET c = expr WHERE key = value`` for a single key: a
+    projection, no join.  New values may be scalar subqueries
+    (``DataFrame.scalar()``), evaluated once."""
+    hit = F.col(key) == F.lit(value)
+    return target.select(*[F.when(hit, set_cols[c]).otherwise(F.col(c)).alias(c) if c in set_cols else F.col(c)
+                           for c in target.columns])
+
+
 def matched_keys(target: DataFrame, updates: DataFrame, key) -> DataFrame:
     """The keys of ``updates`` that hit a row (``rowcount > 0`` per key)."""
     keys = _keys(key)

@@ -956,9 +956,9 @@ def q_run_lifecycle(spark, sf):
     runs = S.runs(spark, sf)
     started = ingest.start_run(ingest.start_run(runs, RUN_ID, "RAW", RUN_TIME), RUN_ID, "RAW", RUN_TIME)
     own = S.batches(spark, sf).where(F.col("table_name") == "R")
-    status = own.agg(F.when(F.bool_or(F.col("status") == "FAILED"), "FAILED").otherwise("COMPLETED").alias("status"))
-    outcome = status.select(F.lit(RUN_ID).alias("run_id"), "status", F.lit(None).cast("string").alias("error_message"))
-    return merge.run_completion(started, outcome, _now())
+    status = own.agg(F.when(F.bool_or(F.col("status") == "FAILED"), "FAILED").otherwise("COMPLETED")).scalar()
+    return merge.update_one(started, "run_id", RUN_ID, {
+        "status": status, "error_message": F.lit(None).cast("string"), "completed_at": _now()})
 
 
 @register("kpi_summary", V("runs", "batches", "src", "seed", "contracts") + ", " + _CHECKPOINT_TABLE.lstrip()

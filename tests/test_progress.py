@@ -10,16 +10,18 @@ from tidemark.operators import progress
 from tidemark.operators.sequence import row_index, running_max
 
 
-def model(rows, size, wrap, cursor, last_id):
+def model(rows, size, wrap, cursor, last_id, start_offset=0):
     """rows: (ts, id) of one table, all >= cursor.  One output per page
-    plus the terminal empty page when the table ends on a page boundary."""
+    plus the terminal empty page when the table ends on a page boundary.
+    A resumed table starts at page ``start_offset // size``."""
     rows = sorted(rows)
     max_seen, lid, block_cursor = cursor, last_id, cursor
-    out, p = [], 0
+    p0 = start_offset // size
+    out, p = [], p0
     while True:
-        chunk = rows[p * size:(p + 1) * size]
+        chunk = rows[(p - p0) * size:(p - p0 + 1) * size]
         offset = (p * size) % wrap
-        if offset == 0 and p > 0:
+        if offset == 0 and p > p0:
             block_cursor = max_seen
         if not chunk:
             out.append((p, offset, block_cursor, 0, max_seen, lid, True))
@@ -146,3 +148,23 @@ def test_hot_group_is_split_across_ranges(spark):
         sequence.materialize = real
     assert tuple(hot) == (1, n // 3, n // 3)
     assert len(captured["sizes"]) >= 2 and max(captured["sizes"]) < n // 3
+
+
+def test_resumed_table_continues_after_stored_offset(spark):
+    src = make_source(spark, {"A": 37, "B": 20})
+    work = spark.createDataFrame([("A", 1000, 0, 30), ("B", 1000, 0, 40)],
+                                 "table_name string, cursor long, last_id long, offset_val int")
+    sel = src.join(work, "table_name").where(F.col("updated_at") >= F.col("cursor"))
+    pages = progress.page_summary(progress.assign_pages(sel, page_size=10, wrap=50, start_offset="offset_val"),
+                                  work, page_size=10, wrap=50)
+    got = {}
+    for r in pages.collect():
+        got.setdefault(r["table_name"], []).append(
+            (r["page_no"], r["offset_value"], r["cursor_value"], r["records"], r["running_watermark"],
+             r["running_last_id"], r["is_last"]))
+    local = {"A": [], "B": []}
+    for r in sel.collect():
+        local[r["table_name"]].append((r["updated_at"], r["id"]))
+    assert sorted(got["A"]) == model(local["A"], 10, 50, 1000, 0, 30)
+    assert sorted(got["B"]) == model(local["B"], 10, 50, 1000, 0, 40)
+    assert min(p[0] for p in got["A"]) == 3 and sorted(got["B"])[-1][:2] == (6, 10)

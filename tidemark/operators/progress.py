@@ -99,7 +99,7 @@ def page_summary(paged: DataFrame, work: DataFrame | None = None, *, page_size:
                    .withColumn("block_no", F.col("block_no") + 1))
     pages = pages.join(blocks, [group, "block_no"], "left")
     if work is not None:
-        w = checked_broadcast(work.select(group, "cursor", "last_id"))
+        w = checked_broadcast(work.select(group, "cursor", "last_id"))  # one row per table
         pages = pages.join(w, group, "left")
         seed = F.struct(F.col("cursor").alias("ts"), F.col("last_id").alias("id"))
         run = F.greatest(F.col("__run"), seed)
@@ -119,17 +119,20 @@ def page_summary(paged: DataFrame, work: DataFrame | None = None, *, page_size:
         return out
     # Terminal empty page for tables whose selection ends on a page boundary
     # (or is empty): the source system asks once more and gets nothing.
+    # A resumed table's pages start after its stored offset.
+    start_page = ((F.col("offset_val") / page_size).cast("long") if "offset_val" in work.columns
+                  else F.lit(0).cast("long"))
     totals = pages.groupBy(group).agg(F.sum("records").alias("__total"))
-    ends = (work.select(group, "cursor", "last_id").join(totals, group, "left")
+    ends = (work.select(group, "cursor", "last_id", start_page.alias("__start")).join(totals, group, "left")
                 .withColumn("__total", F.coalesce(F.col("__total"), F.lit(0)).cast("long"))
                 .where(F.col("__total") % page_size == 0)
-                .withColumn("__end", (F.col("__total") / page_size).cast("long"))
+                .withColumn("__end", F.col("__start") + (F.col("__total") / page_size).cast("long"))
                 .withColumn("__last", F.col("__end") - 1))
     last_pages = out.select(group, F.col("page_no").alias("__last"), "running_watermark", "running_last_id",
                             F.col("cursor_value").alias("__cur"))
     t = ends.join(last_pages, [group, "__last"], "left")
     t_offset = ((F.col("__end") * page_size) % wrap).cast("int")
-    new_block = (t_offset == 0) & (F.col("__end") > 0)
+    new_block = (t_offset == 0) & (F.col("__total") > 0)
     t_cursor = F.when(new_block, F.col("running_watermark")).otherwise(F.coalesce(F.col("__cur"), F.col("cursor")))
     terminal = t.select(
         group, F.col("__end").alias("page_no"),

@@ -63,7 +63,8 @@ def incremental_select(source: DataFrame, work: DataFrame, *, order: str = "upda
                        native_time: str | None = None, literal_max: int = LITERAL_TABLES_MAX) -> DataFrame:
     """Source rows at or after their table's cursor (inclusive, so ties at
     the high-water second are read again; the latest-row merge makes that
-    idempotent), with ``cursor`` and ``last_id`` of the table attached.
+    idempotent), with ``cursor``, ``last_id`` and the stored ``offset_val``
+    of the table attached.
 
     The work table holds one row per table.  For a handful of tables it is
     read once on the driver and turned into ``(table = t AND order >= c) OR
@@ -72,11 +73,14 @@ def incremental_select(source: DataFrame, work: DataFrame, *, order: str = "upda
     timestamp column ``order`` is derived from, so the bound is pushed on it
     too.  For many tables it is broadcast (after a size check) and the
     smallest cursor is pushed instead."""
-    items = work.select("table_name", "cursor", "last_id").limit(literal_max + 1).collect()
+    offset = F.col("offset_val") if "offset_val" in work.columns else F.lit(0)
+    items = work.select("table_name", "cursor", "last_id", offset.cast("int").alias("offset_val")) \
+                .limit(literal_max + 1).collect()
     if len(items) <= literal_max:
         if not items:
             return source.where(F.lit(False)).withColumn("cursor", F.lit(None).cast("long")) \
-                         .withColumn("last_id", F.lit(None).cast("long"))
+                         .withColumn("last_id", F.lit(None).cast("long")) \
+                         .withColumn("offset_val", F.lit(None).cast("int"))
         def any_of(bound):
             out = None
             for r in items:
@@ -91,15 +95,17 @@ def incremental_select(source: DataFrame, work: DataFrame, *, order: str = "upda
             cond = cond & any_of(lambda cur: F.col(native_time) >= epoch_literal_ntz(cur))
         cursors = F.create_map(*[x for r in items for x in (F.lit(r["table_name"]), F.lit(int(r["cursor"])))])
         last_ids = F.create_map(*[x for r in items for x in (F.lit(r["table_name"]), F.lit(int(r["last_id"])))])
+        offsets = F.create_map(*[x for r in items for x in (F.lit(r["table_name"]), F.lit(int(r["offset_val"])))])
         return (source.where(cond)
                       .withColumn("cursor", F.element_at(cursors, F.col("table_name")).cast("long"))
-                      .withColumn("last_id", F.element_at(last_ids, F.col("table_name")).cast("long")))
+                      .withColumn("last_id", F.element_at(last_ids, F.col("table_name")).cast("long"))
+                      .withColumn("offset_val", F.element_at(offsets, F.col("table_name")).cast("int")))
     src = source
     if native_time is not None:
         low = work.agg(F.min("cursor")).first()[0]
         if low is not None:
             src = src.where(F.col(native_time) >= epoch_literal_ntz(int(low)))
-    w = checked_broadcast(work.select("table_name", "cursor", "last_id"))
+    w = checked_broadcast(work.select("table_name", "cursor", "last_id", offset.cast("int").alias("offset_val")))
     return src.join(w, "table_name").where(F.col(order) >= F.col("cursor"))
 
 

@@ -38,8 +38,8 @@ def run_pages(run: IncrementalRun, *, page_size: int = PAGE_SIZE, wrap: int = OF
     """Per-page progress of an incremental run (what the source system logs
     one batch at a time)."""
     # Number only the keys: the row index materialises its input.
-    keys = run.selected.select("table_name", "id", "updated_at")
-    paged = progress.assign_pages(keys, page_size=page_size, wrap=wrap)
+    keys = run.selected.select("table_name", "id", "updated_at", "offset_val")
+    paged = progress.assign_pages(keys, page_size=page_size, wrap=wrap, start_offset="offset_val")
     return progress.page_summary(paged, run.work, page_size=page_size, wrap=wrap)
 
 

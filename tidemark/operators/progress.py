@@ -58,12 +58,17 @@ def advance_checkpoints(work: DataFrame, selected: DataFrame, *, order: str = "u
 def assign_pages(selected: DataFrame, *, page_size: int = PAGE_SIZE, wrap: int = OFFSET_WRAP,
                  group: str = "table_name", order: tuple[str, ...] = ("updated_at", "id"),
                  start_offset: str | None = None) -> DataFrame:
-    """Add ``row_no`` (1-based per table), ``page_no``, ``block_no`` and
-    ``offset_value``.  ``start_offset`` names a column with the stored offset
-    of a resumed table; its pages continue after it."""
+    """Add ``row_no`` (1-based per table, counted from the cursor),
+    ``page_no``, ``block_no`` and ``offset_value``.
+
+    ``start_offset`` names a column with the stored offset of a resumed
+    table: its first ``offset`` rows were landed before the interruption and
+    are skipped, and the remaining pages keep their absolute numbers
+    (``offset div page_size`` onwards)."""
     numbered = row_index(selected, group, list(order), name="row_no")
-    first_page = (F.col(start_offset) / page_size).cast("long") if start_offset else F.lit(0).cast("long")
-    page = first_page + ((F.col("row_no") - 1) / page_size).cast("long")
+    if start_offset:
+        numbered = numbered.where(F.col("row_no") > F.coalesce(F.col(start_offset), F.lit(0)))
+    page = ((F.col("row_no") - 1) / page_size).cast("long")
     return (numbered.withColumn("page_no", page)
                     .withColumn("block_no", (F.col("page_no") * page_size / wrap).cast("long"))
                     .withColumn("offset_value", ((F.col("page_no") * page_size) % wrap).cast("int")))

@@ -751,8 +751,8 @@ def _landed(spark, sf) -> str:
     """Land the run's selection as pages of 500 under each table's
     endpoint, named by block cursor and offset; returns the folder."""
     run = _run(spark, sf)
-    keyed = S.raw_json(run.selected).select("table_name", "id", "updated_at", "cursor", "raw")
-    paged = progress.assign_pages(keyed)
+    keyed = S.raw_json(run.selected).select("table_name", "id", "updated_at", "cursor", "offset_val", "raw")
+    paged = progress.assign_pages(keyed, start_offset="offset_val")
     blocks = (paged.groupBy("table_name", "block_no").agg(F.max("updated_at").alias("__bmax"))
                    .withColumn("block_no", F.col("block_no") + 1))
     rows = (paged.join(blocks, ["table_name", "block_no"], "left")

@@ -15,12 +15,12 @@ per-page quantity is a grouped aggregate over that numbering:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contracts import OFFSET_WRAP, PAGE_SIZE
 from tidemark.operators.joins import checked_broadcast
-from tidemark.operators.sequence import row_index, running_max
+from tidemark.operators.sequence import row_index
 
 
 # -- A4 + A5 ----------------------------------------------------------------------
@@ -83,11 +83,15 @@ def page_summary(paged: DataFrame, work: DataFrame | None = None, *, page_size:
     W2), the block cursor the page was read from (W4), and whether it is the
     last page (A8: shorter than a page).
 
-    With ``work`` (one row per table with ``cursor`` and ``last_id``) the
-    running values are seeded from the stored checkpoint, block 0 reads from
-    the stored cursor, and a table whose selection is empty or an exact
-    multiple of the page size gets the terminal empty page the source system
-    asks for."""
+    The running state is carried per block of ``wrap`` rows: a block table
+    (one row per ``wrap / page_size`` pages) gets the exclusive prefix
+    maximum of ``struct(ts, id)`` over earlier blocks, seeded with the
+    stored ``(cursor, last_id)``; that carry is also the cursor the block is
+    read from (the running maximum when the offset wraps).  Inside a block a
+    window sees at most ``wrap / page_size`` pages.  With ``work`` (one row
+    per table: cursor, last_id, optional offset_val) a table whose selection
+    is empty or ends on a page boundary gets the terminal empty page the
+    source system asks for, computed from the block table alone."""
     # Rows are numbered in (order, key) order, so a page's first and last
     # rows are the ones with the smallest and largest row number: min_by /
     # max_by keep fixed-width buffers and run as a hash aggregate.
@@ -99,46 +103,47 @@ def page_summary(paged: DataFrame, work: DataFrame | None = None, *, page_size:
                   .select(group, "page_no", "block_no", "offset_value", "records",
                           F.struct(F.col("__lo_ts").alias("ts"), F.col("__lo_id").alias("id")).alias("__lo"),
                           F.struct(F.col("__hi_ts").alias("ts"), F.col("__hi_id").alias("id")).alias("__hi")))
-    pages = running_max(pages, group, "page_no", F.col("__hi"), "__run")
-    blocks = (pages.groupBy(group, "block_no").agg(F.max("__hi.ts").alias("__block_max"))
-                   .withColumn("block_no", F.col("block_no") + 1))
-    pages = pages.join(blocks, [group, "block_no"], "left")
+    blocks = pages.groupBy(group, "block_no").agg(
+        F.max("__hi").alias("__bhi"), F.min("__lo").alias("__blo"), F.sum("records").alias("__brec"),
+        F.max("page_no").alias("__blast"))
+    earlier = Window.partitionBy(group).orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__carry", F.max("__bhi").over(earlier))
     if work is not None:
-        w = checked_broadcast(work.select(group, "cursor", "last_id"))  # one row per table
-        pages = pages.join(w, group, "left")
-        seed = F.struct(F.col("cursor").alias("ts"), F.col("last_id").alias("id"))
-        run = F.greatest(F.col("__run"), seed)
-        cursor = F.coalesce(F.col("__block_max"), F.col("cursor"))
+        seed_rows = checked_broadcast(work.select(group, F.struct(F.col("cursor").alias("ts"),
+                                                                  F.col("last_id").alias("id")).alias("__seed")))
+        blocks = blocks.join(seed_rows, group, "left").withColumn("__carry", F.greatest("__carry", "__seed"))
+        block_cursor = F.col("__carry.ts")
     else:
-        run = F.col("__run")
-        cursor = F.coalesce(F.col("__block_max"), F.col("__lo.ts"))
-    out = pages.select(
-        group, "page_no", "block_no", "offset_value",
-        cursor.cast("long").alias("cursor_value"),
-        F.col("records").cast("long").alias("records"),
-        F.col("__lo.id").alias("first_id"), F.col("__hi.id").alias("page_last_id"),
-        F.col("__hi.ts").alias("page_max_updated_at"),
-        run.ts.alias("running_watermark"), run.id.alias("running_last_id"),
-        (F.col("records") < page_size).alias("is_last"))
+        block_cursor = F.coalesce(F.col("__carry.ts"), F.col("__blo.ts"))
+    blocks = blocks.withColumn("__bcur", block_cursor)
+    within = Window.partitionBy(group, "block_no").orderBy("page_no").rowsBetween(Window.unboundedPreceding, 0)
+    run = F.greatest(F.max("__hi").over(within), F.col("__carry"))
+    out = (pages.join(blocks.select(group, "block_no", "__carry", "__bcur"), [group, "block_no"])
+                .select(group, "page_no", "block_no", "offset_value",
+                        F.col("__bcur").cast("long").alias("cursor_value"),
+                        F.col("records").cast("long").alias("records"),
+                        F.col("__lo.id").alias("first_id"), F.col("__hi.id").alias("page_last_id"),
+                        F.col("__hi.ts").alias("page_max_updated_at"),
+                        run.ts.alias("running_watermark"), run.id.alias("running_last_id"),
+                        (F.col("records") < page_size).alias("is_last")))
     if work is None:
         return out
     # Terminal empty page for tables whose selection ends on a page boundary
-    # (or is empty): the source system asks once more and gets nothing.
-    # A resumed table's pages start after its stored offset.
+    # (or is empty): the source system asks once more and gets nothing.  A
+    # resumed table's pages start after its stored offset.
     start_page = ((F.col("offset_val") / page_size).cast("long") if "offset_val" in work.columns
                   else F.lit(0).cast("long"))
-    totals = pages.groupBy(group).agg(F.sum("records").alias("__total"))
-    ends = (work.select(group, "cursor", "last_id", start_page.alias("__start")).join(totals, group, "left")
-                .withColumn("__total", F.coalesce(F.col("__total"), F.lit(0)).cast("long"))
-                .where(F.col("__total") % page_size == 0)
-                .withColumn("__end", F.col("__start") + (F.col("__total") / page_size).cast("long"))
-                .withColumn("__last", F.col("__end") - 1))
-    last_pages = out.select(group, F.col("page_no").alias("__last"), "running_watermark", "running_last_id",
-                            F.col("cursor_value").alias("__cur"))
-    t = ends.join(last_pages, [group, "__last"], "left")
+    per_table = blocks.groupBy(group).agg(
+        F.sum("__brec").alias("__total"), F.max(F.greatest("__bhi", "__seed")).alias("__top"),
+        F.max_by("__bcur", "block_no").alias("__lastcur"))
+    t = (work.select(group, "cursor", "last_id", start_page.alias("__start")).join(per_table, group, "left")
+             .withColumn("__total", F.coalesce(F.col("__total"), F.lit(0)).cast("long"))
+             .where(F.col("__total") % page_size == 0)
+             .withColumn("__end", F.col("__start") + (F.col("__total") / page_size).cast("long")))
     t_offset = ((F.col("__end") * page_size) % wrap).cast("int")
     new_block = (t_offset == 0) & (F.col("__total") > 0)
-    t_cursor = F.when(new_block, F.col("running_watermark")).otherwise(F.coalesce(F.col("__cur"), F.col("cursor")))
+    top = F.coalesce(F.col("__top"), F.struct(F.col("cursor").alias("ts"), F.col("last_id").alias("id")))
+    t_cursor = F.when(new_block, top.ts).otherwise(F.coalesce(F.col("__lastcur"), F.col("cursor")))
     terminal = t.select(
         group, F.col("__end").alias("page_no"),
         (F.col("__end") * page_size / wrap).cast("long").alias("block_no"),
@@ -147,8 +152,7 @@ def page_summary(paged: DataFrame, work: DataFrame | None = None, *, page_size:
         F.lit(0).cast("long").alias("records"),
         F.lit(None).cast("long").alias("first_id"), F.lit(None).cast("long").alias("page_last_id"),
         F.lit(None).cast("long").alias("page_max_updated_at"),
-        F.coalesce(F.col("running_watermark"), F.col("cursor")).cast("long").alias("running_watermark"),
-        F.coalesce(F.col("running_last_id"), F.col("last_id")).cast("long").alias("running_last_id"),
+        top.ts.cast("long").alias("running_watermark"), top.id.cast("long").alias("running_last_id"),
         F.lit(True).alias("is_last"))
     return out.unionByName(terminal)
 

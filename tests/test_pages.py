@@ -141,3 +141,15 @@ def test_latest_per_key_ties_incoming_wins(spark):
     batch = spark.createDataFrame([(1, 10, "b"), (2, 5, "b")], "id long, updated_at long, v string")
     out = {r["id"]: r["v"] for r in merge.upsert_latest(target, batch, "id").collect()}
     assert out == {1: "b", 2: "b"}
+
+
+def test_encode_and_missing_required(spark):
+    df = spark.createDataFrame([(1, None, 10)], "id long, name string, updated_at long")
+    assert landing.encode_records(df).first()["raw"] == '{"id":1,"updated_at":10}'   # nulls left out
+    raw = spark.createDataFrame([("GenreSchema", '{"id":1,"updated_at":2}'), ("GenreSchema", '{"id":"x"}')],
+                                "table_name string, raw string")
+    from tidemark.contracts import columns_frame
+    observed = quality.observed_keys(raw)
+    got = sorted((r["column_name"], r["observed_type"])
+                 for r in quality.breaking_changes(observed, columns_frame(spark), registry_frame(spark)).collect())
+    assert got == [("id", "string"), ("name", "missing")]

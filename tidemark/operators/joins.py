@@ -66,19 +66,3 @@ def range_join(left: DataFrame, windows: DataFrame, *, key: str, point: str, sta
     cond = ((F.col(f"__l.{key}") == F.col(f"__w.{key}")) & (F.col("__l.__bin") == F.col("__w.__bin"))
             & in_range)
     return lb.join(wb.alias("__w"), cond, how).drop(F.col("__l.__bin")).drop(F.col("__w.__bin"))
-
-
-def semi(left: DataFrame, right: DataFrame, on, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return left.join(checked_broadcast(right.select(*_cols(on)).distinct(), max_broadcast_rows), on, "left_semi")
-
-
-def anti(left: DataFrame, right: DataFrame, on, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return left.join(checked_broadcast(right.select(*_cols(on)).distinct(), max_broadcast_rows), on, "left_anti")
-
-
-def _cols(on) -> list[str]:
-    return [on] if isinstance(on, str) else list(on)
-
-
-def null_safe_key(cols: list[str]) -> Column:
-    return F.struct(*[F.col(c) for c in cols])

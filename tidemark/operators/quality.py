@@ -141,6 +141,20 @@ def type_changes(observed: DataFrame, declared: DataFrame, group: str = "table_n
                             "records"))
 
 
+def breaking_changes(observed: DataFrame, declared: DataFrame, registry: DataFrame,
+                     group: str = "table_name") -> DataFrame:
+    """Q6: type changes, plus required columns no record of a table
+    carries (observed type ``missing``, no records)."""
+    types = type_changes(observed, declared, group)
+    missing = (missing_required(observed, registry, group)
+               .join(F.broadcast(declared.select(F.col("table_name").alias(group), "column_name",
+                                                 F.col("data_type").alias("declared_type"))),
+                     [group, "column_name"], "left")
+               .select(group, "column_name", "declared_type", F.lit("missing").alias("observed_type"),
+                       F.lit(0).cast("long").alias("records")))
+    return types.unionByName(missing)
+
+
 # -- Q7 + Q8 + drift rows -------------------------------------------------------------------------
 def schema_snapshots(observed: DataFrame, group: str = "table_name") -> DataFrame:
     """One row per table: sorted observed column names, their JSON snapshot

@@ -860,7 +860,7 @@ FROM kv WHERE column_name = 'updated_at' AND data_type <> 'integer' GROUP BY 1,
 def q_breaking_changes(spark, sf):
     """Q6: declared columns arriving with a type the contract cannot take."""
     observed = quality.observed_keys(S.raw_records(spark, sf))
-    return quality.type_changes(observed, columns_frame(spark, S.source_contracts()))
+    return quality.breaking_changes(observed, columns_frame(spark, S.source_contracts()), _registry(spark))
 
 
 @register("schema_history_insert", V("src") + _KEYS_SQL + f"""

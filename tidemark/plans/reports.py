@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import duration_seconds, safe_ratio
+from tidemark.operators.select import optional_eq
 from tidemark.operators.sequence import row_index
 
 
@@ -77,9 +78,7 @@ BATCH_COLUMNS = ("batch_id", "run_id", "table_name", "layer", "status", "cursor_
 
 def recent_batches(batches: DataFrame, limit: int = 100, table_name: str | None = None,
                    tie_break: tuple[str, ...] = ("batch_id",)) -> DataFrame:
-    out = batches
-    if table_name is not None:
-        out = out.where(F.col("table_name") == table_name)
+    out = batches.where(optional_eq("table_name", table_name))   # P8: unset means all
     return (out.orderBy(F.col("created_at").desc(), *[F.col(c).asc() for c in tie_break])
                .limit(limit).select(*BATCH_COLUMNS))
 

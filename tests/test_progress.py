@@ -169,3 +169,23 @@ def test_resumed_table_continues_after_stored_offset(spark):
     assert sorted(got["A"]) == model(local["A"], 10, 50, 1000, 0, 30)
     assert sorted(got["B"]) == model(local["B"], 10, 50, 1000, 0, 40)
     assert min(p[0] for p in got["A"]) == 3 and sorted(got["B"])[-1][:2] == (6, 10)
+
+
+def test_fixture_sizes_with_real_constants(spark):
+    """499 rows: one short last page; 500: a full page then an empty one;
+    10,001: the offset wraps to 0 and the cursor moves to the highest
+    updated_at of the first 10,000 rows."""
+    src = make_source(spark, {"S": 499, "E": 500, "W": 10001})
+    work = spark.createDataFrame([("S", 1000, 0), ("E", 1000, 0), ("W", 1000, 0)],
+                                 "table_name string, cursor long, last_id long")
+    sel = src.join(work, "table_name").where(F.col("updated_at") >= F.col("cursor"))
+    pages = {}
+    for r in progress.page_summary(progress.assign_pages(sel), work).collect():
+        pages.setdefault(r["table_name"], {})[r["page_no"]] = r
+    assert [(p["records"], p["is_last"]) for _, p in sorted(pages["S"].items())] == [(499, True)]
+    assert [(p["records"], p["is_last"]) for _, p in sorted(pages["E"].items())] == [(500, False), (0, True)]
+    w = pages["W"]
+    assert len(w) == 21 and w[19]["offset_value"] == 9500 and w[19]["cursor_value"] == 1000
+    first_10k_max = 1000 + (10000 - 1) // 3
+    assert (w[20]["offset_value"], w[20]["block_no"], w[20]["records"], w[20]["is_last"]) == (0, 1, 1, True)
+    assert w[20]["cursor_value"] == first_10k_max

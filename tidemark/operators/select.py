@@ -74,13 +74,15 @@ def incremental_select(source: DataFrame, work: DataFrame, *, order: str = "upda
     too.  For many tables it is broadcast (after a size check) and the
     smallest cursor is pushed instead."""
     offset = F.col("offset_val") if "offset_val" in work.columns else F.lit(0)
-    items = work.select("table_name", "cursor", "last_id", offset.cast("int").alias("offset_val")) \
-                .limit(literal_max + 1).collect()
+    items = (work.where(F.col("cursor").isNotNull())
+                 .select("table_name", "cursor", "last_id", offset.cast("int").alias("offset_val"))
+                 .limit(literal_max + 1).collect())
     if len(items) <= literal_max:
         if not items:
             return source.where(F.lit(False)).withColumn("cursor", F.lit(None).cast("long")) \
                          .withColumn("last_id", F.lit(None).cast("long")) \
                          .withColumn("offset_val", F.lit(None).cast("int"))
+
         def any_of(bound):
             out = None
             for r in items:
@@ -94,8 +96,9 @@ def incremental_select(source: DataFrame, work: DataFrame, *, order: str = "upda
             # disjunction translates to a parquet filter.
             cond = cond & any_of(lambda cur: F.col(native_time) >= epoch_literal_ntz(cur))
         cursors = F.create_map(*[x for r in items for x in (F.lit(r["table_name"]), F.lit(int(r["cursor"])))])
-        last_ids = F.create_map(*[x for r in items for x in (F.lit(r["table_name"]), F.lit(int(r["last_id"])))])
-        offsets = F.create_map(*[x for r in items for x in (F.lit(r["table_name"]), F.lit(int(r["offset_val"])))])
+        last_ids = F.create_map(*[x for r in items for x in (F.lit(r["table_name"]), F.lit(int(r["last_id"] or 0)))])
+        offsets = F.create_map(*[x for r in items
+                                 for x in (F.lit(r["table_name"]), F.lit(int(r["offset_val"] or 0)))])
         return (source.where(cond)
                       .withColumn("cursor", F.element_at(cursors, F.col("table_name")).cast("long"))
                       .withColumn("last_id", F.element_at(last_ids, F.col("table_name")).cast("long"))

@@ -43,6 +43,26 @@ def run_pages(run: IncrementalRun, *, page_size: int = PAGE_SIZE, wrap: int = OF
     return progress.page_summary(paged, run.work, page_size=page_size, wrap=wrap)
 
 
+def land_run(run: IncrementalRun, base: str, to_json, *, page_size: int = PAGE_SIZE, wrap: int = OFFSET_WRAP,
+             layout: str = "page") -> None:
+    """S1 for a run: the selection as raw pages under each table's endpoint,
+    named by block cursor and offset.  ``to_json`` adds the ``raw`` text of
+    each selected record (S5).  A resumed table skips the rows it landed
+    before the interruption."""
+    from tidemark.sources import landing
+
+    keyed = to_json(run.selected).select("table_name", "id", "updated_at", "cursor", "offset_val", "raw")
+    paged = progress.assign_pages(keyed, page_size=page_size, wrap=wrap, start_offset="offset_val")
+    # The cursor a block is read from: the highest updated_at before it
+    # (keyset order), the stored cursor for the first block.
+    blocks = (paged.groupBy("table_name", "block_no").agg(F.max("updated_at").alias("__bmax"))
+                   .withColumn("block_no", F.col("block_no") + 1))
+    rows = (paged.join(blocks, ["table_name", "block_no"], "left")
+                 .withColumn("cursor_value", F.coalesce("__bmax", "cursor"))
+                 .join(F.broadcast(run.work.select("table_name", "endpoint")), "table_name"))
+    landing.write_pages(rows, base, layout=layout)
+
+
 def batch_log(pages: DataFrame, run_id: str, created_at: str, *, layer: str = "RAW") -> DataFrame:
     """Batch-log rows (M3 input) from a page summary: one SUCCESS row per
     page, ``query_sent`` describing the keyset page."""

@@ -79,3 +79,35 @@ def test_good_and_quarantine_partition_input(spark, raws):
     good, bad = quality.split_good_quarantine(flagged, c)
     assert good.count() + bad.count() == len(raws)
     assert good.where(F.col("id").isNull() | F.col("updated_at").isNull()).count() == 0
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.dictionaries(st.sampled_from(["A", "B", "C"]),
+                       st.tuples(st.integers(0, 60), st.integers(0, 4), st.integers(0, 3)), min_size=1))
+def test_page_summary_matches_loop_model(spark, tables_spec):
+    """Random tables (rows, resume pages, cursor shift): pages of 7 with a
+    wrap at 21 equal the page-by-page model of the source system's loop."""
+    from tests.test_progress import model
+    size, wrap = 7, 21
+    parts, work_rows = [], []
+    for t, (n, resume_pages, shift) in tables_spec.items():
+        parts.append(spark.range(n).select(F.lit(t).alias("table_name"), ((F.col("id") * 13) % max(n, 1) + 1).alias("id"),
+                                           (F.lit(1000) + F.col("id") / 2).cast("long").alias("updated_at")))
+        work_rows.append((t, 1000 + shift, shift, resume_pages * size))
+    src = parts[0]
+    for p in parts[1:]:
+        src = src.unionByName(p)
+    work = spark.createDataFrame(work_rows, "table_name string, cursor long, last_id long, offset_val int")
+    sel = src.join(work, "table_name").where(F.col("updated_at") >= F.col("cursor"))
+    pages = progress.page_summary(progress.assign_pages(sel, page_size=size, wrap=wrap, start_offset="offset_val"),
+                                  work, page_size=size, wrap=wrap)
+    got = {}
+    for r in pages.collect():
+        got.setdefault(r["table_name"], []).append(
+            (r["page_no"], r["offset_value"], r["cursor_value"], r["records"], r["running_watermark"],
+             r["running_last_id"], r["is_last"]))
+    rows = {t: [] for t in tables_spec}
+    for r in sel.collect():
+        rows[r["table_name"]].append((r["updated_at"], r["id"]))
+    for t, cur, lid, off in work_rows:
+        assert sorted(got[t]) == model(rows[t], size, wrap, cur, lid, off), t

@@ -19,7 +19,7 @@ from tidemark.functions.scalars import alert_text, truncate_message
 from tidemark.operators import merge, progress, quality, relations, select
 from tidemark.operators.joins import freeze_control
 from tidemark.plans import ingest, load, reports
-from tidemark.session import literal_frame, scratch_path
+from tidemark.session import literal_frame, materialize, scratch_path
 from tidemark.sources import landing, tables
 from tidemark.streaming import landing_stream
 from tidemark.sources import standins as S
@@ -649,7 +649,9 @@ FROM typ WHERE column_name NOT IN ('id', 'name', 'updated_at', 'o_custkey', 'o_t
 def q_drift_list(spark, sf):
     """Schema-history rows from the raw records, listed one
     per changed column with its type, newest first."""
-    observed = quality.observed_keys(S.raw_records(spark, sf))
+    # the distinct (table, key, type) triples feed two branches: keep them
+    # once (tiny) instead of scanning the raw records twice
+    observed = materialize(quality.observed_keys(S.raw_records(spark, sf)))
     rows = quality.drift_rows(observed, _registry(spark), run_id=F.lit(RUN_ID), detected_at=_now())
     return reports.drift_list(rows, observed).select(
         "table_name", "column_name", "data_type", "detected_at", "detected_in_run_id", "included_at", "status",

@@ -186,7 +186,11 @@ class KeyedLog:
     def append(self, df: DataFrame, *, changed_at: Column, seq: int) -> None:
         self.attach(df.sparkSession)
         out = df.withColumn("_changed_at", changed_at).withColumn("_seq", F.lit(int(seq)).cast("long"))
-        (out.write.mode("append").format("parquet").option("path", self.path)
+        # Hash-partition by the key into the bucket count first (the same
+        # hash the bucketing uses): each task then holds one bucket and an
+        # append writes one file per bucket, not one per task and bucket.
+        (out.repartition(self.buckets, *self.key)
+            .write.mode("append").format("parquet").option("path", self.path)
             .bucketBy(self.buckets, *self.key).sortBy(*self.key).saveAsTable(self.name))
 
     def latest(self, spark: SparkSession, order: list[str] | None = None) -> DataFrame:

@@ -60,7 +60,8 @@ def land_run(run: IncrementalRun, base: str, to_json, *, page_size: int = PAGE_S
     rows = (paged.join(blocks, ["table_name", "block_no"], "left")
                  .withColumn("cursor_value", F.coalesce("__bmax", "cursor"))
                  .join(F.broadcast(run.work.select("table_name", "endpoint")), "table_name"))
-    landing.write_pages(rows, base, layout=layout)
+    # rows leave the row index range-partitioned in page order: no re-clustering
+    landing.write_pages(rows, base, layout=layout, cluster=False)
 
 
 def batch_log(pages: DataFrame, run_id: str, created_at: str, *, layer: str = "RAW") -> DataFrame:

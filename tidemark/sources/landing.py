@@ -68,24 +68,28 @@ ENVELOPE = "offset int, raw string"
 
 
 def write_pages(records: DataFrame, base: str, *, endpoint: str = "endpoint", cursor: str = "cursor_value",
-                offset: str = "offset_value", value: str = "raw", layout: str = "page") -> None:
+                offset: str = "offset_value", value: str = "raw", layout: str = "page",
+                cluster: bool = True) -> None:
     """Land records under their page (or block) folder.
 
-    Rows are clustered by folder before the write so that each folder is
-    written by one task; folders of different tables and cursors are written
-    in parallel.  Dynamic partition overwrite replaces only the folders
-    present in ``records``, so a retried or re-run page replaces itself."""
+    With ``cluster`` rows are hash-clustered by folder before the write so
+    that each folder is written by one task; callers whose rows already come
+    in page order (the run's range-partitioned row index) pass ``False`` and
+    skip that shuffle (a page cut by a range boundary gets two files).
+    Dynamic partition overwrite replaces only the folders present in
+    ``records``, so a retried or re-run page replaces itself."""
     rows = records.select(F.regexp_replace(F.col(endpoint), "^/", "").alias("endpoint"),
                           F.col(cursor).cast("long").alias("cursor"), F.col(offset).cast("int").alias("offset"),
                           F.col(value).alias("raw"))
     if layout == "page":
-        (rows.withColumnRenamed("raw", "value").repartition("endpoint", "cursor", "offset")
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("endpoint", "cursor", "offset").text(base))
+        keys = ["endpoint", "cursor", "offset"]
+        out = rows.withColumnRenamed("raw", "value")
+        (out.repartition(*keys) if cluster else out).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).text(base)
     elif layout == "block":
-        (rows.repartition("endpoint", "cursor")
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("endpoint", "cursor").json(base))
+        keys = ["endpoint", "cursor"]
+        (rows.repartition(*keys) if cluster else rows).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).json(base)
     else:
         raise ValueError(f"unknown landing layout {layout!r}")
 

@@ -802,9 +802,9 @@ def q_stream_load(spark, sf):
     paths = landing_stream.StreamPaths(landing=base, target=f"{root}/target", quarantine=f"{root}/quarantine",
                                        checkpoint=f"{root}/checkpoint")
     landing_stream.run_landing_stream(spark, c, paths)
-    rows = landing.read_pages(spark, base)
+    rows = landing.read_pages(spark, base)   # one small page file per task: already in page order
     landing.write_pages(rows.withColumnRenamed("cursor", "cursor_value").withColumnRenamed("offset", "offset_value"),
-                        base)
+                        base, cluster=False)
     landing_stream.run_landing_stream(spark, c, paths)
     return landing_stream.current_table(spark, paths, c).select("id", "name", "updated_at", "o_custkey",
                                                                 "o_totalprice")

@@ -188,8 +188,8 @@ SELECT table_name, (rn - 1) // 1000 AS block_no, count(*) AS records, max(update
 FROM num GROUP BY 1, 2""")
 def q_cursor_advance(spark, sf):
     """Blocks of 1,000 rows per table and the cursor each hands on."""
-    paged = progress.assign_pages(S.source_records(spark, sf), page_size=100, wrap=1000)
-    return progress.cursor_advance(paged)
+    keys = S.source_records(spark, sf).select("table_name", "id", "updated_at")   # the row index moves these only
+    return progress.cursor_advance(progress.assign_pages(keys, page_size=100, wrap=1000))
 
 
 @register("page_query", V("src") + """

@@ -29,11 +29,12 @@ def load_pages(raw: DataFrame, contract: Contract, target: DataFrame | None = No
     flagged = quality.flag_records(parsed, contract)
     good, bad = quality.split_good_quarantine(flagged, contract)
     rows = good.select(*contract.names)
-    # Records re-read on several pages: keep one version per id first.
-    rows = merge.latest_per_key(rows, contract.key, [contract.order])
-    if target is not None:
-        rows = merge.upsert_latest(target.select(*contract.names), rows.select(*contract.names), contract.key,
-                                   contract.order)
+    if target is None:
+        # Records re-read on several pages: one version per id.
+        rows = merge.latest_per_key(rows, contract.key, [contract.order])
+    else:
+        # The upsert's single aggregation by id also settles re-read records.
+        rows = merge.upsert_latest(target.select(*contract.names), rows, contract.key, contract.order)
     report = flagged.groupBy("endpoint").agg(
         F.count_if(F.col("quality_issue").isNull()).alias("good"),
         F.count_if(F.col("quality_issue").isNotNull()).alias("quarantined"))

@@ -77,3 +77,15 @@ def test_known_unknown_split(spark):
     known = {r["event_id"] for r in select.known_events(ev, reg).collect()}
     unknown = {r["event_id"] for r in select.unknown_events(ev, reg).collect()}
     assert unknown == {"e5"} and known | unknown == {f"e{i}" for i in range(1, 8)}
+
+
+def test_binned_path_with_an_open_ended_window(spark):
+    src = source(spark)
+    ev = spark.createDataFrame([("wide", "GameSchema", 0, 2 ** 62), ("narrow", "GameSchema", 105, 109)],
+                               "event_id string, table_name string, start_watermark long, end_watermark long")
+    out = range_join(src, ev, key="table_name", point="updated_at", start="start_watermark", end="end_watermark",
+                     bin_size=7, max_bins=100, max_broadcast_rows=0)
+    got = {}
+    for r in out.select(F.col("__w.event_id").alias("e"), F.col("__l.id").alias("i")).collect():
+        got.setdefault(r["e"], set()).add(r["i"])
+    assert got["narrow"] == set(range(5, 10)) and got["wide"] == set(range(20))

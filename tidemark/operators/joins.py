@@ -42,27 +42,38 @@ def freeze_control(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
 
 
 def range_join(left: DataFrame, windows: DataFrame, *, key: str, point: str, start: str, end: str,
-               how: str = "inner", bin_size: int = 86_400 * 30,
+               bin_size: int = 86_400 * 30, max_bins: int = 4096,
                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of ``left`` whose ``point`` lies in ``[start, end]`` of a window
-    with the same ``key`` (closed interval).
+    """Pairs (left row, window) with the same ``key`` and ``point`` inside
+    the window's closed interval ``[start, end]``, as two struct columns
+    ``__l`` and ``__w`` (select ``__l.<col>`` / ``__w.<col>``).
 
     Small window tables are broadcast: a broadcast hash join on ``key`` with
     the range as residual, no shuffle of ``left``.  Large ones are joined on
     ``(key, bin)``: each window is exploded into the fixed-width bins it
     covers, so a key holding a third of all rows still spreads over many
-    bins and tasks."""
-    n = windows.limit(max_broadcast_rows + 1).count()
+    bins and tasks.  Windows spanning more than ``max_bins`` bins (an
+    open-ended end, say) would explode; they take a key join of their own
+    (broadcast when few)."""
+    lcols, wcols = left.columns, windows.columns
+
+    def pack(joined: DataFrame) -> DataFrame:
+        return joined.select(F.struct(*[F.col(f"__l.{c}").alias(c) for c in lcols]).alias("__l"),
+                             F.struct(*[F.col(f"__w.{c}").alias(c) for c in wcols]).alias("__w"))
+
     in_range = (F.col(f"__l.{point}") >= F.col(f"__w.{start}")) & (F.col(f"__l.{point}") <= F.col(f"__w.{end}"))
-    l = left.alias("__l")
+    same_key = F.col(f"__l.{key}") == F.col(f"__w.{key}")
+    n = windows.limit(max_broadcast_rows + 1).count()
     if n <= max_broadcast_rows:
-        w = F.broadcast(windows).alias("__w")
-        cond = (F.col(f"__l.{key}") == F.col(f"__w.{key}")) & in_range
-        return l.join(w, cond, how)
+        return pack(left.alias("__l").join(F.broadcast(windows).alias("__w"), same_key & in_range, "inner"))
     b = F.lit(bin_size)
-    wb = windows.withColumn(
-        "__bin", F.explode(F.sequence(F.floor(F.col(start) / b), F.floor(F.greatest(F.col(start), F.col(end)) / b))))
+    first_bin = F.floor(F.col(start) / b)
+    last_bin = F.floor(F.greatest(F.col(start), F.col(end)) / b)
+    narrow = (windows.where(last_bin - first_bin < max_bins)
+                     .withColumn("__bin", F.explode(F.sequence(first_bin, last_bin))))
+    wide = windows.where(last_bin - first_bin >= max_bins)
     lb = left.withColumn("__bin", F.floor(F.col(point) / b)).alias("__l")
-    cond = ((F.col(f"__l.{key}") == F.col(f"__w.{key}")) & (F.col("__l.__bin") == F.col("__w.__bin"))
-            & in_range)
-    return lb.join(wb.alias("__w"), cond, how).drop(F.col("__l.__bin")).drop(F.col("__w.__bin"))
+    binned = lb.join(narrow.alias("__w"), same_key & (F.col("__l.__bin") == F.col("__w.__bin")) & in_range, "inner")
+    by_key = left.alias("__l").join(checked_broadcast(wide, max_broadcast_rows).alias("__w"), same_key & in_range,
+                                    "inner")
+    return pack(binned).unionByName(pack(by_key))

@@ -30,7 +30,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType
+
+from tidemark.llm.arrow import extended, slices
 
 #: White space as the byte-level splitter sees it (Unicode White_Space).
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -155,30 +157,12 @@ def _token_bytes(text: str) -> pa.Array:
     return pa.array([raw.get(i, b"") for i in range(max(raw) + 1)], pa.binary())
 
 
-def _new_column(df: DataFrame, name: str, kind) -> StructType:
-    if name in df.columns:
-        raise ValueError(f"there is a column {name} already")
-    return StructType([*df.schema.fields]).add(name, kind)
-
-
 def _read_once(spark, path: str):
     """The vocabulary file's text, sent to each executor once (a few MB)."""
     with open(path, encoding="utf-8") as f:
         return spark.sparkContext.broadcast(f.read())
 
 
-def _slices(batch: pa.RecordBatch, col: str, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of about ``limit`` bytes of the column, so
-    that a run of very long texts is not held at once."""
-    value = batch.column(col)
-    if batch.num_rows <= 1 or value.nbytes <= limit:
-        yield batch
-        return
-    half = batch.num_rows // 2
-    yield from _slices(batch.slice(0, half), col, limit)
-    yield from _slices(batch.slice(half), col, limit)
-
-
 def bpe_encode(df: DataFrame, text_col: str, vocabulary: str, out: str = "ids") -> DataFrame:
     """``df`` with ``out``: the token ids of ``text_col`` (array of int) under
     the byte-level BPE vocabulary file at ``vocabulary``."""
@@ -187,14 +171,14 @@ def bpe_encode(df: DataFrame, text_col: str, vocabulary: str, out: str = "ids")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = _vocabulary(shared.value)
         for whole in batches:
-            for batch in _slices(whole, text_col):
+            for batch in slices(whole, text_col):
                 rows = [vocab.encode(t or "") for t in batch.column(text_col).to_pylist()]
                 offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
                 flat = np.concatenate([np.empty(0, np.int32), *rows])
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, out])
 
-    return df.mapInArrow(run, _new_column(df, out, ArrayType(IntegerType())))
+    return df.mapInArrow(run, extended(df, out, ArrayType(IntegerType())))
 
 
 def bpe_decode(df: DataFrame, ids_col: str, vocabulary: str, out: str = "decoded") -> DataFrame:
@@ -206,7 +190,7 @@ def bpe_decode(df: DataFrame, ids_col: str, vocabulary: str, out: str = "decoded
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _token_bytes(shared.value)
         for whole in batches:
-            for batch in _slices(whole, ids_col):
+            for batch in slices(whole, ids_col):
                 texts = []
                 for ids in batch.column(ids_col):
                     ids = np.asarray(ids.values if ids.is_valid else [], dtype=np.int64)
@@ -218,7 +202,7 @@ def bpe_decode(df: DataFrame, ids_col: str, vocabulary: str, out: str = "decoded
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                                  [*batch.schema.names, out])
 
-    return df.mapInArrow(run, _new_column(df, out, StringType()))
+    return df.mapInArrow(run, extended(df, out, StringType()))
 
 
 def op9_bpe(spark, sf_dir: str) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, secrets
 
-QUERIES = {"op9_bpe": bpe.op9_bpe}
+QUERIES = {"op9_bpe": bpe.op9_bpe, "op10_secret_scan": secrets.op10_secret_scan}
 
 #: DuckDB text for the queries that SQL can express.
 ORACLE: dict[str, str] = {}

@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, secrets
+from tidemark.llm import bpe, chat, licenses, mixing, secrets
 
-QUERIES = {"op9_bpe": bpe.op9_bpe, "op10_secret_scan": secrets.op10_secret_scan}
+QUERIES = {
+    "op2_chat_format": chat.op2_chat_format,
+    "op4_license_scan": licenses.op4_license_scan,
+    "op6_mixing": mixing.op6_mixing,
+    "op9_bpe": bpe.op9_bpe,
+    "op10_secret_scan": secrets.op10_secret_scan,
+}
 
 #: DuckDB text for the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_chat_format": chat.OP2_SQL,
+    "op4_license_scan": licenses.OP4_SQL,
+    "op6_mixing": mixing.OP6_SQL,
+}

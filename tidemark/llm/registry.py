@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, licenses, mixing, secrets
+from tidemark.llm import bpe, chat, licenses, mixing, mtree, secrets
 
 QUERIES = {
     "op2_chat_format": chat.op2_chat_format,
+    "op3_mtree": mtree.op3_mtree,
     "op4_license_scan": licenses.op4_license_scan,
     "op6_mixing": mixing.op6_mixing,
     "op9_bpe": bpe.op9_bpe,
@@ -15,6 +16,7 @@ QUERIES = {
 #: DuckDB text for the queries that SQL can express.
 ORACLE: dict[str, str] = {
     "op2_chat_format": chat.OP2_SQL,
+    "op3_mtree": mtree.OP3_SQL,
     "op4_license_scan": licenses.OP4_SQL,
     "op6_mixing": mixing.OP6_SQL,
 }

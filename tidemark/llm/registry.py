@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, licenses, mixing, mtree, secrets
+from tidemark.llm import bpe, chat, exact_dedup, licenses, mixing, mtree, secrets
 
 QUERIES = {
     "op2_chat_format": chat.op2_chat_format,
     "op3_mtree": mtree.op3_mtree,
     "op4_license_scan": licenses.op4_license_scan,
+    "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_mixing": mixing.op6_mixing,
     "op9_bpe": bpe.op9_bpe,
     "op10_secret_scan": secrets.op10_secret_scan,
@@ -18,5 +19,6 @@ ORACLE: dict[str, str] = {
     "op2_chat_format": chat.OP2_SQL,
     "op3_mtree": mtree.OP3_SQL,
     "op4_license_scan": licenses.OP4_SQL,
+    "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op6_mixing": mixing.OP6_SQL,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, exact_dedup, licenses, mixing, mtree, quality, secrets
+from tidemark.llm import bpe, chat, exact_dedup, licenses, mixing, mtree, ngram_join, quality, secrets
 
 QUERIES = {
     "op2_chat_format": chat.op2_chat_format,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_license_scan": licenses.op4_license_scan,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_mixing": mixing.op6_mixing,
+    "op7_ngram_join": ngram_join.op7_ngram_join,
     "op8_quality_knn": quality.op8_quality_knn,
     "op9_bpe": bpe.op9_bpe,
     "op10_secret_scan": secrets.op10_secret_scan,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, exact_dedup, licenses, mixing, mtree, ngram_join, quality, secrets
+from tidemark.llm import bpe, chat, exact_dedup, licenses, mixing, mtree, ngram_join, pii, quality, secrets
 
 QUERIES = {
+    "op1_pii_surrogates": pii.op1_pii_surrogates,
     "op2_chat_format": chat.op2_chat_format,
     "op3_mtree": mtree.op3_mtree,
     "op4_license_scan": licenses.op4_license_scan,

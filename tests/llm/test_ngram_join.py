@@ -46,7 +46,11 @@ def by_hand(rows):
 
 def run(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", J.F.lit("clash"))
-    return sorted((tuple(r) for r in J.ngram_join(df).collect()), key=repr)
+    got = J.ngram_join(df).collect()
+    kept = [r for r in got if r.kept]
+    assert {r.class_id for r in kept} == {r.class_id for r in got}
+    assert all(r.doc_id == r.class_id for r in kept)
+    return sorted(((r.doc_id, r.class_id, r.n_links) for r in got), key=repr)
 
 
 def corpus(rng, n):
@@ -89,7 +93,9 @@ def test_empty(spark):
 
 def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
-    assert sorted((tuple(r) for r in J.op7_ngram_join(spark, SF_SMALL).collect()), key=repr) == by_hand(rows)
+    got = J.op7_ngram_join(spark, SF_SMALL).collect()
+    assert sorted(((r.doc_id, r.class_id, r.n_links) for r in got), key=repr) == by_hand(rows)
+    assert sorted(r.doc_id for r in got if r.kept) == sorted({r.class_id for r in got})
 
 
 def test_shingles_are_whole_sets():

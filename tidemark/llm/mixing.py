@@ -18,7 +18,9 @@ Rates become whole copies: every document gets the whole part, and one more
 copy goes to documents in the order of a hash of their id until the source's
 words are spent, so a source is off by half of one document at most.  The
 order is cut into 4,096 hash buckets per source; words before a bucket come
-from bucket sums, so no task orders a whole source.
+from bucket sums, so most buckets are in or out as a whole and only the one
+that crosses the line is ordered: no task orders a source, and rows of any
+width stay where they are but for that bucket.
 
 Defined results: null text has size 0; the null source is a source of its own
 and comes last; documents of size 0 take 0 words; a source without words has
@@ -32,6 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import checked_broadcast
 from tidemark.operators.sequence import row_index
 from tidemark.session import scratch_path
 
@@ -77,35 +80,48 @@ def newton_rate(size: Column, target: Column) -> Column:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=(3, 1, 2), total_share: float = 1.5, cap: float = 2.0) -> DataFrame:
+        weights=(3, 1, 2), total_share: float = 1.5, cap: float = 2.0, carry: bool = False) -> DataFrame:
     """One row per document: id, source, size, source_size, target, rate,
-    copies and taken (= copies * size)."""
+    copies and taken (= copies * size).  With ``carry`` the rows of ``docs``
+    come back as they are, each repeated as often as the mix takes it."""
     order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     # A key that is never null, in code point order with the null source last.
     skey = F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col)))
-    sizes = _stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), skey.alias("skey"),
-                                words(F.col(text_col)).alias("size"), order.alias("ord")), "mix-sizes")
+    own = {"skey": skey, "size": words(F.col(text_col)), "ord": order, "bucket": F.substring(order, 1, 3)}
+    sizes = _stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                                *[v.alias(k) for k, v in own.items()]), "mix-sizes")
     sources = _stored(sizes.groupBy("skey").agg(F.sum("size").alias("source_size")), "mix-sources")
     pick = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.pmod(F.col("n") - 1, len(weights)) + 1).cast("int"))
     ranked = row_index(sources, [], ["skey"], "n").withColumn("weight", pick).drop("n")
-    solved = _stored(
-        capped_targets(_stored(ranked, "mix-ranked"), total_share, cap)
-        .withColumn("rate", newton_rate(F.col("source_size"), F.col("target")))
-        .withColumn("spare", F.round((F.col("rate") - F.floor("rate")) * F.col("source_size"), 6)), "mix-rates")
-    bucket = F.substring("ord", 1, 3)
+    solved = (capped_targets(_stored(ranked, "mix-ranked"), total_share, cap)
+              .withColumn("rate", newton_rate(F.col("source_size"), F.col("target")))
+              .withColumn("spare", F.round((F.col("rate") - F.floor("rate")) * F.col("source_size"), 6)))
     prior = Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (sizes.groupBy("skey", bucket.alias("bucket")).agg(F.sum("size").alias("n"))
+    buckets = (sizes.groupBy("skey", "bucket").agg(F.sum("size").alias("n"))
                     .withColumn("before", F.coalesce(F.sum("n").over(prior), F.lit(0)))
-                    .drop("n").join(solved, "skey"))
-    inside = (Window.partitionBy("skey", "bucket").orderBy("ord", "doc_id", "size")
-                    .rowsBetween(Window.unboundedPreceding, 0))
-    middle = F.col("before") + F.sum("size").over(inside) - F.col("size") / 2
-    # Bucket sums are a 4,096th of a source at most: the rows move once, by (source, bucket).
-    placed = sizes.withColumn("bucket", bucket).join(buckets, ["skey", "bucket"])
-    copies = (F.floor("rate") + (middle <= F.col("spare")).cast("long")).cast("long")
-    return (placed.withColumn("copies", copies)
-                  .select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
-                          (F.col("copies") * F.col("size")).alias("taken")))
+                    .join(solved.drop("weight"), "skey"))
+    buckets = checked_broadcast(_stored(buckets, "mix-buckets"))
+    mixed = {f"__{k}": v for k, v in own.items()} | {"__id": F.col(id_col)}
+    rows = (docs.withColumns(mixed) if carry else
+            sizes.select("doc_id", "source", *[F.col(k).alias(f"__{k}") for k in own], F.col("doc_id").alias("__id")))
+    facts = ["n", "before", "source_size", "target", "rate", "spare"]
+    rows = rows.join(buckets.select(F.col("skey").alias("__skey"), F.col("bucket").alias("__bucket"),
+                                    *[F.col(f).alias(f"__{f}") for f in facts]), ["__skey", "__bucket"])
+    whole = F.floor("__rate").cast("long")
+    inside = F.col("__before") + F.col("__n") <= F.col("__spare")
+    crossing = ~inside & (F.col("__before") <= F.col("__spare"))
+    running = (Window.partitionBy("__skey", "__bucket").orderBy("__ord", "__id", "__size")
+                     .rowsBetween(Window.unboundedPreceding, 0))
+    middle = F.col("__before") + F.sum("__size").over(running) - F.col("__size") / 2
+    placed = (rows.where(~crossing).withColumn("__copies", whole + inside.cast("long")).unionByName(
+              rows.where(crossing).withColumn("__copies", whole + (middle <= F.col("__spare")).cast("long"))))
+    if carry:
+        # ``sequence`` counts down to 0, so a document that is not taken needs its own filter.
+        taken = placed.where("__copies > 0")
+        return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+    return placed.select("doc_id", "source", *[F.col(f"__{c}").alias(c) for c in
+                                               ("size", "source_size", "target", "rate", "copies")],
+                         (F.col("__copies") * F.col("__size")).alias("taken"))
 
 
 def op6_mixing(spark, sf_dir: str) -> DataFrame:

@@ -65,8 +65,8 @@ def runs_for(recall: float, similarity: float, depth: int = 4) -> int:
 
 
 def _of_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, sig) of every document; node is a digest of the shingle
-    set, null for an empty one."""
+    """(doc_id, text_sha256, node, sig, row) of every document; node is a
+    digest of the shingle set, null for an empty one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", 8 << 20):
@@ -75,10 +75,12 @@ def _of_texts(docs: DataFrame) -> DataFrame:
                 sig = signatures(sets, SIGNATURE).view(np.int32)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * SIGNATURE),
                                                 pa.array(sig.ravel()))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(node, pa.binary()), flat],
-                                                 ["doc_id", "node", "sig"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_sha256"), pa.array(node, pa.binary()),
+                                                  flat], ["doc_id", "text_sha256", "node", "sig"])
 
-    return docs.mapInArrow(run, "doc_id long, node binary, sig array<int>")
+    hashed = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+    return (hashed.mapInArrow(run, "doc_id long, text_sha256 string, node binary, sig array<int>")
+                  .withColumn("row", F.monotonically_increasing_id()))
 
 
 def _sized(steps: DataFrame) -> DataFrame:
@@ -223,12 +225,14 @@ def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
-    """One row per document: doc_id, class_id and n_links."""
+    """One row per document: doc_id, class_id, n_links, kept (one document of
+    each class: that of the smallest id) and text_sha256."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     of = stored(_of_texts(texts), "sets")
     nodes = stored(of.where("node IS NOT NULL").groupBy("node")
-                     .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig")),
-                   "nodes")
+                     .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("keep"),
+                          F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"))
+                     .withColumn("first", F.col("keep.doc_id")), "nodes")
     runs = runs_for(recall, SIMILARITY[0] / SIMILARITY[1])
     small, alike = chosen_paths(nodes, nodes.count(), runs)
     star = alike.join(alike.groupBy("path").agg(F.min("node").alias("b")), "path").select(F.col("node").alias("a"), "b")
@@ -259,16 +263,16 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       .mapInPandas(_counted, "node binary, root binary, links long"), "met")
     linked = met.groupBy("node").agg(F.sum("links").alias("links"))
     clusters = connected_components(met.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    of_class = clusters.join(nodes.select("node", "first"), "node")
-    class_id = of_class.groupBy("root").agg(F.min("first").alias("class_id"))
-    named = clusters.join(class_id, "root").select("node", "class_id")
-    known = (nodes.select("node", "first", "copies").join(linked, "node", "left").join(named, "node", "left")
+    of_class = clusters.join(nodes.select("node", "keep"), "node").groupBy("root").agg(F.min("keep").alias("best"))
+    named = clusters.join(of_class, "root").select("node", "best")
+    known = (nodes.select("node", "keep", "copies").join(linked, "node", "left").join(named, "node", "left")
                   .where("copies > 1 OR links > 0")
-                  .select("node", F.when(F.col("links") > 0, F.col("class_id")).otherwise(F.col("first")).alias("class_id"),
+                  .select("node", F.when(F.col("links") > 0, F.col("best")).otherwise(F.col("keep")).alias("best"),
                           (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    return of.select("doc_id", "node").join(stored(known, "known"), "node", "left").select(
-        "doc_id", F.when(F.col("n_links").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return of.select("doc_id", "text_sha256", "node", "row").join(stored(known, "known"), "node", "left").select(
+        "doc_id", F.when(F.col("n_links").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce(F.col("best.row") == F.col("row"), F.lit(True)).alias("kept"), "text_sha256")
 
 
 def op7_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -53,14 +53,19 @@ def byte_chars() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def token_bytes(spec: dict) -> dict[int, bytes]:
+    """The bytes that each id of a parsed vocabulary file stands for."""
+    chars = byte_chars()
+    raw = {i: bytes(chars[c] for c in t) for t, i in spec["model"]["vocab"].items() if all(c in chars for c in t)}
+    return raw | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+
+
 class Vocabulary:
     """Tokens, merge ranks and the automaton of one vocabulary file's text."""
 
     def __init__(self, text: str):
         spec = json.loads(text)
-        chars = byte_chars()
-        self.raw = {i: bytes(chars[c] for c in t) for t, i in spec["model"]["vocab"].items()
-                    if all(c in chars for c in t)}
+        self.raw = token_bytes(spec)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ids = spec["model"]["vocab"]
         self.pair_rank: dict[tuple[int, int], int] = {}
@@ -78,8 +83,6 @@ class Vocabulary:
             if i not in special and self._canonical(i):
                 self.automaton.add_word(b.decode("latin-1"), (len(b), i))
         self.automaton.make_automaton()
-        for content, i in self.special.items():
-            self.raw[i] = content.encode()
         self.split = regex.compile(SPLIT)
         marks = "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))
         self.marks = regex.compile(f"({marks})") if marks else None
@@ -153,7 +156,7 @@ def _vocabulary(text: str) -> Vocabulary:
 
 @lru_cache(maxsize=2)
 def _token_bytes(text: str) -> pa.Array:
-    raw = _vocabulary(text).raw
+    raw = token_bytes(json.loads(text))
     return pa.array([raw.get(i, b"") for i in range(max(raw) + 1)], pa.binary())
 
 

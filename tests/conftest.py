@@ -12,7 +12,8 @@ sys.path.insert(0, ROOT)
 def spark():
     from tidemark.session import build_session
 
-    s = build_session("local[4]", app="tidemark-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="tidemark-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp")})
     yield s
     s.stop()
 

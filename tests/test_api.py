@@ -10,7 +10,7 @@ NOW = "2024-06-01 00:00:00"
 
 
 def seeded_store(spark, scratch):
-    store = api.LogStore(spark, os.path.join(scratch, "logs"), buckets=4, prefix="t_api")
+    store = api.LogStore(spark, os.path.join(scratch, "logs"))
     ts = lambda s: F.lit(s).cast("timestamp_ntz")
     runs = spark.createDataFrame([("r1", "2024-01-01 00:00:00", "2024-01-01 00:00:03", "RAW", "COMPLETED", None),
                                   ("r2", "2024-01-02 00:00:00", None, "RAW", "RUNNING", None),
@@ -61,3 +61,15 @@ def test_post_routes_are_idempotent(spark, scratch):
     again = api.create_fallback_event(store, "GameSchema", 10, 5, now=NOW, seq=5).first()
     assert ev["event_id"] == again["event_id"] and ev["status"] == "PENDING"
     assert [r["event_id"] for r in api.fallback_events(store).collect()] == [ev["event_id"]]
+    later = api.create_fallback_event(store, "GameSchema", 10, 5, now="2024-06-02 00:00:00", seq=6).first()
+    assert later["event_id"] != ev["event_id"] and api.fallback_events(store, sort_by="created_at").count() == 2
+
+
+def test_inserts_leave_rows_alone_and_search_sees_all(spark, scratch):
+    store = seeded_store(spark, scratch)
+    again = store.read("ingestion_runs").where("run_id = 'r1'").withColumn("status", F.lit("RUNNING"))
+    store.insert("ingestion_runs", again, seq=9)
+    assert {r["run_id"]: r["status"] for r in api.runs(store).collect()}["r1"] == "COMPLETED"
+    assert [r["run_id"] for r in api.runs(store, limit=1, q="completed").collect()] == ["r1"]
+    assert [r["run_id"] for r in api.runs(store, limit=2, sort_by="run_id").collect()] == ["r1", "r2"]
+    assert [r["table_name"] for r in api.checkpoints(store, sort_by="last_id").collect()] == ["GenreSchema", "GameSchema"]

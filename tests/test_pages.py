@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidemark.contracts import CONTRACTS, registry_frame
+from tidemark.contracts import CONTRACTS, columns_frame, registry_frame
 from tidemark.operators import merge, progress, quality
 from tidemark.plans import load
 from tidemark.sources import landing
@@ -64,7 +64,7 @@ def test_bad_records_are_quarantined_one_by_one(spark, scratch):
     assert good.count() + bad.count() == len(page)
     # the source system's table-level verdict: the table fails
     verdict = quality.table_failures(flagged.withColumn("table_name", F.lit("GameSchema"))).first()
-    assert verdict["table_fails"] and verdict["bad_records"] == 6
+    assert verdict["table_fails"] and verdict["bad_records"] == 2   # no id, null updated_at
 
 
 def test_empty_page_and_missing_folder(spark, scratch):
@@ -86,7 +86,7 @@ def test_new_column_reported(spark, scratch):
     observed = quality.observed_keys(raw.withColumn("table_name", F.lit("GameSchema")))
     new = quality.new_columns(observed, registry_frame(spark)).collect()
     assert [(r["column_name"], r["data_type"], r["records"]) for r in new] == [("zz", "integer", 1)]
-    drift = quality.drift_rows(observed, registry_frame(spark), run_id=F.lit("r1"),
+    drift = quality.drift_rows(observed, registry_frame(spark), columns_frame(spark), run_id=F.lit("r1"),
                                detected_at=F.current_timestamp()).collect()
     assert len(drift) == 1 and drift[0]["status"] == "NEW_COLUMN" and drift[0]["changed_columns"] == ["zz"]
     assert drift[0]["included_at"] is None

@@ -7,22 +7,19 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import progress
-from tidemark.operators.sequence import row_index, running_max
+from tidemark.operators.sequence import row_index
 
 
-def model(rows, size, wrap, cursor, last_id, start_offset=0):
+def model(rows, size, wrap, cursor, last_id):
     """rows: (ts, id) of one table, all >= cursor.  One output per page
-    plus the terminal empty page when the table ends on a page boundary.
-    A resumed table skips its first ``start_offset`` rows and starts at page
-    ``start_offset // size``."""
-    rows = sorted(rows)[start_offset:]   # already landed before the interruption
+    plus the terminal empty page when the table ends on a page boundary."""
+    rows = sorted(rows)
     max_seen, lid, block_cursor = cursor, last_id, cursor
-    p0 = start_offset // size
-    out, p = [], p0
+    out, p = [], 0
     while True:
-        chunk = rows[(p - p0) * size:(p - p0 + 1) * size]
+        chunk = rows[p * size:(p + 1) * size]
         offset = (p * size) % wrap
-        if offset == 0 and p > p0:
+        if offset == 0 and p > 0:
             block_cursor = max_seen
         if not chunk:
             out.append((p, offset, block_cursor, 0, max_seen, lid, True))
@@ -111,16 +108,6 @@ def test_row_index_with_fully_tied_keys(spark):
     assert tuple(got) == (1, 300, 300)
 
 
-def test_running_max_matches_window(spark):
-    df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") / 3).cast("long").alias("seq"),
-                                  ((F.col("id") * 7919) % 1013).alias("v"))
-    ours = running_max(df, "g", "seq", F.col("v"), "m", chunk=16)
-    ref = df.withColumn("m", F.max("v").over(Window.partitionBy("g").orderBy("seq")
-                                             .rowsBetween(Window.unboundedPreceding, 0)))
-    assert sorted(tuple(r) for r in ours.select("g", "seq", "m").collect()) == \
-        sorted(tuple(r) for r in ref.select("g", "seq", "m").collect())
-
-
 def test_hot_group_is_split_across_ranges(spark):
     """One table holds a third of the rows, all at the same second: the range
     shuffle still spreads it (the row-index tie-breaker keeps keys unique)."""
@@ -151,24 +138,26 @@ def test_hot_group_is_split_across_ranges(spark):
     assert len(captured["sizes"]) >= 2 and max(captured["sizes"]) < n // 3
 
 
-def test_resumed_table_continues_after_stored_offset(spark):
+def test_stored_offset_never_skips_rows(spark):
+    """A table interrupted at an offset is read from its cursor again, so rows
+    that moved since are not lost."""
+    from tidemark.operators import select
     src = make_source(spark, {"A": 67, "B": 60})
-    work = spark.createDataFrame([("A", 1000, 0, 30), ("B", 1000, 0, 40)],
+    work = spark.createDataFrame([("A", 1000, None, 30), ("B", 1010, 4, None)],
                                  "table_name string, cursor long, last_id long, offset_val int")
-    sel = src.join(work, "table_name").where(F.col("updated_at") >= F.col("cursor"))
-    pages = progress.page_summary(progress.assign_pages(sel, page_size=10, wrap=50, start_offset="offset_val"),
-                                  work, page_size=10, wrap=50)
-    got = {}
+    sel = select.incremental_select(src, work)
+    pages = progress.page_summary(progress.assign_pages(sel, page_size=10, wrap=50), work.fillna(0), page_size=10, wrap=50)
+    got, local = {}, {"A": [], "B": []}
     for r in pages.collect():
         got.setdefault(r["table_name"], []).append(
             (r["page_no"], r["offset_value"], r["cursor_value"], r["records"], r["running_watermark"],
              r["running_last_id"], r["is_last"]))
-    local = {"A": [], "B": []}
     for r in sel.collect():
         local[r["table_name"]].append((r["updated_at"], r["id"]))
-    assert sorted(got["A"]) == model(local["A"], 10, 50, 1000, 0, 30)
-    assert sorted(got["B"]) == model(local["B"], 10, 50, 1000, 0, 40)
-    assert min(p[0] for p in got["A"]) == 3 and sorted(got["B"])[-1][:2] == (6, 10)
+        assert r["last_id"] == {"A": 0, "B": 4}[r["table_name"]] and r["offset_val"] == {"A": 30, "B": 0}[r["table_name"]]
+    assert len(local["A"]) == 67 and len(local["B"]) == 30
+    assert sorted(got["A"]) == model(local["A"], 10, 50, 1000, 0)
+    assert sorted(got["B"]) == model(local["B"], 10, 50, 1010, 4)
 
 
 def test_fixture_sizes_with_real_constants(spark):

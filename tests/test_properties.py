@@ -99,7 +99,7 @@ def test_page_summary_matches_loop_model(spark, tables_spec):
         src = src.unionByName(p)
     work = spark.createDataFrame(work_rows, "table_name string, cursor long, last_id long, offset_val int")
     sel = src.join(work, "table_name").where(F.col("updated_at") >= F.col("cursor"))
-    pages = progress.page_summary(progress.assign_pages(sel, page_size=size, wrap=wrap, start_offset="offset_val"),
+    pages = progress.page_summary(progress.assign_pages(sel, page_size=size, wrap=wrap),
                                   work, page_size=size, wrap=wrap)
     got = {}
     for r in pages.collect():
@@ -110,4 +110,4 @@ def test_page_summary_matches_loop_model(spark, tables_spec):
     for r in sel.collect():
         rows[r["table_name"]].append((r["updated_at"], r["id"]))
     for t, cur, lid, off in work_rows:
-        assert sorted(got[t]) == model(rows[t], size, wrap, cur, lid, off), t
+        assert sorted(got[t]) == model(rows[t], size, wrap, cur, lid), t

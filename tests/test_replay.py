@@ -58,17 +58,23 @@ def test_in_progress_keeps_end_time_null(spark):
     assert out["e2"]["completed_at"] is not None
 
 
-def test_binned_range_join_equals_broadcast(spark):
-    src = source(spark)
-    ev = events(spark).select("event_id", "table_name", "start_watermark", "end_watermark")
-    small = range_join(src, ev, key="table_name", point="updated_at", start="start_watermark", end="end_watermark")
-    binned = range_join(src, ev, key="table_name", point="updated_at", start="start_watermark", end="end_watermark",
-                        bin_size=7, max_broadcast_rows=0)
-    pick = [F.col("__w.event_id").alias("e"), F.col("__l.id").alias("i")]
-    assert sorted(tuple(r) for r in small.select(*pick).collect()) == \
-        sorted(tuple(r) for r in binned.select(*pick).collect())
-    plan = binned.select(*pick)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" not in plan
+def test_range_join_matches_all_pairs(spark):
+    import random
+    rng = random.Random(9)
+    wins = [(f"w{i}", rng.choice("AB"), a, a + rng.choice([-3, 0, 1, 3, 4, 15, 16, 17, 300, 5000, 2 ** 62]))
+            for i, a in enumerate(rng.randint(-500, 900) for _ in range(120))] + [("n", "A", None, 5), ("m", None, 1, 5)]
+    rows = [(i, rng.choice("AABC"), rng.randint(-600, 1500)) for i in range(700)] + [(9999, "A", None)]
+    src = spark.createDataFrame(rows, "id long, table_name string, updated_at long")
+    ev = spark.createDataFrame(wins, "event_id string, table_name string, start_watermark long, end_watermark long")
+    out = range_join(src, ev, key="table_name", point="updated_at", start="start_watermark", end="end_watermark")
+    want = sorted((w, i) for w, t, a, b in wins for i, s, p in rows
+                  if t == s and None not in (a, p) and a <= p <= b)
+    got = out.select(F.col("__w.event_id").alias("e"), F.col("__l.id").alias("i"))
+    assert sorted(tuple(r) for r in got.collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    none = range_join(src, ev.limit(0), key="table_name", point="updated_at", start="start_watermark", end="end_watermark")
+    assert none.count() == 0
 
 
 def test_known_unknown_split(spark):
@@ -77,15 +83,3 @@ def test_known_unknown_split(spark):
     known = {r["event_id"] for r in select.known_events(ev, reg).collect()}
     unknown = {r["event_id"] for r in select.unknown_events(ev, reg).collect()}
     assert unknown == {"e5"} and known | unknown == {f"e{i}" for i in range(1, 8)}
-
-
-def test_binned_path_with_an_open_ended_window(spark):
-    src = source(spark)
-    ev = spark.createDataFrame([("wide", "GameSchema", 0, 2 ** 62), ("narrow", "GameSchema", 105, 109)],
-                               "event_id string, table_name string, start_watermark long, end_watermark long")
-    out = range_join(src, ev, key="table_name", point="updated_at", start="start_watermark", end="end_watermark",
-                     bin_size=7, max_bins=100, max_broadcast_rows=0)
-    got = {}
-    for r in out.select(F.col("__w.event_id").alias("e"), F.col("__l.id").alias("i")).collect():
-        got.setdefault(r["e"], set()).add(r["i"])
-    assert got["narrow"] == set(range(5, 10)) and got["wide"] == set(range(20))

@@ -1,10 +1,9 @@
-"""Control-frame helpers: literal frames, checked broadcasts, frozen control
-tables, the checkpoint folder."""
+"""Control-frame helpers: literal frames, checked broadcasts, the checkpoint
+folder."""
 
-import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import checked_broadcast, freeze_control
+from tidemark.operators.joins import checked_broadcast
 from tidemark.session import checkpoint_dir, literal_frame
 
 
@@ -28,13 +27,6 @@ def test_checked_broadcast_respects_the_bound(spark):
     assert "strategy=broadcast" in ok._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_freeze_control_refuses_data_sized_tables(spark):
-    frozen = freeze_control(spark.range(3).withColumn("t", F.col("id").cast("string")))
-    assert sorted(r["id"] for r in frozen.collect()) == [0, 1, 2]
-    with pytest.raises(ValueError):
-        freeze_control(spark.range(20), max_rows=10)
-
-
 def test_checkpoint_dir_is_read_from_the_session(spark):
     d = checkpoint_dir(spark)
     assert d and d == spark.sparkContext.getCheckpointDir()

@@ -31,7 +31,7 @@ def test_stream_equals_batch_and_resumes(spark, scratch):
     batch = load.load_pages(landing.read_pages(spark, base), GENRE).table
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
     assert {r["id"]: r["name"] for r in streamed.collect()} == {1: "a2", 2: "b"}
-    assert spark.read.parquet(paths.quarantine).count() == 1
+    assert paths.quarantine_log().latest(spark).count() == 1
     # a new page lands; the restarted stream reads only it
     landing.write_pages(pages(spark, [("/genres", 8, 0, '{"id":2,"name":"b2","updated_at":9}')]), base)
     n2 = landing_stream.run_landing_stream(spark, GENRE, paths, max_files_per_trigger=1)
@@ -85,7 +85,7 @@ def test_restart_after_failed_batch(spark, scratch, monkeypatch):
     landing_stream.run_landing_stream(spark, GENRE, paths, max_files_per_trigger=1)
     table = landing_stream.current_table(spark, paths, GENRE)
     assert sorted(r["id"] for r in table.collect()) == sorted(int(r[3].split(",")[0].split(":")[1]) for r in rows)
-    assert spark.read.parquet(paths.target).count() > table.count()   # the replayed append is there, and hidden
+    assert paths.target_log(GENRE).versions(spark).count() > table.count()   # the replayed append is there, and hidden
 
 
 def test_block_layout_matches_page_layout(spark, scratch):

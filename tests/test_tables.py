@@ -56,11 +56,12 @@ def test_create_log_tables_and_not_null(spark, scratch):
 
 def test_mark_included(spark):
     hist = spark.createDataFrame(
-        [("GameSchema", "h1", ["rating"], None), ("GameSchema", "h2", ["zz"], None)],
-        "table_name string, schema_hash string, changed_columns array<string>, included_at timestamp_ntz")
+        [("GameSchema", "h1", ["rating"], None, "NEW_COLUMN"), ("GameSchema", "h2", ["zz"], None, "NEW_COLUMN"),
+         ("GameSchema", "h3", ["name"], None, "BREAKING_CHANGE")],
+        "table_name string, schema_hash string, changed_columns array<string>, included_at timestamp_ntz, status string")
     now = F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")
     out = {r["schema_hash"]: r["included_at"] for r in quality.mark_included(hist, registry_frame(spark), now).collect()}
-    assert out["h1"] is not None and out["h2"] is None
+    assert out["h1"] is not None and out["h2"] is None and out["h3"] is None
 
 
 def test_scalars(spark):
@@ -102,24 +103,59 @@ def test_replace_drops_untouched_partitions(spark, scratch):
     assert sorted(r["id"] for r in tables.read_table(spark, p).collect()) == [3]
 
 
-def test_keyed_log_reads_latest_without_shuffle(spark, scratch):
-    log = tables.KeyedLog("t_keyed_log_" + os.path.basename(scratch).replace("-", "_"),
-                          os.path.join(scratch, "k"), "id", 4)
-    v1 = spark.createDataFrame([(1, "a", 10), (2, "b", 10)], "id long, v string, updated_at long")
-    v2 = spark.createDataFrame([(1, "a2", 11)], "id long, v string, updated_at long")
+def test_keyed_log_survives_restarts(spark, scratch):
+    """Two paths that share a long tail, another number of shuffle partitions,
+    a retried append, another key, and compaction."""
+    tail = "x" * 60 + "/k"
+    log, twin = (tables.KeyedLog(os.path.join(scratch, d, tail), "id") for d in ("one", "two"))
+    v1 = spark.range(1000).select("id", F.lit("a").alias("v"), F.lit(10).alias("updated_at"))
+    v2 = v1.where("id < 300").select("id", F.lit("b").alias("v"), F.lit(11).alias("updated_at"))
     log.append(v1, changed_at=F.lit("2024-01-01").cast("timestamp_ntz"), seq=1)
-    log.append(v2, changed_at=F.lit("2024-01-02").cast("timestamp_ntz"), seq=2)
-    log.append(v2, changed_at=F.lit("2024-01-02").cast("timestamp_ntz"), seq=2)   # retried
-    latest = log.latest(spark, ["updated_at"])
-    assert {r["id"]: r["v"] for r in latest.collect()} == {1: "a2", 2: "b"}
-    plan = latest._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Bucketed: true" in plan
-    # a new session catalog re-attaches the files with their bucketing
-    spark.sql(f"DROP TABLE {log.name}")   # external table: files stay
-    assert {r["id"]: r["v"] for r in log.latest(spark, ["updated_at"]).collect()} == {1: "a2", 2: "b"}
-    other = tables.KeyedLog(log.name + "_c", os.path.join(scratch, "k2"), "id", 4)
-    log.compact_into(spark, other, ["updated_at"])
-    assert spark.table(other.name).count() == 2
+    assert not twin.exists(spark)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    try:
+        again = tables.KeyedLog(log.path, "id")
+        for _ in range(2):
+            again.append(v2, changed_at=F.lit("2024-01-02").cast("timestamp_ntz"), seq=2)
+        rows = again.latest(spark, ["updated_at"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(rows) == 1000 and sum(r["v"] == "b" for r in rows) == 300
+    with pytest.raises(ValueError):
+        tables.KeyedLog(log.path, ["id", "v"]).latest(spark)
+    with pytest.raises(FileNotFoundError):
+        twin.latest(spark)
+    log.compact_into(spark, twin, ["updated_at"])
+    assert twin.versions(spark).count() == 1000
+    with pytest.raises(ValueError):
+        log.compact_into(spark, log)
+
+
+def test_two_updates_of_one_key_keep_one_row(spark):
+    from tidemark.operators import merge
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (3, "z")], "id long, v string")
+    out = merge.keyed_update(target, twice, "id", {"v": F.col("u__v")})
+    assert sorted(map(tuple, out.collect())) == [(1, "y"), (2, "b")]
+    up = merge.upsert_columns(target, twice, "id", ["v"])
+    assert sorted(map(tuple, up.collect())) == [(1, "y"), (2, "b"), (3, "z")]
+
+
+def test_aliased_fields(spark):
+    from pyspark.sql import types as T
+
+    from tidemark.contracts import Contract, FieldSpec
+    c = Contract(name="T", endpoint="/t", fields=(
+        FieldSpec("id", T.LongType(), True), FieldSpec("updated_at", T.LongType(), False),
+        FieldSpec("kind", T.StringType(), True, alias="type")))
+    raw = spark.createDataFrame([("T", '{"id":1,"updated_at":2,"type":"x"}'), ("T", '{"id":1,"updated_at":2}')],
+                                "table_name string, raw string")
+    flagged = quality.flag_records(quality.parse_records(raw, c), c)
+    assert sorted(str(r["quality_issue"]) for r in flagged.collect()) == ["None", "missing_kind"]
+    good, _ = quality.split_good_quarantine(flagged, c)
+    assert good.select("kind").first()[0] == "x"
+    assert quality.new_columns(quality.observed_keys(raw), registry_frame(spark, {"T": c})).count() == 0
 
 
 def test_small_helpers(spark):

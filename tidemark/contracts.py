@@ -109,9 +109,6 @@ class Contract:
         quality finding (Q1/Q3) rather than a parse failure."""
         return T.StructType([T.StructField(f.source_name, f.dtype, True) for f in self.fields])
 
-    def ddl(self) -> str:
-        return self.schema().simpleString()[len("struct<"):-1]
-
     # -- P1 / F13 --------------------------------------------------------
     def projection(self) -> list[Column]:
         """Declared fields under their declared names, list fields defaulted
@@ -124,17 +121,18 @@ class Contract:
             cols.append(c.alias(f.name))
         return cols
 
+    def parsed(self) -> list[Column]:
+        """The fields of a parsed record, which carry their declared names
+        already, with F13's list default."""
+        return [F.coalesce(F.col(f.name), F.array().cast(f.dtype)).alias(f.name) if f.is_list else F.col(f.name)
+                for f in self.fields]
+
     # -- F7 ---------------------------------------------------------------
     def signature(self) -> str:
         """SHA-256 of the space-joined declared names (names only, order
         sensitive)."""
         return hashlib.sha256(" ".join(self.source_names).encode()).hexdigest()
 
-    @property
-    def endpoint_dir(self) -> str:
-        """Endpoint as a partition value (no leading slash)."""
-        return self.endpoint.lstrip("/")
-
 
 def _parse_fields(text: str) -> tuple[FieldSpec, ...]:
     out = []
@@ -163,7 +161,8 @@ def registry_frame(spark: SparkSession, contracts: dict[str, Contract] | None =
     page_size, schema_hash, declared_columns.  Bounded by the number of
     declared contracts, so it is always safe to broadcast."""
     contracts = contracts or CONTRACTS
-    rows = [(c.name, c.endpoint, c.start, c.page_size, c.signature(), c.names, c.required)
+    rows = [(c.name, c.endpoint, c.start, c.page_size, c.signature(), c.source_names,
+             [f.source_name for f in c.fields if f.required])
             for c in contracts.values()]
     schema = ("table_name string, endpoint string, start_watermark bigint, page_size int, "
               "schema_hash string, declared_columns array<string>, required_columns array<string>")
@@ -177,7 +176,7 @@ def columns_frame(spark: SparkSession, contracts: dict[str, Contract] | None = N
     """One row per declared column: table_name, column_name, position,
     data_type (Spark DDL), json_family, required.  Bounded by the contracts."""
     contracts = contracts or CONTRACTS
-    rows = [(c.name, f.name, i, f.dtype.simpleString(), _FAMILY.get(f.dtype.simpleString(), "object"), f.required)
+    rows = [(c.name, f.source_name, i, f.dtype.simpleString(), _FAMILY.get(f.dtype.simpleString(), "object"), f.required)
             for c in contracts.values() for i, f in enumerate(c.fields)]
     return literal_frame(spark, rows, "table_name string, column_name string, position int, data_type string, "
                                       "json_family string, required boolean")

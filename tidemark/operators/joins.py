@@ -3,13 +3,12 @@
 Spark's planner broadcasts on size estimates; for the few joins where the
 engine knows a side is a bounded control table (contracts, checkpoints,
 replay windows, per-partition spans) we broadcast explicitly, but only after
-counting it.  Above the bound the caller gets the shuffle plan instead, with a
-binning key for range conditions so no single key lands on one task.
+counting it.  Above the bound the caller gets the shuffle plan instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows a side may hold to be broadcast by the engine itself.  Control tables
@@ -27,53 +26,37 @@ def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     return F.broadcast(small) if n <= max_rows else small
 
 
-def freeze_control(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Collect a bounded control table (one row per contract, checkpoint or
-    request) and rebuild it from literals, so that every later use is a
-    local scan instead of re-running the joins that produced it.  Refuses
-    tables above ``max_rows``: those are data, not control state."""
-    from tidemark.session import literal_frame
+#: Window lengths are rounded up to powers of this many seconds.
+_STEP = 4
 
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"control table has more than {max_rows} rows; keep it distributed")
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return literal_frame(df.sparkSession, [tuple(r) for r in rows], ddl)
 
-
-def range_join(left: DataFrame, windows: DataFrame, *, key: str, point: str, start: str, end: str,
-               bin_size: int = 86_400 * 30, max_bins: int = 4096,
-               max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def range_join(left: DataFrame, windows: DataFrame, *, key: str, point: str, start: str, end: str) -> DataFrame:
     """Pairs (left row, window) with the same ``key`` and ``point`` inside
     the window's closed interval ``[start, end]``, as two struct columns
     ``__l`` and ``__w`` (select ``__l.<col>`` / ``__w.<col>``).
 
-    Small window tables are broadcast: a broadcast hash join on ``key`` with
-    the range as residual, no shuffle of ``left``.  Large ones are joined on
-    ``(key, bin)``: each window is exploded into the fixed-width bins it
-    covers, so a key holding a third of all rows still spreads over many
-    bins and tasks.  Windows spanning more than ``max_bins`` bins (an
-    open-ended end, say) would explode; they take a key join of their own
-    (broadcast when few)."""
-    lcols, wcols = left.columns, windows.columns
-
-    def pack(joined: DataFrame) -> DataFrame:
-        return joined.select(F.struct(*[F.col(f"__l.{c}").alias(c) for c in lcols]).alias("__l"),
-                             F.struct(*[F.col(f"__w.{c}").alias(c) for c in wcols]).alias("__w"))
-
-    in_range = (F.col(f"__l.{point}") >= F.col(f"__w.{start}")) & (F.col(f"__l.{point}") <= F.col(f"__w.{end}"))
-    same_key = F.col(f"__l.{key}") == F.col(f"__w.{key}")
-    n = windows.limit(max_broadcast_rows + 1).count()
-    if n <= max_broadcast_rows:
-        return pack(left.alias("__l").join(F.broadcast(windows).alias("__w"), same_key & in_range, "inner"))
-    b = F.lit(bin_size)
-    first_bin = F.floor(F.col(start) / b)
-    last_bin = F.floor(F.greatest(F.col(start), F.col(end)) / b)
-    narrow = (windows.where(last_bin - first_bin < max_bins)
-                     .withColumn("__bin", F.explode(F.sequence(first_bin, last_bin))))
-    wide = windows.where(last_bin - first_bin >= max_bins)
-    lb = left.withColumn("__bin", F.floor(F.col(point) / b)).alias("__l")
-    binned = lb.join(narrow.alias("__w"), same_key & (F.col("__l.__bin") == F.col("__w.__bin")) & in_range, "inner")
-    by_key = left.alias("__l").join(checked_broadcast(wide, max_broadcast_rows).alias("__w"), same_key & in_range,
-                                    "inner")
-    return pack(binned).unionByName(pack(by_key))
+    Every window goes to the level of its length (a power of four) and covers
+    at most two bins of that width; every left row looks in one bin of each
+    level that occurs.  The join is an equi-join on (key, level, bin) with the
+    interval as a residual, whatever the number and length of the windows: no
+    pairs outside of a bin are compared, a window of any length takes two rows
+    at most, and a key with many rows spreads over its bins.  The levels (some
+    thirty at most, as lengths are 64-bit) are read once to plan."""
+    length = F.greatest(F.col(end) - F.col(start), F.lit(0)).cast("double") + 1
+    level = F.least(F.ceil(F.log(float(_STEP), length)), F.lit(31)).cast("int")
+    width = lambda lv: F.pow(F.lit(_STEP), lv).cast("long")
+    bin_of = lambda x, w: x - F.pmod(x, w)  # noqa: E731  (where the bin starts)
+    w = (windows.where(F.col(end) >= F.col(start))
+                .select(F.struct(*windows.columns).alias("__w"), level.alias("__level"))
+                .withColumn("__width", width(F.col("__level"))))
+    levels = sorted(r[0] for r in w.select("__level").distinct().collect())
+    first, last = (bin_of(F.col(f"__w.{c}").cast("long"), F.col("__width")) for c in (start, end))
+    binned = (w.withColumn("__bin", F.explode(F.sequence(first, last, F.col("__width"))))
+               .withColumn("__key", F.col(f"__w.{key}")).drop("__width"))
+    looks = F.array(*[F.lit(lv) for lv in levels]).cast("array<int>")
+    rows = (left.select(F.struct(*left.columns).alias("__l"))
+                .withColumn("__level", F.explode(looks))
+                .withColumn("__bin", bin_of(F.col(f"__l.{point}").cast("long"), width(F.col("__level"))))
+                .withColumn("__key", F.col(f"__l.{key}")))
+    inside = (F.col(f"__l.{point}") >= F.col(f"__w.{start}")) & (F.col(f"__l.{point}") <= F.col(f"__w.{end}"))
+    return rows.join(binned, ["__key", "__level", "__bin"]).where(inside).select("__l", "__w")

@@ -42,9 +42,8 @@ def upsert_latest(target: DataFrame, batch: DataFrame, key, order: str = "update
     ``order``; on a tie the incoming row wins.  Applying the same batch twice
     gives the same table (idempotent under re-reads).
 
-    This form re-aggregates the whole target; for a large stored target,
-    append the batch to its ``sources.tables.KeyedLog`` instead, whose
-    bucketed read computes the same latest rows without a shuffle."""
+    This form re-aggregates the whole target; a stored target takes the batch
+    as an append to its ``sources.tables.KeyedLog`` instead."""
     cols = target.columns
     t = target.withColumn("__incoming", F.lit(0))
     b = batch.select(*cols).withColumn("__incoming", F.lit(1))
@@ -54,10 +53,6 @@ def upsert_latest(target: DataFrame, batch: DataFrame, key, order: str = "update
 
 
 # -- M1 / M4 ----------------------------------------------------------------------------
-# New keys up to this count are broadcast to probe the target.
-INSERT_PROBE_MAX = 100_000
-
-
 def insert_if_absent(target: DataFrame, new_rows: DataFrame, key, *, order: list[str] | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING``: rows of ``new_rows`` whose key
     is not in ``target`` are appended; among new rows sharing a key the first
@@ -72,27 +67,30 @@ def insert_if_absent(target: DataFrame, new_rows: DataFrame, key, *, order: list
                      .agg(F.min(F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(ordering)],
                                          F.struct(*[F.col(c) for c in rest]).alias("__row"))).alias("__m"))
                      .select(*keys, *[F.col(f"__m.__row.{c}").alias(c) for c in rest]))
-    # A small batch (checked) probes the target with its keys broadcast, so
-    # the large target is scanned but never shuffled; a large batch uses a
-    # shuffle anti-join (AQE splits skewed partitions).
-    small = first.select(*keys).limit(INSERT_PROBE_MAX + 1).count() <= INSERT_PROBE_MAX
-    if small:
-        existing = target.select(*keys).join(F.broadcast(first.select(*keys)), keys, "left_semi")
-        fresh = first.join(existing, keys, "left_anti")
-    else:
-        fresh = first.join(target.select(*keys), keys, "left_anti")
-    return target.unionByName(fresh.select(*cols))
+    # The keys that are there already come from a semi-join, whose small side
+    # the planner broadcasts by its measured size: a small batch does not
+    # shuffle the target.
+    there = target.select(*keys).join(first.select(*keys), keys, "left_semi").distinct()
+    return target.unionByName(first.join(there, keys, "left_anti").select(*cols))
 
 
 # -- M2 / M7b ---------------------------------------------------------------------------
+def one_per_key(rows: DataFrame, key) -> DataFrame:
+    """One row per key, the greatest by its remaining columns: two updates of
+    one key must not double the row they update."""
+    keys = _keys(key)
+    rest = [c for c in rows.columns if c not in keys]
+    return latest_per_key(rows, keys, rest, keep=rest) if rest else rows.distinct()
+
+
 def keyed_update(target: DataFrame, updates: DataFrame, key, set_cols: dict[str, Column]) -> DataFrame:
     """``UPDATE target SET c = expr WHERE key = updates.key``.
 
-    ``updates`` holds at most one row per key; ``set_cols`` maps a target
-    column to a Column over the current row (its own names) and the update
+    Of several updates of one key the greatest row counts (``one_per_key``);
+    ``set_cols`` maps a target column to a Column over the current row (its own names) and the update
     row (names prefixed ``u__``).  Unmatched updates change nothing."""
     keys = _keys(key)
-    u = updates.withColumn("__matched", F.lit(True))
+    u = one_per_key(updates, keys).withColumn("__matched", F.lit(True))
     u = u.select(*[F.col(c).alias(f"u__{c}") if c not in keys else F.col(c) for c in u.columns])
     joined = target.join(u, keys, "left")
     matched = F.col("u____matched").isNotNull()
@@ -127,10 +125,11 @@ def upsert_columns(target: DataFrame, incoming: DataFrame, key, columns: list[st
 
     Existing rows take the listed columns from ``incoming`` and keep the
     others; new keys take the listed columns and ``defaults`` (or null) for
-    the rest.  One row per key in ``incoming``."""
+    the rest.  Of several incoming rows of one key the greatest counts."""
     keys = _keys(key)
     defaults = defaults or {}
-    inc = incoming.select(*keys, *[F.col(c).alias(f"i__{c}") for c in columns]).withColumn("__in", F.lit(True))
+    inc = one_per_key(incoming.select(*keys, *columns), keys)
+    inc = inc.select(*keys, *[F.col(c).alias(f"i__{c}") for c in columns]).withColumn("__in", F.lit(True))
     cur = target.withColumn("__cur", F.lit(True))
     joined = cur.join(inc, keys, "full_outer")
     out = []
@@ -168,12 +167,13 @@ def event_state_change(events: DataFrame, changes: DataFrame, now: Column) -> Da
 # -- M7 ---------------------------------------------------------------------------------
 def new_events(requests: DataFrame, created_at: Column, id_cols: list[str]) -> DataFrame:
     """Replay-event rows from requests (table_name, layer, start_watermark,
-    end_watermark): PENDING, zero records, an id derived from the request so
-    that re-submitting it is idempotent.  No start <= end check, as in the
-    source system."""
+    end_watermark): PENDING, zero records, an id derived from ``id_cols`` and
+    the time of the request, so that a retry of one request is idempotent and
+    a later request for the same window is an event of its own.  No start <=
+    end check, as in the source system."""
     from tidemark.functions.scalars import natural_uuid
     return requests.select(
-        natural_uuid(*id_cols).alias("event_id"), "table_name",
+        natural_uuid(*id_cols, created_at).alias("event_id"), "table_name",
         F.coalesce(F.col("layer"), F.lit("RAW")).alias("layer"),
         F.col("start_watermark").cast("long").alias("start_watermark"),
         F.col("end_watermark").cast("long").alias("end_watermark"),

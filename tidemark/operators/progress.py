@@ -5,22 +5,23 @@ loop variables.  Here the whole selection is numbered once in
 ``(updated_at, id)`` order (keyset order, no overlapping re-reads) and every
 per-page quantity is a grouped aggregate over that numbering:
 
-* page = (row - 1) div page_size (+ the stored offset of a resumed table);
+* page = (row - 1) div page_size;
 * offset = page * page_size mod wrap; block = page * page_size div wrap;
 * the cursor of block b is the highest ``updated_at`` of block b - 1, the
   table's cursor for block 0;
-* the running watermark after a page is the running max of
-  ``struct(updated_at, id)`` over pages, seeded with ``(cursor, last_id)``.
+* the running watermark after a page is the larger of the page's highest
+  ``struct(updated_at, id)`` and the stored ``(cursor, last_id)``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import OFFSET_WRAP, PAGE_SIZE
 from tidemark.operators.joins import checked_broadcast
 from tidemark.operators.sequence import row_index
+from tidemark.session import materialize
 
 
 # -- A4 + A5 ----------------------------------------------------------------------
@@ -55,23 +56,32 @@ def advance_checkpoints(work: DataFrame, selected: DataFrame, *, order: str = "u
 
 
 # -- W3 ------------------------------------------------------------------------------
+def page_numbers(row_no, page_size: int = PAGE_SIZE, wrap: int = OFFSET_WRAP) -> dict:
+    """page_no, block_no and offset_value of a 1-based row number."""
+    page = F.floor((row_no - 1) / page_size).cast("long")
+    return {"page_no": page, "block_no": F.floor(page * page_size / wrap).cast("long"),
+            "offset_value": ((page * page_size) % wrap).cast("int")}
+
+
 def assign_pages(selected: DataFrame, *, page_size: int = PAGE_SIZE, wrap: int = OFFSET_WRAP,
-                 group: str = "table_name", order: tuple[str, ...] = ("updated_at", "id"),
-                 start_offset: str | None = None) -> DataFrame:
+                 group: str = "table_name", order: tuple[str, ...] = ("updated_at", "id")) -> DataFrame:
     """Add ``row_no`` (1-based per table, counted from the cursor),
     ``page_no``, ``block_no`` and ``offset_value``.
 
-    ``start_offset`` names a column with the stored offset of a resumed
-    table: its first ``offset`` rows were landed before the interruption and
-    are skipped, and the remaining pages keep their absolute numbers
-    (``offset div page_size`` onwards)."""
+    A table that was interrupted is read again from its cursor: rows that
+    were landed before land again under the same key and the latest-row merge
+    hides them.  A stored offset never skips rows, as the order behind it may
+    have changed since."""
     numbered = row_index(selected, group, list(order), name="row_no")
-    if start_offset:
-        numbered = numbered.where(F.col("row_no") > F.coalesce(F.col(start_offset), F.lit(0)))
-    page = ((F.col("row_no") - 1) / page_size).cast("long")
-    return (numbered.withColumn("page_no", page)
-                    .withColumn("block_no", (F.col("page_no") * page_size / wrap).cast("long"))
-                    .withColumn("offset_value", ((F.col("page_no") * page_size) % wrap).cast("int")))
+    return numbered.withColumns(page_numbers(F.col("row_no"), page_size, wrap))
+
+
+def block_cursors(blocks: DataFrame, group: str = "table_name") -> DataFrame:
+    """``blocks`` (group, block_no, high) with ``before``: the ``high`` of the
+    block before.  Blocks are cut in keyset order, so the highest mark before
+    a block is that of its predecessor: a join, not a window over a table."""
+    prior = blocks.select(group, (F.col("block_no") + 1).alias("block_no"), F.col("high").alias("before"))
+    return blocks.join(prior, [group, "block_no"], "left")
 
 
 # -- A6 + A8 + W1 + W2 + W4 -----------------------------------------------------------
@@ -83,77 +93,58 @@ def page_summary(paged: DataFrame, work: DataFrame | None = None, *, page_size:
     W2), the block cursor the page was read from (W4), and whether it is the
     last page (A8: shorter than a page).
 
-    The running state is carried per block of ``wrap`` rows: a block table
-    (one row per ``wrap / page_size`` pages) gets the exclusive prefix
-    maximum of ``struct(ts, id)`` over earlier blocks, seeded with the
-    stored ``(cursor, last_id)``; that carry is also the cursor the block is
-    read from (the running maximum when the offset wraps).  Inside a block a
-    window sees at most ``wrap / page_size`` pages.  With ``work`` (one row
-    per table: cursor, last_id, optional offset_val) a table whose selection
-    is empty or ends on a page boundary gets the terminal empty page the
-    source system asks for, computed from the block table alone."""
-    # Rows are numbered in (order, key) order, so a page's first and last
-    # rows are the ones with the smallest and largest row number: min_by /
-    # max_by keep fixed-width buffers and run as a hash aggregate.
+    Pages are cut in keyset order, so the running mark after a page is the
+    larger of its own mark and the stored ``(cursor, last_id)``, and a block's
+    cursor is the mark of the block before.  The page table (one row per
+    ``page_size`` records) is written once and everything else derives from
+    it by equi-joins: no window, no second pass over the records.  With
+    ``work`` (one row per table: cursor, last_id) a table whose selection is
+    empty or ends on a page boundary gets the terminal empty page the source
+    system asks for."""
     rn = F.col("row_no")
-    pages = (paged.groupBy(group, "page_no", "block_no", "offset_value")
-                  .agg(F.count(F.lit(1)).alias("records"),
-                       F.min_by(F.col(order), rn).alias("__lo_ts"), F.min_by(F.col(key), rn).alias("__lo_id"),
-                       F.max_by(F.col(order), rn).alias("__hi_ts"), F.max_by(F.col(key), rn).alias("__hi_id"))
-                  .select(group, "page_no", "block_no", "offset_value", "records",
-                          F.struct(F.col("__lo_ts").alias("ts"), F.col("__lo_id").alias("id")).alias("__lo"),
-                          F.struct(F.col("__hi_ts").alias("ts"), F.col("__hi_id").alias("id")).alias("__hi")))
-    blocks = pages.groupBy(group, "block_no").agg(
-        F.max("__hi").alias("__bhi"), F.min("__lo").alias("__blo"), F.sum("records").alias("__brec"),
-        F.max("page_no").alias("__blast"))
-    earlier = Window.partitionBy(group).orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("__carry", F.max("__bhi").over(earlier))
+    mark = lambda t, i: F.struct(F.col(t).alias("ts"), F.col(i).alias("id"))
+    # min_by / max_by over the row number keep fixed-width buffers (a hash aggregate).
+    pages = materialize(
+        paged.groupBy(group, "page_no", "block_no", "offset_value")
+             .agg(F.count(F.lit(1)).cast("long").alias("records"),
+                  F.min_by(F.col(order), rn).alias("lo_ts"), F.min_by(F.col(key), rn).alias("lo_id"),
+                  F.max_by(F.col(order), rn).alias("hi_ts"), F.max_by(F.col(key), rn).alias("hi_id")))
+    blocks = block_cursors(pages.groupBy(group, "block_no").agg(
+        F.max(mark("hi_ts", "hi_id")).alias("high"), F.min("lo_ts").alias("low"), F.sum("records").alias("n")), group)
+    none = F.lit(None).cast(pages.select(mark("hi_ts", "hi_id")).schema[0].dataType)
     if work is not None:
-        seed_rows = checked_broadcast(work.select(group, F.struct(F.col("cursor").alias("ts"),
-                                                                  F.col("last_id").alias("id")).alias("__seed")))
-        blocks = blocks.join(seed_rows, group, "left").withColumn("__carry", F.greatest("__carry", "__seed"))
-        block_cursor = F.col("__carry.ts")
+        seeds = checked_broadcast(work.select(group, F.struct(F.col("cursor").alias("ts"),
+                                                              F.col("last_id").alias("id")).alias("seed")))
+        blocks = blocks.join(seeds, group, "left").withColumn("block_cursor", F.greatest("before", "seed").getField("ts"))
     else:
-        block_cursor = F.coalesce(F.col("__carry.ts"), F.col("__blo.ts"))
-    blocks = blocks.withColumn("__bcur", block_cursor)
-    within = Window.partitionBy(group, "block_no").orderBy("page_no").rowsBetween(Window.unboundedPreceding, 0)
-    run = F.greatest(F.max("__hi").over(within), F.col("__carry"))
-    out = (pages.join(blocks.select(group, "block_no", "__carry", "__bcur"), [group, "block_no"])
+        blocks = blocks.withColumn("seed", none).withColumn("block_cursor", F.coalesce(F.col("before.ts"), F.col("low")))
+    running = F.greatest(mark("hi_ts", "hi_id"), F.col("seed"))
+    out = (pages.join(blocks.select(group, "block_no", "seed", "block_cursor"), [group, "block_no"])
                 .select(group, "page_no", "block_no", "offset_value",
-                        F.col("__bcur").cast("long").alias("cursor_value"),
-                        F.col("records").cast("long").alias("records"),
-                        F.col("__lo.id").alias("first_id"), F.col("__hi.id").alias("page_last_id"),
-                        F.col("__hi.ts").alias("page_max_updated_at"),
-                        run.ts.alias("running_watermark"), run.id.alias("running_last_id"),
+                        F.col("block_cursor").cast("long").alias("cursor_value"), "records",
+                        F.col("lo_id").alias("first_id"), F.col("hi_id").alias("page_last_id"),
+                        F.col("hi_ts").alias("page_max_updated_at"),
+                        running.ts.alias("running_watermark"), running.id.alias("running_last_id"),
                         (F.col("records") < page_size).alias("is_last")))
     if work is None:
         return out
-    # Terminal empty page for tables whose selection ends on a page boundary
-    # (or is empty): the source system asks once more and gets nothing.  A
-    # resumed table's pages start after its stored offset.
-    start_page = ((F.col("offset_val") / page_size).cast("long") if "offset_val" in work.columns
-                  else F.lit(0).cast("long"))
     per_table = blocks.groupBy(group).agg(
-        F.sum("__brec").alias("__total"), F.max(F.greatest("__bhi", "__seed")).alias("__top"),
-        F.max_by("__bcur", "block_no").alias("__lastcur"))
-    t = (work.select(group, "cursor", "last_id", start_page.alias("__start")).join(per_table, group, "left")
-             .withColumn("__total", F.coalesce(F.col("__total"), F.lit(0)).cast("long"))
-             .where(F.col("__total") % page_size == 0)
-             .withColumn("__end", F.col("__start") + (F.col("__total") / page_size).cast("long")))
-    t_offset = ((F.col("__end") * page_size) % wrap).cast("int")
-    new_block = (t_offset == 0) & (F.col("__total") > 0)
-    top = F.coalesce(F.col("__top"), F.struct(F.col("cursor").alias("ts"), F.col("last_id").alias("id")))
-    t_cursor = F.when(new_block, top.ts).otherwise(F.coalesce(F.col("__lastcur"), F.col("cursor")))
+        F.sum("n").alias("total"), F.max(F.greatest("high", "seed")).alias("top"),
+        F.max_by("block_cursor", "block_no").alias("last_cursor"))
+    t = (work.select(group, "cursor", "last_id").join(per_table, group, "left")
+             .withColumn("total", F.coalesce("total", F.lit(0)).cast("long"))
+             .where(F.col("total") % page_size == 0))
+    end = (F.col("total") / page_size).cast("long")
+    top = F.coalesce("top", F.struct(F.col("cursor").alias("ts"), F.col("last_id").alias("id")))
+    wrapped = (F.col("total") > 0) & (F.col("total") % wrap == 0)
+    null = F.lit(None).cast("long")
     terminal = t.select(
-        group, F.col("__end").alias("page_no"),
-        (F.col("__end") * page_size / wrap).cast("long").alias("block_no"),
-        t_offset.alias("offset_value"),
-        t_cursor.cast("long").alias("cursor_value"),
-        F.lit(0).cast("long").alias("records"),
-        F.lit(None).cast("long").alias("first_id"), F.lit(None).cast("long").alias("page_last_id"),
-        F.lit(None).cast("long").alias("page_max_updated_at"),
-        top.ts.cast("long").alias("running_watermark"), top.id.cast("long").alias("running_last_id"),
-        F.lit(True).alias("is_last"))
+        group, end.alias("page_no"), F.floor(end * page_size / wrap).cast("long").alias("block_no"),
+        ((end * page_size) % wrap).cast("int").alias("offset_value"),
+        F.when(wrapped, top.ts).otherwise(F.coalesce("last_cursor", "cursor")).cast("long").alias("cursor_value"),
+        F.lit(0).cast("long").alias("records"), null.alias("first_id"), null.alias("page_last_id"),
+        null.alias("page_max_updated_at"), top.ts.cast("long").alias("running_watermark"),
+        top.id.cast("long").alias("running_last_id"), F.lit(True).alias("is_last"))
     return out.unionByName(terminal)
 
 

@@ -8,6 +8,9 @@ record lands in exactly one of *good* or *quarantine*.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +30,9 @@ def parse_records(raw: DataFrame, contract: Contract, *, value: str = "raw") ->
     columns of ``raw`` are carried along."""
     schema = contract.schema().add(T.StructField(CORRUPT, T.StringType(), True))
     parsed = F.from_json(F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    keep = [c for c in raw.columns]
-    return raw.select(*keep, parsed.alias("__rec")).select(*keep, "__rec.*")
+    fields = [F.col("__rec").getField(f.source_name).alias(f.name) for f in contract.fields]
+    keep = [F.col(c) for c in raw.columns]
+    return raw.select(*keep, parsed.alias("__rec")).select(*keep, *fields, F.col("__rec").getField(CORRUPT).alias(CORRUPT))
 
 
 # -- Q1 + Q3 (row part) + Q4 ---------------------------------------------------------------------
@@ -60,13 +64,16 @@ def split_good_quarantine(flagged: DataFrame, contract: Contract) -> tuple[DataF
     good = flagged.where(F.col("quality_issue").isNull())
     quarantine = flagged.where(F.col("quality_issue").isNotNull())
     extra = [c for c in flagged.columns if c not in contract.names and c not in (CORRUPT, "quality_issue")]
-    return good.select(*extra, *contract.projection()), quarantine
+    return good.select(*extra, *contract.parsed()), quarantine
 
 
-def table_failures(flagged: DataFrame, group: str = "table_name") -> DataFrame:
+def table_failures(flagged: DataFrame, group: str = "table_name", *, value: str = "raw",
+                   keys: tuple[str, ...] = ("id", "updated_at")) -> DataFrame:
     """Q1 at table level, as the source system judges it: a table fails
-    when any of its records misses ``id`` or ``updated_at``."""
-    bad = F.col("quality_issue").isNotNull()
+    when any of its records lacks one of ``keys`` (or has null there).  Other issues quarantine
+    the record alone; a key that is there with a value of the wrong type is
+    such an issue."""
+    bad = reduce(or_, [F.get_json_object(value, f"$.{k}").isNull() for k in keys])
     return flagged.groupBy(group).agg(
         F.count(F.lit(1)).alias("records"),
         F.count_if(bad).alias("bad_records"),
@@ -159,39 +166,57 @@ def breaking_changes(observed: DataFrame, declared: DataFrame, registry: DataFra
 def schema_snapshots(observed: DataFrame, group: str = "table_name") -> DataFrame:
     """One row per table: sorted observed column names, their JSON snapshot
     and its hash (JSON key order is not stable, so names are sorted)."""
-    snap = observed.groupBy(group).agg(F.array_sort(F.collect_set("column_name")).alias("columns"))
-    return snap.select(group, "columns", F.to_json("columns").alias("columns_snapshot"),
-                       name_signature("columns").alias("schema_hash"))
-
-
-def drift_rows(observed: DataFrame, registry: DataFrame, *, run_id: Column, detected_at: Column,
+    # One entry per column first: the types of a column are few, whatever the records.
+    columns = observed.groupBy(group, "column_name").agg(
+        F.array_join(F.array_sort(F.collect_set("data_type")), "|").alias("data_type"))
+    entries = F.array_sort(F.collect_list(F.struct("column_name", "data_type")))
+    snap = columns.groupBy(group).agg(entries.alias("entries"))
+    names = F.transform("entries", lambda e: e["column_name"])
+    return snap.select(group, names.alias("columns"), "entries",
+                       F.to_json(F.map_from_entries("entries")).alias("columns_snapshot"),
+                       name_signature(names).alias("schema_hash"))
+
+
+def drift_rows(observed: DataFrame, registry: DataFrame, declared: DataFrame, *, run_id: Column, detected_at: Column,
                group: str = "table_name") -> DataFrame:
     """schema_history rows: one per (table, snapshot hash) with the changed
-    columns (new and missing-required), status NEW_COLUMN or BREAKING_CHANGE,
-    and ``included_at`` once every new column is declared (Q8)."""
-    snaps = schema_snapshots(observed, group)
+    columns: undeclared ones, required ones that no record carries, and
+    declared ones seen with a type they cannot take.
+
+    The hash covers names and types, so a type change is a row of its own.
+    Status: ``BREAKING_CHANGE`` when a required column is missing everywhere,
+    ``QUARANTINE`` when records of a wrong type are set aside while others
+    load, else ``NEW_COLUMN``.  ``included_at`` stays null until the contract
+    takes the new columns in (Q8, ``mark_included``)."""
     reg = F.broadcast(registry.select(F.col("table_name").alias(group), "declared_columns", "required_columns"))
-    j = snaps.join(reg, group)
-    added = F.array_except("columns", "declared_columns")
+    retyped = type_changes(observed, declared, group).groupBy(group).agg(F.collect_set("column_name").alias("retyped"))
+    none = F.array().cast("array<string>")
+    j = (schema_snapshots(observed, group).join(reg, group).join(retyped, group, "left")
+         .withColumn("retyped", F.coalesce("retyped", none)))
     missing = F.array_except("required_columns", "columns")
-    changed = F.array_sort(F.array_union(added, missing))
+    changed = F.array_sort(F.array_union(F.array_union(F.array_except("columns", "declared_columns"), missing), F.col("retyped")))
+    signature = name_signature(F.transform("entries", lambda e: F.concat_ws(":", e["column_name"], e["data_type"])))
+    breaking, aside = F.size(missing) > 0, F.size("retyped") > 0
     return j.select(
-        group, "schema_hash", "columns_snapshot",
+        F.xxhash64(F.col(group), signature).alias("id"), group, signature.alias("schema_hash"), "columns_snapshot",
         changed.alias("changed_columns"),
         detected_at.alias("detected_at"), run_id.alias("detected_in_run_id"),
-        F.when(F.size(added) == 0, detected_at).alias("included_at"),
-        F.when(F.size(missing) > 0, "BREAKING_CHANGE").otherwise("NEW_COLUMN").alias("status"),
-        F.when(F.size(missing) > 0, "quarantine records").otherwise("log and continue").alias("action_taken"),
+        F.lit(None).cast("timestamp_ntz").alias("included_at"),
+        F.when(breaking, "BREAKING_CHANGE").when(aside, "QUARANTINE").otherwise("NEW_COLUMN").alias("status"),
+        F.when(breaking | aside, "records set aside").otherwise("logged, load went on").alias("action_taken"),
     ).where(F.size("changed_columns") > 0)
 
 
 def mark_included(history: DataFrame, registry: DataFrame, now: Column, group: str = "table_name") -> DataFrame:
-    """Q8 on stored drift rows: once the contract declares every new column
-    of a row, set its ``included_at`` (kept if already set)."""
+    """Q8 on stored drift rows: once the contract declares every column of a
+    NEW_COLUMN row, set its ``included_at`` (kept if already set).  Rows of
+    breaking changes name declared columns, so declaration resolves nothing
+    there."""
     decl = F.broadcast(registry.select(F.col("table_name").alias(group), F.col("declared_columns").alias("__decl")))
     j = history.join(decl, group, "left")
     covered = F.size(F.array_except("changed_columns", F.coalesce("__decl", F.array().cast("array<string>")))) == 0
-    return j.withColumn("included_at", F.coalesce(F.col("included_at"), F.when(covered, now))).drop("__decl")
+    new = F.col("status") == "NEW_COLUMN"
+    return j.withColumn("included_at", F.coalesce(F.col("included_at"), F.when(covered & new, now))).drop("__decl")
 
 
 # -- J5 --------------------------------------------------------------------------------------

@@ -54,62 +54,27 @@ def work_items(registry: DataFrame, checkpoints: DataFrame, layer: str = "RAW")
 
 
 # -- S3 + P3: incremental selection --------------------------------------------
-# Up to this many tables the per-table watermarks become literal predicates
-# that reach the parquet scan; above it the work table is broadcast.
-LITERAL_TABLES_MAX = 64
-
-
 def incremental_select(source: DataFrame, work: DataFrame, *, order: str = "updated_at",
-                       native_time: str | None = None, literal_max: int = LITERAL_TABLES_MAX) -> DataFrame:
+                       native_time: str | None = None) -> DataFrame:
     """Source rows at or after their table's cursor (inclusive, so ties at
     the high-water second are read again; the latest-row merge makes that
     idempotent), with ``cursor``, ``last_id`` and the stored ``offset_val``
-    of the table attached.
-
-    The work table holds one row per table.  For a handful of tables it is
-    read once on the driver and turned into ``(table = t AND order >= c) OR
-    ...``, which Catalyst pushes into the scan (partition and row-group
-    pruning on a table/time-clustered source); ``native_time`` names the
-    timestamp column ``order`` is derived from, so the bound is pushed on it
-    too.  For many tables it is broadcast (after a size check) and the
-    smallest cursor is pushed instead."""
+    of the table attached (0 where they are not stored).
+
+    The work table holds one row per table and is joined (broadcast after a
+    count, shuffled beyond it).  The smallest cursor is pushed into the scan,
+    on ``native_time`` too if that names the timestamp ``order`` comes from."""
     offset = F.col("offset_val") if "offset_val" in work.columns else F.lit(0)
-    items = (work.where(F.col("cursor").isNotNull())
-                 .select("table_name", "cursor", "last_id", offset.cast("int").alias("offset_val"))
-                 .limit(literal_max + 1).collect())
-    if len(items) <= literal_max:
-        if not items:
-            return source.where(F.lit(False)).withColumn("cursor", F.lit(None).cast("long")) \
-                         .withColumn("last_id", F.lit(None).cast("long")) \
-                         .withColumn("offset_val", F.lit(None).cast("int"))
-
-        def any_of(bound):
-            out = None
-            for r in items:
-                c = (F.col("table_name") == F.lit(r["table_name"])) & bound(int(r["cursor"]))
-                out = c if out is None else (out | c)
-            return out
-
-        cond = any_of(lambda cur: F.col(order) >= F.lit(cur))
-        if native_time is not None:
-            # A separate conjunct made only of scan columns, so the whole
-            # disjunction translates to a parquet filter.
-            cond = cond & any_of(lambda cur: F.col(native_time) >= epoch_literal_ntz(cur))
-        cursors = F.create_map(*[x for r in items for x in (F.lit(r["table_name"]), F.lit(int(r["cursor"])))])
-        last_ids = F.create_map(*[x for r in items for x in (F.lit(r["table_name"]), F.lit(int(r["last_id"] or 0)))])
-        offsets = F.create_map(*[x for r in items
-                                 for x in (F.lit(r["table_name"]), F.lit(int(r["offset_val"] or 0)))])
-        return (source.where(cond)
-                      .withColumn("cursor", F.element_at(cursors, F.col("table_name")).cast("long"))
-                      .withColumn("last_id", F.element_at(last_ids, F.col("table_name")).cast("long"))
-                      .withColumn("offset_val", F.element_at(offsets, F.col("table_name")).cast("int")))
+    items = work.where(F.col("cursor").isNotNull()).select(
+        "table_name", "cursor", F.coalesce(F.col("last_id"), F.lit(0)).cast("long").alias("last_id"),
+        F.coalesce(offset, F.lit(0)).cast("int").alias("offset_val"))
+    low = items.agg(F.min("cursor")).first()[0]
     src = source
-    if native_time is not None:
-        low = work.agg(F.min("cursor")).first()[0]
-        if low is not None:
+    if low is not None:
+        src = src.where(F.col(order) >= F.lit(int(low)))
+        if native_time is not None:
             src = src.where(F.col(native_time) >= epoch_literal_ntz(int(low)))
-    w = checked_broadcast(work.select("table_name", "cursor", "last_id", offset.cast("int").alias("offset_val")))
-    return src.join(w, "table_name").where(F.col(order) >= F.col("cursor"))
+    return src.join(checked_broadcast(items), "table_name").where(F.col(order) >= F.col("cursor"))
 
 
 def watermark_filter(df: DataFrame, watermark: int, order: str = "updated_at",

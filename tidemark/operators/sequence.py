@@ -1,20 +1,15 @@
 """Ordered-sequence operators that stay distributed.
 
 ``row_number().over(Window.partitionBy(table).orderBy(...))`` puts a whole
-table on one task, and a table may hold a third of all rows.  The operators
-here never window over an unbounded group:
-
-* ``row_index`` numbers rows per key in a total order with a range shuffle,
-  one materialisation, a per-partition span table (at most partitions + keys
-  rows, broadcast after a count) and a narrow projection.
-* ``running_max`` computes a running maximum over a dense sequence number
-  with fixed-size chunks: the chunk maxima are aggregated, prefixed over the
-  (small) chunk table, and the in-chunk window sees at most ``chunk`` rows.
+table on one task, and a table may hold a third of all rows.  ``row_index``
+numbers rows per key in a total order with a range shuffle, one
+materialisation, a per-partition span table (at most partitions + keys rows,
+broadcast after a count) and a narrow projection.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import checked_broadcast
@@ -57,21 +52,3 @@ def row_index(df: DataFrame, partition_cols, order_cols, name: str = "row_index"
                          ["__pid", *parts])
     return (joined.withColumn(name, (F.col("__pos") - F.col("__first") + F.col("__before") + 1).cast("long"))
                   .drop("__pid", "__pos", "__first", "__before", "__tie"))
-
-
-def running_max(df: DataFrame, partition_cols, seq_col: str, value: Column, name: str,
-                chunk: int = 1024) -> DataFrame:
-    """Add ``name`` = max of ``value`` over rows of the same group with
-    ``seq_col`` <= this row's (a dense 0-based sequence, e.g. page numbers).
-
-    Works on any comparable value, including ``struct(ts, id)`` for an
-    arg-max that keeps the largest id at the highest timestamp."""
-    parts = _names(partition_cols)
-    base = df.withColumn("__v", value).withColumn("__chunk", F.floor(F.col(seq_col) / F.lit(chunk)))
-    chunk_max = base.groupBy(*parts, "__chunk").agg(F.max("__v").alias("__cmax"))
-    prior = Window.partitionBy(*parts).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = chunk_max.withColumn("__carry", F.max("__cmax").over(prior)).drop("__cmax")
-    within = Window.partitionBy(*parts, "__chunk").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, 0)
-    out = (base.join(carry, [*parts, "__chunk"], "left")
-               .withColumn(name, F.greatest(F.max("__v").over(within), F.col("__carry"))))
-    return out.drop("__v", "__chunk", "__carry")

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contracts import columns_frame, registry_frame
-from tidemark.functions.scalars import alert_text, truncate_message
+from tidemark.functions.scalars import alert_text, empty_if_null, page_path, page_path_parts, truncate_message
 from tidemark.operators import merge, progress, quality, relations, select
-from tidemark.operators.joins import freeze_control
-from tidemark.plans import ingest, load, reports
+from tidemark.operators.joins import checked_broadcast
+from tidemark.plans import api, execute, ingest, load, reports
 from tidemark.session import literal_frame, materialize, scratch_path
 from tidemark.sources import landing, tables
 from tidemark.streaming import landing_stream
@@ -539,7 +539,7 @@ SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '
            || substr(h, 21, 12) AS event_id, table_name, layer, start_watermark, end_watermark, status,
        records_processed, created_at
 FROM (SELECT sha256(table_name || chr(1) || CAST(current_watermark - 2592000 AS VARCHAR) || chr(1)
-                    || CAST(current_watermark AS VARCHAR)) AS h,
+                    || CAST(current_watermark AS VARCHAR) || chr(1) || '{RUN_TIME}') AS h,
              table_name, 'RAW' AS layer, current_watermark - 2592000 AS start_watermark,
        current_watermark AS end_watermark, 'PENDING' AS status, CAST(0 AS BIGINT) AS records_processed,
        TIMESTAMP '{RUN_TIME}' AS created_at
@@ -582,15 +582,30 @@ def q_quarantine_split(spark, sf):
 
 
 @register("required_keys", V("src") + f"""
-SELECT table_name, count(*) AS records, count({_ISSUE_SQL}) AS bad_records,
-       count({_ISSUE_SQL}) > 0 AS table_fails
-FROM src GROUP BY 1""")
+SELECT table_name, count(*) AS records, 0::BIGINT AS bad_records, false AS table_fails FROM src GROUP BY 1""")
 def q_required_keys(spark, sf):
-    """Q1: per table the source system's verdict (any bad record fails the
-    table)."""
+    """Q1: per table the source system's verdict: a record without ``id`` or
+    ``updated_at`` fails the table.  The stand-in's records all carry both
+    (some with a wrong type, some without ``name``): those are quarantined,
+    and no table fails."""
     return quality.table_failures(_flagged(spark, sf))
 
 
+@register("missing_keys", V("src") + """
+SELECT table_name, count(*) AS records, count(*) FILTER (WHERE o_custkey % 97 = 0 OR o_totalprice > 400000) AS bad_records,
+       count(*) FILTER (WHERE o_custkey % 97 = 0 OR o_totalprice > 400000) > 0 AS table_fails
+FROM src GROUP BY 1""")
+def q_missing_keys(spark, sf):
+    """Q1 where keys are missing: records of some customers come without
+    ``id``, those of the largest orders without ``updated_at``."""
+    r = S.source_records(spark, sf)
+    raw = r.select("table_name", F.to_json(F.struct(
+        F.when(F.col("o_custkey") % 97 != 0, F.col("id")).alias("id"), "name",
+        F.when(F.col("o_totalprice") <= 400000, F.col("updated_at")).alias("updated_at"), "o_custkey", "o_totalprice")).alias("raw"))
+    c = next(iter(S.source_contracts().values()))
+    return quality.table_failures(quality.flag_records(quality.parse_records(raw, c), c))
+
+
 @register("good_records", V("src") + f"""
 SELECT table_name, id, name, updated_at, o_custkey, o_totalprice FROM src WHERE {_ISSUE_SQL} IS NULL""")
 def q_good_records(spark, sf):
@@ -639,21 +654,36 @@ def q_schema_snapshot(spark, sf):
                         F.size("columns").cast("long").alias("n_columns"))
 
 
-@register("drift_list", V("src") + _KEYS_SQL + f"""
-, typ AS (SELECT table_name, column_name, string_agg(DISTINCT data_type, '|' ORDER BY data_type) AS data_type
-          FROM kv GROUP BY 1, 2)
+_DRIFT_SQL = """
+, typ AS (SELECT table_name, column_name, string_agg(DISTINCT data_type, '|' ORDER BY data_type) AS data_type,
+                 bool_or(column_name = 'updated_at' AND data_type = 'string') AS retyped,
+                 bool_or(column_name NOT IN ('id', 'name', 'updated_at', 'o_custkey', 'o_totalprice')) AS added
+          FROM kv GROUP BY 1, 2),
+drift AS (
+  SELECT table_name, sha256(string_agg(column_name || ':' || data_type, ' ' ORDER BY column_name)) AS schema_hash,
+         list(column_name ORDER BY column_name) FILTER (WHERE retyped OR added) AS changed,
+         CASE WHEN bool_or(retyped) THEN 'QUARANTINE' ELSE 'NEW_COLUMN' END AS status,
+         CASE WHEN bool_or(retyped) THEN 'records set aside' ELSE 'logged, load went on' END AS action_taken
+  FROM typ GROUP BY 1 HAVING bool_or(retyped OR added))"""
+
+
+def _drift(spark, sf, run_id=RUN_ID):
+    """schema_history rows detected in the raw records (one scan)."""
+    observed = materialize(quality.observed_keys(S.raw_records(spark, sf)))
+    return quality.drift_rows(observed, _registry(spark), columns_frame(spark, S.source_contracts()),
+                              run_id=F.lit(run_id), detected_at=_now())
+
+
+@register("drift_list", V("src") + _KEYS_SQL + _DRIFT_SQL + f"""
+, one AS (SELECT table_name, status, action_taken, unnest(changed) AS column_name FROM drift)
 SELECT table_name, column_name, data_type, TIMESTAMP '{RUN_TIME}' AS detected_at,
-       '{RUN_ID}' AS detected_in_run_id, CAST(NULL AS TIMESTAMP) AS included_at, 'NEW_COLUMN' AS status,
-       'log and continue' AS action_taken
-FROM typ WHERE column_name NOT IN ('id', 'name', 'updated_at', 'o_custkey', 'o_totalprice')""")
+       '{RUN_ID}' AS detected_in_run_id, CAST(NULL AS TIMESTAMP) AS included_at, status, action_taken
+FROM one JOIN typ USING (table_name, column_name)""")
 def q_drift_list(spark, sf):
-    """Schema-history rows from the raw records, listed one
-    per changed column with its type, newest first."""
-    # the distinct (table, key, type) triples feed two branches: keep them
-    # once (tiny) instead of scanning the raw records twice
-    observed = materialize(quality.observed_keys(S.raw_records(spark, sf)))
-    rows = quality.drift_rows(observed, _registry(spark), run_id=F.lit(RUN_ID), detected_at=_now())
-    return reports.drift_list(rows, observed).select(
+    """Schema-history rows from the raw records (undeclared
+    columns and type changes), listed one per changed column with its
+    types, newest first."""
+    return reports.drift_list(_drift(spark, sf)).select(
         "table_name", "column_name", "data_type", "detected_at", "detected_in_run_id", "included_at", "status",
         "action_taken")
 
@@ -672,44 +702,50 @@ def q_message_truncate(spark, sf):
                     truncate_message(msg, 40, 10).alias("message"))
 
 
-@register("alert_feed", V("runs", "batches", "src") + _KEYS_SQL + """
+@register("alert_feed", V("runs", "batches", "queue", "src") + _KEYS_SQL + _DRIFT_SQL + """
 , msgs AS (
     SELECT 'runs' AS source, run_id AS ref, CASE WHEN status = 'FAILED' THEN 'ERROR' ELSE 'WARNING' END AS level,
-           CASE WHEN status = 'FAILED' THEN 'Pipeline orchestration run failed: ' || error_message
-                ELSE 'Run ' || run_id || ' has not finished' END AS msg
+           CASE WHEN status = 'FAILED' THEN 'run ' || run_id || ' ended in failure (' || error_message || ')'
+                ELSE 'run ' || run_id || ' is still open' END AS msg
     FROM runs WHERE status IN ('FAILED', 'RUNNING')
     UNION ALL
     SELECT 'batches', CAST(batch_id AS VARCHAR), 'WARNING',
-           'Unexpected failure ingesting ' || table_name || ': ' || error_message
+           'batch of ' || table_name || ' not landed (' || error_message || ')'
     FROM batches WHERE status = 'FAILED'
     UNION ALL
-    SELECT DISTINCT 'drift', table_name || '.' || column_name, 'INFO',
-           'New column ' || column_name || ' in ' || table_name
-    FROM kv WHERE column_name NOT IN ('id', 'name', 'updated_at', 'o_custkey', 'o_totalprice'))
+    SELECT 'events', event_id, 'ERROR', 'replay of ' || table_name || ' failed' FROM queue WHERE status = 'FAILED'
+    UNION ALL
+    SELECT 'drift', table_name || '.' || column_name, CASE WHEN status = 'NEW_COLUMN' THEN 'INFO' ELSE 'ERROR' END,
+           'column ' || column_name || ' of ' || table_name || ': ' || status
+    FROM (SELECT table_name, status, unnest(changed) AS column_name FROM drift))
 SELECT source, ref, level,
        '[' || level || '] ' || msg || CASE WHEN level = 'ERROR' THEN ' @everyone' ELSE '' END AS content
 FROM msgs""")
 def q_alert_feed(spark, sf):
-    """Alerts for failed and unfinished runs, failed batches and
-    new columns, rendered as chat messages."""
+    """Alerts for failed and unfinished runs, failed batches,
+    failed replay events, new columns and breaking changes, as chat messages."""
     r = S.runs(spark, sf).where(F.col("status").isin("FAILED", "RUNNING"))
     runs = r.select(F.lit("runs").alias("source"), F.col("run_id").alias("ref"),
                     F.when(F.col("status") == "FAILED", "ERROR").otherwise("WARNING").alias("level"),
                     F.when(F.col("status") == "FAILED",
-                           F.concat(F.lit("Pipeline orchestration run failed: "), F.col("error_message")))
-                     .otherwise(F.concat(F.lit("Run "), F.col("run_id"), F.lit(" has not finished")))
+                           F.concat(F.lit("run "), F.col("run_id"), F.lit(" ended in failure ("), F.col("error_message"),
+                                    F.lit(")")))
+                     .otherwise(F.concat(F.lit("run "), F.col("run_id"), F.lit(" is still open")))
                      .alias("message"))
     b = S.batches(spark, sf).where(F.col("status") == "FAILED")
     batches = b.select(F.lit("batches").alias("source"), F.col("batch_id").cast("string").alias("ref"),
                        F.lit("WARNING").alias("level"),
-                       F.concat(F.lit("Unexpected failure ingesting "), F.col("table_name"), F.lit(": "),
-                                F.col("error_message")).alias("message"))
-    new = quality.new_columns(quality.observed_keys(S.raw_records(spark, sf)), _registry(spark))
-    drift = new.select(F.lit("drift").alias("source"), F.concat_ws(".", "table_name", "column_name").alias("ref"),
-                       F.lit("INFO").alias("level"),
-                       F.concat(F.lit("New column "), F.col("column_name"), F.lit(" in "), F.col("table_name"))
-                        .alias("message"))
-    return quality.alert_feed(runs.unionByName(batches).unionByName(drift))
+                       F.concat(F.lit("batch of "), F.col("table_name"), F.lit(" not landed ("), F.col("error_message"),
+                                F.lit(")")).alias("message"))
+    e = S.event_queue(spark, sf).where(F.col("status") == "FAILED")
+    events = e.select(F.lit("events").alias("source"), F.col("event_id").alias("ref"), F.lit("ERROR").alias("level"),
+                      F.concat(F.lit("replay of "), F.col("table_name"), F.lit(" failed")).alias("message"))
+    d = reports.drift_list(_drift(spark, sf))
+    drift = d.select(F.lit("drift").alias("source"), F.concat_ws(".", "table_name", "column_name").alias("ref"),
+                     F.when(F.col("status") == "NEW_COLUMN", "INFO").otherwise("ERROR").alias("level"),
+                     F.concat(F.lit("column "), F.col("column_name"), F.lit(" of "), F.col("table_name"), F.lit(": "),
+                              F.col("status")).alias("message"))
+    return quality.alert_feed(runs.unionByName(batches).unionByName(events).unionByName(drift))
 
 
 # =========================================================================================
@@ -750,10 +786,10 @@ def q_text_search(spark, sf):
 # Landing, loading, streaming, log tables
 # =========================================================================================
 def _landed(spark, sf) -> str:
-    """Land the run's selection as pages of 500; returns the folder."""
-    base = scratch_path(spark, "landing")
-    ingest.land_run(_run(spark, sf), base, S.raw_json)
-    return base
+    """Land the run's selection; returns the folder."""
+    path = f"{scratch_path(spark, 'landing')}/run-1"
+    ingest.land_run(_run(spark, sf), path, S.raw_json)
+    return path
 
 
 _ISSUE_SEL = _ISSUE_SQL.replace("table_name", "sel.table_name")
@@ -765,16 +801,60 @@ SELECT id, name, updated_at, o_custkey, o_totalprice FROM sel WHERE ({_ISSUE_SEL
           + f"""
 SELECT {S.ENDPOINT_SQL} AS endpoint, cursor_value, offset_value, records FROM out""")
 def q_landing_roundtrip(spark, sf):
-    """Pages written to the landing zone and read back
-    record by record; records per (endpoint, cursor, offset)."""
-    return landing.page_counts(landing.read_pages(spark, _landed(spark, sf)))
+    """A run landed and read back record by record; records
+    per page with its cursor and offset."""
+    pages = landing.read_run_pages(spark, _landed(spark, sf))
+    return (pages.groupBy("endpoint", "page_no", "cursor_value", "offset_value").agg(F.count(F.lit(1)).alias("records"))
+                 .drop("page_no"))
+
+
+def _as_layout(spark, sf, layout):
+    """The run's pages written in a page layout and read back."""
+    base = scratch_path(spark, f"landing-{layout}")
+    landing.write_pages(landing.read_run_pages(spark, _landed(spark, sf)), base, layout=layout)
+    return landing.page_counts(landing.read_pages(spark, base, layout=layout))
+
+
+_LAYOUT_SQL = (V("src", "seed", "contracts") + ", " + _PAGES_CTE.format(size=500, wrap=10000).lstrip() + f"""
+SELECT {S.ENDPOINT_SQL} AS endpoint, cursor_value, offset_value, records FROM out""")
+
+
+@register("landing_page_layout", _LAYOUT_SQL)
+def q_landing_page_layout(spark, sf):
+    """One folder per page, as the source system keeps them."""
+    return _as_layout(spark, sf, "page")
+
+
+@register("landing_block_layout", _LAYOUT_SQL)
+def q_landing_block_layout(spark, sf):
+    """One folder per cursor block, offsets in envelopes."""
+    return _as_layout(spark, sf, "block")
+
+
+@register("landing_ties", """
+SELECT CAST(count(*) AS BIGINT) AS records, CAST(ceil(count(*) / 500.0) AS BIGINT) AS pages,
+       CAST(ceil(count(*) / 10000.0) AS BIGINT) AS blocks, CAST(max(l_orderkey * 10 + l_linenumber) AS BIGINT) AS last_id
+FROM lineitem""")
+def q_landing_ties(spark, sf):
+    """One table whose records all share a second: the pages stay
+    apart though their cursors do not."""
+    li = S.read(spark, sf, "lineitem").select(
+        F.lit("TIED").alias("table_name"), F.lit("/tied").alias("endpoint"), F.lit(S.SOURCE_START).cast("long").alias("cursor"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.lit(S.SOURCE_START).cast("long").alias("updated_at"),
+        F.to_json(F.struct("l_orderkey", "l_partkey")).alias("raw"))
+    path = scratch_path(spark, "ties")
+    landing.write_run(li, path)
+    pages = landing.read_run_pages(spark, path, columns=("id",)).groupBy("table_name", "page_no", "block_no").agg(
+        F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+    return pages.agg(F.sum("n").alias("records"), F.count(F.lit(1)).alias("pages"),
+                     F.countDistinct("block_no").alias("blocks"), F.max("top").alias("last_id"))
 
 
 @register("load_raw_pages", _GOOD_SQL)
 def q_load_raw_pages(spark, sf):
     """Landed pages parsed, bad records quarantined, good ones merged
     into the target twice (the second load changes nothing)."""
-    raw = landing.read_pages(spark, _landed(spark, sf))
+    raw = landing.read_run(spark, _landed(spark, sf))
     c = next(iter(S.source_contracts().values()))
     first = load.load_pages(raw, c).table
     return load.load_pages(raw, c, target=first).table
@@ -786,7 +866,7 @@ SELECT {S.ENDPOINT_SQL} AS endpoint, count(*) FILTER (WHERE ({_ISSUE_SEL}) IS NU
 FROM sel GROUP BY 1""")
 def q_quarantine_report(spark, sf):
     """Q4 over landed pages: good and quarantined records per endpoint."""
-    raw = landing.read_pages(spark, _landed(spark, sf))
+    raw = landing.read_run(spark, _landed(spark, sf))
     return load.load_pages(raw, next(iter(S.source_contracts().values()))).report
 
 
@@ -794,39 +874,244 @@ def q_quarantine_report(spark, sf):
 def q_stream_load(spark, sf):
     """The landing folder consumed as a file stream (availableNow),
     each micro-batch parsed, split and appended to a change log; then every
-    page landed again and the stream run once more: the latest-per-id table
-    is unchanged."""
-    base = _landed(spark, sf)
+    record landed again by a second run and the stream run once more: the
+    latest-per-id table is unchanged."""
+    base = _landed(spark, sf).rsplit("/", 1)[0]
     c = next(iter(S.source_contracts().values()))
     root = scratch_path(spark, "stream")
     paths = landing_stream.StreamPaths(landing=base, target=f"{root}/target", quarantine=f"{root}/quarantine",
                                        checkpoint=f"{root}/checkpoint")
-    landing_stream.run_landing_stream(spark, c, paths)
-    rows = landing.read_pages(spark, base)   # one small page file per task: already in page order
-    landing.write_pages(rows.withColumnRenamed("cursor", "cursor_value").withColumnRenamed("offset", "offset_value"),
-                        base, cluster=False)
-    landing_stream.run_landing_stream(spark, c, paths)
+    landing_stream.run_landing_stream(spark, c, paths, layout="run")
+    spark.read.schema(landing.RUN_ROWS).parquet(f"{base}/run-1").write.parquet(f"{base}/run-2")
+    landing_stream.run_landing_stream(spark, c, paths, layout="run")
     return landing_stream.current_table(spark, paths, c).select("id", "name", "updated_at", "o_custkey",
                                                                 "o_totalprice")
 
 
-@register("batch_log", V("src", "seed", "contracts") + ", " + _PAGES_CTE.format(size=500, wrap=10000).lstrip() + f"""
-SELECT '{RUN_ID}' AS run_id, table_name, page_no, 'SUCCESS' AS status, cursor_value, offset_value,
-       CAST(records AS INTEGER) AS records_count
-FROM (SELECT * FROM out UNION ALL SELECT * FROM term)""")
+_LANDED = V("src", "seed", "contracts") + ", " + _ADVANCED.lstrip()
+
+
+def _store(spark):
+    """An empty store of the five log tables, seeded with the stored
+    checkpoints; (store, folder)."""
+    root = scratch_path(spark, "store")
+    store = api.LogStore(spark, f"{root}/logs")
+    store.write("ingestion_checkpoints", S.checkpoint_seed(spark).withColumns(
+        {"last_successful_run_id": F.lit(None).cast("string"), "updated_at": _now()}), seq=0, changed_at=_now())
+    return store, root
+
+
+def _execute(spark, sf, store, root, run_id, now, seq, to_json=S.raw_json, source=None):
+    source = S.source_records(spark, sf) if source is None else source
+    return execute.run(store, source, _registry(spark), run_id=run_id, root=root, to_json=to_json, now=now, seq=seq,
+                       native_time="o_orderdate")
+
+
+def _breaks(table):
+    """raw_json of a source one of whose tables cannot be read."""
+    def to_json(df):
+        bad = F.when(F.col("table_name") == table, F.raise_error(F.lit("source gone")))
+        return S.raw_json(df.withColumn("id", F.coalesce(bad.cast("long"), F.col("id"))))
+    return to_json
+
+
+@register("batch_log", _LANDED + f"""
+SELECT '{RUN_ID}' AS run_id, adv.table_name, CASE WHEN adv.table_name = '3-MEDIUM' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+       w.cursor AS cursor_value, 0 AS offset_value,
+       CAST(CASE WHEN adv.table_name = '3-MEDIUM' THEN 0 ELSE records END AS INTEGER) AS records_count,
+       adv.table_name = '3-MEDIUM' AS has_error, true AS timed
+FROM adv JOIN work w USING (table_name)""")
 def q_batch_log(spark, sf):
-    """M3: one batch-log row per page (the terminal empty page included)
-    appended to the log and read back by key."""
-    pages = ingest.run_pages(_run(spark, sf))
-    rows = ingest.batch_log(pages, RUN_ID, RUN_TIME)
-    path = scratch_path(spark, "batch_logs")
-    log = tables.KeyedLog("batch_logs_" + path.rsplit("-", 1)[-1], path, ["run_id", "table_name", "page_no"],
-                          int(spark.conf.get("spark.sql.shuffle.partitions")))
-    log.append(rows, changed_at=_now(), seq=1)
-    log.append(rows, changed_at=_now(), seq=2)   # a retried write
-    latest = log.latest(spark)
-    return latest.select("run_id", "table_name", "page_no", "status", "cursor_value", "offset_value",
-                         "records_count")
+    """What the landing writes of a run really did, one row each, a
+    failed table included; running it again under the same id adds nothing."""
+    store, root = _store(spark)
+    _execute(spark, sf, store, root, RUN_ID, RUN_TIME, 1, _breaks("3-MEDIUM"))
+    log = store.read("batch_logs")
+    store.insert("batch_logs", materialize(log.withColumn("status", F.lit("AGAIN"))), seq=2)
+    return store.read("batch_logs").select(
+        "run_id", "table_name", "status", "cursor_value", "offset_value", "records_count",
+        F.col("error_message").isNotNull().alias("has_error"), (F.col("duration_ms") > 0).alias("timed"))
+
+
+@register("run_incremental", _LANDED + f"""
+SELECT adv.table_name, CASE WHEN adv.table_name = '3-MEDIUM' THEN NULL ELSE adv.current_watermark END AS current_watermark,
+       CASE WHEN adv.table_name = '3-MEDIUM' THEN NULL ELSE adv.current_watermark END AS fallback_watermark,
+       CASE WHEN adv.table_name = '3-MEDIUM' THEN NULL ELSE adv.last_id END AS last_id,
+       CASE WHEN adv.table_name = '3-MEDIUM' THEN NULL ELSE '{RUN_ID}' END AS last_successful_run_id,
+       'FAILED' AS run_status, TIMESTAMP '{RUN_TIME}' AS completed_at
+FROM adv""")
+def q_run_incremental(spark, sf):
+    """A whole run with one table that fails: the others'
+    checkpoints move to the marks of what was landed, the failed one's does
+    not, and the run is closed FAILED."""
+    store, root = _store(spark)
+    _execute(spark, sf, store, root, RUN_ID, RUN_TIME, 1, _breaks("3-MEDIUM"))
+    cps = store.read("ingestion_checkpoints").select("table_name", "current_watermark", "fallback_watermark", "last_id",
+                                                     "last_successful_run_id")
+    run = store.read("ingestion_runs").select(F.col("status").alias("run_status"), "completed_at", F.lit(RUN_ID).alias("r"))
+    reg = _registry(spark).select("table_name", F.lit(RUN_ID).alias("r"))
+    return reg.join(cps, "table_name", "left").join(run, "r").drop("r")
+
+
+@register("resume_run", V("src", "seed", "contracts") + ", " + _WORK.lstrip() + """
+, late AS (SELECT table_name, id, CASE WHEN o_orderstatus = 'P' THEN 1893456000 ELSE updated_at END AS updated_at FROM src)
+SELECT late.table_name, id, updated_at FROM late JOIN work USING (table_name) WHERE updated_at >= cursor""")
+def q_resume_run(spark, sf):
+    """A run that loses a table, the source moving rows to a later second
+    meanwhile, and the run that follows: together they hold every record of
+    the source as it is then."""
+    store, root = _store(spark)
+    _execute(spark, sf, store, root, "run-a", RUN_TIME, 1, _breaks("4-NOT SPECIFIED"))
+    moved = F.col("o_orderstatus") == "P"
+    later = S.source_records(spark, sf).withColumns({
+        "updated_at": F.when(moved, F.lit(1893456000)).otherwise(F.col("updated_at")).cast("long"),
+        "o_orderdate": F.when(moved, F.lit("2030-01-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("o_orderdate"))})
+    _execute(spark, sf, store, root, "run-b", "2024-06-01 01:00:00", 2, source=later)
+    rows = execute.landed_runs(spark, root, ["run-a", "run-b"])
+    return merge.latest_per_key(rows.select("table_name", "id", "updated_at"), ["table_name", "id"], ["updated_at"],
+                                keep=["updated_at"])
+
+
+_REPLAYED = """
+, known AS (SELECT w.*, (SELECT count(*) FROM src s WHERE s.table_name = w.table_name
+                         AND s.updated_at BETWEEN w.start_watermark AND w.end_watermark) AS n
+            FROM windows w WHERE w.table_name IN (SELECT table_name FROM contracts))"""
+
+
+@register("run_replay", V("src", "windows", "contracts") + _REPLAYED.lstrip("\n") + f"""
+SELECT w.event_id, CASE WHEN k.event_id IS NULL THEN 'PENDING' ELSE 'COMPLETED' END AS status,
+       CAST(coalesce(k.n, 0) AS BIGINT) AS records_processed,
+       CASE WHEN k.event_id IS NOT NULL THEN TIMESTAMP '{RUN_TIME}' END AS completed_at,
+       CAST(k.n AS INTEGER) AS logged_records
+FROM windows w LEFT JOIN known k USING (event_id)""")
+def q_run_replay(spark, sf):
+    """Pending events replayed by a run: claimed, landed, counted
+    from what was landed, completed, one batch-log row each; events of
+    unknown tables stay pending and the checkpoints do not move."""
+    store, root = _store(spark)
+    store.insert("fallback_events", S.replay_windows(spark, sf), seq=0, changed_at=_now())
+    before = store.read("ingestion_checkpoints")
+    mode, status = _execute(spark, sf, store, root, RUN_ID, RUN_TIME, 1)
+    if (mode, status) != ("replay", "COMPLETED") or not before.exceptAll(store.read("ingestion_checkpoints")).isEmpty():
+        raise ValueError("a replay must complete and leave the checkpoints alone")
+    log = store.read("batch_logs").select("batch_id", F.col("records_count").alias("logged_records"))
+    events = store.read("fallback_events").withColumn("batch_id", F.xxhash64(F.lit(RUN_ID), "event_id"))
+    return events.join(log, "batch_id", "left").select("event_id", "status", "records_processed", "completed_at",
+                                                       "logged_records")
+
+
+@register("repeat_replay", V("src", "seed", "contracts") + ", " + _ADVANCED.lstrip() + """
+, t AS (SELECT table_name, current_watermark - 2592000 AS lo, current_watermark AS hi FROM adv)
+SELECT table_name, n AS request, CASE WHEN n = 1 THEN 'COMPLETED' ELSE 'PENDING' END AS status,
+       CAST(CASE WHEN n = 1 THEN (SELECT count(*) FROM src s WHERE s.table_name = t.table_name
+                                  AND s.updated_at BETWEEN lo AND hi) ELSE 0 END AS BIGINT) AS records_processed
+FROM t, (VALUES (1), (2)) v(n)""")
+def q_repeat_replay(spark, sf):
+    """M7: the last 30 days of every table asked for, replayed, and asked for
+    again: the first events keep their history, the second ones wait; a
+    retried request adds nothing."""
+    store, root = _store(spark)
+    cps = materialize(_run(spark, sf).checkpoints)
+    req = cps.select("table_name", F.lit("RAW").alias("layer"), (F.col("current_watermark") - 2592000).alias("start_watermark"),
+                     F.col("current_watermark").alias("end_watermark"))
+    keys = ["table_name", "layer", "start_watermark", "end_watermark"]
+    times = ("2024-05-31 00:00:00", "2024-06-02 00:00:00")
+    ask = lambda n: store.insert("fallback_events", merge.new_events(
+        req, F.lit(times[n]).cast("timestamp_ntz"), keys), seq=n, changed_at=F.lit(times[n]).cast("timestamp_ntz"))
+    ask(0)
+    _execute(spark, sf, store, root, RUN_ID, RUN_TIME, 1)
+    ask(0)
+    ask(1)
+    n = F.when(F.col("created_at") == F.lit(times[0]).cast("timestamp_ntz"), 1).otherwise(2)
+    return store.read("fallback_events").select("table_name", n.alias("request"), "status", "records_processed")
+
+
+@register("log_restart", """
+SELECT o_orderkey, o_custkey + CASE WHEN o_orderstatus = 'F' THEN 1000000 ELSE 0 END AS o_custkey, o_orderstatus FROM orders""")
+def q_log_restart(spark, sf):
+    """M8: a keyed log written, attached anew under another number of shuffle
+    partitions, appended to and read: every key once, in its last version."""
+    path = scratch_path(spark, "restart")
+    rows = S.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    tables.KeyedLog(path, "o_orderkey").append(rows, changed_at=_now(), seq=1)
+    spark.conf.set("spark.sql.shuffle.partitions", str(int(n) * 2 + 1))
+    try:
+        again = tables.KeyedLog(path, "o_orderkey")
+        new = rows.where("o_orderstatus = 'F'").withColumn("o_custkey", F.col("o_custkey") + 1000000)
+        again.append(new, changed_at=_now(), seq=2)
+        return materialize(again.latest(spark))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+
+
+@register("table_modes", """
+SELECT o_orderstatus, CAST(CASE WHEN o_orderstatus = 'P' THEN 2 * count(*) ELSE count(*) END AS BIGINT) AS records
+FROM orders GROUP BY 1""")
+def q_table_modes(spark, sf):
+    """A table created (fail if there), replaced by itself, and appended
+    to; failing on one that is there is checked on the way."""
+    path = scratch_path(spark, "modes")
+    rows = S.read(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    tables.write_table(rows.where("o_orderstatus <> 'F'"), path, "fail")
+    try:
+        tables.write_table(rows, path, "fail")
+    except Exception as e:
+        if "PATH_ALREADY_EXISTS" not in str(e):
+            raise
+    else:
+        raise ValueError("a table that is there was written over")
+    tables.write_table(rows, path, "replace")
+    tables.write_table(rows.where("o_orderstatus = 'P'"), path, "append")
+    return tables.read_table(spark, path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("records"))
+
+
+@register("relation_arrays", """
+WITH ids AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
+d AS (SELECT p_partkey, p_name FROM part WHERE p_size > 25)
+SELECT o_orderkey, count(l_partkey) AS n_ids, count(p_name) AS n_resolved, min(p_name) AS first_p_name, max(p_name) AS last_p_name
+FROM orders LEFT JOIN ids ON o_orderkey = l_orderkey LEFT JOIN d ON l_partkey = p_partkey GROUP BY 1""")
+def q_relation_arrays(spark, sf):
+    """Each order's array of part ids resolved to the dimension; ids
+    without a dimension row count as unresolved, orders without items have
+    an empty array."""
+    ids = S.read(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_partkey").alias("parts"))
+    o = S.read(spark, sf, "orders").join(ids, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    arrays = o.select("o_orderkey", empty_if_null("parts").alias("parts"))
+    return relations.resolve_ids(arrays, "o_orderkey", "parts", S.read(spark, sf, "part").where("p_size > 25"), "p_partkey",
+                                 "p_name")
+
+
+@register("orphan_checkpoints", V("runs") + """
+SELECT c_custkey, CAST(c_custkey * 4 AS VARCHAR) AS last_successful_run_id FROM customer
+WHERE CAST(c_custkey * 4 AS VARCHAR) NOT IN (SELECT run_id FROM runs WHERE status = 'COMPLETED')""")
+def q_orphan_checkpoints(spark, sf):
+    """Checkpoints (one per customer) whose last successful run is no
+    completed run."""
+    c = S.read(spark, sf, "customer").select("c_custkey", (F.col("c_custkey") * 4).cast("string").alias("last_successful_run_id"))
+    done = S.runs(spark, sf).where(F.col("status") == "COMPLETED")
+    return quality.orphans(c, done, "last_successful_run_id", "run_id").select("c_custkey", "last_successful_run_id")
+
+
+@register("page_paths", _LAYOUT_SQL.rsplit("SELECT", 1)[0] + f"""
+SELECT {S.ENDPOINT_SQL} || '/' || cursor_value || '_' || offset_value || '.json' AS path,
+       {S.ENDPOINT_SQL} AS endpoint, cursor_value, offset_value FROM out""")
+def q_page_paths(spark, sf):
+    """F8: the path of every page of a run and what it says."""
+    pages = ingest.run_pages(_run(spark, sf)).where("records > 0")
+    reg = _registry(spark).select("table_name", "endpoint")
+    paths = pages.join(reg, "table_name").select(page_path("endpoint", "cursor_value", "offset_value").alias("path"))
+    ep, cur, off = page_path_parts("path")
+    return paths.select("path", ep.alias("endpoint"), cur.alias("cursor_value"), off.alias("offset_value"))
+
+
+@register("search_before_limit", V("runs") + """
+SELECT run_id, status, error_message FROM runs WHERE contains(lower(error_message), 'customer 7')
+ORDER BY started_at DESC, run_id LIMIT 50""")
+def q_search_before_limit(spark, sf):
+    """The newest 50 runs among all that match the search."""
+    return api.search_and_sort(reports.runs_history(S.runs(spark, sf), None), "Customer 7", columns=["error_message"],
+                               limit=50).select("run_id", "status", "error_message")
 
 
 @register("log_tables", V("src", "seed", "contracts") + ", " + _CHECKPOINT_TABLE.lstrip() + """
@@ -856,27 +1141,22 @@ def q_breaking_changes(spark, sf):
     return quality.breaking_changes(observed, columns_frame(spark, S.source_contracts()), _registry(spark))
 
 
-@register("schema_history_insert", V("src") + _KEYS_SQL + f"""
-, snap AS (SELECT table_name, sha256(string_agg(column_name, ' ' ORDER BY column_name)) AS schema_hash
-           FROM (SELECT DISTINCT table_name, column_name FROM kv) GROUP BY 1),
-changed AS (SELECT DISTINCT table_name FROM kv
-            WHERE column_name NOT IN ('id', 'name', 'updated_at', 'o_custkey', 'o_totalprice')),
-fresh AS (SELECT s.table_name, s.schema_hash, 'NEW_COLUMN' AS status, '{RUN_ID}' AS detected_in_run_id
-          FROM snap s JOIN changed c USING (table_name)),
-prior AS (SELECT table_name, schema_hash, 'NEW_COLUMN' AS status, 'run-0000' AS detected_in_run_id FROM fresh)
-SELECT * FROM prior
-UNION ALL SELECT * FROM fresh WHERE (table_name, schema_hash) NOT IN (SELECT table_name, schema_hash FROM prior)
-UNION ALL SELECT 'legacy', 'old-hash', 'NEW_COLUMN', 'run-0000'""")
+@register("schema_history_insert", V("src") + _KEYS_SQL + _DRIFT_SQL + f"""
+SELECT table_name, schema_hash, status, list_aggregate(changed, 'string_agg', ',') AS changed,
+       CASE WHEN table_name < '3' THEN 'run-0000' ELSE '{RUN_ID}' END AS detected_in_run_id FROM drift
+UNION ALL SELECT 'legacy', 'old-hash', 'NEW_COLUMN', 'x', 'run-0000'""")
 def q_schema_history_insert(spark, sf):
-    """M4: drift rows inserted into the history only when (table, hash) is
-    new: a second detection of the same snapshot adds nothing."""
-    observed = quality.observed_keys(S.raw_records(spark, sf))
-    rows = quality.drift_rows(observed, _registry(spark), run_id=F.lit(RUN_ID), detected_at=_now()).select(
-        "table_name", "schema_hash", "status", "detected_in_run_id")
-    prior = rows.withColumn("detected_in_run_id", F.lit("run-0000")).unionByName(
-        literal_frame(spark, [("legacy", "old-hash", "NEW_COLUMN", "run-0000")],
-                      "table_name string, schema_hash string, status string, detected_in_run_id string"))
-    return merge.insert_if_absent(prior, rows, ["table_name", "schema_hash"])
+    """M4: drift rows inserted through the store only where (table, hash) is
+    new: the tables of an earlier run keep their rows, the others get one."""
+    store, _ = _store(spark)
+    rows = materialize(_drift(spark, sf))
+    old = rows.where("table_name < '3'").withColumn("detected_in_run_id", F.lit("run-0000"))
+    legacy = literal_frame(spark, [(1, "legacy", "old-hash", "{}", ["x"], RUN_TIME, "run-0000", None, "NEW_COLUMN", "-")],
+                           tables.LOG_TABLES["schema_history"])
+    store.insert("schema_history", old.select(*legacy.columns).unionByName(legacy), seq=1, changed_at=_now())
+    store.insert("schema_history", rows, seq=2, changed_at=_now())
+    return store.read("schema_history").select("table_name", "schema_hash", "status",
+                                               F.array_join("changed_columns", ",").alias("changed"), "detected_in_run_id")
 
 
 @register("null_report", V("runs", "batches") + """
@@ -928,8 +1208,8 @@ def q_unseeded_tables(spark, sf):
     everything from it."""
     reg = _registry(spark)
     missing = select.unseeded_tables(reg, S.checkpoint_seed(spark)).select("table_name", "start_watermark")
-    seeds = freeze_control(missing)
-    counts = (S.source_records(spark, sf).join(F.broadcast(seeds), "table_name")
+    seeds = materialize(missing)
+    counts = (S.source_records(spark, sf).join(checked_broadcast(seeds), "table_name")
               .where(F.col("updated_at") >= F.col("start_watermark"))
               .groupBy("table_name").agg(F.count(F.lit(1)).alias("rows_from_start")))
     return (seeds.join(counts, "table_name", "left")
@@ -938,32 +1218,32 @@ def q_unseeded_tables(spark, sf):
 
 
 @register("run_lifecycle", V("runs", "batches") + f"""
-, roll AS (SELECT bool_or(status = 'FAILED') AS failed FROM batches WHERE table_name = 'R')
-SELECT run_id, started_at, completed_at, layer, status, error_message FROM runs
-UNION ALL
-SELECT '{RUN_ID}', TIMESTAMP '{RUN_TIME}', TIMESTAMP '{RUN_TIME}', 'RAW',
-       CASE WHEN (SELECT failed FROM roll) THEN 'FAILED' ELSE 'COMPLETED' END, NULL""")
+, own AS (SELECT run_id, bool_or(status = 'FAILED') AS failed FROM batches GROUP BY 1)
+SELECT r.run_id, started_at, CASE WHEN r.status = 'RUNNING' THEN TIMESTAMP '{RUN_TIME}' ELSE completed_at END AS completed_at,
+       layer, CASE WHEN r.status <> 'RUNNING' THEN r.status WHEN own.failed THEN 'FAILED' ELSE 'COMPLETED' END AS status,
+       CASE WHEN r.status = 'RUNNING' THEN NULL ELSE error_message END AS error_message
+FROM runs r LEFT JOIN own USING (run_id)
+UNION ALL SELECT '{RUN_ID}', TIMESTAMP '{RUN_TIME}', NULL, 'RAW', 'RUNNING', NULL""")
 def q_run_lifecycle(spark, sf):
-    """A new run is started (insert if absent; starting it twice
-    adds nothing), then closed with the roll-up of its batches."""
+    """Every open run is closed with the roll-up of its own
+    batches; a new run is started (starting it twice adds nothing)."""
     runs = S.runs(spark, sf)
-    started = ingest.start_run(ingest.start_run(runs, RUN_ID, "RAW", RUN_TIME), RUN_ID, "RAW", RUN_TIME)
-    own = S.batches(spark, sf).where(F.col("table_name") == "R")
-    status = own.agg(F.when(F.bool_or(F.col("status") == "FAILED"), "FAILED").otherwise("COMPLETED")).scalar()
-    return merge.update_one(started, "run_id", RUN_ID, {
-        "status": status, "error_message": F.lit(None).cast("string"), "completed_at": _now()})
+    opened = runs.where("status = 'RUNNING'").select("run_id")
+    rolled = opened.join(reports.run_status_rollup(S.batches(spark, sf)), "run_id", "left").select(
+        "run_id", F.coalesce("run_status", F.lit("COMPLETED")).alias("status"), F.lit(None).cast("string").alias("error_message"))
+    closed = merge.run_completion(runs, rolled, _now())
+    return ingest.start_run(ingest.start_run(closed, RUN_ID, "RAW", RUN_TIME), RUN_ID, "RAW", RUN_TIME)
 
 
 @register("kpi_summary", V("runs", "batches", "src", "seed", "contracts") + ", " + _CHECKPOINT_TABLE.lstrip()
-          + _KEYS_SQL + """
+          + _KEYS_SQL + _DRIFT_SQL + """
 SELECT (SELECT count(*) FROM runs) AS total_runs,
        (SELECT count(*) FROM runs WHERE status = 'COMPLETED') AS successful_runs,
        (SELECT count(*) FROM runs WHERE status = 'FAILED') AS failed_runs,
        (SELECT count(*) FROM merged) AS total_tables,
        (SELECT count(*) FROM merged WHERE table_name = '1-URGENT' OR is_override_active) AS active_overrides,
        (SELECT CAST(coalesce(sum(records_count), 0) AS BIGINT) FROM batches) AS total_records_ingested,
-       (SELECT count(DISTINCT table_name) FROM kv
-        WHERE column_name NOT IN ('id', 'name', 'updated_at', 'o_custkey', 'o_totalprice')) AS total_schema_changes""")
+       (SELECT count(*) FROM drift) AS total_schema_changes""")
 def q_kpi_summary(spark, sf):
     """A1-A3: the dashboard row over the runs, the checkpoint table after
     an override on one table (M7b), the batch log and the schema history
@@ -971,6 +1251,5 @@ def q_kpi_summary(spark, sf):
     req = literal_frame(spark, [("1-URGENT", None, True)],
                         "table_name string, custom_watermark bigint, activate_fallback boolean")
     cps = merge.override_checkpoint(_checkpoint_table(spark, sf), req, _now())
-    observed = quality.observed_keys(S.raw_records(spark, sf))
-    history = quality.drift_rows(observed, _registry(spark), run_id=F.lit(RUN_ID), detected_at=_now())
+    history = _drift(spark, sf)
     return reports.kpi_summary(S.runs(spark, sf), cps, S.batches(spark, sf), history)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import OFFSET_WRAP, PAGE_SIZE
 from tidemark.operators import progress, select
-from tidemark.operators.joins import freeze_control
+from tidemark.operators.joins import checked_broadcast
+from tidemark.session import materialize
 
 
 @dataclass
@@ -27,8 +28,8 @@ class IncrementalRun:
 
 def plan_incremental(source: DataFrame, registry: DataFrame, checkpoints: DataFrame, *,
                      layer: str = "RAW", native_time: str | None = None) -> IncrementalRun:
-    # One row per table: read once and kept as literals (planning state).
-    work = freeze_control(select.work_items(registry, checkpoints, layer))
+    # One row per table, written once: every use below sees the same cursors.
+    work = materialize(select.work_items(registry, checkpoints, layer))
     chosen = select.incremental_select(source, work, native_time=native_time)
     new_cps = progress.advance_checkpoints(work, chosen)
     return IncrementalRun(work=work, selected=chosen, checkpoints=new_cps)
@@ -38,44 +39,18 @@ def run_pages(run: IncrementalRun, *, page_size: int = PAGE_SIZE, wrap: int = OF
     """Per-page progress of an incremental run (what the source system logs
     one batch at a time)."""
     # Number only the keys: the row index materialises its input.
-    keys = run.selected.select("table_name", "id", "updated_at", "offset_val")
-    paged = progress.assign_pages(keys, page_size=page_size, wrap=wrap, start_offset="offset_val")
+    keys = run.selected.select("table_name", "id", "updated_at")
+    paged = progress.assign_pages(keys, page_size=page_size, wrap=wrap)
     return progress.page_summary(paged, run.work, page_size=page_size, wrap=wrap)
 
 
-def land_run(run: IncrementalRun, base: str, to_json, *, page_size: int = PAGE_SIZE, wrap: int = OFFSET_WRAP,
-             layout: str = "page") -> None:
-    """S1 for a run: the selection as raw pages under each table's endpoint,
-    named by block cursor and offset.  ``to_json`` adds the ``raw`` text of
-    each selected record (S5).  A resumed table skips the rows it landed
-    before the interruption."""
+def land_run(run: IncrementalRun, path: str, to_json) -> None:
+    """S1 for a run: its selection as landed rows (``landing.write_run``).
+    ``to_json`` adds the ``raw`` text of each selected record (S5)."""
     from tidemark.sources import landing
 
-    keyed = to_json(run.selected).select("table_name", "id", "updated_at", "cursor", "offset_val", "raw")
-    paged = progress.assign_pages(keyed, page_size=page_size, wrap=wrap, start_offset="offset_val")
-    # The cursor a block is read from: the highest updated_at before it
-    # (keyset order), the stored cursor for the first block.
-    blocks = (paged.groupBy("table_name", "block_no").agg(F.max("updated_at").alias("__bmax"))
-                   .withColumn("block_no", F.col("block_no") + 1))
-    rows = (paged.join(blocks, ["table_name", "block_no"], "left")
-                 .withColumn("cursor_value", F.coalesce("__bmax", "cursor"))
-                 .join(F.broadcast(run.work.select("table_name", "endpoint")), "table_name"))
-    # rows leave the row index range-partitioned in page order: no re-clustering
-    landing.write_pages(rows, base, layout=layout, cluster=False)
-
-
-def batch_log(pages: DataFrame, run_id: str, created_at: str, *, layer: str = "RAW") -> DataFrame:
-    """Batch-log rows (M3 input) from a page summary: one SUCCESS row per
-    page, ``query_sent`` describing the keyset page."""
-    return pages.select(
-        F.lit(run_id).alias("run_id"), "table_name", F.lit(layer).alias("layer"),
-        F.lit("SUCCESS").alias("status"), "cursor_value", "offset_value",
-        F.col("records").cast("int").alias("records_count"), F.lit(0).alias("duration_ms"),
-        F.format_string("where updated_at >= %d; sort updated_at asc, id asc; limit %d; offset %d",
-                        F.col("cursor_value"), F.lit(PAGE_SIZE), F.col("offset_value")).alias("query_sent"),
-        F.lit(None).cast("string").alias("error_message"),
-        F.lit(created_at).cast("timestamp_ntz").alias("created_at"),
-        "page_no")
+    endpoints = checked_broadcast(run.work.select("table_name", "endpoint"))
+    landing.write_run(to_json(run.selected).join(endpoints, "table_name"), path)
 
 
 def plan_replay(source: DataFrame, events: DataFrame, registry: DataFrame, *, layer: str = "RAW") -> dict:
@@ -97,7 +72,7 @@ def plan_run(source: DataFrame, registry: DataFrame, checkpoints: DataFrame, eve
     only a run with no such event reads incrementally.  Events for unknown
     tables never block a run (they are reported)."""
     pending_known = select.known_events(select.pending_events(events, layer), registry)
-    if pending_known.limit(1).count() > 0:
+    if not pending_known.isEmpty():
         return {"mode": "replay", **plan_replay(source, events, registry, layer=layer)}
     return {"mode": "incremental", "run": plan_incremental(source, registry, checkpoints, layer=layer,
                                                            native_time=native_time)}

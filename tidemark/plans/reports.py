@@ -64,11 +64,14 @@ def run_status_rollup(batches: DataFrame) -> DataFrame:
 
 
 # -- L1 + F1 ----------------------------------------------------------------------------------
-def runs_history(runs: DataFrame, limit: int = 50) -> DataFrame:
-    return (runs.select("run_id", "started_at", "completed_at", "layer", "status", "error_message",
+def _first(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.limit(limit)
+
+
+def runs_history(runs: DataFrame, limit: int | None = 50) -> DataFrame:
+    return _first(runs.select("run_id", "started_at", "completed_at", "layer", "status", "error_message",
                         duration_seconds("started_at", "completed_at").alias("duration_seconds"))
-                .orderBy(F.col("started_at").desc(), F.col("run_id").asc())
-                .limit(limit))
+                .orderBy(F.col("started_at").desc(), F.col("run_id").asc()), limit)
 
 
 # -- L2 + P8 ----------------------------------------------------------------------------------
@@ -76,11 +79,11 @@ BATCH_COLUMNS = ("batch_id", "run_id", "table_name", "layer", "status", "cursor_
                  "records_count", "duration_ms", "query_sent", "error_message", "created_at")
 
 
-def recent_batches(batches: DataFrame, limit: int = 100, table_name: str | None = None,
+def recent_batches(batches: DataFrame, limit: int | None = 100, table_name: str | None = None,
                    tie_break: tuple[str, ...] = ("batch_id",)) -> DataFrame:
     out = batches.where(optional_eq("table_name", table_name))   # P8: unset means all
-    return (out.orderBy(F.col("created_at").desc(), *[F.col(c).asc() for c in tie_break])
-               .limit(limit).select(*BATCH_COLUMNS))
+    return _first(out.orderBy(F.col("created_at").desc(), *[F.col(c).asc() for c in tie_break]),
+                  limit).select(*BATCH_COLUMNS)
 
 
 # -- L3 ---------------------------------------------------------------------------------------
@@ -88,9 +91,8 @@ EVENT_COLUMNS = ("event_id", "table_name", "layer", "start_watermark", "end_wate
                  "records_processed", "error_message", "created_at", "completed_at")
 
 
-def event_history(events: DataFrame, limit: int = 50) -> DataFrame:
-    return (events.orderBy(F.col("created_at").desc(), F.col("event_id").asc())
-                  .limit(limit).select(*EVENT_COLUMNS))
+def event_history(events: DataFrame, limit: int | None = 50) -> DataFrame:
+    return _first(events.orderBy(F.col("created_at").desc(), F.col("event_id").asc()), limit).select(*EVENT_COLUMNS)
 
 
 # -- L4 + P6 ----------------------------------------------------------------------------------
@@ -100,15 +102,15 @@ def checkpoint_list(checkpoints: DataFrame, layer: str | None = None) -> DataFra
 
 
 # -- L5 ---------------------------------------------------------------------------------------
-def drift_list(schema_history: DataFrame, observed: DataFrame | None = None) -> DataFrame:
+def drift_list(schema_history: DataFrame) -> DataFrame:
     """One row per changed column of each drift row, newest first, with the
-    column's observed JSON type when ``observed`` is given."""
-    rows = schema_history.select("table_name", "schema_hash", F.explode("changed_columns").alias("column_name"),
-                                 "detected_at", "detected_in_run_id", "included_at", "status", "action_taken")
-    if observed is not None:
-        types = observed.groupBy("table_name", "column_name").agg(
-            F.array_join(F.array_sort(F.collect_set("data_type")), "|").alias("data_type"))
-        rows = rows.join(types, ["table_name", "column_name"], "left")
+    column's observed JSON types from the stored snapshot (null for a required
+    column that no record carries)."""
+    types = F.from_json("columns_snapshot", "map<string,string>")
+    rows = (schema_history.select("id", "table_name", "schema_hash", types.alias("t"),
+                                  F.explode("changed_columns").alias("column_name"), "detected_at",
+                                  "detected_in_run_id", "included_at", "status", "action_taken")
+            .withColumn("data_type", F.try_element_at("t", "column_name")).drop("t"))
     return rows.orderBy(F.col("detected_at").desc(), "table_name", "column_name")
 
 

@@ -8,9 +8,6 @@ set on the landing writer only, so a "replace" elsewhere stays a replace.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job assumes.  Time is UTC so that Unix seconds and
@@ -60,9 +57,9 @@ def apply_engine_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local-mode session with no setting gets a fresh scratch folder
-    (tests, the bench); a cluster session without one is an error, because a
-    machine-local folder would not survive the loss of an executor.
+    A session without that setting (the tests and the bench make their own)
+    gets a fresh folder beside its tables, in ``spark.sql.warehouse.dir``,
+    which all executors of a session share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -72,11 +69,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running tidemark jobs")
-    scratch = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TIDEMARK_SCRATCH", "/tmp"))
-    sc.setCheckpointDir(scratch)
-    return sc.getCheckpointDir() or scratch
+    shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tidemark-scratch"
+    sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir() or shared
 
 
 def materialize(df: DataFrame) -> DataFrame:

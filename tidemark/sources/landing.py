@@ -1,7 +1,8 @@
 """Raw landing zone: write pages, read them back record by record
 (SURVEY S1, S2, S4, S5, S9, F8).
 
-Two layouts are read:
+A run lands parquet files with the place of every record (``write_run``).
+Two page layouts are written and read as well:
 
 * **partitioned** (what ``write_pages`` produces):
   ``<base>/endpoint=<e>/cursor=<c>/offset=<o>/part-*.txt``, one JSON object
@@ -18,10 +19,11 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.contracts import OFFSET_WRAP, PAGE_SIZE
 from tidemark.functions.scalars import page_path_parts
 
 log = logging.getLogger("tidemark.landing")
@@ -94,6 +96,64 @@ def write_pages(records: DataFrame, base: str, *, endpoint: str = "endpoint", cu
         raise ValueError(f"unknown landing layout {layout!r}")
 
 
+# -- S1 / S2: a run's landing folder ---------------------------------------------------
+# The layout a run writes: parquet files of any size, rows in page order, each
+# with its place (writing task and position).  Pages are derived from places
+# when read, so a page is no file of its own and its key stays unique when many
+# records share a second.
+RUN_ROWS = "table_name string, endpoint string, cursor bigint, id bigint, updated_at bigint, raw string, part int, pos bigint"
+
+
+def write_run(rows: DataFrame, path: str) -> None:
+    """Land rows (table_name, endpoint, cursor, id, updated_at, raw) of a run.
+    They move once, by range of (table, updated_at, id), so a hot table is
+    cut into as many ranges as its size asks for."""
+    order = ["table_name", "updated_at", "id", F.xxhash64("raw")]
+    placed = (rows.repartitionByRange(*order).sortWithinPartitions(*order)
+                  .withColumns({"part": F.spark_partition_id(), "pos": F.monotonically_increasing_id()}))
+    typed = [F.col(n).cast(t).alias(n) for n, t in (c.split() for c in RUN_ROWS.split(", "))]
+    placed.select(*typed).write.parquet(path)
+
+
+def landed_keys(spark: SparkSession, path: str) -> DataFrame:
+    """(table_name, id, updated_at) of a landed run: a pruned read, for marks."""
+    return spark.read.schema(RUN_ROWS).parquet(path).select("table_name", "id", "updated_at")
+
+
+def read_run(spark: SparkSession, path: str) -> DataFrame:
+    """The records of a landed run without their pages (loads need none)."""
+    rows = spark.read.schema(RUN_ROWS).option("recursiveFileLookup", "true").parquet(path)
+    return run_records(rows)
+
+
+def run_records(rows: DataFrame) -> DataFrame:
+    """RUN_ROWS rows as RAW_SCHEMA rows; also used by the stream."""
+    none = F.lit(None).cast("int")
+    return rows.select("endpoint", "cursor", none.alias("offset"), none.alias("position"), "raw")
+
+
+def read_run_pages(spark: SparkSession, path: str, *, page_size: int = PAGE_SIZE, wrap: int = OFFSET_WRAP,
+                   columns: tuple[str, ...] = ("raw",)) -> DataFrame:
+    """The records of one landed run with page_no, block_no, offset_value and
+    the cursor their block was read from.  Row numbers come from a table of
+    spans (a row per table and writing task, broadcast after a count)."""
+    from tidemark.operators.joins import checked_broadcast
+    from tidemark.operators.progress import block_cursors, page_numbers
+    from tidemark.session import materialize
+
+    rows = spark.read.schema(RUN_ROWS).parquet(path)
+    spans = rows.groupBy("table_name", "part").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
+    before = Window.partitionBy("table_name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    spans = materialize(spans.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
+    number = F.col("pos") - F.col("first") + F.col("before") + 1
+    numbered = rows.join(checked_broadcast(spans), ["table_name", "part"]).withColumns(page_numbers(number, page_size, wrap))
+    blocks = block_cursors(numbered.groupBy("table_name", "block_no").agg(F.max("updated_at").alias("high")))
+    starts = materialize(blocks.select("table_name", "block_no", F.col("before").alias("block_start")))
+    return (numbered.drop("before").join(checked_broadcast(starts), ["table_name", "block_no"])
+            .select("table_name", "endpoint", "page_no", "block_no", "offset_value",
+                    F.coalesce("block_start", "cursor").alias("cursor_value"), *columns))
+
+
 # -- S2 + S4 --------------------------------------------------------------------------
 def read_pages(spark: SparkSession, base: str, *, endpoint: str | None = None, layout: str = "page") -> DataFrame:
     """Records of the partitioned layout: endpoint (with its leading slash),

@@ -88,8 +88,8 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit("RAW").alias("layer"),
                      status.alias("status"),
                      F.when(F.col("o_orderstatus") == "F",
-                            F.concat(F.lit("Unexpected failure ingesting "), F.col("o_orderpriority"),
-                                     F.lit(": customer "), F.col("o_custkey").cast("string")))
+                            F.concat(F.lit("stopped at "), F.col("o_orderpriority"),
+                                     F.lit(", customer "), F.col("o_custkey").cast("string")))
                       .alias("error_message")))
 
 
@@ -211,8 +211,8 @@ SQL = {
                CASE WHEN o_orderstatus = 'P' THEN NULL ELSE ls.last_ship END AS completed_at,
                'RAW' AS layer,
                CASE o_orderstatus WHEN 'F' THEN 'FAILED' WHEN 'O' THEN 'COMPLETED' ELSE 'RUNNING' END AS status,
-               CASE WHEN o_orderstatus = 'F' THEN 'Unexpected failure ingesting ' || o_orderpriority
-                    || ': customer ' || CAST(o_custkey AS VARCHAR) END AS error_message
+               CASE WHEN o_orderstatus = 'F' THEN 'stopped at ' || o_orderpriority
+                    || ', customer ' || CAST(o_custkey AS VARCHAR) END AS error_message
         FROM orders LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1) ls
              ON o_orderkey = ls.l_orderkey""",
     "batches": """

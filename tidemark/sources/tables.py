@@ -9,6 +9,8 @@ latest version per key (an aggregate, so hot keys are combined map-side);
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -150,64 +152,61 @@ def compact(spark: SparkSession, path: str, new_path: str, key, order: list[str]
     w.parquet(new_path)
 
 
-# -- bucketed change log ----------------------------------------------------------------
+# -- keyed change log --------------------------------------------------------------------
 class KeyedLog:
-    """Append-only change log of a keyed table, bucketed and sorted by key.
-
-    Every append lands in the bucket of its key, so reading the latest
-    version per key (``latest``) aggregates each bucket where it lies: the
-    scan already satisfies the aggregate's distribution and no shuffle of
-    the table is needed, however large it grows.  The bucket count is fixed
-    for the life of the table (size it to the table: about one bucket per
-    128 MB of latest state).  The table lives at ``path`` in the shared
-    folder; ``attach`` re-registers it in a new session's catalog."""
-
-    def __init__(self, name: str, path: str, key, buckets: int):
-        self.name = name
-        self.path = path
+    """Append-only change log of a keyed table in the folder ``path``.
+
+    The key is stored beside the data (``_key.json``) and checked on every
+    use, so a log cannot be read or appended to under another key.  Nothing
+    else decides how it is read: there is no catalog entry, no bucket count
+    and no session setting that a restart could change.  ``latest`` combines
+    versions on the map side, so a key with many versions is one row per task
+    before the shuffle; ``compact_into`` drops the superseded versions."""
+
+    def __init__(self, path: str, key):
+        self.path = path.rstrip("/")
         self.key = [key] if isinstance(key, str) else list(key)
-        self.buckets = int(buckets)
-
-    def attach(self, spark: SparkSession) -> bool:
-        """Register existing files as the bucketed table; False if none."""
-        from tidemark.sources.landing import _exists
-        if spark.catalog.tableExists(self.name):
-            return True
-        if not _exists(spark, self.path):
-            return False
-        schema = spark.read.parquet(self.path).schema
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        keys = ", ".join(f"`{k}`" for k in self.key)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({cols}) USING parquet "
-                  f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
-                  f"LOCATION '{self.path}'")
+
+    def _check(self, spark: SparkSession, create: bool = False) -> bool:
+        """True if the log exists; its stored key must be ours."""
+        jvm = spark.sparkContext._jvm
+        note = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_key.json")
+        fs = note.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(note):
+            if create:
+                out = fs.create(note, True)
+                out.write(bytearray(json.dumps(self.key).encode()))
+                out.close()
+            return create
+        stream = fs.open(note)
+        try:
+            stored = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        if stored != self.key:
+            raise ValueError(f"{self.path} is keyed by {stored}, not by {self.key}")
         return True
 
+    def exists(self, spark: SparkSession) -> bool:
+        return self._check(spark)
+
     def append(self, df: DataFrame, *, changed_at: Column, seq: int) -> None:
-        self.attach(df.sparkSession)
-        out = df.withColumn("_changed_at", changed_at).withColumn("_seq", F.lit(int(seq)).cast("long"))
-        # Hash-partition by the key into the bucket count first (the same
-        # hash the bucketing uses): each task then holds one bucket and an
-        # append writes one file per bucket, not one per task and bucket.
-        (out.repartition(self.buckets, *self.key)
-            .write.mode("append").format("parquet").option("path", self.path)
-            .bucketBy(self.buckets, *self.key).sortBy(*self.key).saveAsTable(self.name))
+        self._check(df.sparkSession, create=True)
+        append_changes(df, f"{self.path}/rows", changed_at=changed_at, seq=seq)
 
     def latest(self, spark: SparkSession, order: list[str] | None = None) -> DataFrame:
         """Latest version per key by ``order``, then change time and
         sequence (a retried append is hidden)."""
-        if not self.attach(spark):
+        if not self._check(spark):
             raise FileNotFoundError(self.path)
-        # Appends may come from another session (a stream's micro-batches):
-        # drop this session's cached file listing first.
-        spark.catalog.refreshTable(self.name)
-        log = spark.table(self.name)
-        keep = [c for c in log.columns if c not in self.key]
-        return (latest_per_key(log, self.key, [*(order or []), "_changed_at", "_seq"], keep=keep)
-                .drop("_changed_at", "_seq"))
+        return read_latest(spark, f"{self.path}/rows", self.key, order)
+
+    def versions(self, spark: SparkSession) -> DataFrame:
+        """Every stored version, superseded ones included."""
+        return spark.read.parquet(f"{self.path}/rows")
 
     def compact_into(self, spark: SparkSession, other: "KeyedLog", order: list[str] | None = None) -> None:
         """Write the latest versions into another (new, empty) log."""
-        if other.path.rstrip("/") == self.path.rstrip("/"):
+        if other.path == self.path:
             raise ValueError("compact into a new folder, not over the one being read")
         other.append(self.latest(spark, order), changed_at=F.current_timestamp().cast("timestamp_ntz"), seq=0)

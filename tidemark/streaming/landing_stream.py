@@ -26,15 +26,16 @@ from tidemark.sources import landing, tables
 
 @dataclass
 class StreamPaths:
-    landing: str       # partitioned landing folder (write_pages layout)
-    target: str        # change log of good records (bucketed by the contract key)
-    quarantine: str    # change log of rejected records
+    landing: str       # landing folder (runs, or pages in one of their layouts)
+    target: str        # change log of good records, by the contract key
+    quarantine: str    # change log of rejected records, by endpoint and text
     checkpoint: str    # the stream's own checkpoint folder
-    buckets: int = 16  # buckets of the target log
 
     def target_log(self, contract: Contract) -> tables.KeyedLog:
-        name = "tidemark_" + "".join(ch if ch.isalnum() else "_" for ch in self.target)[-80:]
-        return tables.KeyedLog(name, self.target, contract.key, self.buckets)
+        return tables.KeyedLog(self.target, contract.key)
+
+    def quarantine_log(self) -> tables.KeyedLog:
+        return tables.KeyedLog(self.quarantine, ["endpoint", "record_hash"])
 
 
 def load_batch(raw: DataFrame, contract: Contract, paths: StreamPaths, seq: int, changed_at) -> None:
@@ -44,8 +45,9 @@ def load_batch(raw: DataFrame, contract: Contract, paths: StreamPaths, seq: int,
     try:
         good, bad = quality.split_good_quarantine(flagged, contract)
         paths.target_log(contract).append(good, changed_at=changed_at, seq=seq)
-        tables.append_changes(bad.select("endpoint", "cursor", "offset", "raw", "quality_issue"), paths.quarantine,
-                              changed_at=changed_at, seq=seq)
+        # Keyed by its text: a bad record that lands again is one row.
+        hashed = bad.select("endpoint", F.sha2("raw", 256).alias("record_hash"), "cursor", "offset", "raw", "quality_issue")
+        paths.quarantine_log().append(hashed, changed_at=changed_at, seq=seq)
     finally:
         flagged.unpersist()
 
@@ -55,12 +57,14 @@ def run_landing_stream(spark: SparkSession, contract: Contract, paths: StreamPat
     """Process every page landed so far (availableNow) and return the
     number of micro-batches run."""
     reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
-    if layout == "block":
+    if layout == "run":
+        rows = reader.schema(landing.RUN_ROWS).option("recursiveFileLookup", "true").parquet(paths.landing)
+    elif layout == "block":
         lines = (reader.schema(landing.ENVELOPE).json(paths.landing)
                        .select("offset", "raw", F.col("_metadata.file_path").alias("__p")))
     else:
         lines = reader.format("text").load(paths.landing).select("value", F.col("_metadata.file_path").alias("__p"))
-    raw = landing.pages_from_lines(lines, layout)
+    raw = landing.run_records(rows) if layout == "run" else landing.pages_from_lines(lines, layout)
     batches = []
 
     def each(batch: DataFrame, epoch: int) -> None:
@@ -76,8 +80,7 @@ def run_landing_stream(spark: SparkSession, contract: Contract, paths: StreamPat
 
 
 def current_table(spark: SparkSession, paths: StreamPaths, contract: Contract) -> DataFrame:
-    """The target as of now: latest version per key by ``updated_at``,
-    aggregated bucket by bucket (no shuffle of the target)."""
+    """The target as of now: latest version per key by ``updated_at``."""
     return paths.target_log(contract).latest(spark, [contract.order])
 
 

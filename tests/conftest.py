@@ -13,7 +13,10 @@ def spark():
     from tidemark.session import build_session
 
     s = build_session("local[4]", app="tidemark-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
+                             "spark.eventLog.enabled": "true", "spark.eventLog.compress": "false",
+                             "spark.eventLog.rolling.enabled": "false",
+                             "spark.eventLog.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp")})
     yield s
     s.stop()
 

@@ -948,9 +948,9 @@ def q_run_incremental(spark, sf):
     _execute(spark, sf, store, root, RUN_ID, RUN_TIME, 1, _breaks("3-MEDIUM"))
     cps = store.read("ingestion_checkpoints").select("table_name", "current_watermark", "fallback_watermark", "last_id",
                                                      "last_successful_run_id")
-    run = store.read("ingestion_runs").select(F.col("status").alias("run_status"), "completed_at", F.lit(RUN_ID).alias("r"))
-    reg = _registry(spark).select("table_name", F.lit(RUN_ID).alias("r"))
-    return reg.join(cps, "table_name", "left").join(run, "r").drop("r")
+    run = store.read("ingestion_runs").where(F.col("run_id") == RUN_ID)   # one row
+    return _registry(spark).select("table_name").join(cps, "table_name", "left").withColumns({
+        "run_status": run.agg(F.max("status")).scalar(), "completed_at": run.agg(F.max("completed_at")).scalar()})
 
 
 @register("resume_run", V("src", "seed", "contracts") + ", " + _WORK.lstrip() + """

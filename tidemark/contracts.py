@@ -20,46 +20,18 @@ from tidemark.session import literal_frame
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the source system's declarations.
 # Start watermark: 2020-01-01T00:00:00Z.  Page size 500, offset wrap 10000.
-# Field lists in declaration order ("*" = required, "[]" = list of bigint
-# defaulting to empty).  The order matters for the signature.
+# The field lists are further down, in declaration order, which the signature
+# depends on.
 # ---------------------------------------------------------------------------
 START_WATERMARK = 1577836800
 PAGE_SIZE = 500
 OFFSET_WRAP = 10000
 LAYERS = ("RAW", "ANALYTICS")
 
-_CONTRACT_TEXT = {
-    "GameSchema": ("/games", """
-        id bigint*, name string*, slug string, summary string, storyline string,
-        created_at bigint, updated_at bigint, first_release_date bigint,
-        rating double, rating_count bigint, aggregated_rating double,
-        aggregated_rating_count bigint, total_rating double, total_rating_count bigint,
-        hypes bigint, game_type bigint, game_status bigint,
-        genres [], platforms [], involved_companies [], release_dates [],
-        game_modes [], themes [], collections [],
-        parent_game bigint, version_parent bigint, version_title string, checksum string"""),
-    "ReleaseDateSchema": ("/release_dates", """
-        id bigint*, game bigint, platform bigint, date bigint, human string,
-        y bigint, m bigint, region bigint, status bigint,
-        created_at bigint, updated_at bigint, checksum string"""),
-    "GenreSchema": ("/genres", """
-        id bigint*, name string*, slug string,
-        created_at bigint, updated_at bigint, checksum string"""),
-    "PlatformSchema": ("/platforms", """
-        id bigint*, name string*, slug string, abbreviation string,
-        alternative_name string, generation bigint, platform_family bigint,
-        created_at bigint, updated_at bigint, checksum string"""),
-    "CompanySchema": ("/companies", """
-        id bigint*, name string*, slug string, description string,
-        country bigint, parent bigint, changed_company_id bigint,
-        created_at bigint, updated_at bigint, checksum string"""),
-}
-
 _TYPES = {
     "bigint": T.LongType(),
     "string": T.StringType(),
     "double": T.DoubleType(),
-    "[]": T.ArrayType(T.LongType()),
 }
 
 
@@ -134,21 +106,86 @@ class Contract:
         return hashlib.sha256(" ".join(self.source_names).encode()).hexdigest()
 
 
-def _parse_fields(text: str) -> tuple[FieldSpec, ...]:
-    out = []
-    for item in text.replace("\n", " ").split(","):
-        item = item.strip()
-        if not item:
-            continue
-        name, typ = item.split()
-        required = typ.endswith("*")
-        out.append(FieldSpec(name, _TYPES[typ.rstrip("*")], required))
-    return tuple(out)
-
+LONG, TEXT, DOUBLE, LONGS = T.LongType(), T.StringType(), T.DoubleType(), T.ArrayType(T.LongType())
 
+# The declared fields of the five source tables.
 CONTRACTS: dict[str, Contract] = {
-    name: Contract(name=name, endpoint=endpoint, fields=_parse_fields(text))
-    for name, (endpoint, text) in _CONTRACT_TEXT.items()
+    "GameSchema": Contract(name="GameSchema", endpoint="/games", fields=(
+        FieldSpec("id", LONG, required=True),
+        FieldSpec("name", TEXT, required=True),
+        FieldSpec("slug", TEXT),
+        FieldSpec("summary", TEXT),
+        FieldSpec("storyline", TEXT),
+        FieldSpec("created_at", LONG),
+        FieldSpec("updated_at", LONG),
+        FieldSpec("first_release_date", LONG),
+        FieldSpec("rating", DOUBLE),
+        FieldSpec("rating_count", LONG),
+        FieldSpec("aggregated_rating", DOUBLE),
+        FieldSpec("aggregated_rating_count", LONG),
+        FieldSpec("total_rating", DOUBLE),
+        FieldSpec("total_rating_count", LONG),
+        FieldSpec("hypes", LONG),
+        FieldSpec("game_type", LONG),
+        FieldSpec("game_status", LONG),
+        FieldSpec("genres", LONGS),
+        FieldSpec("platforms", LONGS),
+        FieldSpec("involved_companies", LONGS),
+        FieldSpec("release_dates", LONGS),
+        FieldSpec("game_modes", LONGS),
+        FieldSpec("themes", LONGS),
+        FieldSpec("collections", LONGS),
+        FieldSpec("parent_game", LONG),
+        FieldSpec("version_parent", LONG),
+        FieldSpec("version_title", TEXT),
+        FieldSpec("checksum", TEXT),
+    )),
+    "ReleaseDateSchema": Contract(name="ReleaseDateSchema", endpoint="/release_dates", fields=(
+        FieldSpec("id", LONG, required=True),
+        FieldSpec("game", LONG),
+        FieldSpec("platform", LONG),
+        FieldSpec("date", LONG),
+        FieldSpec("human", TEXT),
+        FieldSpec("y", LONG),
+        FieldSpec("m", LONG),
+        FieldSpec("region", LONG),
+        FieldSpec("status", LONG),
+        FieldSpec("created_at", LONG),
+        FieldSpec("updated_at", LONG),
+        FieldSpec("checksum", TEXT),
+    )),
+    "GenreSchema": Contract(name="GenreSchema", endpoint="/genres", fields=(
+        FieldSpec("id", LONG, required=True),
+        FieldSpec("name", TEXT, required=True),
+        FieldSpec("slug", TEXT),
+        FieldSpec("created_at", LONG),
+        FieldSpec("updated_at", LONG),
+        FieldSpec("checksum", TEXT),
+    )),
+    "PlatformSchema": Contract(name="PlatformSchema", endpoint="/platforms", fields=(
+        FieldSpec("id", LONG, required=True),
+        FieldSpec("name", TEXT, required=True),
+        FieldSpec("slug", TEXT),
+        FieldSpec("abbreviation", TEXT),
+        FieldSpec("alternative_name", TEXT),
+        FieldSpec("generation", LONG),
+        FieldSpec("platform_family", LONG),
+        FieldSpec("created_at", LONG),
+        FieldSpec("updated_at", LONG),
+        FieldSpec("checksum", TEXT),
+    )),
+    "CompanySchema": Contract(name="CompanySchema", endpoint="/companies", fields=(
+        FieldSpec("id", LONG, required=True),
+        FieldSpec("name", TEXT, required=True),
+        FieldSpec("slug", TEXT),
+        FieldSpec("description", TEXT),
+        FieldSpec("country", LONG),
+        FieldSpec("parent", LONG),
+        FieldSpec("changed_company_id", LONG),
+        FieldSpec("created_at", LONG),
+        FieldSpec("updated_at", LONG),
+        FieldSpec("checksum", TEXT),
+    )),
 }
 
 

@@ -120,7 +120,7 @@ def observed_keys(raw: DataFrame, *, value: str = "raw", group: str = "table_nam
 def new_columns(observed: DataFrame, registry: DataFrame, group: str = "table_name") -> DataFrame:
     """U1 observed minus declared: keys a contract does not declare (Q5:
     logged, the load goes on)."""
-    decl = F.broadcast(registry.select(F.col("table_name").alias(group), "declared_columns"))
+    decl = registry.select(F.col("table_name").alias(group), "declared_columns")
     return (observed.join(decl, group)
                     .where(~F.array_contains("declared_columns", F.col("column_name")))
                     .drop("declared_columns"))
@@ -130,7 +130,7 @@ def missing_required(observed: DataFrame, registry: DataFrame, group: str = "tab
     """U1 declared-required minus observed (Q6 breaking change): required
     columns never seen in a table's records."""
     seen = observed.groupBy(group).agg(F.collect_set("column_name").alias("__seen"))
-    req = F.broadcast(registry.select(F.col("table_name").alias(group), "required_columns"))
+    req = registry.select(F.col("table_name").alias(group), "required_columns")
     return (seen.join(req, group)
                 .select(group, F.explode(F.array_except("required_columns", "__seen")).alias("column_name")))
 
@@ -138,8 +138,8 @@ def missing_required(observed: DataFrame, registry: DataFrame, group: str = "tab
 def type_changes(observed: DataFrame, declared: DataFrame, group: str = "table_name") -> DataFrame:
     """Q6 type change: declared columns seen with a JSON type the declared
     type cannot take (numbers accept integers; null fits anything)."""
-    d = F.broadcast(declared.select(F.col("table_name").alias(group), "column_name",
-                                    F.col("data_type").alias("declared_type"), "json_family"))
+    d = declared.select(F.col("table_name").alias(group), "column_name",
+                                    F.col("data_type").alias("declared_type"), "json_family")
     fits = ((F.col("data_type") == F.col("json_family")) | (F.col("data_type") == "null")
             | ((F.col("json_family") == "number") & (F.col("data_type") == "integer")))
     return (observed.join(d, [group, "column_name"])
@@ -154,8 +154,8 @@ def breaking_changes(observed: DataFrame, declared: DataFrame, registry: DataFra
     carries (observed type ``missing``, no records)."""
     types = type_changes(observed, declared, group)
     missing = (missing_required(observed, registry, group)
-               .join(F.broadcast(declared.select(F.col("table_name").alias(group), "column_name",
-                                                 F.col("data_type").alias("declared_type"))),
+               .join(declared.select(F.col("table_name").alias(group), "column_name",
+                                                 F.col("data_type").alias("declared_type")),
                      [group, "column_name"], "left")
                .select(group, "column_name", "declared_type", F.lit("missing").alias("observed_type"),
                        F.lit(0).cast("long").alias("records")))
@@ -188,7 +188,7 @@ def drift_rows(observed: DataFrame, registry: DataFrame, declared: DataFrame, *,
     ``QUARANTINE`` when records of a wrong type are set aside while others
     load, else ``NEW_COLUMN``.  ``included_at`` stays null until the contract
     takes the new columns in (Q8, ``mark_included``)."""
-    reg = F.broadcast(registry.select(F.col("table_name").alias(group), "declared_columns", "required_columns"))
+    reg = registry.select(F.col("table_name").alias(group), "declared_columns", "required_columns")
     retyped = type_changes(observed, declared, group).groupBy(group).agg(F.collect_set("column_name").alias("retyped"))
     none = F.array().cast("array<string>")
     j = (schema_snapshots(observed, group).join(reg, group).join(retyped, group, "left")
@@ -212,7 +212,7 @@ def mark_included(history: DataFrame, registry: DataFrame, now: Column, group: s
     NEW_COLUMN row, set its ``included_at`` (kept if already set).  Rows of
     breaking changes name declared columns, so declaration resolves nothing
     there."""
-    decl = F.broadcast(registry.select(F.col("table_name").alias(group), F.col("declared_columns").alias("__decl")))
+    decl = registry.select(F.col("table_name").alias(group), F.col("declared_columns").alias("__decl"))
     j = history.join(decl, group, "left")
     covered = F.size(F.array_except("changed_columns", F.coalesce("__decl", F.array().cast("array<string>")))) == 0
     new = F.col("status") == "NEW_COLUMN"

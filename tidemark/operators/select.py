@@ -110,11 +110,11 @@ def page_query(df: DataFrame, *, contract: Contract | None = None, columns: list
 
 # -- J1 / J2b: replay events with and without a contract ---------------------
 def known_events(events: DataFrame, registry: DataFrame) -> DataFrame:
-    return events.join(F.broadcast(registry.select("table_name")), "table_name", "left_semi")
+    return events.join(registry.select("table_name"), "table_name", "left_semi")
 
 
 def unknown_events(events: DataFrame, registry: DataFrame) -> DataFrame:
-    return events.join(F.broadcast(registry.select("table_name")), "table_name", "left_anti")
+    return events.join(registry.select("table_name"), "table_name", "left_anti")
 
 
 # -- P7: pending events of a layer --------------------------------------------

@@ -25,6 +25,8 @@ from tidemark.streaming import landing_stream
 from tidemark.sources import standins as S
 from tidemark.sources.standins import with_views as V
 
+# Column names, statuses and the names of the report columns below are fixed
+# values: they must equal the source system's tables and reports.
 RUN_TIME = S.RUN_TIME
 RUN_ID = "run-0001"
 
@@ -410,7 +412,7 @@ def q_override_checkpoint(spark, sf):
                 ("NO_SUCH_TABLE", 5, True)], "table_name string, custom_watermark bigint, activate_fallback boolean")
     out = merge.override_checkpoint(cps, req, _now())
     hit = merge.matched_keys(cps, req, "table_name").withColumn("matched", F.lit(True))
-    return (out.join(F.broadcast(hit), "table_name", "left")
+    return (out.join(hit, "table_name", "left")
                .select("table_name", "current_watermark", "fallback_watermark", "is_override_active", "updated_at",
                        F.coalesce("matched", F.lit(False)).alias("matched")))
 
@@ -1129,7 +1131,9 @@ def q_log_tables(spark, sf):
     if bad.limit(1).count():
         raise ValueError("checkpoint rows break NOT NULL columns")
     cps.select(*tables.log_schema("ingestion_checkpoints").names).write.insertInto(target, overwrite=True)
-    return spark.table(target)
+    for name in names:   # the files stay; the catalog entries were this run's
+        spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(tables.log_schema("ingestion_checkpoints")).parquet(f"{root}/ingestion_checkpoints")
 
 
 @register("breaking_changes", V("src") + _KEYS_SQL + """
@@ -1137,7 +1141,7 @@ SELECT table_name, column_name, 'bigint' AS declared_type, data_type AS observed
 FROM kv WHERE column_name = 'updated_at' AND data_type <> 'integer' GROUP BY 1, 2, 3, 4""")
 def q_breaking_changes(spark, sf):
     """Q6: declared columns arriving with a type the contract cannot take."""
-    observed = quality.observed_keys(S.raw_records(spark, sf))
+    observed = materialize(quality.observed_keys(S.raw_records(spark, sf)))   # one scan, two uses
     return quality.breaking_changes(observed, columns_frame(spark, S.source_contracts()), _registry(spark))
 
 
@@ -1237,13 +1241,13 @@ def q_run_lifecycle(spark, sf):
 
 @register("kpi_summary", V("runs", "batches", "src", "seed", "contracts") + ", " + _CHECKPOINT_TABLE.lstrip()
           + _KEYS_SQL + _DRIFT_SQL + """
-SELECT (SELECT count(*) FROM runs) AS total_runs,
-       (SELECT count(*) FROM runs WHERE status = 'COMPLETED') AS successful_runs,
-       (SELECT count(*) FROM runs WHERE status = 'FAILED') AS failed_runs,
-       (SELECT count(*) FROM merged) AS total_tables,
-       (SELECT count(*) FROM merged WHERE table_name = '1-URGENT' OR is_override_active) AS active_overrides,
-       (SELECT CAST(coalesce(sum(records_count), 0) AS BIGINT) FROM batches) AS total_records_ingested,
-       (SELECT count(*) FROM drift) AS total_schema_changes""")
+SELECT r.*, c.*, b.*, h.* FROM
+  (SELECT count(*) AS total_runs, count(*) FILTER (WHERE status = 'COMPLETED') AS successful_runs,
+          count(*) FILTER (WHERE status = 'FAILED') AS failed_runs FROM runs) r,
+  (SELECT count(*) AS total_tables, count(*) FILTER (WHERE table_name = '1-URGENT' OR is_override_active) AS active_overrides
+   FROM merged) c,
+  (SELECT CAST(coalesce(sum(records_count), 0) AS BIGINT) AS total_records_ingested FROM batches) b,
+  (SELECT count(*) AS total_schema_changes FROM drift) h""")
 def q_kpi_summary(spark, sf):
     """A1-A3: the dashboard row over the runs, the checkpoint table after
     an override on one table (M7b), the batch log and the schema history

@@ -1,13 +1,36 @@
-"""Small helpers for operators that work on Arrow batches."""
+"""Small helpers for operators that run Python on the executors."""
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+import tidemark
+
+
+def with_code(spark: SparkSession) -> None:
+    """Sends this package's sources to the executors, once for each Spark
+    context, so that Python workers can import them wherever they start."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_code", False):
+        return
+    top = os.path.dirname(os.path.abspath(tidemark.__file__))
+    made = os.path.join(tempfile.mkdtemp(prefix="run-"), "tidemark_code.zip")
+    with zipfile.ZipFile(made, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("tidemark", os.path.relpath(path, top)))
+    sc.addPyFile(os.path.realpath(made))
+    sc._tidemark_code = True
+
 
 def extended(df: DataFrame, name: str, kind) -> StructType:
     """The schema of ``df`` with one more column; refuses a clash."""

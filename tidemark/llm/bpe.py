@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from tidemark.llm.arrow import extended, slices
+from tidemark.llm.arrow import extended, slices, with_code
 
 #: White space as the byte-level splitter sees it (Unicode White_Space).
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -169,6 +169,7 @@ def _read_once(spark, path: str):
 def bpe_encode(df: DataFrame, text_col: str, vocabulary: str, out: str = "ids") -> DataFrame:
     """``df`` with ``out``: the token ids of ``text_col`` (array of int) under
     the byte-level BPE vocabulary file at ``vocabulary``."""
+    with_code(df.sparkSession)
     shared = _read_once(df.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +189,7 @@ def bpe_decode(df: DataFrame, ids_col: str, vocabulary: str, out: str = "decoded
     """``df`` with ``out``: the text of the token ids in ``ids_col``, special
     tokens spelled out.  Null ids give an empty text, ids outside of the
     vocabulary nothing; bytes that are not UTF-8 become U+FFFD."""
+    with_code(df.sparkSession)
     shared = _read_once(df.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

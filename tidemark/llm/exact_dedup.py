@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import fuse
+from tidemark.llm.arrow import with_code
 from tidemark.operators.joins import checked_broadcast
 from tidemark.session import scratch_path
 
@@ -113,6 +114,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
     ``digest_hex`` shortens the digest that groups (the byte checks make up
     for it)."""
+    with_code(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), one_spaced(F.col(text_col)).alias("t"))
     texts = texts.withColumn("text_sha256", F.sha2("t", 256))
     rows = _stored(texts.select("doc_id", "text_sha256", F.substring("text_sha256", 1, digest_hex).alias("digest"),

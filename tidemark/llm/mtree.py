@@ -39,6 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.arrow import with_code
 from tidemark.session import scratch_path
 
 PIVOTS = 1024
@@ -171,6 +172,7 @@ class Index:
 def build_index(vectors: DataFrame, pivots: int = PIVOTS, tree: int = TREE, page: int = PAGE) -> Index | None:
     """Index of ``vectors`` (id long, v array<long>); None if there are none."""
     spark = vectors.sparkSession
+    with_code(spark)
     norm = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
     size = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("m")).first()
     if not size.n:

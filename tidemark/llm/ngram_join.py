@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import slices
+from tidemark.llm.arrow import slices, with_code
 from tidemark.llm.components import connected_components, stored
 from tidemark.llm.shingles import shingle_sets, signatures
 from tidemark.operators.joins import checked_broadcast
@@ -227,6 +227,7 @@ def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
     """One row per document: doc_id, class_id, n_links, kept (one document of
     each class: that of the smallest id) and text_sha256."""
+    with_code(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     of = stored(_of_texts(texts), "sets")
     nodes = stored(of.where("node IS NOT NULL").groupBy("node")

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import extended, slices
+from tidemark.llm.arrow import extended, slices, with_code
 from tidemark.llm.components import stored
 
 #: Titles and given names by gender, and cues of names.
@@ -226,7 +226,8 @@ def surrogates(units: DataFrame, key: bytes) -> DataFrame:
             made = [propose(key, **x) for x in b.select(["kind", "norm", "gender", "attempt"]).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made, pa.string())], [*b.schema.names, "surrogate"])
 
-    spark, accepted, pending = units.sparkSession, None, units.withColumn("attempt", F.lit(0))
+    with_code(units.sparkSession)
+    accepted, pending = None, units.withColumn("attempt", F.lit(0))
     schema = "kind string, norm string, gender string, attempt int, surrogate string"
     while True:
         tried = stored(pending.mapInArrow(run, schema), "pii-tried")
@@ -245,6 +246,7 @@ def surrogates(units: DataFrame, key: bytes) -> DataFrame:
 def replace_pii(docs: DataFrame, text_col: str, key: bytes, out: str = "n_replaced") -> DataFrame:
     """``docs`` with every entity in ``text_col`` replaced, and their number
     in ``out`` (long)."""
+    with_code(docs.sparkSession)
     schema = extended(docs, out, "long")
     found = stored(_units(docs, text_col), "pii-found")
     # One gender for a name everywhere: a mention without a cue follows those that have one.

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import extended, slices
+from tidemark.llm.arrow import extended, slices, with_code
 
 VOTERS = 8192
 FIT_ROWS = 2048
@@ -167,6 +167,7 @@ def held_out(doc_id: Column) -> Column:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, voters: int = VOTERS) -> Model:
     """The model of the labelled documents that are not held out."""
+    with_code(docs.sparkSession)
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = (usable.select("doc_id", (F.col("quality") > 0).cast("int").alias("label"))
                     .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(voters))
@@ -192,6 +193,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, voters: int = VOTERS) -> Mod
 
 def quality_scores(df: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """``df`` with ``out``: the share of similarity-weighted votes for label 1."""
+    with_code(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import extended, slices
+from tidemark.llm.arrow import extended, slices, with_code
 
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -156,6 +156,7 @@ def secret_spans(df: DataFrame, text_col: str, out: str = "secrets", min_guesses
     """``df`` with ``out``: every secret in ``text_col`` as kind, start, end
     and, for guess spans, the cost.  One narrow pass; a column-wise filter
     leaves most texts to two vectorised searches."""
+    with_code(df.sparkSession)
     least = math.log10(min_guesses)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,8 @@ can only reach ``least`` with a template of ``b`` if
 ``b * least / (2 - least) <= a <= b * (2 - least) / least``, so templates
 outside of these size bounds are pruned before any comparison, and passages
 that no template's bounds admit are never cut into bigrams (a passage of ``n``
-words has ``n - 1`` bigrams at most).  Everything is one projection over
+words has ``n - 1`` bigrams at most, one of ``d`` distinct words ``d - 1`` at
+least).  Everything is one projection over
 the rows: no shuffle, no join.
 
 Defined results: null text counts as empty; passages of fewer than two words
@@ -126,9 +127,12 @@ def license_matches(df: DataFrame, text_col: str, out: str = "licenses", templat
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct((i + 1).alias("line"), x.alias("text")))
-    passages = F.concat(F.array(F.struct(F.lit(0).alias("line"), text.alias("text"))), lines)
-    worded = F.transform(passages, lambda p: F.struct(p["line"].alias("line"), word_list(p["text"]).alias("words")))
-    enough = F.filter(worded, lambda p: F.size(p["words"]) - 1 >= few)
+    worded = F.transform(lines, lambda p: F.struct(p["line"].alias("line"), word_list(p["text"]).alias("words")))
+    # The words of the whole text are those of its lines.
+    whole = F.struct(F.lit(0).alias("line"), F.flatten(F.transform("__lines", lambda p: p["words"])).alias("words"))
+    passages = F.concat(F.array(whole), F.col("__lines"))
+    enough = F.filter(passages, lambda p: (F.size(p["words"]) - 1 >= few)
+                      & (F.size(F.array_distinct(p["words"])) - 1 <= most))
     grams = F.transform(enough, lambda p: F.struct(p["line"].alias("line"), bigrams(p["words"]).alias("grams")))
     sized = F.filter(grams, lambda p: F.size(p["grams"]) <= most)
     score = lambda p, t: (F.lit(2.0) * F.size(F.array_intersect(p["grams"], t["grams"]))
@@ -141,8 +145,8 @@ def license_matches(df: DataFrame, text_col: str, out: str = "licenses", templat
                 F.array(*[F.lit(k) for k in known]), t["license"])).alias("place"),
                 t["license"].alias("license")))).alias("best")))
     found = F.filter(scored, lambda p: p["best"]["dice"] >= least)
-    return df.withColumn(out, F.transform(found, lambda p: F.struct(
-        p["line"].alias("line"), p["best"]["license"].alias("license"), p["best"]["dice"].alias("dice"))))
+    return df.withColumn("__lines", worded).withColumn(out, F.transform(found, lambda p: F.struct(
+        p["line"].alias("line"), p["best"]["license"].alias("license"), p["best"]["dice"].alias("dice")))).drop("__lines")
 
 
 def op4_license_scan(spark, sf_dir: str) -> DataFrame:

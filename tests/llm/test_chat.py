@@ -1,5 +1,6 @@
 """Snapshot collapse against comparison of whole turn lists."""
 
+import hashlib
 import random
 
 from tidemark.llm import chat as C
@@ -7,10 +8,12 @@ from tidemark.llm import chat as C
 
 def by_hand(rows):
     none = lambda v: (v is not None, v if v is not None else "")
+    mark = lambda v: f"1{v}" if v is not None else "0"
+    content = lambda r, x: hashlib.md5(f"{mark(r)}\x1f{mark(x)}".encode()).hexdigest()
     convs = {}
     for c, t, r, x in {*rows}:
-        convs.setdefault(c, []).append(((t is not None, t or 0), none(r), none(x)))
-    seqs = {c: tuple((r, x) for _, r, x in sorted(v)) for c, v in convs.items()}
+        convs.setdefault(c, []).append(((t is not None, t or 0), content(r, x), none(r), none(x)))
+    seqs = {c: tuple((r, x) for _, _, r, x in sorted(v)) for c, v in convs.items()}
     inner = {s[:k] for s in seqs.values() for k in range(1, len(s))}
     out = {}
     for c, s in seqs.items():

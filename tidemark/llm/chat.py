@@ -1,9 +1,10 @@
 """Chat formatting after cumulative-snapshot collapse [native].
 
 Chat logs often hold the same conversation again and again, one snapshot per
-turn.  Every turn gets the rolling hash of its conversation up to and with it
-(two 64-bit hashes of position, role and text, each summed over the prefix as
-exact decimals).  A conversation whose last hash is some longer conversation's
+turn.  A turn's content is known by the MD5 of its role and text, so texts are
+not shuffled to compare them.  Every turn gets the rolling hash of its
+conversation up to and with it (two 64-bit hashes of position and content, each
+summed over the prefix as exact decimals).  A conversation whose last hash is some longer conversation's
 hash at that position is a prefix of it; anti-joins leave the maximal
 conversations, of equal ones that with the smallest id, and only those are
 rendered.
@@ -13,8 +14,8 @@ Running sums over a conversation are taken in two steps, inside blocks of
 the rows of a long conversation whole.  Rendering alone gathers a
 conversation, as its result is one text.
 
-Defined results: turns are in order of (turn, role, text), nulls first; rows
-that repeat whole are one turn; null role or text renders empty and differs
+Defined results: turns are in order of their number, nulls first, and of equal
+number in order of their content's MD5; rows that repeat whole are one turn; null role or text renders empty and differs
 from an empty one; rows without conv_id are one conversation of null id; the
 empty table gives no rows.  Extra columns are not read.
 """
@@ -24,23 +25,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.components import stored
+
 BLOCK = 256
 _WIDE = "decimal(38,0)"
 
 
-def _turn_hash(salt: str) -> Column:
-    """Hash of (position, role, text) that tells null from empty."""
-    return F.xxhash64(F.lit(salt), F.col("pos"), F.col("role").isNull(), F.col("role"), F.col("text").isNull(),
-                      F.col("text")).cast(_WIDE)
+def _content() -> Column:
+    """MD5 of role and text; null differs from empty."""
+    mark = lambda c: F.concat(F.col(c).isNotNull().cast("int").cast("string"), F.coalesce(F.col(c), F.lit("")))
+    return F.md5(F.concat(mark("role"), F.lit("\x1f"), mark("text")))
 
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text, pos, h1, h2): position from 1 and rolling
-    hashes of every turn."""
+    """(conv_id, pos, h1, h2): position from 1 and rolling hashes of every
+    turn."""
     keys = ["conv_id", "block"]
-    rows = (turns.select("conv_id", "turn", "role", "text").distinct()
+    rows = (turns.select("conv_id", "turn", _content().alias("content")).distinct()
                  .withColumn("block", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / BLOCK)))
-    inside = Window.partitionBy(*keys).orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys).orderBy("turn", "content").rowsBetween(Window.unboundedPreceding, 0)
     prior = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
 
     def carried(df: DataFrame, sums: dict[str, Column]) -> DataFrame:
@@ -54,14 +57,15 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
             "_conv_id", "_block", *[f"_in_{k}" for k in sums], *[f"_before_{k}" for k in sums])
 
     placed = carried(rows, {"pos": F.lit(1)})
-    hashed = carried(placed, {"h1": _turn_hash("a"), "h2": _turn_hash("b")})
-    return hashed.withColumns({"h1": F.col("h1").cast(_WIDE), "h2": F.col("h2").cast(_WIDE)}).drop("block")
+    part = lambda salt: F.xxhash64(F.lit(salt), "pos", "content").cast(_WIDE)
+    hashed = carried(placed, {"h1": part("a"), "h2": part("b")})
+    return hashed.select("conv_id", "pos", F.col("h1").cast(_WIDE).alias("h1"), F.col("h2").cast(_WIDE).alias("h2"))
 
 
 def maximal_conversations(turns: DataFrame) -> DataFrame:
     """(conv_id, n_turns, n_equal): conversations that are no prefix of a
     longer one, one for each set of equal ones."""
-    hashes = prefix_hashes(turns).select("conv_id", "pos", "h1", "h2")
+    hashes = stored(prefix_hashes(turns), "prefixes")
     last = hashes.groupBy("conv_id").agg(F.max_by(F.struct("pos", "h1", "h2"), "pos").alias("end"))
     # Equal conversations fall together before the anti-join, so no end is frequent.
     ends = (last.groupBy("end.pos", "end.h1", "end.h2")
@@ -79,12 +83,11 @@ def render_chat(turns: DataFrame) -> DataFrame:
     kept = maximal_conversations(turns)
     empty = lambda c: F.coalesce(F.col(c), F.lit(""))
     line = F.concat(F.lit("<|im_start|>"), empty("role"), F.lit("\n"), empty("text"), F.lit("<|im_end|>\n"))
-    rows = (turns.select("conv_id", "turn", "role", "text").distinct()
-                 .select(F.col("conv_id").alias("c"), F.struct("turn", "role", "text", line.alias("line")).alias("t")))
-    ours = rows.join(kept, F.col("conv_id").eqNullSafe(F.col("c")))
-    texts = F.transform(F.array_sort(F.collect_list("t")), lambda t: t["line"])
-    return (ours.groupBy("conv_id", "n_turns", "n_equal").agg(F.concat_ws("", texts).alias("text"))
-                .select("conv_id", "n_turns", "n_equal", "text"))
+    rows = turns.select(F.col("conv_id").alias("c"), F.struct("turn", _content().alias("content"), line.alias("line")).alias("t"))
+    # The set of a conversation's turns is its result, and drops rows that repeat.
+    texts = F.transform(F.array_sort(F.collect_set("t")), lambda t: t["line"])
+    return (rows.join(kept, F.col("conv_id").eqNullSafe(F.col("c"))).groupBy("conv_id", "n_turns", "n_equal")
+                .agg(F.concat_ws("", texts).alias("text")).select("conv_id", "n_turns", "n_equal", "text"))
 
 
 def op2_chat_format(spark, sf_dir: str) -> DataFrame:
@@ -94,14 +97,17 @@ def op2_chat_format(spark, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = r"""
-WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, role, text,
+         md5(CASE WHEN role IS NULL THEN '0' ELSE '1' || role END || chr(31)
+             || CASE WHEN text IS NULL THEN '0' ELSE '1' || text END) AS content
+  FROM conversations),
 p AS (
   SELECT conv_id, row_number() OVER w AS pos,
          list(struct_pack(r := role, t := text)) OVER w AS prefix,
          string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '')
            OVER w AS body
-  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST
-                      ROWS UNBOUNDED PRECEDING)),
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, content ROWS UNBOUNDED PRECEDING)),
 n AS (SELECT conv_id, max(pos) AS n FROM p GROUP BY conv_id),
 e AS (SELECT p.prefix, p.pos AS n_turns, min(p.conv_id) AS conv_id, count(*) AS n_equal, any_value(p.body) AS text
       FROM p JOIN n ON p.conv_id IS NOT DISTINCT FROM n.conv_id AND p.pos = n.n GROUP BY p.prefix, p.pos),

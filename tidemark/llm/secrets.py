@@ -4,7 +4,8 @@ Three patterns give the base spans: ``assign`` (a credential word, a sign of
 assignment, a value of 12 or more characters), ``access`` (AKIA keys of 18 or
 more) and ``hex`` (runs of 16 or more).  Matches are the leftmost
 non-overlapping ones of each kind; one whose length falls short is dropped
-with all it covered.
+with all it covered.  A base span covers its whole match, an assign span so the
+credential word as well as the value.
 
 The method adds ``guess`` spans: values that follow a wider set of credential
 words are cut into dictionary words, dates, repeats, keyboard walks and

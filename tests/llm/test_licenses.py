@@ -1,6 +1,7 @@
 """Licence scan against plain Python sets."""
 
 import re
+import textwrap
 
 import pytest
 
@@ -54,3 +55,45 @@ def test_templates_find_themselves():
     for name, text in L.TEMPLATES.items():
         assert by_hand(text)[0][1] == name, name
         assert re.search(r"\w", name)
+
+
+def runs_by_hand(text, found):
+    """Runs of two or more lines, tried one by one, the best ones first."""
+    rows = [(i, p) for i, p in enumerate(text.split("\n"), 1) if re.search(r"[^\W_]", p)]
+    tried = []
+    for k, t in L.TEMPLATES.items():
+        b, most = set(L.template_bigrams(t)), len(re.sub(r"[\W_]+", " ", t).split()) * 1.5
+        for i in range(len(rows)):
+            for j in range(i + 1, len(rows)):
+                words = re.sub(r"[\W_]+", " ", " ".join(p for _, p in rows[i:j + 1]).lower()).split()
+                if len(words) > most + 1e-9:
+                    break
+                g = set(zip(words, words[1:]))
+                d = 2 * len({f"{x} {y}" for x, y in g} & b) / (len(g) + len(b))
+                if d >= L.LEAST and not any(s >= d and (n == 0 or rows[i][0] <= n <= rows[j][0]) for n, _, s in found):
+                    tried.append((-d, k, j - i, rows[i][0], rows[j][0]))
+    kept = []
+    for r in sorted(tried):
+        if not any(k[3] <= r[4] and r[3] <= k[4] for k in kept):
+            kept.append(r)
+    return [(r[3], r[4], r[1], round(-r[0], 9)) for r in kept]
+
+
+def test_wrapped_blocks(spark):
+    """Notices wrapped over the lines of a longer text are found, each once."""
+    code = "\n".join(f"value_{i} = compute(item_{i}, {i})" for i in range(60))
+    wrap = lambda k, w=76: "\n".join("# " + x for x in textwrap.wrap(L.TEMPLATES[k], w))
+    names = ["MIT", "GPL-3.0/notice", "Apache-2.0/notice", "BSD-2-Clause", "MPL-2.0/notice", "CC-BY-SA-4.0/notice"]
+    texts = [wrap(k) + "\n" + code for k in names]
+    texts += ["#!/bin/sh\n\n" + wrap("MIT", 40).replace(". ", ".\n#\n# ") + "\n" + code + "\n\n" + wrap("ISC") + "\nx\n" + wrap("ISC"),
+              code + "\n/* " + wrap("MIT").replace("# ", " * "), "the of and or to in this software\n" * 300, code]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in L.license_matches(df, "text").collect()}
+    for i, t in enumerate(texts):
+        single = by_hand(t)
+        want = sorted([(n, n, k, d) for n, k, d in single] + runs_by_hand(t, single))
+        assert [(m.line, m.last, m.license, round(m.dice, 9)) for m in got[i].licenses] == want, i
+    for i, k in enumerate(names):
+        assert max((m.dice, m.license) for m in got[i].licenses)[1] == k
+    assert [m.license for m in got[6].licenses] == ["MIT", "ISC", "ISC"] and len(got[7].licenses) == 1
+    assert not got[8].licenses and not got[9].licenses

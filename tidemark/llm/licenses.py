@@ -1,7 +1,8 @@
 """Licence scan by Dice coefficient over word bigrams [native].
 
-Each passage of a text (the whole text and every line of it) is normalised to
-lower-case words of letters and digits and compared to licence templates by
+Each passage of a text (the whole text, every line of it, and runs of
+consecutive lines) is normalised to lower-case words of letters and digits and
+compared to licence templates by
 ``2 * common / (a + b)`` over sets of word bigrams.  A passage of ``a`` bigrams
 can only reach ``least`` with a template of ``b`` if
 ``b * least / (2 - least) <= a <= b * (2 - least) / least``, so templates
@@ -11,6 +12,14 @@ words has ``n - 1`` bigrams at most, one of ``d`` distinct words ``d - 1`` at
 least).  Everything is one projection over
 the rows: no shuffle, no join.
 
+Runs are two or more lines with words, of at most ``(2 - least) / least`` times
+the template's words, at any place of the text.  They are compared only to
+templates of which the text has enough words: a passage that reaches ``least``
+has ``b * least / (2 - least)`` of the template's bigrams, each of which starts
+with a word of the text.  Of runs that overlap the best one counts (of equal
+scores the shorter one, then the earlier one), and only if no line in it and
+not the whole text scores as much.
+
 Defined results: null text counts as empty; passages of fewer than two words
 match nothing; of equal scores the template named first in code point order
 wins; repeated rows are scanned each on its own; other columns pass through
@@ -20,6 +29,8 @@ and a clash with the output column is refused.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,34 +117,92 @@ def word_list(text: Column) -> Column:
     return F.when(plain != "", F.split(plain, " ")).otherwise(F.array().cast("array<string>"))
 
 
+def words_needed(grams: list[str], least: float) -> int:
+    """The fewest distinct first words that ``least / (2 - least)`` of the
+    bigrams can have."""
+    counts, seen = sorted(Counter(g.split(" ")[0] for g in grams).values(), reverse=True), 0
+    for n, c in enumerate(counts, 1):
+        seen += c
+        if seen >= len(grams) * least / (2 - least) - 1e-9:
+            return n
+    return len(counts)
+
+
+def _bigrams(words: Column) -> Column:
+    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))),
+                       lambda a, b: F.concat_ws(" ", a, b))
+    return F.array_distinct(F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _runs(lines: Column, t: Column, least: float) -> Column:
+    """Runs of ``lines`` (line, words; none without words) that reach ``least``
+    with the template ``t``: an array of (down, place, size, line, last,
+    license), the best first in sort order."""
+    none = F.array().cast("array<string>")
+    # Bigrams of the template in each line and across its end: their sum over a run is at least what they share.
+    hit = F.transform(lines, lambda p, i: F.struct(
+        p["line"].alias("line"), p["words"].alias("words"),
+        F.size(F.array_intersect(_bigrams(F.concat(p["words"], F.coalesce(
+            F.slice(F.get(lines, i + 1)["words"], 1, 1), none))), t["grams"])).alias("hit")))
+
+    def sized(h: Column, i: Column) -> Column:
+        def step(s: Column, q: Column) -> Column:
+            at, n, hits = s["at"] + 1, s["n"] + F.size(q["words"]), s["hits"] + q["hit"]
+            fits = (at > 1) & (n <= t["most"]) & (hits >= t["common"])
+            return F.struct(at.alias("at"), n.alias("n"), hits.alias("hits"),
+                            F.when(fits, F.concat(s["sizes"], F.array(at))).otherwise(s["sizes"]).alias("sizes"))
+        start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit(0).alias("hits"),
+                         F.array().cast("array<int>").alias("sizes"))
+        return F.aggregate(F.slice(h, i + 1, t["most"]), start, step, lambda s: F.transform(
+            s["sizes"], lambda k: F.struct(i.alias("start"), k.alias("size"))))
+
+    def scored(h: Column) -> Column:
+        spans = F.flatten(F.transform(h, lambda p, i: F.when(p["hit"] > 0, sized(h, i)).otherwise(
+            F.array().cast("array<struct<start:int,size:int>>"))))
+        return F.transform(spans, lambda s: _let(
+            _bigrams(F.flatten(F.transform(F.slice(h, s["start"] + 1, s["size"]), lambda p: p["words"]))),
+            lambda g: F.struct(
+                (F.lit(-2.0) * F.size(F.array_intersect(g, t["grams"])) / (F.size(g) + t["n"])).alias("down"),
+                t["place"].alias("place"), s["size"].alias("size"), F.get(h, s["start"])["line"].alias("line"),
+                F.get(h, s["start"] + s["size"] - 1)["line"].alias("last"), t["license"].alias("license"))))
+
+    return F.filter(_let(hit, scored), lambda r: r["down"] <= -least)
+
+
 def license_matches(df: DataFrame, text_col: str, out: str = "licenses", templates: dict[str, str] | None = None,
                     least: float = LEAST) -> DataFrame:
     """``df`` with ``out``: one entry for each passage that reaches ``least``
-    with a template: line (0 for the whole text, else the line's number from
-    1), license (the best template) and dice."""
+    with a template: line (0 for the whole text, else the first line's number
+    from 1), last (the last line's number), license (the best template) and
+    dice."""
     if out in df.columns:
         raise ValueError(f"there is a column {out} already")
     known = {k: template_bigrams(v) for k, v in sorted((templates or TEMPLATES).items())}
     low, high = least / (2 - least), (2 - least) / least
     fits = lambda a, b: (a >= b * low) & (a <= b * high)
     few, most = min(map(len, known.values())) * low, max(map(len, known.values())) * high
-    table = F.array(*[F.struct(F.lit(k).alias("license"), F.lit(len(b)).alias("n"),
-                               F.array(*[F.lit(x) for x in b]).alias("grams")) for k, b in known.items()])
-
-    def bigrams(words: Column) -> Column:
-        pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))),
-                           lambda a, b: F.concat_ws(" ", a, b))
-        return F.array_distinct(F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+    firsts = {k: sorted({g.split(" ")[0] for g in b}) for k, b in known.items()}
+    length = {k: len(re.sub(r"[\W_]+", " ", v.lower()).split()) for k, v in (templates or TEMPLATES).items()}
+    strings = lambda xs: F.array(*[F.lit(x) for x in xs])
+    table = F.array(*[F.struct(F.lit(k).alias("license"), F.lit(i).alias("place"), F.lit(len(b)).alias("n"),
+                               strings(b).alias("grams"), strings(firsts[k]).alias("firsts"),
+                               F.lit(words_needed(b, least)).alias("need"), F.lit(len(b) * low - 1e-9).alias("common"),
+                               F.lit(int(length[k] * high + 1e-9)).alias("most")) for i, (k, b) in enumerate(known.items())])
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct((i + 1).alias("line"), x.alias("text")))
     worded = F.transform(lines, lambda p: F.struct(p["line"].alias("line"), word_list(p["text"]).alias("words")))
     # The words of the whole text are those of its lines.
-    whole = F.struct(F.lit(0).alias("line"), F.flatten(F.transform("__lines", lambda p: p["words"])).alias("words"))
+    whole = F.struct(F.lit(0).alias("line"), F.col("__words").alias("words"))
     passages = F.concat(F.array(whole), F.col("__lines"))
     enough = F.filter(passages, lambda p: (F.size(p["words"]) - 1 >= few)
                       & (F.size(F.array_distinct(p["words"])) - 1 <= most))
-    grams = F.transform(enough, lambda p: F.struct(p["line"].alias("line"), bigrams(p["words"]).alias("grams")))
+    grams = F.transform(enough, lambda p: F.struct(p["line"].alias("line"), _bigrams(p["words"]).alias("grams")))
     sized = F.filter(grams, lambda p: F.size(p["grams"]) <= most)
     score = lambda p, t: (F.lit(2.0) * F.size(F.array_intersect(p["grams"], t["grams"]))
                           / (F.size(p["grams"]) + t["n"]))
@@ -145,8 +214,27 @@ def license_matches(df: DataFrame, text_col: str, out: str = "licenses", templat
                 F.array(*[F.lit(k) for k in known]), t["license"])).alias("place"),
                 t["license"].alias("license")))).alias("best")))
     found = F.filter(scored, lambda p: p["best"]["dice"] >= least)
-    return df.withColumn("__lines", worded).withColumn(out, F.transform(found, lambda p: F.struct(
-        p["line"].alias("line"), p["best"]["license"].alias("license"), p["best"]["dice"].alias("dice")))).drop("__lines")
+    single = F.transform(found, lambda p: F.struct(
+        p["line"].alias("line"), p["line"].alias("last"), p["best"]["license"].alias("license"),
+        p["best"]["dice"].alias("dice")))
+    # Templates of which the text has enough words.
+    shared = F.array_intersect("__words", strings(sorted(set(chain.from_iterable(firsts.values())))))
+    near = F.when(F.size("__lines") > 1, F.filter(
+        table, lambda t: F.size(F.array_intersect(F.col("__shared"), t["firsts"])) >= t["need"]))
+    full = F.filter("__lines", lambda p: F.size(p["words"]) > 0)
+    runs = _let(full, lambda h: F.flatten(F.transform("__near", lambda t: _runs(h, t, least))))
+    better = F.array_sort(F.filter(runs, lambda r: ~F.exists("__single", lambda p: (p["dice"] >= -r["down"]) & (
+        (p["line"] == 0) | p["line"].between(r["line"], r["last"])))))
+    chosen = _let(better, lambda rs: F.aggregate(rs, F.slice(rs, 1, 0), lambda kept, r: F.when(
+        F.exists(kept, lambda k: (k["line"] <= r["last"]) & (r["line"] <= k["last"])), kept).otherwise(
+        F.concat(kept, F.array(r)))))
+    blocks = F.transform(chosen, lambda r: F.struct(
+        r["line"].alias("line"), r["last"].alias("last"), r["license"].alias("license"), (-r["down"]).alias("dice")))
+    both = F.when(F.size("__near") > 0, F.array_sort(F.concat("__single", blocks))).otherwise(F.col("__single"))
+    return (df.withColumn("__lines", worded)
+              .withColumn("__words", F.flatten(F.transform("__lines", lambda p: p["words"])))
+              .withColumn("__single", single).withColumn("__shared", shared).withColumn("__near", near)
+              .withColumn(out, both).drop("__lines", "__words", "__single", "__shared", "__near"))
 
 
 def op4_license_scan(spark, sf_dir: str) -> DataFrame:

@@ -30,8 +30,9 @@ def high_watermark(selected: DataFrame, *, group: str = "table_name", order: str
     """Per table: highest ``order`` value and the largest ``key`` at it, plus
     the row count.  ``max(struct(ts, id))`` is an ordinary partial
     aggregate: a table holding a third of the rows is pre-aggregated on every
-    map task."""
-    hw = F.max(F.struct(F.col(order).alias("ts"), F.col(key).alias("id")))
+    map task.  Rows without ``order`` or ``key`` count but set no mark."""
+    hw = F.max(F.when(F.col(order).isNotNull() & F.col(key).isNotNull(),
+                      F.struct(F.col(order).alias("ts"), F.col(key).alias("id"))))
     return (selected.groupBy(group)
                     .agg(hw.alias("__hw"), F.count(F.lit(1)).alias("records"))
                     .select(group, F.col("__hw.ts").alias("max_updated_at"), F.col("__hw.id").alias("last_id"),
@@ -100,8 +101,9 @@ def page_summary(paged: DataFrame, work: DataFrame | None = None, *, page_size:
     it by equi-joins: no window, no second pass over the records.  With
     ``work`` (one row per table: cursor, last_id) a table whose selection is
     empty or ends on a page boundary gets the terminal empty page the source
-    system asks for."""
-    rn = F.col("row_no")
+    system asks for.  Keys and marks are those of rows that have both
+    ``order`` and ``key``; the others count as records only."""
+    rn = F.when(F.col(order).isNotNull() & F.col(key).isNotNull(), F.col("row_no"))
     mark = lambda t, i: F.struct(F.col(t).alias("ts"), F.col(i).alias("id"))
     # min_by / max_by over the row number keep fixed-width buffers (a hash aggregate).
     pages = materialize(

@@ -59,7 +59,9 @@ def incremental_select(source: DataFrame, work: DataFrame, *, order: str = "upda
     """Source rows at or after their table's cursor (inclusive, so ties at
     the high-water second are read again; the latest-row merge makes that
     idempotent), with ``cursor``, ``last_id`` and the stored ``offset_val``
-    of the table attached (0 where they are not stored).
+    of the table attached (0 where they are not stored).  Rows with no
+    ``order`` value are before no cursor: every run reads them, for the load
+    to quarantine.
 
     The work table holds one row per table and is joined (broadcast after a
     count, shuffled beyond it).  The smallest cursor is pushed into the scan,
@@ -71,10 +73,11 @@ def incremental_select(source: DataFrame, work: DataFrame, *, order: str = "upda
     low = items.agg(F.min("cursor")).first()[0]
     src = source
     if low is not None:
-        src = src.where(F.col(order) >= F.lit(int(low)))
+        src = src.where(F.col(order).isNull() | (F.col(order) >= F.lit(int(low))))
         if native_time is not None:
-            src = src.where(F.col(native_time) >= epoch_literal_ntz(int(low)))
-    return src.join(checked_broadcast(items), "table_name").where(F.col(order) >= F.col("cursor"))
+            src = src.where(F.col(native_time).isNull() | (F.col(native_time) >= epoch_literal_ntz(int(low))))
+    return src.join(checked_broadcast(items), "table_name").where(
+        F.col(order).isNull() | (F.col(order) >= F.col("cursor")))
 
 
 def watermark_filter(df: DataFrame, watermark: int, order: str = "updated_at",

@@ -73,7 +73,10 @@ def run_incremental(store: LogStore, source: DataFrame, registry: DataFrame, *,
         count = 0
         if error is None:
             landed = landing.landed_keys(spark, path)
-            mark = landed.agg(F.max(F.struct("updated_at", "id")).alias("m"), F.count(F.lit(1)).alias("n")).first()
+            # Records without a time or an id land for the load to quarantine; they set no mark.
+            marked = F.col("updated_at").isNotNull() & F.col("id").isNotNull()
+            mark = landed.agg(F.max(F.when(marked, F.struct("updated_at", "id"))).alias("m"),
+                              F.count(F.lit(1)).alias("n")).first()
             count = mark.n
             top = max((item.cursor, item.last_id), tuple(mark.m) if mark.m else (item.cursor, item.last_id))
             marks.append((item.table_name, top[0], top[0], top[1], layer, 0, False, run_id, now))

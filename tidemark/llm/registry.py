@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, exact_dedup, licenses, mixing, mtree, ngram_join, pii, quality, secrets
+from tidemark.llm import (bpe, chat, exact_dedup, filter_audit, licenses, mixing, mtree, ngram_join, pii, quality,
+                          secrets)
 
 QUERIES = {
     "op1_pii_surrogates": pii.op1_pii_surrogates,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_quality_knn": quality.op8_quality_knn,
     "op9_bpe": bpe.op9_bpe,
     "op10_secret_scan": secrets.op10_secret_scan,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
 }
 
 #: DuckDB text for the queries that SQL can express.
@@ -24,4 +26,5 @@ ORACLE: dict[str, str] = {
     "op4_license_scan": licenses.OP4_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op6_mixing": mixing.OP6_SQL,
+    "op11_filter_audit": filter_audit.OP11_SQL,
 }

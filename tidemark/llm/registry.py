@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import (bpe, chat, exact_dedup, filter_audit, licenses, mixing, mtree, ngram_join, pii, quality,
-                          secrets)
+from tidemark.llm import (bpe, chat, exact_dedup, filter_audit, licenses, mixing, mtree, ngram_join,
+                          pattern_packing, pii, quality, secrets)
 
 QUERIES = {
     "op1_pii_surrogates": pii.op1_pii_surrogates,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_bpe": bpe.op9_bpe,
     "op10_secret_scan": secrets.op10_secret_scan,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op13_pattern_packing": pattern_packing.op13_pattern_packing,
 }
 
 #: DuckDB text for the queries that SQL can express.

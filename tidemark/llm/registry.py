@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import (bpe, chat, exact_dedup, filter_audit, licenses, mixing, mtree, ngram_join,
-                          pattern_packing, pii, quality, secrets)
+from tidemark.llm import (bpe, chat, collocations, exact_dedup, filter_audit, licenses, mixing, mtree,
+                          ngram_join, pattern_packing, pii, quality, secrets)
 
 QUERIES = {
     "op1_pii_surrogates": pii.op1_pii_surrogates,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_bpe": bpe.op9_bpe,
     "op10_secret_scan": secrets.op10_secret_scan,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_collocations": collocations.op12_collocations,
     "op13_pattern_packing": pattern_packing.op13_pattern_packing,
 }
 
@@ -28,4 +29,5 @@ ORACLE: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op6_mixing": mixing.OP6_SQL,
     "op11_filter_audit": filter_audit.OP11_SQL,
+    "op12_collocations": collocations.OP12_SQL,
 }

@@ -974,6 +974,46 @@ def q_resume_run(spark, sf):
                                 keep=["updated_at"])
 
 
+class _Stop(BaseException):
+    """Ends a run as a lost driver would: nothing after it runs."""
+
+
+def _stopped_once(steps: list[str]):
+    """Stops at each step that has not been met before."""
+    def stop(step: str) -> None:
+        if step not in steps:
+            steps.append(step)
+            raise _Stop(step)
+    return stop
+
+
+@register("run_recovery", _LANDED + f"""
+SELECT adv.table_name, adv.current_watermark, adv.last_id, '{RUN_ID}' AS last_successful_run_id, records AS landed,
+       records AS logged, 'COMPLETED' AS run_status,
+       CAST(2 + 2 * (SELECT count(*) FROM adv) + 2 AS INTEGER) AS stops
+FROM adv""")
+def q_run_recovery(spark, sf):
+    """A run that is stopped after every step it stores and called
+    again under its id each time: what it has landed is taken over, committed
+    once, logged once, and it ends as an unbroken run does."""
+    store, root = _store(spark)
+    steps: list[str] = []
+    status = None
+    while status is None:
+        try:
+            _, status = execute.run(store, S.source_records(spark, sf), _registry(spark), run_id=RUN_ID, root=root,
+                                    to_json=S.raw_json, now=RUN_TIME, seq=len(steps) + 1, native_time="o_orderdate",
+                                    on_step=_stopped_once(steps))
+        except _Stop:
+            pass
+    landed = execute.landed_runs(spark, root, [RUN_ID]).groupBy("table_name").agg(F.count(F.lit(1)).alias("landed"))
+    logged = store.read("batch_logs").groupBy("table_name").agg(F.sum("records_count").alias("logged"))
+    cps = store.read("ingestion_checkpoints").select("table_name", "current_watermark", "last_id", "last_successful_run_id")
+    done = store.read("ingestion_runs").where(F.col("run_id") == RUN_ID)   # one row
+    return (cps.join(landed, "table_name").join(logged, "table_name")
+               .withColumns({"run_status": done.agg(F.max("status")).scalar(), "stops": F.lit(len(steps))}))
+
+
 _REPLAYED = """
 , known AS (SELECT w.*, (SELECT count(*) FROM src s WHERE s.table_name = w.table_name
                          AND s.updated_at BETWEEN w.start_watermark AND w.end_watermark) AS n

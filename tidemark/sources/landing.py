@@ -115,6 +115,34 @@ def write_run(rows: DataFrame, path: str) -> None:
     placed.select(*typed).write.parquet(path)
 
 
+def done(spark: SparkSession, path: str) -> bool:
+    """True if a write to ``path`` has ended."""
+    return _exists(spark, f"{path}/_SUCCESS")
+
+
+def _placed_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("part", T.IntegerType()), T.StructField("pos", T.LongType())])
+
+
+def stage_run(rows: DataFrame, path: str) -> None:
+    """The selection of a run, for all its tables: one scan, one shuffle by
+    range of (table, updated_at, id), a folder per table."""
+    order = ["table_name", "updated_at", "id"]
+    ties = [c for c, t in rows.dtypes if c not in order and not t.startswith(("map", "variant"))]
+    placed = (rows.repartitionByRange(*order).sortWithinPartitions(*order, F.xxhash64(*(ties or order)))
+                  .withColumns({"part": F.spark_partition_id(), "pos": F.monotonically_increasing_id()}))
+    placed.write.mode("overwrite").partitionBy("table_name").parquet(path)
+
+
+def land_table(spark: SparkSession, staged: str, schema: T.StructType, table: str, endpoint: str, path: str, to_json) -> None:
+    """Land one table of a staged selection: its folder alone is read, and
+    nothing moves.  ``to_json`` adds the ``raw`` text of each record (S5)."""
+    rows = spark.read.schema(_placed_schema(schema)).parquet(staged).where(F.col("table_name") == table)
+    made = to_json(rows).withColumn("endpoint", F.lit(endpoint))
+    typed = [F.col(n).cast(t).alias(n) for n, t in (c.split() for c in RUN_ROWS.split(", "))]
+    made.select(*typed).write.parquet(path)
+
+
 def landed_keys(spark: SparkSession, path: str) -> DataFrame:
     """(table_name, id, updated_at) of a landed run: a pruned read, for marks."""
     return spark.read.schema(RUN_ROWS).parquet(path).select("table_name", "id", "updated_at")

@@ -67,7 +67,7 @@ def test_odd_rows(spark, scratch):
         if k < 4:
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "row"]
             docs = spark.createDataFrame(docs.collect(), docs.schema)
-    assert docs.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and docs.count() > 0
+    assert docs.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "decoded"] and docs.count() > 0
     none = spark.createDataFrame([], SCHEMA)
     for _, fn in C.STAGES:
         assert fn(spark, none, scratch).count() == 0

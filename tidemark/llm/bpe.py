@@ -210,6 +210,42 @@ def bpe_decode(df: DataFrame, ids_col: str, vocabulary: str, out: str = "decoded
     return df.mapInArrow(run, extended(df, out, StringType()))
 
 
+def round_trip(vocab: Vocabulary, pieces: pa.Array, text: str) -> tuple[np.ndarray, str]:
+    """(ids, the text they spell); raises if that is not ``text``."""
+    ids = vocab.encode(text)
+    got = pieces.take(pa.array(ids))
+    _, ends, data = got.buffers()
+    n = int(np.frombuffer(ends, np.int32)[len(ids)]) if len(ids) else 0
+    back = bytes(data[:n]).decode("utf-8", "replace") if n else ""
+    if back != text:
+        raise ValueError(f"the token ids of a text of {len(text)} characters give another text")
+    return ids, back
+
+
+def bpe_round_trip(df: DataFrame, text_col: str, vocabulary: str, out: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``df`` without ``text_col``, with the token ids and the text decoded
+    from them: encoded, decoded and compared in one pass of one worker, which
+    fails if a text does not come back."""
+    with_code(df.sparkSession)
+    shared = _read_once(df.sparkSession, vocabulary)
+    kept = df.drop(text_col)
+    names = kept.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab, pieces = _vocabulary(shared.value), _token_bytes(shared.value)
+        for whole in batches:
+            for batch in slices(whole, text_col):
+                pairs = [round_trip(vocab, pieces, t or "") for t in batch.column(text_col).to_pylist()]
+                rows, texts = [ids for ids, _ in pairs], [back for _, back in pairs]
+                offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+                flat = np.concatenate([np.empty(0, np.int32), *rows])
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], ids, pa.array(texts, pa.string())],
+                                                 [*names, out, decoded])
+
+    return df.mapInArrow(run, extended(kept, out, ArrayType(IntegerType())).add(decoded, StringType()))
+
+
 def op9_bpe(spark, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: doc_id, n_tokens, ids_sha256,
     decoded_sha256.  One narrow pass over the texts, no shuffle."""

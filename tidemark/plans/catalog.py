@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import columns_frame, registry_frame
 from tidemark.functions.scalars import alert_text, empty_if_null, page_path, page_path_parts, truncate_message
-from tidemark.operators import merge, progress, quality, relations, select
+from tidemark.operators import merge, progress, quality, relations, select, windows
 from tidemark.operators.joins import checked_broadcast
 from tidemark.plans import api, execute, ingest, load, reports
 from tidemark.session import literal_frame, materialize, scratch_path
 from tidemark.sources import landing, tables
-from tidemark.streaming import landing_stream
+from tidemark.streaming import landing_stream, late_stream
 from tidemark.sources import standins as S
 from tidemark.sources.standins import with_views as V
 
@@ -233,6 +233,22 @@ def q_replay_rows(spark, sf):
     return plan["rows"].select("event_id", "table_name", "id", "updated_at")
 
 
+@register("replay_overlaps", V("src", "queue", "contracts") + f"""
+SELECT q.event_id, q.table_name, q.start_watermark, q.end_watermark,
+       count(s.id) AS records_processed,
+       (SELECT count(*) FROM src x WHERE EXISTS (SELECT 1 FROM queue e WHERE e.table_name = x.table_name
+          AND x.updated_at BETWEEN e.start_watermark AND e.end_watermark)) AS landed
+FROM queue q JOIN contracts USING (table_name) LEFT JOIN src s ON s.table_name = q.table_name
+     AND s.updated_at BETWEEN q.start_watermark AND q.end_watermark
+GROUP BY ALL""")
+def q_replay_overlaps(spark, sf):
+    """An event per order, each a window of a week, so that windows
+    overlap everywhere: records landed once, records per window."""
+    known = select.known_events(S.event_queue(spark, sf), _registry(spark))
+    out = windows.replay_overlaps(S.source_records(spark, sf).select("table_name", "id", "updated_at"), known)
+    return out.counts.withColumn("landed", out.landed.agg(F.count(F.lit(1))).scalar())
+
+
 @register("known_events", V("queue", "contracts") + """
 SELECT event_id, table_name, status FROM queue WHERE table_name IN (SELECT table_name FROM contracts)""")
 def q_known_events(spark, sf):
@@ -766,6 +782,66 @@ def q_late_rows(spark, sf):
     return out.select("event_id", "ts", "user_id")
 
 
+#: Arrival of the late-data stream: a quarter of the events each, some of
+#: them one or two pages later.
+_ARRIVAL = ("least(4, event_id * 4 // ((SELECT max(event_id) FROM events) + 1) "
+            "+ CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END + CASE WHEN event_id % 25 = 0 THEN 1 ELSE 0 END)")
+
+
+def _event_pages(spark, sf) -> list[DataFrame]:
+    """The events as records of a table per type, page by page."""
+    ev = S.read(spark, sf, "events")
+    top = ev.agg(F.max("event_id")).first()[0]
+    page = F.least(F.lit(4), F.floor(F.col("event_id") * 4 / F.lit(top + 1)) + (F.col("event_id") % 10 == 0).cast("int")
+                   + (F.col("event_id") % 25 == 0).cast("int"))
+    rows = ev.select(F.col("event_type").alias("table_name"), F.col("event_id").alias("id"),
+                     F.unix_seconds(F.col("ts").cast("timestamp")).alias("updated_at"), page.alias("page"))
+    return [rows.where(F.col("page") == n).drop("page") for n in range(5)]
+
+
+@register("late_stream", f"""
+WITH e AS (SELECT event_type AS table_name, event_id AS id, CAST(floor(epoch(ts)) AS BIGINT) AS updated_at,
+                  CAST({_ARRIVAL} AS INTEGER) AS page FROM events),
+p AS (SELECT table_name, page, max(updated_at) AS top FROM e GROUP BY 1, 2),
+m AS (SELECT table_name, page, max(top) OVER (PARTITION BY table_name ORDER BY page
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM p),
+late AS (SELECT e.* FROM e JOIN m USING (table_name, page) WHERE updated_at < mark)
+SELECT table_name, id, updated_at, page AS epoch, min(updated_at) OVER w AS start_watermark,
+       max(updated_at) OVER w AS end_watermark, 'PENDING' AS status
+FROM late WINDOW w AS (PARTITION BY table_name, page)""")
+def q_late_stream(spark, sf):
+    """Events that reach a stream page by page, the stream stopped and
+    started again for each: records below the mark of their table, with the
+    replay window that was asked for them."""
+    root = scratch_path(spark, "late")
+    paths = late_stream.LatePaths(landing=f"{root}/landing", rows=f"{root}/rows", marks=f"{root}/marks",
+                                  checkpoint=f"{root}/checkpoint")
+    store = api.LogStore(spark, f"{root}/logs")
+    for n, page in enumerate(_event_pages(spark, sf)):
+        page.write.parquet(f"{paths.landing}/page-{n}")
+        late_stream.run_late_stream(spark, page.schema, paths, store)
+    late = late_stream.read_rows(spark, page.schema, paths, True)
+    asked = store.read("fallback_events").select(
+        "table_name", "start_watermark", "end_watermark", "status",
+        F.unix_seconds(F.col("created_at").cast("timestamp")).cast("int").alias("epoch"))
+    return late.join(asked, ["table_name", "epoch"])
+
+
+@register("stream_dedupe", "SELECT event_id, ts, user_id FROM events")
+def q_stream_dedupe(spark, sf):
+    """R2: a stream that brings the records of Jan 19 twice, by a re-read from
+    an inclusive mark, into an append-only table: every record once."""
+    root = scratch_path(spark, "dedupe")
+    ev = S.read(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    for n, part in enumerate([ev.where("ts < '2024-01-20'"), ev.where("ts >= '2024-01-19'")]):
+        part.write.parquet(f"{root}/landing/page-{n}")
+        stream = spark.readStream.option("recursiveFileLookup", "true").schema(ev.schema).parquet(f"{root}/landing")
+        query = (landing_stream.dedupe_stream(stream, "event_id", "ts", "2 days").writeStream.trigger(availableNow=True)
+                 .option("checkpointLocation", f"{root}/checkpoint").format("parquet").start(f"{root}/table"))
+        query.awaitTermination()
+    return spark.read.schema(ev.schema).parquet(f"{root}/table").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @register("relation_bridge", """
 SELECT l_orderkey, count(l_partkey) AS n_ids, count(p.p_name) AS n_resolved,
        min(p.p_name) AS first_p_name, max(p.p_name) AS last_p_name

@@ -23,9 +23,10 @@ empty table gives no rows.  Extra columns are not read.
 
 from __future__ import annotations
 
+from decimal import Decimal
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _keys(digests: pd.Series) -> np.ndarray:
+def _keys(digests: list[str]) -> np.ndarray:
     """64 bits of each hex digest; short ones are filled up."""
     return np.array([int(d[:16].ljust(16, "0"), 16) for d in digests], dtype=np.uint64)
 
@@ -68,29 +69,28 @@ FILTER = "bucket long, seed decimal(20,0), segment long, starts long, cells bina
 
 def build_filters(digests: DataFrame) -> DataFrame:
     """One filter per bucket of (bucket, digest)."""
-    def one(f: pd.DataFrame) -> pd.DataFrame:
-        from decimal import Decimal
+    def one(rows: pa.Table) -> pa.Table:
+        made = fuse.build(_keys(rows.column("digest").to_pylist()))
+        return pa.table({"bucket": rows.column("bucket").slice(0, 1), "seed": pa.array([Decimal(made.seed)], pa.decimal128(20, 0)),
+                         "segment": pa.array([made.segment], pa.int64()), "starts": pa.array([made.starts], pa.int64()),
+                         "cells": pa.array([made.cells.tobytes()], pa.binary())})
 
-        made = fuse.build(_keys(f["digest"]))
-        return pd.DataFrame([{"bucket": f["bucket"].iloc[0], "seed": Decimal(made.seed), "segment": made.segment,
-                              "starts": made.starts, "cells": made.cells.tobytes()}])
-
-    return digests.select("bucket", "digest").groupBy("bucket").applyInPandas(one, FILTER)
+    return digests.select("bucket", "digest").groupBy("bucket").applyInArrow(one, FILTER)
 
 
 def screen(incoming: DataFrame, filters: DataFrame) -> DataFrame:
     """(digest, maybe) of distinct incoming (bucket, digest)."""
-    def one(batch: pd.DataFrame, made: pd.DataFrame) -> pd.DataFrame:
-        if len(batch) and len(made):
-            f = made.iloc[0]
-            known = fuse.Fuse(int(f["seed"]), int(f["segment"]), int(f["starts"]), np.frombuffer(f["cells"], np.uint8))
-            maybe = known.has(_keys(batch["digest"]))
-        else:
-            maybe = np.zeros(len(batch), bool)
-        return pd.DataFrame({"digest": batch["digest"], "maybe": maybe})
+    def one(rows: pa.Table, made: pa.Table) -> pa.Table:
+        digests = rows.column("digest").to_pylist()
+        maybe = np.zeros(len(digests), bool)
+        if digests and made.num_rows:
+            f = made.slice(0, 1).to_pylist()[0]
+            known = fuse.Fuse(int(f["seed"]), f["segment"], f["starts"], np.frombuffer(f["cells"], np.uint8))
+            maybe = known.has(_keys(digests))
+        return pa.table({"digest": pa.array(digests, pa.string()), "maybe": pa.array(maybe, pa.bool_())})
 
     return (incoming.select("bucket", "digest").groupBy("bucket").cogroup(filters.groupBy("bucket"))
-                    .applyInPandas(one, "digest string, maybe boolean"))
+                    .applyInArrow(one, "digest string, maybe boolean"))
 
 
 def digest_groups(snapshot: DataFrame, incoming: DataFrame) -> DataFrame:

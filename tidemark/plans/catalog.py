@@ -14,9 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.contracts import columns_frame, registry_frame
+from tidemark.contracts import columns_frame, registry_frame, table_contract
 from tidemark.functions.scalars import alert_text, empty_if_null, page_path, page_path_parts, truncate_message
-from tidemark.operators import merge, progress, quality, relations, select, windows
+from tidemark.operators import history, merge, progress, quality, relations, select, windows
 from tidemark.operators.joins import checked_broadcast
 from tidemark.plans import api, execute, ingest, load, reports
 from tidemark.session import literal_frame, materialize, scratch_path
@@ -1252,6 +1252,69 @@ def q_log_tables(spark, sf):
     return spark.read.schema(tables.log_schema("ingestion_checkpoints")).parquet(f"{root}/ingestion_checkpoints")
 
 
+def _versions():
+    """Two versions of the contracts: the second takes ``rush`` in for one
+    table; both ask another table for a column that it never sends."""
+    first = S.source_contracts()
+    fields = [(f.name, f.dtype.simpleString(), f.required) for f in first["5-LOW"].fields]
+    first["5-LOW"] = table_contract("5-LOW", [*fields, ("o_comment", "string", True)], endpoint=S.endpoint_of("5-LOW"),
+                                    start=S.SOURCE_START)
+    second = first | {"1-URGENT": table_contract("1-URGENT", [*fields, ("rush", "boolean", False)],
+                                                 endpoint=S.endpoint_of("1-URGENT"), start=S.SOURCE_START)}
+    return [("2024-01-01 00:00:00", first), (RUN_TIME, second)]
+
+
+def _plain_json(spark, sf):
+    """Every source record as JSON without wrong types: urgent orders above
+    300,000 carry ``rush``, failed orders of priority 4 no ``name``."""
+    rush = F.when((F.col("table_name") == "1-URGENT") & (F.col("o_totalprice") > 300000), F.lit(True))
+    name = F.when((F.col("o_orderstatus") != "F") | (F.col("table_name") != "4-NOT SPECIFIED"), F.col("name"))
+    return S.source_records(spark, sf).select(
+        "table_name", (F.year("o_orderdate") * 366 + F.dayofyear("o_orderdate")).cast("int").alias("snapshot"),
+        F.to_json(F.struct("id", name.alias("name"), "updated_at", "o_custkey", "o_totalprice", rush.alias("rush"))).alias("raw"))
+
+
+@register("column_history", V("src") + f"""
+, k AS (SELECT table_name, CAST(year(o_orderdate) * 366 + dayofyear(o_orderdate) AS INTEGER) AS snapshot,
+               unnest(CASE WHEN o_orderstatus = 'F' AND table_name = '4-NOT SPECIFIED' THEN ['id', 'updated_at', 'o_custkey', 'o_totalprice']
+                           ELSE ['id', 'updated_at', 'o_custkey', 'o_totalprice', 'name'] END
+                      || CASE WHEN table_name = '1-URGENT' AND o_totalprice > 300000 THEN ['rush'] ELSE [] END) AS column_name FROM src),
+g AS (SELECT table_name, snapshot, column_name, count(*) AS records FROM k GROUP BY ALL),
+n AS (SELECT table_name, snapshot, row_number() OVER (PARTITION BY table_name ORDER BY snapshot) AS n
+      FROM (SELECT DISTINCT table_name, snapshot FROM g)),
+i AS (SELECT g.*, n.n, n.n - row_number() OVER (PARTITION BY table_name, column_name ORDER BY n.n) AS island
+      FROM g JOIN n USING (table_name, snapshot))
+SELECT table_name, column_name, min(snapshot) AS first_seen, max(snapshot) AS last_seen, count(*) AS snapshots,
+       sum(records)::BIGINT AS records, max(n) = (SELECT max(n) FROM n x WHERE x.table_name = i.table_name) AS open,
+       CASE WHEN column_name <> 'rush' THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '{RUN_TIME}' END AS included_at
+FROM i GROUP BY table_name, column_name, island""")
+def q_column_history(spark, sf):
+    """Every column of the raw records, day by day: the runs of days
+    that carry it, and the contract version that took it in."""
+    return history.column_history(_plain_json(spark, sf), _versions())
+
+
+@register("accepted_drift", V("src") + f"""
+, h AS (SELECT DISTINCT table_name FROM src WHERE table_name = '5-LOW' OR (table_name = '1-URGENT' AND o_totalprice > 300000))
+SELECT table_name, CASE WHEN table_name = '5-LOW' THEN 'o_comment' ELSE 'rush' END AS changed,
+       CASE WHEN table_name = '5-LOW' THEN 'BREAKING_CHANGE' ELSE 'NEW_COLUMN' END AS status,
+       CASE WHEN table_name = '1-URGENT' THEN TIMESTAMP '{RUN_TIME}' END AS included_at FROM h""")
+def q_accepted_drift(spark, sf):
+    """Q6 Q8: drift rows stored under the first contracts (a new column, and a
+    required column that no record carries), then marked by the second: the
+    new column is included, the breaking change is not."""
+    (_, first), (since, second) = _versions()
+    store, _ = _store(spark)
+    observed = materialize(quality.observed_keys(_plain_json(spark, sf).select("table_name", "raw")))
+    found = quality.drift_rows(observed, registry_frame(spark, first), columns_frame(spark, first), run_id=F.lit(RUN_ID),
+                               detected_at=F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    store.insert("schema_history", found, seq=1, changed_at=F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    marked = quality.mark_included(store.read("schema_history"), registry_frame(spark, second), F.lit(since).cast("timestamp_ntz"))
+    store.write("schema_history", materialize(marked), seq=2, changed_at=_now())
+    return store.read("schema_history").select("table_name", F.array_join("changed_columns", ",").alias("changed"), "status",
+                                               "included_at")
+
+
 @register("breaking_changes", V("src") + _KEYS_SQL + """
 SELECT table_name, column_name, 'bigint' AS declared_type, data_type AS observed_type, count(*) AS records
 FROM kv WHERE column_name = 'updated_at' AND data_type <> 'integer' GROUP BY 1, 2, 3, 4""")

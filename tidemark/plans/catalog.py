@@ -1252,6 +1252,25 @@ def q_log_tables(spark, sf):
     return spark.read.schema(tables.log_schema("ingestion_checkpoints")).parquet(f"{root}/ingestion_checkpoints")
 
 
+@register("orphan_log_rows", V("src", "runs", "batches") + _KEYS_SQL + _DRIFT_SQL + """
+, kept AS (SELECT run_id FROM runs WHERE started_at >= TIMESTAMP '1998-01-01 00:00:00')
+SELECT 'batch' AS kind, CAST(batch_id AS VARCHAR) AS row_id, run_id FROM batches WHERE run_id NOT IN (SELECT run_id FROM kept)
+UNION ALL
+SELECT 'drift', table_name, CASE WHEN table_name < '3' THEN (SELECT max(run_id) FROM kept) ELSE 'run-0001' END FROM drift
+WHERE table_name >= '3'""")
+def q_orphan_log_rows(spark, sf):
+    """After runs before 1998 have been purged, the batch rows and the
+    drift rows that name a run which is not there."""
+    kept = S.runs(spark, sf).where(F.col("started_at") >= F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"))
+    some = kept.agg(F.max("run_id")).scalar()
+    drift = _drift(spark, sf).withColumn("detected_in_run_id", F.when(F.col("table_name") < "3", some).otherwise(F.lit(RUN_ID)))
+    lost = quality.orphans(S.batches(spark, sf), kept, "run_id")
+    loose = quality.orphans(drift, kept, "detected_in_run_id", "run_id")
+    return lost.select(F.lit("batch").alias("kind"), F.col("batch_id").cast("string").alias("row_id"), "run_id").unionByName(
+        loose.select(F.lit("drift").alias("kind"), F.col("table_name").alias("row_id"),
+                     F.col("detected_in_run_id").alias("run_id")))
+
+
 def _versions():
     """Two versions of the contracts: the second takes ``rush`` in for one
     table; both ask another table for a column that it never sends."""

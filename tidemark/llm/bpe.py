@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding by per-prefix dynamic programming.
 
 For every prefix of a pre-token exactly one token can be the last token of
-its BPE encoding: a vocabulary token that ends there (found with a suffix
-automaton over the vocabulary's byte strings) and that is pair-compatible
+its BPE encoding: a vocabulary token that ends there (found with the
+Aho-Corasick automaton of the vocabulary's byte strings) and that is pair-compatible
 with the last token of the prefix before it.  The table of last tokens is
 filled left to right; following it back from the end gives the ids that the
 merge rules give, in time linear in the pre-token's length.

@@ -6,17 +6,15 @@ compared to licence templates by
 ``2 * common / (a + b)`` over sets of word bigrams.  A passage of ``a`` bigrams
 can only reach ``least`` with a template of ``b`` if
 ``b * least / (2 - least) <= a <= b * (2 - least) / least``, so templates
-outside of these size bounds are pruned before any comparison, and passages
-that no template's bounds admit are never cut into bigrams (a passage of ``n``
-words has ``n - 1`` bigrams at most, one of ``d`` distinct words ``d - 1`` at
-least).  Everything is one projection over
-the rows: no shuffle, no join.
+outside of these size bounds are pruned before any comparison.  Such a passage
+shares ``b * least / (2 - least)`` bigrams at least with the template, and so
+does the whole text: a text that does so with no template is done after one
+pass over its bigrams, and the others are compared only to the templates with
+which they do.  Everything is one projection over the rows: no shuffle, no join.
 
 Runs are two or more lines with words, of at most ``(2 - least) / least`` times
-the template's words, at any place of the text.  They are compared only to
-templates of which the text has enough words: a passage that reaches ``least``
-has ``b * least / (2 - least)`` of the template's bigrams, each of which starts
-with a word of the text.  Of runs that overlap the best one counts (of equal
+the template's words, at any place of the text; within them bigrams are known
+by 64-bit hashes, made once for each line.  Of runs that overlap the best one counts (of equal
 scores the shorter one, then the earlier one), and only if no line in it and
 not the whole text scores as much.
 
@@ -29,9 +27,9 @@ and a clash with the output column is refused.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from itertools import chain
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,32 +104,28 @@ TEMPLATES = {
 }
 
 
+def template_words(text: str) -> list[str]:
+    return re.sub(r"[\W_]+", " ", text.lower()).split()
+
+
 def template_bigrams(text: str) -> list[str]:
-    words = re.sub(r"[\W_]+", " ", text.lower()).split()
+    words = template_words(text)
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
-def word_list(text: Column) -> Column:
-    """Lower-case words of letters and digits."""
-    plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    return F.when(plain != "", F.split(plain, " ")).otherwise(F.array().cast("array<string>"))
+def hashed(gram: str) -> int:
+    """``F.xxhash64`` of a bigram."""
+    return int.from_bytes(xxhash.xxh64_digest(gram.encode(), seed=42), "big", signed=True)
 
 
-def words_needed(grams: list[str], least: float) -> int:
-    """The fewest distinct first words that ``least / (2 - least)`` of the
-    bigrams can have."""
-    counts, seen = sorted(Counter(g.split(" ")[0] for g in grams).values(), reverse=True), 0
-    for n, c in enumerate(counts, 1):
-        seen += c
-        if seen >= len(grams) * least / (2 - least) - 1e-9:
-            return n
-    return len(counts)
+def _plain(text: Column) -> Column:
+    """Lower-case words of letters and digits, one space between them."""
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def _bigrams(words: Column) -> Column:
-    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))),
-                       lambda a, b: F.concat_ws(" ", a, b))
-    return F.array_distinct(F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+def _bigrams(plain: Column) -> Column:
+    """The word bigrams of a plain text in their order, repeats included."""
+    return F.regexp_extract_all(plain, F.lit(r"(?<![^ ])(?=([^ ]+ [^ ]+))"), F.lit(1))
 
 
 def _let(value: Column, use) -> Column:
@@ -139,102 +133,122 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _singles(whole: Column, lines: Column, near: Column, least: float) -> Column:
+    """The whole text and the lines that reach ``least`` with their best template."""
+    passages = F.concat(F.array(F.struct(F.lit(0).alias("line"), _bigrams(whole).alias("grams"))),
+                        F.transform(lines, lambda p: F.struct(p["line"].alias("line"), p["grams"].alias("grams"))))
+
+    def best(g: Column) -> Column:
+        a = F.size(g)
+        fits = lambda t: (a >= t["low"]) & (a <= t["high"])
+        return F.array_max(F.transform(F.filter(near, fits), lambda t: F.struct(
+            (F.lit(2.0) * F.size(F.array_intersect(g, t["grams"])) / (a + t["n"])).alias("dice"),
+            (-t["place"]).alias("place"), t["license"].alias("license"))))
+
+    scored = F.transform(passages, lambda p: F.struct(
+        p["line"].alias("line"), _let(F.array_distinct(p["grams"]), best).alias("best")))
+    return F.transform(F.filter(scored, lambda p: p["best"]["dice"] >= least), lambda p: F.struct(
+        p["line"].alias("line"), p["line"].alias("last"), p["best"]["license"].alias("license"),
+        p["best"]["dice"].alias("dice")))
+
+
 def _runs(lines: Column, t: Column, least: float) -> Column:
-    """Runs of ``lines`` (line, words; none without words) that reach ``least``
-    with the template ``t``: an array of (down, place, size, line, last,
-    license), the best first in sort order."""
-    none = F.array().cast("array<string>")
-    # Bigrams of the template in each line and across its end: their sum over a run is at least what they share.
-    hit = F.transform(lines, lambda p, i: F.struct(
-        p["line"].alias("line"), p["words"].alias("words"),
-        F.size(F.array_intersect(_bigrams(F.concat(p["words"], F.coalesce(
-            F.slice(F.get(lines, i + 1)["words"], 1, 1), none))), t["grams"])).alias("hit")))
+    """Runs of ``lines`` (line, words, own: its bigrams, all: and the one
+    across its end, joint) that reach ``least`` with the template ``t``: an
+    array of (down, place, size, line, last, license), the best first in sort
+    order.  A run that starts or ends with a line that brings no bigram of the
+    template is beaten by the run without it."""
+    hit = F.transform(lines, lambda p: F.struct(
+        p["line"].alias("line"), p["words"].alias("words"), p["own"].alias("own"), p["all"].alias("all"),
+        F.size(F.array_intersect(p["own"], t["hashes"])).alias("hit"),
+        F.coalesce(F.array_contains(t["hashes"], p["joint"]).cast("int"), F.lit(0)).alias("across")))
 
     def sized(h: Column, i: Column) -> Column:
         def step(s: Column, q: Column) -> Column:
-            at, n, hits = s["at"] + 1, s["n"] + F.size(q["words"]), s["hits"] + q["hit"]
-            fits = (at > 1) & (n <= t["most"]) & (hits >= t["common"])
-            return F.struct(at.alias("at"), n.alias("n"), hits.alias("hits"),
-                            F.when(fits, F.concat(s["sizes"], F.array(at))).otherwise(s["sizes"]).alias("sizes"))
-        start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit(0).alias("hits"),
+            at, n, hits = s["at"] + 1, s["n"] + q["words"], s["hits"] + s["across"] + q["hit"]
+            ends = (at > 1) & (n <= t["most"]) & (hits >= t["common"]) & (s["across"] + q["hit"] > 0)
+            return F.when(s["n"] > t["most"], s).otherwise(F.struct(
+                at.alias("at"), n.alias("n"), hits.alias("hits"), q["across"].alias("across"),
+                F.when(ends, F.concat(s["sizes"], F.array(at))).otherwise(s["sizes"]).alias("sizes")))
+        start = F.struct(*[F.lit(0).alias(c) for c in ("at", "n", "hits", "across")],
                          F.array().cast("array<int>").alias("sizes"))
         return F.aggregate(F.slice(h, i + 1, t["most"]), start, step, lambda s: F.transform(
             s["sizes"], lambda k: F.struct(i.alias("start"), k.alias("size"))))
 
     def scored(h: Column) -> Column:
-        spans = F.flatten(F.transform(h, lambda p, i: F.when(p["hit"] > 0, sized(h, i)).otherwise(
+        spans = F.flatten(F.transform(h, lambda p, i: F.when(p["hit"] + p["across"] > 0, sized(h, i)).otherwise(
             F.array().cast("array<struct<start:int,size:int>>"))))
         return F.transform(spans, lambda s: _let(
-            _bigrams(F.flatten(F.transform(F.slice(h, s["start"] + 1, s["size"]), lambda p: p["words"]))),
+            F.array_distinct(F.concat(
+                F.flatten(F.transform(F.slice(h, s["start"] + 1, s["size"] - 1), lambda p: p["all"])),
+                F.get(h, s["start"] + s["size"] - 1)["own"])),
             lambda g: F.struct(
-                (F.lit(-2.0) * F.size(F.array_intersect(g, t["grams"])) / (F.size(g) + t["n"])).alias("down"),
+                (F.lit(-2.0) * F.size(F.array_intersect(g, t["hashes"])) / (F.size(g) + t["n"])).alias("down"),
                 t["place"].alias("place"), s["size"].alias("size"), F.get(h, s["start"])["line"].alias("line"),
                 F.get(h, s["start"] + s["size"] - 1)["line"].alias("last"), t["license"].alias("license"))))
 
     return F.filter(_let(hit, scored), lambda r: r["down"] <= -least)
 
 
+def _blocks(lines: Column, single: Column, near: Column, least: float) -> Column:
+    """The best runs that overlap no better one and hold no line of ``single``
+    that scores as much."""
+    def joined(full: Column) -> Column:
+        joint = lambda p, q: F.xxhash64(F.concat_ws(" ", F.element_at(p["words"], -1), q["words"][0]))
+        return F.transform(full, lambda p, i: _let(F.transform(p["grams"], lambda g: F.xxhash64(g)), lambda own: _let(
+            F.when(i + 1 < F.size(full), joint(p, F.get(full, i + 1))), lambda j: F.struct(
+                p["line"].alias("line"), F.size(p["words"]).alias("words"), own.alias("own"), j.alias("joint"),
+                F.when(j.isNull(), own).otherwise(F.concat(own, F.array(j))).alias("all")))))
+
+    full = _let(F.filter(lines, lambda p: F.size(p["words"]) > 0), joined)
+    runs = _let(full, lambda h: F.flatten(F.transform(near, lambda t: _runs(h, t, least))))
+    better = F.array_sort(F.filter(runs, lambda r: ~F.exists(single, lambda p: (p["dice"] >= -r["down"]) & (
+        (p["line"] == 0) | p["line"].between(r["line"], r["last"])))))
+    chosen = _let(better, lambda rs: F.aggregate(rs, F.slice(rs, 1, 0), lambda kept, r: F.when(
+        F.exists(kept, lambda k: (k["line"] <= r["last"]) & (r["line"] <= k["last"])), kept).otherwise(
+        F.concat(kept, F.array(r)))))
+    return F.transform(chosen, lambda r: F.struct(
+        r["line"].alias("line"), r["last"].alias("last"), r["license"].alias("license"), (-r["down"]).alias("dice")))
+
+
 def license_matches(df: DataFrame, text_col: str, out: str = "licenses", templates: dict[str, str] | None = None,
                     least: float = LEAST) -> DataFrame:
     """``df`` with ``out``: one entry for each passage that reaches ``least``
     with a template: line (0 for the whole text, else the first line's number
     from 1), last (the last line's number), license (the best template) and
-    dice."""
+    dice.  ``templates`` (name to wording) stands in for ``TEMPLATES``, for
+    instance with whole licence texts read from files."""
     if out in df.columns:
         raise ValueError(f"there is a column {out} already")
-    known = {k: template_bigrams(v) for k, v in sorted((templates or TEMPLATES).items())}
+    wording = dict(sorted((TEMPLATES if templates is None else templates).items()))
+    known = {k: template_bigrams(v) for k, v in wording.items()}
+    known = {k: b for k, b in known.items() if b}
     low, high = least / (2 - least), (2 - least) / least
-    fits = lambda a, b: (a >= b * low) & (a <= b * high)
-    few, most = min(map(len, known.values())) * low, max(map(len, known.values())) * high
-    firsts = {k: sorted({g.split(" ")[0] for g in b}) for k, b in known.items()}
-    length = {k: len(re.sub(r"[\W_]+", " ", v.lower()).split()) for k, v in (templates or TEMPLATES).items()}
-    strings = lambda xs: F.array(*[F.lit(x) for x in xs])
-    table = F.array(*[F.struct(F.lit(k).alias("license"), F.lit(i).alias("place"), F.lit(len(b)).alias("n"),
-                               strings(b).alias("grams"), strings(firsts[k]).alias("firsts"),
-                               F.lit(words_needed(b, least)).alias("need"), F.lit(len(b) * low - 1e-9).alias("common"),
-                               F.lit(int(length[k] * high + 1e-9)).alias("most")) for i, (k, b) in enumerate(known.items())])
-
+    array = lambda xs: F.array(*[F.lit(x) for x in xs])
+    table = F.array(*[F.struct(
+        F.lit(k).alias("license"), F.lit(i).alias("place"), F.lit(len(b)).alias("n"), array(b).alias("grams"),
+        array(map(hashed, b)).alias("hashes"), F.lit(len(b) * low - 1e-9).alias("common"),
+        F.lit(len(b) * low).alias("low"), F.lit(len(b) * high).alias("high"),
+        F.lit(int(len(template_words(wording[k])) * high + 1e-9)).alias("most")) for i, (k, b) in enumerate(known.items())])
+    none = F.array().cast("array<struct<line:int,last:int,license:string,dice:double>>")
+    if not known:
+        return df.withColumn(out, none)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct((i + 1).alias("line"), x.alias("text")))
-    worded = F.transform(lines, lambda p: F.struct(p["line"].alias("line"), word_list(p["text"]).alias("words")))
-    # The words of the whole text are those of its lines.
-    whole = F.struct(F.lit(0).alias("line"), F.col("__words").alias("words"))
-    passages = F.concat(F.array(whole), F.col("__lines"))
-    enough = F.filter(passages, lambda p: (F.size(p["words"]) - 1 >= few)
-                      & (F.size(F.array_distinct(p["words"])) - 1 <= most))
-    grams = F.transform(enough, lambda p: F.struct(p["line"].alias("line"), _bigrams(p["words"]).alias("grams")))
-    sized = F.filter(grams, lambda p: F.size(p["grams"]) <= most)
-    score = lambda p, t: (F.lit(2.0) * F.size(F.array_intersect(p["grams"], t["grams"]))
-                          / (F.size(p["grams"]) + t["n"]))
-    scored = F.transform(sized, lambda p: F.struct(
-        p["line"].alias("line"),
-        F.array_max(F.transform(
-            F.filter(table, lambda t: fits(F.size(p["grams"]), t["n"])),
-            lambda t: F.struct(score(p, t).alias("dice"), (-F.array_position(
-                F.array(*[F.lit(k) for k in known]), t["license"])).alias("place"),
-                t["license"].alias("license")))).alias("best")))
-    found = F.filter(scored, lambda p: p["best"]["dice"] >= least)
-    single = F.transform(found, lambda p: F.struct(
-        p["line"].alias("line"), p["line"].alias("last"), p["best"]["license"].alias("license"),
-        p["best"]["dice"].alias("dice")))
-    # Templates of which the text has enough words.
-    shared = F.array_intersect("__words", strings(sorted(set(chain.from_iterable(firsts.values())))))
-    near = F.when(F.size("__lines") > 1, F.filter(
-        table, lambda t: F.size(F.array_intersect(F.col("__shared"), t["firsts"])) >= t["need"]))
-    full = F.filter("__lines", lambda p: F.size(p["words"]) > 0)
-    runs = _let(full, lambda h: F.flatten(F.transform("__near", lambda t: _runs(h, t, least))))
-    better = F.array_sort(F.filter(runs, lambda r: ~F.exists("__single", lambda p: (p["dice"] >= -r["down"]) & (
-        (p["line"] == 0) | p["line"].between(r["line"], r["last"])))))
-    chosen = _let(better, lambda rs: F.aggregate(rs, F.slice(rs, 1, 0), lambda kept, r: F.when(
-        F.exists(kept, lambda k: (k["line"] <= r["last"]) & (r["line"] <= k["last"])), kept).otherwise(
-        F.concat(kept, F.array(r)))))
-    blocks = F.transform(chosen, lambda r: F.struct(
-        r["line"].alias("line"), r["last"].alias("last"), r["license"].alias("license"), (-r["down"]).alias("dice")))
-    both = F.when(F.size("__near") > 0, F.array_sort(F.concat("__single", blocks))).otherwise(F.col("__single"))
-    return (df.withColumn("__lines", worded)
-              .withColumn("__words", F.flatten(F.transform("__lines", lambda p: p["words"])))
-              .withColumn("__single", single).withColumn("__shared", shared).withColumn("__near", near)
-              .withColumn(out, both).drop("__lines", "__words", "__single", "__shared", "__near"))
+    fewest = min(map(len, known.values())) * low - 1e-9
+    # A passage shares bigrams with a template only if the whole text does.
+    shared = F.array_intersect(_bigrams(_plain(text)), array(sorted(set(chain.from_iterable(known.values())))))
+    near = _let(shared, lambda h: F.when(F.size(h) >= fewest, F.filter(
+        table, lambda t: F.size(F.array_intersect(h, t["grams"])) >= t["common"])).otherwise(F.slice(table, 1, 0)))
+    lines = F.transform(F.split(text, "\n"), lambda x, i: _let(_plain(x), lambda p: F.struct(
+        (i + 1).alias("line"), _bigrams(p).alias("grams"),
+        F.when(p != "", F.split(p, " ")).otherwise(F.array().cast("array<string>")).alias("words"))))
+
+    def found(ns: Column) -> Column:
+        return F.when(F.size(ns) == 0, none).otherwise(_let(lines, lambda ls: _let(
+            _singles(_plain(text), ls, ns, least), lambda single: F.array_sort(
+                F.concat(single, _blocks(ls, single, ns, least))))))
+
+    return df.withColumn(out, _let(near, found))
 
 
 def op4_license_scan(spark, sf_dir: str) -> DataFrame:

@@ -3,7 +3,10 @@
 import re
 import textwrap
 
+import duckdb
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import licenses as L
 
@@ -97,3 +100,39 @@ def test_wrapped_blocks(spark):
         assert max((m.dice, m.license) for m in got[i].licenses)[1] == k
     assert [m.license for m in got[6].licenses] == ["MIT", "ISC", "ISC"] and len(got[7].licenses) == 1
     assert not got[8].licenses and not got[9].licenses
+
+
+def test_hashes_are_sparks(spark):
+    grams = ["the software", "a", "", "é 漢 字 of a longer bigram than thirty two bytes"]
+    got = spark.createDataFrame([(g,) for g in grams], "g string").select(F.xxhash64("g")).collect()
+    assert [r[0] for r in got] == [L.hashed(g) for g in grams]
+
+
+def test_sql_has_the_runs(spark, tmp_path):
+    """The SQL gives the operator's rows where only runs of lines match."""
+    code = "\n".join(f"value_{i} = compute(item_{i}, {i})" for i in range(60))
+    wrap = lambda k, w=76: "\n".join("# " + x for x in textwrap.wrap(L.TEMPLATES[k], w))
+    names = [k for k in L.TEMPLATES if not k.endswith("/line")]
+    texts = [wrap(k) + "\n" + code for k in names] + [
+        wrap("MIT", 40) + "\n\n" + code + "\n" + wrap("MIT") + "\nx\n" + wrap("ISC") + "\n" + L.TEMPLATES["MIT/line"],
+        None, "", "\n\n", code, wrap("MIT"), wrap("MIT")]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = [tuple(r) for r in L.op4_license_scan(spark, str(tmp_path)).collect()]
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()),
+                                        "text": pa.array([t for _, t in rows], pa.string())}))
+    assert sorted(got, key=lambda r: r[0]) == sorted(con.execute(L.OP4_SQL).fetchall(), key=lambda r: r[0])
+    by_id = {r[0]: r for r in got}
+    assert [by_id[i][2] for i in range(len(names))] == names and by_id[len(names)][1] >= 4
+
+
+def test_a_text_full_of_notices(spark):
+    """Repeated notices are found one by one, beside the whole text, whose set
+    of bigrams is that of one notice and little more."""
+    block = "\n".join(textwrap.wrap(L.TEMPLATES["MIT"], 76)) + "\n\npackage of its own\n\n"
+    df = spark.createDataFrame([(1, block * 40)], "doc_id long, text string")
+    found = L.license_matches(df, "text").collect()[0].licenses
+    assert [m.license for m in found] == ["MIT"] * 41
+    assert [m.line for m in found[:3]] == [0, 1, 1 + block.count("\n")]

@@ -57,6 +57,19 @@ TEMPLATES = {
     "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
     "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF "
     "THE POSSIBILITY OF SUCH DAMAGE.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+    "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+    "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its "
+    "contributors may be used to endorse or promote products derived from this software without specific prior written "
+    "permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+    "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+    "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     "BSD-3-Clause/line": "This software is released under the BSD 3-Clause License.",
     "CC0-1.0/line": "To the extent possible under law, the author has waived all copyright and related rights to this "
     "work.",
@@ -69,7 +82,19 @@ TEMPLATES = {
     "CC-BY-SA-4.0/notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
     "License.",
     "AGPL-3.0/line": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-3.0/notice": "This program is free software: you can redistribute it and/or modify it under the terms of the "
+    "GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+    "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details. You should "
+    "have received a copy of the GNU Affero General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
     "GPL-2.0/line": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0/notice": "This program is free software; you can redistribute it and/or modify it under the terms of the "
+    "GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at "
+    "your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+    "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+    "General Public License for more details. You should have received a copy of the GNU General Public License along "
+    "with this program; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA "
+    "02110-1301 USA.",
     "GPL-3.0/line": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0/notice": "This program is free software: you can redistribute it and/or modify it under the terms of the "
     "GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
@@ -78,6 +103,17 @@ TEMPLATES = {
     "General Public License for more details. You should have received a copy of the GNU General Public License along "
     "with this program. If not, see <https://www.gnu.org/licenses/>.",
     "LGPL-3.0/line": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-2.1/notice": "This library is free software; you can redistribute it and/or modify it under the terms of the "
+    "GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later "
+    "version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should "
+    "have received a copy of the GNU Lesser General Public License along with this library; if not, write to the Free Software Foundation, Inc., 51 Franklin "
+    "Street, Fifth Floor, Boston, MA 02110-1301 USA.",
+    "LGPL-3.0/notice": "This program is free software: you can redistribute it and/or modify it under the terms of the "
+    "GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+    "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should "
+    "have received a copy of the GNU Lesser General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
     "hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE "
     "SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
@@ -267,16 +303,20 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+#: Passages as the operator has them: whole text, lines, and runs of lines of
+#: which the best that overlap no better one are taken one after the other.
 OP4_SQL = r"""
-WITH t(license, grams) AS (VALUES """ + ", ".join(
-    f"({_quoted(k)}, [{', '.join(map(_quoted, template_bigrams(v)))}])" for k, v in sorted(TEMPLATES.items())) + r"""),
+WITH RECURSIVE t(license, place, words, grams) AS (VALUES """ + ", ".join(
+    f"({_quoted(k)}, {i}, {len(template_words(v))}, [{', '.join(map(_quoted, template_bigrams(v)))}])"
+    for i, (k, v) in enumerate(sorted(TEMPLATES.items()))) + r"""),
 u AS (
   SELECT doc_id, text, 0 AS line FROM documents
   UNION ALL
   SELECT doc_id, unnest(l) AS text, unnest(range(1, len(l) + 1)) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
 w AS (
-  SELECT doc_id, line, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM u),
+  SELECT doc_id, line, CASE WHEN p = '' THEN [] ELSE string_split(p, ' ') END AS w
+  FROM (SELECT doc_id, line, trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')) AS p FROM u)),
 g AS (
   SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w),
 s AS (
@@ -286,10 +326,43 @@ s AS (
 b AS (
   SELECT doc_id, line, first(license ORDER BY dice DESC, license) AS license, max(dice) AS dice
   FROM s GROUP BY doc_id, line HAVING max(dice) >= 0.8),
+near AS (  -- a run shares two thirds of the template's bigrams at least, and so does its text
+  SELECT doc_id, license, place, words, grams
+  FROM g JOIN t ON line = 0 AND 3 * len(list_intersect(g, grams)) >= 2 * len(grams)),
+l AS (
+  SELECT doc_id, line, w, row_number() OVER o AS at, sum(len(w)) OVER o AS upto
+  FROM w WHERE line > 0 AND len(w) > 0 AND doc_id IN (SELECT doc_id FROM near)
+  WINDOW o AS (PARTITION BY doc_id ORDER BY line)),
+whole AS (SELECT doc_id, flatten(list(w ORDER BY line)) AS w FROM l GROUP BY doc_id),
+r AS (
+  SELECT x.doc_id, x.line, y.line AS last, y.at - x.at + 1 AS size, n.license, n.place, n.grams,
+         whole.w[x.upto - len(x.w) + 1:y.upto] AS w
+  FROM near n JOIN l x USING (doc_id)
+  JOIN l y ON y.doc_id = x.doc_id AND y.at > x.at AND 2 * (y.upto - x.upto + len(x.w)) <= 3 * n.words
+  JOIN whole ON whole.doc_id = x.doc_id),
+q AS (
+  SELECT doc_id, line, last, size, license, place,
+         2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
+  FROM (SELECT *, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM r)),
+c AS (
+  SELECT * FROM q WHERE dice >= 0.8 AND NOT EXISTS (
+    SELECT 1 FROM b WHERE b.doc_id = q.doc_id AND b.dice >= q.dice AND (b.line = 0 OR b.line BETWEEN q.line AND q.last))),
+pick AS (
+  SELECT doc_id, runs[1] AS best,
+         list_filter(runs, lambda z: z.line > runs[1].last OR z.last < runs[1].line) AS rest
+  FROM (SELECT doc_id, list({'line': line, 'last': last, 'license': license, 'dice': dice}
+                            ORDER BY dice DESC, place, size, line) AS runs FROM c GROUP BY doc_id)
+  UNION ALL
+  SELECT doc_id, rest[1] AS best, list_filter(rest, lambda z: z.line > rest[1].last OR z.last < rest[1].line) AS rest
+  FROM pick WHERE len(rest) > 0),
+a AS (
+  SELECT doc_id, line, license, dice FROM b
+  UNION ALL
+  SELECT doc_id, best.line, best.license, best.dice FROM pick),
 f AS (
-  SELECT doc_id, count(*) AS n, first(license ORDER BY dice DESC, line) AS license,
+  SELECT doc_id, count(*) AS n, first(license ORDER BY dice DESC, line, license DESC) AS license,
          first(line ORDER BY dice DESC, line) AS line, max(dice) AS dice
-  FROM b GROUP BY doc_id)
+  FROM a GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_matches, license, f.line::BIGINT AS line, round(dice, 9) AS dice
 FROM documents d LEFT JOIN f USING (doc_id)
 """

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import columns_frame, registry_frame, table_contract
 from tidemark.functions.scalars import alert_text, empty_if_null, page_path, page_path_parts, truncate_message
-from tidemark.operators import history, merge, progress, quality, relations, select, windows
+from tidemark.operators import history, merge, nested, progress, quality, relations, select, versions, windows
 from tidemark.operators.joins import checked_broadcast
 from tidemark.plans import api, execute, ingest, load, reports
 from tidemark.session import literal_frame, materialize, scratch_path
@@ -1455,3 +1455,82 @@ def q_kpi_summary(spark, sf):
     cps = merge.override_checkpoint(_checkpoint_table(spark, sf), req, _now())
     history = _drift(spark, sf)
     return reports.kpi_summary(S.runs(spark, sf), cps, S.batches(spark, sf), history)
+
+
+_EVENT_VALUES = ["event_type", "value"]
+_STATE_SQL = """(SELECT user_id, ts, event_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events
+  WHERE user_id IS NOT NULL AND ts <= TIMESTAMP '{at}') WHERE n = 1 AND event_type IS DISTINCT FROM 'error')"""
+_AFTER, _UNTIL = "2024-01-01 08:00:00", "2024-01-02 12:00:00"
+
+
+def _time(text: str) -> F.Column:
+    return F.lit(text).cast("timestamp_ntz")
+
+
+@register("as_of_state", "SELECT * FROM " + _STATE_SQL.format(at=_UNTIL))
+def q_as_of_state(spark, sf):
+    """The rows as they were at a time, deleted ones left out."""
+    return versions.as_of(S.event_versions(spark, sf), _time(_UNTIL), key="user_id", time="ts", tie="event_id",
+                          values=_EVENT_VALUES, deleted="deleted")
+
+
+@register("change_feed", f"""
+WITH old AS {_STATE_SQL.format(at=_AFTER)}, new AS {_STATE_SQL.format(at=_UNTIL)},
+moved AS (SELECT user_id, max(ts) AS ts, count(*) AS versions FROM events
+          WHERE user_id IS NOT NULL AND ts > TIMESTAMP '{_AFTER}' AND ts <= TIMESTAMP '{_UNTIL}' GROUP BY user_id)
+SELECT m.user_id, CASE WHEN old.user_id IS NULL THEN 'insert' WHEN new.user_id IS NULL THEN 'delete' ELSE 'update' END AS operation,
+       old.event_type AS before_event_type, old.value AS before_value, new.event_type AS after_event_type,
+       new.value AS after_value, m.ts, m.versions
+FROM moved m LEFT JOIN old USING (user_id) LEFT JOIN new ON new.user_id = m.user_id
+WHERE (old.user_id IS NULL) <> (new.user_id IS NULL) OR (old.user_id IS NOT NULL AND (
+      old.event_type IS DISTINCT FROM new.event_type OR old.value IS DISTINCT FROM new.value))""")
+def q_change_feed(spark, sf):
+    """Inserts, updates and deletes between two times, with the images
+    before and after."""
+    return versions.change_feed(S.event_versions(spark, sf), _time(_AFTER), _time(_UNTIL), key="user_id", time="ts",
+                                tie="event_id", values=_EVENT_VALUES, deleted="deleted")
+
+
+@register("as_of_rows", """
+WITH v AS (SELECT user_id, ts, event_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS n FROM events) WHERE n = 1),
+p AS (SELECT o_orderkey AS probe_id, o_custkey % 200 AS user_id,
+             TIMESTAMP '2024-01-01 00:00:00' + to_seconds(o_orderkey * 7919 % 2000000) AS at FROM orders)
+SELECT p.probe_id, p.user_id, p.at, v.ts, v.event_id, v.event_type, v.value
+FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.at >= v.ts""")
+def q_as_of_rows(spark, sf):
+    """Every probe with the version of its user that held at its time."""
+    return versions.as_of_join(S.order_probes(spark, sf), S.event_versions(spark, sf), key="user_id", at="at", time="ts",
+                               tie="event_id", values=["event_id", *_EVENT_VALUES])
+
+
+@register("nested_schema", V("src") + f"""
+, n AS (SELECT table_name, updated_at < {S.NESTED_CHANGE} AS stored, {S.NESTED_TEXT} AS raw FROM src),
+tree AS (
+  SELECT table_name, stored, regexp_replace(fullkey, '\\[\\d+\\]', '[]', 'g') AS path,
+         CASE WHEN t.type IN ('UBIGINT', 'BIGINT') THEN 'INTEGER' WHEN t.type = 'DOUBLE' THEN 'NUMBER'
+              WHEN t.type = 'VARCHAR' THEN 'STRING' ELSE t.type END AS kind
+  FROM (SELECT * FROM n WHERE json_valid(raw)) x, json_tree(x.raw) t
+  UNION ALL SELECT table_name, stored, '$', 'INVALID' FROM n WHERE NOT json_valid(raw)),
+scoped AS (SELECT 'old' AS scope, * FROM tree WHERE stored UNION ALL SELECT 'all', * FROM tree),
+typed AS (
+  SELECT scope, table_name, path, records, nulls, in_run,
+         CASE WHEN len(k) = 0 THEN 'NULL' WHEN len(k) = 1 THEN k[1]
+              WHEN list_has_any(k, ['OBJECT', 'ARRAY', 'INVALID']) THEN 'MIXED'
+              WHEN k = ['INTEGER', 'NUMBER'] THEN 'NUMBER' ELSE 'STRING' END AS type
+  FROM (SELECT scope, table_name, path, count(*) AS records, count(*) FILTER (WHERE kind = 'NULL') AS nulls,
+               bool_or(NOT stored) AS in_run,
+               list_sort(coalesce(list(DISTINCT kind) FILTER (WHERE kind <> 'NULL'), [])) AS k
+        FROM scoped GROUP BY ALL))
+SELECT a.table_name, a.path, o.type AS type_before, a.type AS type_after, a.records, a.nulls,
+       CASE WHEN o.type IS NULL THEN 'NEW_COLUMN' WHEN NOT a.in_run THEN 'GONE' WHEN o.type = a.type THEN 'SAME'
+            WHEN a.type = 'MIXED' THEN 'BREAKING_CHANGE' ELSE 'WIDENED' END AS change
+FROM typed a LEFT JOIN typed o ON o.scope = 'old' AND o.table_name = a.table_name AND o.path = a.path
+WHERE a.scope = 'all'""")
+def q_nested_schema(spark, sf):
+    """Q5 Q7: the nested schema of the records of 1997 and later, merged into
+    that of those before: type and change of every path."""
+    raw = S.nested_records(spark, sf)
+    new = F.col("updated_at") >= S.NESTED_CHANGE
+    return nested.schema_changes(nested.path_counts(raw.where(~new)), nested.path_counts(raw.where(new)))

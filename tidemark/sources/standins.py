@@ -115,6 +115,39 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"))
 
 
+def event_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as versions of a row per user; an ``error`` deletes the row."""
+    return read(spark, sf_dir, "events").select(
+        "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "event_type", "value",
+        (F.col("event_type") == "error").alias("deleted"))
+
+
+def order_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` as questions after a user's version at a time."""
+    return read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS probe_id", "o_custkey % 200 AS user_id",
+        "CAST(timestampadd(SECOND, CAST(o_orderkey * 7919 % 2000000 AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00') AS TIMESTAMP_NTZ) AS at")
+
+
+#: Nested raw text of an order, in words that Spark and DuckDB share; the
+#: records of 1997 and later have other fields and types than those before.
+NESTED_CHANGE = 852076800
+NESTED_TEXT = """'{"id":' || CAST(id AS STRING) || ',"customer":{"key":' ||
+CASE WHEN o_orderstatus = 'P' THEN '"' || CAST(o_custkey AS STRING) || '"' ELSE CAST(o_custkey AS STRING) END ||
+CASE WHEN o_orderstatus = 'F' THEN ',"clerk name":null' ELSE '' END || '},"total":{"amount":' ||
+CASE WHEN updated_at < 852076800 OR o_custkey % 2 = 0 THEN CAST(o_custkey AS STRING)
+     ELSE CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS STRING) END ||
+',"paid":' || CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'null' END || '},"tags":' ||
+CASE o_custkey % 4 WHEN 0 THEN '[]' WHEN 1 THEN '["a",5]' WHEN 2 THEN '[{"name":"x","weight":1},{"weight":1.5}]' ELSE 'null' END ||
+CASE WHEN updated_at >= 852076800 THEN ',"gift":{"wrap":[[1],[]]},"note":{"text":"n"}' ELSE ',"note":"n","ship":1' END ||
+CASE WHEN id % 97 = 0 THEN '' ELSE '}' END"""
+
+
+def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source records as nested JSON texts; one in 97 is cut off."""
+    return source_records(spark, sf_dir).select("table_name", "updated_at", F.expr(NESTED_TEXT).alias("raw"))
+
+
 def replay_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replay events from ``nation``: one window of 30 x region days per
     nation, every sixth names a table with no contract, region 0 ends before

@@ -82,20 +82,75 @@ def test_base_spans_by_hand():
         assert sorted(S.base_spans(text)) == sorted(want), text
 
 
-def all_ways(value, start=0):
-    if start == len(value):
-        yield 0.0
-        return
-    options = [(start + 1, S.char_cost(value[start]))]
-    options += [(e, c + (math.log10(2) if start else 0)) for i, e, c in S.parts(value) if i == start]
-    for e, c in options:
-        for rest in all_ways(value, e):
-            yield c + rest
+KNOWN = {"patience": 1, "sun": 2, "flower": 3, "sunflower": 400, "os": 5}
+
+
+def part_by_hand(value, i, j):
+    """The cheapest reading of value[i:j] as one part, from the definitions."""
+    typed = value[i:j]
+    low, n = typed.lower(), j - i
+    plain = "".join({"@": "a", "4": "a", "3": "e", "0": "o", "1": "l", "$": "s", "5": "s", "7": "t", "!": "i"}.get(c, c) for c in low)
+    costs = []
+    for w in (low, plain):
+        for rank in ([S.COMMON.index(w) + 1] if w in S.COMMON else []) + ([len(S.COMMON) + KNOWN[w]] if w in KNOWN else []):
+            extra = 0 if typed == low else math.log10(2) if typed[0] != low[0] and typed[1:] == low[1:] else 1
+            costs.append(math.log10(rank + 1) + extra + (0 if low in S.COMMON or low in KNOWN else math.log10(2)))
+    if n >= 3 and len(set(low)) == 1:
+        costs.append(S.char_cost(value[i]) + math.log10(n))
+    rows = ["`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", string.ascii_lowercase, string.digits]
+    beside = lambda a, b: any(a + b in r or b + a in r for r in rows[:4]) or any(a + b in r for r in rows[4:])
+    if n >= 3 and all(beside(a, b) for a, b in zip(low, low[1:])):
+        costs.append(math.log10(47) + math.log10(n))
+    bare = "".join(c for c in typed if c in string.digits)
+    if n == 4 and len(bare) == 4 and bare[:2] in ("19", "20"):
+        costs.append(2.1)
+    signs = [k for k, c in enumerate(typed) if c not in string.digits]
+    if len(bare) == 8 and all(typed[k] in "-/." for k in signs):
+        for y, m, d, allowed in ((bare[:4], bare[4:6], bare[6:], {(), (4,), (6,), (4, 7)}),
+                                 (bare[4:], bare[2:4], bare[:2], {(), (2,), (4,), (2, 5)})):
+            if y[:2] in ("19", "20") and 1 <= int(m) <= 12 and 1 <= int(d) <= 31 and tuple(signs) in allowed:
+                costs.append(math.log10(365 * 120))
+    return min(costs, default=math.inf)
+
+
+def cheapest_by_hand(value):
+    best = [0.0]
+    for j in range(1, len(value) + 1):
+        best.append(min([best[j - 1] + S.char_cost(value[j - 1])] + [
+            best[i] + part_by_hand(value, i, j) + (math.log10(2) if i else 0) for i in range(j)]))
+    return best[-1]
+
+
+def test_cost_of_odd_values():
+    rng = random.Random(12)
+    bits = ["s", "ss", "secret", "Sun", "flower", "sunflower", "aaa", "AAAA", "abc", "qwe", "4321", "2024", "2024-01-31", "31.12.1999",
+            "p4ss", "w0rd", "x", "$", "9", "zz", "İ", "é", "01"]
+    for _ in range(600):
+        value = "".join(rng.choice(bits) for _ in range(rng.randint(0, 6)))
+        assert S.guess_cost(value, KNOWN) == pytest.approx(cheapest_by_hand(value)), value
+    for _ in range(200):
+        value = "".join(rng.choice("abc1") for _ in range(rng.randint(0, 40)))
+        assert S.guess_cost(value, KNOWN) == pytest.approx(cheapest_by_hand(value)), value
+
+
+def test_plain_sentences_hold_no_secret():
+    for text in ("The secret is patience", "auth: required", "api_key = os.environ", "password: changeme!"):
+        assert S.scan(text, 10.0, KNOWN) == [], text
+
+
+def test_corpus_words(spark):
+    rows = [("the sun, The SUN shines.",)] * 3 + [("sun x1y2 half-sun under_sun the",)] * 2 + [(None,), ("",), ("the",)]
+    df = spark.createDataFrame(rows, "text string")
+    assert S.corpus_words(df, "text", least=1) == {"the": 1, "sun": 2, "shines": 3}
+    assert S.corpus_words(df, "text", most=1, least=1) == {"the": 1}
+    assert S.corpus_words(df, "text") == {} == S.corpus_words(df.limit(0), "text", least=1)
+    with pytest.raises(ValueError):
+        S.secret_spans(df, "text", words={str(i): i for i in range(S.RANKED + 1)})
 
 
 @pytest.mark.parametrize("value", ["password", "p4ssw0rd1", "qwerty123", "aaaaB1", "20240131x", "Summer2024", "zq7#", ""])
 def test_cost_is_the_cheapest_segmentation(value):
-    assert S.guess_cost(value) == pytest.approx(min(all_ways(value)))
+    assert S.guess_cost(value) == pytest.approx(cheapest_by_hand(value))
 
 
 def test_cheap_and_costly_values():

@@ -10,7 +10,10 @@ credential word as well as the value.
 The method adds ``guess`` spans: values that follow a wider set of credential
 words are cut into dictionary words, dates, repeats, keyboard walks and
 brute-force characters so that the product of the parts' guess counts is
-smallest (dynamic programming over the value's positions, in log10).  A value
+smallest (dynamic programming over the value's positions, in log10).  Words are
+the fixed passwords below and then the corpus's own words by the number of
+documents that hold them (``corpus_words``).  Repeats and walks count at every
+length from 3 up, dates in every form.  A value
 that costs at least ``min_guesses`` is a secret; placeholders such as
 ``password1`` or ``qwerty`` are cheap and stay out.  A guess span covers the
 value alone, and is left out where a base span overlaps it.
@@ -58,16 +61,22 @@ COMMON = (
     "database", "spring", "summer", "autumn", "winter", "january", "february", "march", "april", "june", "july",
     "august", "september", "october", "november", "december", "monday", "friday", "love", "money", "angel", "star",
     "computer", "internet", "samsung", "google", "apple", "cookie", "cheese", "pepper", "ginger", "orange", "purple",
+    "os", "env", "environ", "getenv", "config", "settings", "required", "optional", "self", "args", "request", "get",
 )
 RANK = {w: i + 1 for i, w in enumerate(COMMON)}
-LONGEST = max(map(len, COMMON))
-LEET = str.maketrans("@4301$57!", "aaeolsstI".lower())
+#: The longest word that is looked up, and how many corpus words are ranked.
+LONGEST = 20
+RANKED = 50_000
+LEET = str.maketrans("@4301$57!", "aaeolssti")
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 NEXT = {(a, b) for row in ROWS for a, b in zip(row, row[1:])}
 NEXT |= {(b, a) for a, b in NEXT}
 NEXT |= {(a, b) for s in ("abcdefghijklmnopqrstuvwxyz", "0123456789") for a, b in zip(s, s[1:])}
-DATE = re.compile(r"(?:19|20)\d{2}[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])"
-                  r"|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d{2}|(?:19|20)\d{2}", re.ASCII)
+_DAY, _MONTH, _YEAR = r"(?:0[1-9]|[12]\d|3[01])", r"(?:0[1-9]|1[0-2])", r"(?:19|20)\d{2}"
+DATES = [(re.compile(f"{_YEAR}[-/.]?{_MONTH}[-/.]?{_DAY}", re.ASCII), math.log10(365 * 120)),
+         (re.compile(f"{_DAY}[-/.]?{_MONTH}[-/.]?{_YEAR}", re.ASCII), math.log10(365 * 120)),
+         (re.compile(_YEAR, re.ASCII), 2.1)]
+CUT = math.log10(2)
 
 
 def char_cost(c: str) -> float:
@@ -79,51 +88,85 @@ def char_cost(c: str) -> float:
     return math.log10(33)
 
 
-def parts(value: str) -> Iterator[tuple[int, int, float]]:
-    """(start, end, log10 guesses) of every dictionary word, date, repeat and
-    keyboard walk in ``value``.  Runs count with their longest extent from
-    each start, so a value of n characters has O(n) of them."""
-    low = value.lower()
+def word_cost(typed: str, words: dict[str, int]) -> float | None:
+    """log10 of the guesses of a word as typed (capitals and signs for letters
+    cost extra), or None if it is none."""
+    low = typed.lower()
     plain = low.translate(LEET)
-    for i in range(len(value)):
-        for n in range(3, min(LONGEST, len(value) - i) + 1):
-            word, typed = plain[i:i + n], value[i:i + n]
-            rank = RANK.get(word) or RANK.get(low[i:i + n])
-            if rank:
-                cased = 0.0 if typed == typed.lower() else math.log10(2) if typed[1:] == typed[1:].lower() else 1.0
-                yield i, i + n, math.log10(rank + 1) + cased + math.log10(2) * (typed.lower() not in RANK)
-        for m in [DATE.match(value, i)]:
-            if m:
-                yield i, m.end(), 2.1 if m.end() - i == 4 else math.log10(365 * 120)
-    for step, start_cost in ((lambda a, b: a == b, None), (lambda a, b: (a, b) in NEXT, math.log10(47))):
-        end = len(value)
-        ends = [end] * len(value)
-        for i in range(len(value) - 2, -1, -1):
-            ends[i] = ends[i + 1] if step(low[i], low[i + 1]) else i + 1
-        for i, e in enumerate(ends):
-            if e - i >= 3:
-                yield i, e, (char_cost(value[i]) if start_cost is None else start_cost) + math.log10(e - i)
-
-
-def guess_cost(value: str) -> float:
+    found = [len(RANK) + words[w] if w in words else None for w in (plain, low)] + [RANK.get(plain), RANK.get(low)]
+    rank = min((r for r in found if r), default=None)
+    if rank is None:
+        return None
+    cased = 0.0 if typed == low else CUT if typed[1:] == low[1:] else 1.0
+    return math.log10(rank + 1) + cased + CUT * (low not in RANK and low not in words)
+
+
+class _Runs:
+    """The cheapest run (repeat or walk) that ends at the place asked for.
+
+    A run from i to j costs ``base(i) + log10(j - i)``.  The lead of an earlier
+    start over a later one only grows with j, so a start that is no better than
+    an earlier one when it is first long enough never will be, and one whose
+    base a later start does not exceed is done with."""
+
+    def __init__(self) -> None:
+        self.live: list[tuple[int, float]] = []
+
+    def add(self, i: int, base: float) -> None:
+        if all(b + math.log10(i + 3 - a) > base + math.log10(3) for a, b in self.live):
+            self.live = [(a, b) for a, b in self.live if b < base] + [(i, base)]
+
+    def best(self, j: int) -> float:
+        return min((b + math.log10(j - a) for a, b in self.live), default=math.inf)
+
+
+def guess_cost(value: str, words: dict[str, int] | None = None) -> float:
     """log10 of the guesses that the cheapest segmentation needs: each part
     multiplies the count, and each part after the first costs a factor 2 for
-    the choice of cutting there."""
-    starts: dict[int, list[tuple[int, float]]] = {}
-    for i, e, cost in parts(value):
-        starts.setdefault(i, []).append((e, cost))
-    cut = math.log10(2)
-    best = [0.0] + [math.inf] * len(value)
-    for i in range(len(value)):
-        at = best[i] + char_cost(value[i])
-        if at < best[i + 1]:
-            best[i + 1] = at
-        for e, cost in starts.get(i, ()):
-            if best[i] + cost + cut * (i > 0) < best[e]:
-                best[e] = best[i] + cost + cut * (i > 0)
+    the choice of cutting there (brute-force characters do not).  ``words`` are
+    ranks from 1 of words beyond the fixed ones."""
+    words, low, n = words or {}, value.lower(), len(value)
+    if len(low) != n:  # a letter whose small form has two characters
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    best = [0.0] + [math.inf] * n
+    kinds = [(lambda a, b: a == b, None), (lambda a, b: (a, b) in NEXT, math.log10(47))]
+    runs, starts = [_Runs(), _Runs()], [0, 0]
+    for j in range(n + 1):
+        if j >= 2:  # a step that is none ends the run
+            for k, (step, _) in enumerate(kinds):
+                if not step(low[j - 2], low[j - 1]):
+                    runs[k], starts[k] = _Runs(), j - 1
+        for k, (_, first) in enumerate(kinds):
+            i = j - 3
+            if i >= starts[k]:
+                runs[k].add(i, best[i] + CUT * (i > 0) + (char_cost(value[i]) if first is None else first))
+            best[j] = min(best[j], runs[k].best(j))
+        if j == n:
+            break
+        best[j + 1] = min(best[j + 1], best[j] + char_cost(value[j]))
+        before = best[j] + CUT * (j > 0)
+        for e in range(j + 2, min(n, j + LONGEST) + 1):
+            cost = word_cost(value[j:e], words)
+            if cost is not None and before + cost < best[e]:
+                best[e] = before + cost
+        if value[j].isdigit():
+            for pattern, cost in DATES:
+                m = pattern.match(value, j)
+                if m:
+                    best[m.end()] = min(best[m.end()], before + cost)
     return best[-1]
 
 
+def corpus_words(df: DataFrame, text_col: str, most: int = RANKED, least: int = 20) -> dict[str, int]:
+    """Ranks from 1 of the ``most`` words that the most rows of ``df`` hold
+    (``least`` at least): words of 2 to 20 letters a-z in either case that
+    stand alone, with a punctuation mark after them at most."""
+    alone = F.regexp_extract_all(F.lower(text_col), F.lit(r"(?<!\S)([a-z]{2,20})(?=[.,;:!?]?(?!\S))"), F.lit(1))
+    held = df.select(F.explode(F.array_distinct(alone)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    top = held.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most).collect()
+    return {r.word: i for i, r in enumerate(top, 1)}
+
+
 def base_spans(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of the three fixed patterns."""
     found = [(m.start(), "assign", m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
@@ -132,7 +175,7 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return found
 
 
-def scan(text: str, min_cost: float = 10.0) -> list[dict]:
+def scan(text: str, min_cost: float = 10.0, words: dict[str, int] | None = None) -> list[dict]:
     """All spans of one text, in order."""
     found = [(s, k, e, None) for s, k, e in base_spans(text)]
     taken = [(s, e) for s, _, e, _ in found]
@@ -141,7 +184,7 @@ def scan(text: str, min_cost: float = 10.0) -> list[dict]:
         value = m[1].rstrip(".!?*#$%&:")
         e = s + len(value)
         if len(value) >= 8 and all(e <= a or b <= s for a, b in taken):
-            cost = guess_cost(value)
+            cost = guess_cost(value, words)
             if cost >= min_cost:
                 found.append((s, "guess", e, cost))
     found.sort(key=lambda x: (x[0], KINDS.index(x[1]), x[2]))
@@ -153,12 +196,17 @@ _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
                              ("log10_guesses", pa.float64())]))
 
 
-def secret_spans(df: DataFrame, text_col: str, out: str = "secrets", min_guesses: float = 1e10) -> DataFrame:
+def secret_spans(df: DataFrame, text_col: str, out: str = "secrets", min_guesses: float = 1e10,
+                 words: dict[str, int] | None = None) -> DataFrame:
     """``df`` with ``out``: every secret in ``text_col`` as kind, start, end
-    and, for guess spans, the cost.  One narrow pass; a column-wise filter
+    and, for guess spans, the cost.  ``words`` (at most ``RANKED``) are
+    broadcast.  One narrow pass; a column-wise filter
     leaves most texts to two vectorised searches."""
     with_code(df.sparkSession)
     least = math.log10(min_guesses)
+    if len(words or {}) > RANKED:
+        raise ValueError(f"more than {RANKED} words")
+    shared = df.sparkSession.sparkContext.broadcast(words or {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -166,7 +214,7 @@ def secret_spans(df: DataFrame, text_col: str, out: str = "secrets", min_guesses
                 text = batch.column(text_col)
                 maybe = pc.match_substring_regex(text, f"[0-9a-f]{{16}}|AKIA|{HINT}")
                 maybe = pc.fill_null(maybe, False).to_pylist()
-                rows = [scan(text[i].as_py(), least) if hit else [] for i, hit in enumerate(maybe)]
+                rows = [scan(text[i].as_py(), least, shared.value) if hit else [] for i, hit in enumerate(maybe)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, _ARROW)],
                                                  [*batch.schema.names, out])
 
@@ -174,10 +222,10 @@ def secret_spans(df: DataFrame, text_col: str, out: str = "secrets", min_guesses
 
 
 def op10_secret_scan(spark, sf_dir: str) -> DataFrame:
-    """Secrets of every document: counts by base kind, the digest of the base
+    """Secrets of every document, its words ranked over all documents: counts by base kind, the digest of the base
     spans and all spans as text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = secret_spans(docs, "text").drop("text")
+    found = secret_spans(docs, "text", words=corpus_words(docs, "text")).drop("text")
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
     line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -72,3 +72,18 @@ def test_held_out_accuracy(spark):
     test = [(r.predicted, label[r.doc_id]) for r in out if r.held_out and r.doc_id in label]
     assert sum(p == y for p, y in test) / len(test) > 0.95
     assert sorted(map(repr, out)) == sorted(map(repr, Q.op8_quality_knn(spark, SF_MED).collect()))
+
+
+def test_a_labelled_id_on_a_third_of_the_rows_votes_once(spark):
+    """Repeats of a labelled document, of its label or of both change no score."""
+    docs = [(i, f"good words number {i} of a plain text" if i % 2 else f"$$ BUY {i} now !!! {i}") for i in range(60)]
+    labels = [(i, i % 2) for i in range(60)]
+    frame = lambda d, l: (spark.createDataFrame(d, "doc_id long, text string"),
+                          spark.createDataFrame(l, "doc_id long, quality int"))
+    plain = frame(docs, labels)
+    hot = frame(docs + [docs[4]] * 30, labels + [labels[4]] * 5)
+    a, b = (Q.fit_quality(*f) for f in (plain, hot))
+    score = lambda m: {r.doc_id: r.score for r in Q.quality_scores(plain[0], m).collect()}
+    assert score(a) == score(b)
+    two = frame(docs + [(4, "another text of the same id")] * 30, labels)
+    assert score(Q.fit_quality(*two)) == score(Q.fit_quality(two[0].orderBy("text").repartition(3), two[1]))

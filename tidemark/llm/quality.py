@@ -166,13 +166,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, voters: int = VOTERS) -> Model:
-    """The model of the labelled documents that are not held out."""
+    """The model of the labelled documents that are not held out: at most
+    ``voters`` votes, one for each id and label.  Of document rows that share
+    an id the one with the least terms (as bytes) votes."""
     with_code(docs.sparkSession)
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = (usable.select("doc_id", (F.col("quality") > 0).cast("int").alias("label"))
                     .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(voters))
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-                .join(F.broadcast(chosen), "doc_id")  # at most ``voters`` rows
+                .join(F.broadcast(chosen.distinct()), "doc_id")  # at most ``voters`` rows of labels
                 .select("doc_id", "text", "label", F.xxhash64("doc_id").alias("h")))
     # Texts of the voters stay on the executors: the driver gets their terms, a few hundred numbers each.
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,8 +187,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, voters: int = VOTERS) -> Mod
                                                   pack(term, "<i4"), pack(weight, "<f4")],
                                                  ["h", "doc_id", "label", "term", "weight"])
 
-    got = rows.mapInArrow(of, "h long, doc_id long, label int, term binary, weight binary").collect()
-    got.sort(key=lambda r: (r.h, r.doc_id, r.label, bytes(r.term), bytes(r.weight)))
+    packed = rows.mapInArrow(of, "h long, doc_id long, label int, term binary, weight binary")
+    votes = packed.groupBy("h", "doc_id", "label").agg(F.min(F.struct("term", "weight")).alias("v"))
+    got = votes.select("h", "doc_id", "label", "v.term", "v.weight").collect()
+    got.sort(key=lambda r: (r.h, r.doc_id, r.label))
     return Model.of_terms([np.frombuffer(r.term, "<i4").astype(np.int64) for r in got],
                           [np.frombuffer(r.weight, "<f4").astype(np.float64) for r in got], [r.label for r in got])
 

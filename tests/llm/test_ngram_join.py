@@ -106,8 +106,31 @@ def test_shingles_are_whole_sets():
 
 
 def test_runs():
-    assert J.runs_for(0.999999, 0.8) * J.CHOICES + (J.DEPTH - 1) * J.CHOICES <= J.SIGNATURE
-    assert J.runs_for(0.9, 0.8) < J.runs_for(0.999999, 0.8)
+    assert J.miss(J.runs_for(J.RECALL, 0.8), 0.8) <= 1 - J.RECALL < J.miss(J.runs_for(J.RECALL, 0.8) - 1, 0.8)
+    assert J.runs_for(J.RECALL, 0.8) * J.CHOICES <= J.SIGNATURE - J.DEPTH - 1
+    assert J.runs_for(0.9, 0.8) < J.runs_for(J.RECALL, 0.8)
+    with pytest.raises(ValueError):
+        J.runs_for(J.RECALL, 0.2)
+
+
+def test_miss_is_what_paths_lose(spark, monkeypatch):
+    """Pairs of signatures that agree on each function with probability 0.8,
+    one pair a place, sent down the real paths: all buckets are hot until the
+    last step, and the share of pairs that end apart is the formula's."""
+    size, depth, pairs, runs = 24, 3, 1500, 1
+    for name, value in (("SIGNATURE", size), ("DEPTH", depth), ("LIMIT", 1), ("DENSE", 2.0), ("ALIKE", 0.0)):
+        monkeypatch.setattr(J, name, value)
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(pairs):  # the first value names the pair, so that buckets hold one pair each
+        one = rng.integers(0, 1 << 30, size)
+        two = np.where(rng.random(size) < 0.8, one, one + 1)
+        rows += [(b"%d.0" % i, one.tolist()), (b"%d.1" % i, two.tolist())]
+    nodes = spark.createDataFrame(rows, "node binary, sig array<int>")
+    _, alike = J.chosen_paths(nodes, 2 * pairs, runs)
+    met = {bytes(r.node).split(b".")[0] for r in alike.collect()}
+    want = J.miss(runs, 0.8, depth, size)
+    assert abs((pairs - len(met)) / pairs - want) < 4 * (want * (1 - want) / pairs) ** 0.5
 
 
 def test_components(spark):

@@ -4,11 +4,13 @@ Texts are sets of five-word shingles; documents with the same set are one
 node.  A run sends every node down a tree of paths: at each step a bucket
 samples ``CHOICES`` min-hash functions, and each node goes on along the token
 that is smallest in its set under them, so two nodes share the next step with
-the probability of their Jaccard similarity.  Buckets of at most ``LIMIT``
+the probability of their Jaccard similarity.  A first step has functions of
+its run alone; below it every bucket draws, by a hash of its path, from all
+``SIGNATURE`` functions that its path has not used.  Buckets of at most ``LIMIT``
 nodes are compared by brute force on signatures; buckets that hardly shrink
 (``DENSE``: their nodes are alike already) or reach ``DEPTH`` are taken as
-alike whole; all others split on.  ``runs_for`` repeats runs until a pair at
-the threshold is found with the target recall.
+alike whole; all others split on.  ``runs_for`` repeats runs until ``miss``, the
+chance that a pair at the threshold meets in none, is below the target.
 
 Links found this way make candidate components.  Each component's shingle
 sets then meet once, in blocks of ``BLOCK`` nodes against ``BLOCK`` nodes, where every
@@ -44,24 +46,44 @@ from tidemark.operators.joins import checked_broadcast
 SIMILARITY = (4, 5)  # 0.8 as a fraction, for exact comparison
 RECALL = 0.999999
 CHOICES = 2
-SIGNATURE = 64
+SIGNATURE = 96
 LIMIT = 50
 DENSE = 0.7
 DEPTH = 9
 BLOCK = 512
-#: Signatures that agree on this share are worth an exact comparison: five
-#: standard deviations below the threshold.
+#: Signatures that agree on this share are worth an exact comparison: six
+#: standard deviations below the threshold (``miss`` counts those beyond).
 ALIKE = 0.55
 BROADCAST_ROWS = 1_000_000
 
 
-def runs_for(recall: float, similarity: float, depth: int = 4) -> int:
-    """Runs until a pair at ``similarity`` meets in a bucket ``depth`` steps
-    down with probability ``recall``."""
-    miss = 0.0
-    for _ in range(depth):
-        miss = (1 - similarity * (1 - miss)) ** CHOICES
-    return math.ceil(math.log(1 - recall) / math.log(miss))
+def miss(runs: int, similarity: float, depth: int = DEPTH, size: int = SIGNATURE) -> float:
+    """Chance that a pair at ``similarity`` is in no common bucket ``depth``
+    steps down in any run, or fails the signature test in one.
+
+    The runs draw from the same ``size`` functions, so the chance is taken for each
+    number of them on which the pair may agree, then averaged.  Given that
+    number, a bucket draws two of the functions that its path has left: it loses
+    the pair if both disagree, and has two paths to lose if both agree."""
+    out = 0.0
+    for agree in range(size + 1):
+        lost = 0.0
+        for used in reversed(range(depth)):
+            left, same = size - used, max(0, agree - used)
+            pairs, apart = left * (left - 1), left - same
+            none, both = apart * (apart - 1) / pairs, same * (same - 1) / pairs
+            lost = none + (1 - none - both) * lost + both * lost * lost
+        chance = math.comb(size, agree) * similarity ** agree * (1 - similarity) ** (size - agree)
+        out += chance * (lost ** runs if agree >= ALIKE * size else 1.0)
+    return out
+
+
+def runs_for(recall: float, similarity: float, depth: int = DEPTH, size: int = SIGNATURE) -> int:
+    """The fewest runs whose ``miss`` is at most 1 - ``recall``."""
+    for runs in range(1, size // CHOICES + 1):
+        if miss(runs, similarity, depth, size) <= 1 - recall:
+            return runs
+    raise ValueError(f"recall {recall} at similarity {similarity} needs a longer signature than {size}")
 
 
 def _of_texts(docs: DataFrame) -> DataFrame:
@@ -84,7 +106,7 @@ def _of_texts(docs: DataFrame) -> DataFrame:
 
 
 def _sized(steps: DataFrame) -> DataFrame:
-    """(path, node, above) with the bucket's size n, buckets of one left out."""
+    """(path, node, used, above) with the bucket's size n, buckets of one left out."""
     sizes = steps.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return steps.join(sizes, "path")
 
@@ -94,7 +116,7 @@ def chosen_paths(nodes: DataFrame, total: int, runs: int) -> tuple[DataFrame, Da
     taken as alike whole."""
     first = nodes.select("node", F.posexplode(F.slice("sig", 1, runs * CHOICES)).alias("place", "token"))
     steps = stored(_sized(first.select(F.xxhash64("place", "token").alias("path"), "node",
-                                       F.lit(total).cast("long").alias("above"))), "paths")
+                                       F.array("place").alias("used"), F.lit(total).cast("long").alias("above"))), "paths")
     small, alike = [], []
     for level in range(1, DEPTH + 1):
         dense = (F.col("n") >= F.lit(DENSE) * F.col("above")) | F.lit(level == DEPTH)
@@ -103,15 +125,16 @@ def chosen_paths(nodes: DataFrame, total: int, runs: int) -> tuple[DataFrame, Da
         more = steps.where((F.col("n") > LIMIT) & ~dense)
         if more.isEmpty():
             break
-        # Each level has hash functions of its own; a bucket's path picks among them.
-        left = SIGNATURE - runs * CHOICES
-        own = left // ((DEPTH - 1) * CHOICES)
-        base = runs * CHOICES + (level - 1) * own * CHOICES
-        choice = F.array(*[(F.lit(base + c * own) + F.pmod(F.xxhash64(F.col("path"), F.lit(c)), F.lit(own))).cast("int")
-                           for c in range(CHOICES)])
-        on = more.join(nodes.select("node", "sig"), "node").withColumn("place", F.explode(choice))
+        # A path of this length has used as many functions; two others are drawn.
+        free = F.array_except(F.sequence(F.lit(0), F.lit(SIGNATURE - 1)), F.col("used"))
+        left = SIGNATURE - level
+        one = F.pmod(F.xxhash64("path", F.lit(0)), F.lit(left))
+        two = F.pmod(one + 1 + F.pmod(F.xxhash64("path", F.lit(1)), F.lit(left - 1)), F.lit(left))
+        drawn = F.transform(F.array(one, two), lambda i: F.element_at(free, i.cast("int") + 1))
+        on = more.join(nodes.select("node", "sig"), "node").withColumn("place", F.explode(drawn))
         token = F.element_at("sig", F.col("place") + 1)
         steps = stored(_sized(on.select(F.xxhash64("path", "place", token).alias("path"), "node",
+                                        F.concat("used", F.array("place")).alias("used"),
                                         F.col("n").alias("above"))), "paths")
     union = lambda frames: frames[0] if len(frames) == 1 else frames[0].unionByName(union(frames[1:]))
     return union(small), union(alike)

@@ -47,7 +47,7 @@ SIMILARITY = (4, 5)  # 0.8 as a fraction, for exact comparison
 RECALL = 0.999999
 CHOICES = 2
 SIGNATURE = 96
-LIMIT = 50
+LIMIT = 256
 DENSE = 0.7
 DEPTH = 9
 BLOCK = 512

@@ -78,7 +78,7 @@ EDGES = [(9000, None), (9001, ""), (9002, " \n"), (9003, "one two"), (9004, "one
          (9007, "long " * 30000), (9008, "long " * 20000), (9009, "a a a a a a a a"), (9010, "x" * 100000)]
 
 
-@pytest.mark.parametrize("block,limit", [(512, 256), (16, 6)])
+@pytest.mark.parametrize("block,limit", [(512, 1024), (16, 6)])
 def test_all_links(spark, monkeypatch, block, limit):
     monkeypatch.setattr(J, "BLOCK", block)
     monkeypatch.setattr(J, "LIMIT", limit)

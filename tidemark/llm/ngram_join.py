@@ -47,7 +47,7 @@ SIMILARITY = (4, 5)  # 0.8 as a fraction, for exact comparison
 RECALL = 0.999999
 CHOICES = 2
 SIGNATURE = 96
-LIMIT = 256
+LIMIT = 1024
 DENSE = 0.7
 DEPTH = 9
 BLOCK = 512
@@ -180,7 +180,10 @@ def bucket_links(small: DataFrame, nodes: DataFrame) -> DataFrame:
         a, b = [], []
         for g in _by_run(frames, ["path"]):
             sig = np.stack(g["sig"].to_numpy())
-            like = (sig[:, None, :] == sig[None]).mean(2) >= ALIKE
+            agree = np.zeros((len(sig), len(sig)), np.uint8)
+            for column in sig.T:  # a column at a time, so that a task holds n x n bytes
+                agree += column[:, None] == column[None]
+            like = agree >= ALIKE * SIGNATURE
             root, node = _roots(like), g["node"].to_numpy()
             for i in np.flatnonzero(root != np.arange(len(root))):
                 a.append(node[i])

@@ -19,6 +19,8 @@ from tidemark.contracts import Contract
 from tidemark.functions.scalars import alert_text, name_signature, truncate_message
 
 CORRUPT = "_corrupt_record"
+#: Rows that a task of a large anti-join sorts, and buckets that tell hot keys.
+PIECE, BUCKETS = 500_000, 1024
 
 
 # -- S4 + Q2 + P10 ---------------------------------------------------------------------------
@@ -220,12 +222,32 @@ def mark_included(history: DataFrame, registry: DataFrame, now: Column, group: s
 
 
 # -- J5 --------------------------------------------------------------------------------------
+def pieces(key: str, *sides: DataFrame) -> int:
+    """Into how many pieces by ``key`` the rows of ``sides`` are dealt so that
+    each has about ``PIECE``; 0 leaves it to Spark: few rows, or a key with
+    more than a piece of its own, which Spark's skewed joins cut up and its
+    map-side distinct shrinks."""
+    keys = reduce(DataFrame.unionByName, [d.select(key) for d in sides])
+    found = (keys.groupBy(F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+                 .agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first())
+    n = -(-(found.rows or 0) // PIECE)
+    if n <= keys.sparkSession.sparkContext.defaultParallelism or found.most - found.rows // BUCKETS > PIECE:
+        return 0
+    return n
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose non-null ``key`` has no parent row (a shuffle
-    anti-join: both sides grow with the data)."""
+    anti-join: both sides grow with the data).  Large sides are dealt by
+    number of rows: Spark joins partitions up to a size in compressed bytes,
+    of which such keys take very few, and a task would sort millions."""
     pk = parent_key or key
-    parents = parent.select(F.col(pk).alias(key)).distinct()
-    return child.where(F.col(key).isNotNull()).join(parents, key, "left_anti")
+    child = child.where(F.col(key).isNotNull())
+    parents = parent.select(F.col(pk).alias(key)).where(F.col(key).isNotNull())
+    n = pieces(key, child, parents)
+    if n:
+        child, parents = child.repartition(n, key), parents.repartition(n, key)
+    return child.join(parents.distinct(), key, "left_anti")
 
 
 # -- Q9 --------------------------------------------------------------------------------------

@@ -14,8 +14,9 @@ is broadcast does not grow with the corpus.  Bits can only propose too much,
 and what has been counted before is told by the same bits, so every phrase is
 counted once and wholly.  Words are named by 64-bit hashes of language and
 word; all distinct words are counted by their spelling, and if two of them
-share a hash the mining starts anew with another seed.  Tasks add up phrases
-of a run of texts, Spark's partial aggregation those of a task.
+share a hash the mining starts anew with another seed.  Tasks add up what they
+find in runs of texts, of a bounded number of rows; Spark deals the rows by
+their hashes and adds up the rest.
 
 A phrase is scored at its worst cut in two; a phrase is dropped where a longer
 candidate holds at least half of its occurrences.  Scores are whole numbers
@@ -45,6 +46,9 @@ from tidemark.llm.components import stored
 SAMPLE, LOWERED = 0.2, 2
 #: The bits that tell proposals: at most 2 to this power (16 MB).
 MOST_BITS = 27
+#: Rows of a length that a task adds up before it gives them out, and rows of
+#: the batches given out.
+HELD, BATCH_ROWS = 1 << 20, 1 << 16
 #: Words of so many bytes at most are hashed as numbers.
 WIDE = 32
 WORD, BLANK, BREAK = range(3)
@@ -184,29 +188,55 @@ def _hashes(k: int) -> list[str]:
     return [f"h{j}" for j in range(1, k + 1)]
 
 
+def added_up(found: list[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``found`` with the counts of equal keys added up."""
+    if found:
+        table = pa.Table.from_batches(found).group_by(keys, use_threads=False).aggregate([("n", "sum")])
+        yield from table.rename_columns([*keys, "n"]).to_batches(BATCH_ROWS)
+
+
 def counts(texts: DataFrame, filters: dict[int, tuple], power: int, seed: int, longest: int, least: int) -> DataFrame:
     """One pass over (text, lang): words (all of them) and phrases with their
     counts of at least ``least``."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(filters)
-    names = ["k", "lang", "word", *_hashes(longest), "n"]
+    keys = ["k", "lang", "word", *_hashes(longest)]
+
+    def found(words: Words) -> Iterator[tuple[int, pa.RecordBatch]]:
+        for at, k, n in phrase_counts(words, shared.value, power):
+            columns = [pa.array(words.hash[at + j].view(np.int64)) for j in range(k)] + [pa.array(n.astype(np.int64))]
+            if k == 1:
+                columns = [pa.array([words.langs[o] for o in words.owner[at]], pa.string()),
+                           pa.array([words.spelling(i) for i in at], pa.string()), *columns]
+            yield k, pa.RecordBatch.from_arrays(columns, [*(keys[1:3] if k == 1 else []), *_hashes(k), "n"])
+
+    def whole(k: int, part: pa.RecordBatch) -> pa.RecordBatch:
+        m, there = part.num_rows, dict(zip(part.schema.names, part.columns))
+        columns = [pa.array(np.full(m, k, np.int32))]
+        columns += [there[c] if c in there else pa.nulls(m, pa.string()) for c in keys[1:3]]
+        columns += [there[c] if c in there else pa.nulls(m, pa.int64()) for c in [*keys[3:], "n"]]
+        return pa.RecordBatch.from_arrays(columns, [*keys, "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                words = Words(batch.column("text"), batch.column("lang").to_pylist(), seed)
-                for at, k, n in phrase_counts(words, shared.value, power):
-                    m = len(at)
-                    none = pa.nulls(m, pa.string())
-                    columns = [pa.array(np.full(m, k, np.int32)),
-                               pa.array([words.langs[o] for o in words.owner[at]], pa.string()) if k == 1 else none,
-                               pa.array([words.spelling(i) for i in at], pa.string()) if k == 1 else none,
-                               *[pa.array(words.hash[at + j].view(np.int64)) if j < k else pa.nulls(m, pa.int64())
-                                 for j in range(longest)], pa.array(n.astype(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, names)
+        held: dict[int, list[pa.RecordBatch]] = {}
+
+        def out(k: int) -> Iterator[pa.RecordBatch]:
+            part = held.pop(k)
+            yield from (whole(k, b) for b in added_up(part, part[0].schema.names[:-1]))
+
+        for wide in batches:
+            for batch in slices(wide, "text"):
+                for k, part in found(Words(batch.column("text"), batch.column("lang").to_pylist(), seed)):
+                    held.setdefault(k, []).append(part)
+                    if sum(b.num_rows for b in held[k]) >= HELD:
+                        yield from out(k)
+        for k in list(held):
+            yield from out(k)
 
     kinds = f"k int, lang string, word string, {', '.join(f'{h} long' for h in _hashes(longest))}, n long"
-    return (texts.mapInArrow(run, kinds).groupBy(*names[:-1]).agg(F.sum("n").alias("n"))
+    # Dealt first: most phrases are rare, so an aggregate of Spark's in each
+    # task of texts would fill memory, spill and save little.
+    return (texts.mapInArrow(run, kinds).repartition(*_hashes(longest)).groupBy(*keys).agg(F.sum("n").alias("n"))
                  .where((F.col("k") == 1) | (F.col("n") >= least)))
 
 

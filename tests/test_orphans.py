@@ -36,3 +36,11 @@ def test_a_hot_key_is_left_to_the_skewed_join(spark, monkeypatch):
     assert quality.pieces("run_id", child, parent) == 0
     assert quality.pieces("run_id", child.limit(0), parent.limit(0)) == 0
     assert sorted(r.id for r in quality.orphans(child, parent, "run_id").collect()) == [*range(1500), *range(2000, 4000)]
+
+
+def test_pieces_grow_first_and_their_number_later(spark, monkeypatch):
+    keys = keyed(spark, 100_000, "id")
+    for piece, n in ((5000, 20), (500, 200), (200, 200), (100, 250)):
+        monkeypatch.setattr(quality, "PIECE", piece)
+        monkeypatch.setattr(quality, "BUCKETS", 10_000)
+        assert quality.pieces("run_id", keys) == n

@@ -21,6 +21,9 @@ from tidemark.functions.scalars import alert_text, name_signature, truncate_mess
 CORRUPT = "_corrupt_record"
 #: Rows that a task of a large anti-join sorts, and buckets that tell hot keys.
 PIECE, BUCKETS = 500_000, 1024
+#: Into more pieces than this, Spark's shuffle holds a task's rows in memory;
+#: they are taken only where pieces would pass so many times ``PIECE``.
+FEW, GROWN = 200, 4
 
 
 # -- S4 + Q2 + P10 ---------------------------------------------------------------------------
@@ -224,16 +227,17 @@ def mark_included(history: DataFrame, registry: DataFrame, now: Column, group: s
 # -- J5 --------------------------------------------------------------------------------------
 def pieces(key: str, *sides: DataFrame) -> int:
     """Into how many pieces by ``key`` the rows of ``sides`` are dealt so that
-    each has about ``PIECE``; 0 leaves it to Spark: few rows, or a key with
-    more than a piece of its own, which Spark's skewed joins cut up and its
-    map-side distinct shrinks."""
+    each has about ``PIECE``, or ``GROWN`` times that where it would take more
+    than ``FEW``; 0 leaves it to Spark: few rows, or a key with more than a
+    piece of its own, which Spark's skewed joins cut up and its map-side
+    distinct shrinks."""
     keys = reduce(DataFrame.unionByName, [d.select(key) for d in sides])
     found = (keys.groupBy(F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
                  .agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first())
     n = -(-(found.rows or 0) // PIECE)
     if n <= keys.sparkSession.sparkContext.defaultParallelism or found.most - found.rows // BUCKETS > PIECE:
         return 0
-    return n
+    return max(min(n, FEW), -(-found.rows // (GROWN * PIECE)))
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:

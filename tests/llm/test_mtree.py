@@ -62,3 +62,48 @@ def test_identical_vectors_make_bounded_pages():
     assert sum(len(p["ids"]) // 8 for p in pages) == 5000 and max(len(p["ids"]) // 8 for p in pages) <= 64
     ids, _ = M.Tree(pages).search(3, np.ones(3), 5, 3.0, -np.inf)
     assert ids.tolist() == [0, 1, 2, 4, 5]
+
+
+def test_no_pair_of_query_and_tree_is_broadcast(spark):
+    """Many queries and many trees in a small file: by the file's size the pairs look small enough to broadcast."""
+    rng = np.random.default_rng(3)
+    rows = [(50 * i, [float(x) for x in rng.normal(size=4)]) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    use = M.usable_vectors(df, "vec_id", "embedding")
+    found = M.top_k(use, use, 5, pivots=30, tree=10, page=4)
+    assert sorted(tuple(r) for r in found.collect()) == by_hand(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "Broadcast" not in plan and "Join" not in plan
+
+
+def test_small_cells_part_queries_and_trees(spark):
+    rng = np.random.default_rng(5)
+    rows = [(10 * i, [float(x) for x in rng.normal(size=3)]) for i in range(200)]
+    rows += [(10 * i, [0.5, -0.25, 1.0]) for i in range(200, 260)] + [(-50, [300.0, 1.0, 2.0]), (2 ** 62, [-200.0, 0.0, 1.0])]
+    assert run(spark, rows, pivots=4, tree=16, page=4, cell=300) == by_hand(rows)
+
+
+def test_a_block_of_queries_finds_what_each_finds():
+    rng = np.random.default_rng(9)
+    for scale in (20, 60_000):  # products within and beyond single precision
+        vectors = (rng.normal(size=(700, 5)) * scale).astype(np.int64)
+        vectors[100:250] = vectors[100]
+        ids, longest = np.arange(700) // 2, float((vectors ** 2).sum(1).max())
+        tree = M.Tree(M.bulk_load(ids, vectors, M.lifted(vectors[:1], longest)[0], longest, 16))
+        asked, scores = np.arange(60, 160), vectors @ vectors[60:160].T
+        floors = np.where(asked % 3 == 0, -np.inf, np.sort(scores, 0)[-9].astype(float))
+        floors[asked % 7 == 0] = np.inf
+        best = M.Best(ids[asked], floors, 5)
+        tree.search_block(best, np.arange(50), vectors[60:110], longest)
+        tree.search_block(best, np.arange(50, 100), vectors[110:160], longest)
+        got = list(zip(*(x.tolist() for x in best.rows())))
+        want = [(n, i, s) for n in range(100) for s, i in
+                sorted((-s, i) for s, i in zip(scores[:, n].tolist(), ids.tolist()) if i != ids[asked[n]] and s >= floors[n])[:5]]
+        assert got == [(n, i, -s) for n, i, s in want]
+
+
+def test_home_tree_without_rows(spark):
+    """Trees of a row each: often none of a routing object's rows has the salt 0."""
+    rng = np.random.default_rng(11)
+    rows = [(50 * i, [float(x) for x in rng.normal(size=3)]) for i in range(70)]
+    assert run(spark, rows, pivots=8, tree=1, page=4) == by_hand(rows)
